@@ -5,13 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodebar.llm import packing, url_filter
-from lodebar.llm.common import read_table
+from lodebar.llm import langid, packing, quality, url_filter
+from lodebar.llm.common import crc32_of_id, read_table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    small, _, least = quality.weighed_ids(docs, read_table(spark, sf_dir, "labels"))
+    return small.withColumn("keep", F.col("key") >= F.lit(least))
+
+
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    docs = docs.withColumn("held_out", F.pmod(crc32_of_id("doc_id"), F.lit(3)) == 1)
+    model = langid.learn(docs.where("not held_out"))
+    return langid.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score", "shares")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -43,5 +57,10 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op8_url_filter": op8_url_filter, "op10_pack": op10_pack}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
+    "op4_langid": op4_langid,
+    "op8_url_filter": op8_url_filter,
+    "op10_pack": op10_pack,
+}
 ORACLES: dict[str, str] = {"op8_url_filter": OP8_SQL}
