@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodebar.llm import langid, packing, quality, url_filter
+from lodebar.llm import langid, lm, packing, quality, url_filter
 from lodebar.llm.common import crc32_of_id, read_table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.pmod(crc32_of_id("doc_id"), F.lit(5)) == 1
+    scored = lm.score(docs, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), *scored.columns[1:])
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     small, _, least = quality.weighed_ids(docs, read_table(spark, sf_dir, "labels"))
@@ -58,6 +65,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_score": op1_lm_score,
     "op2_quality": op2_quality,
     "op4_langid": op4_langid,
     "op8_url_filter": op8_url_filter,
