@@ -13,6 +13,8 @@ occur; a null id is packed like any other; columns other than id and text are no
 from __future__ import annotations
 
 import itertools
+import os
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -26,7 +28,7 @@ from lodebar.llm.common import staged
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
 
-#: Entries of a worker's table from words to ids; when it is full it is begun anew (about 100 MB).
+#: Words that a worker's table holds before a new one is begun; words still in use move on from the last (about 100 MB each).
 CACHE_WORDS = 500_000
 #: Texts whose words are looked up together.
 GROUP = 256
@@ -42,21 +44,28 @@ class WordCachedTokenizer:
     """
 
     def __init__(self, file: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs as many tasks as there are cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(i.to_bytes(4, "little") for i in x.ids) for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [struct.pack(f"<{len(i)}I", *i) for i in (x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))]
+
+    def _learn(self, words: set[str]) -> None:
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.known, self.before, new = {}, self.known, words
+        again = new.intersection(self.before)
+        self.known.update((w, self.before[w]) for w in again)
+        first = list(new - again)
+        self.known.update(zip(first, self._encode(first), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [t.split() for t in texts]
-        missing = list(set(itertools.chain.from_iterable(words)).difference(self.known))
-        if len(self.known) + len(missing) > CACHE_WORDS:
-            self.known = {}
-            missing = list(set(itertools.chain.from_iterable(words)))
-        self.known.update(zip(missing, self._encode(missing), strict=True))
+        self._learn(set(itertools.chain.from_iterable(words)))
         out = [b"".join(map(self.known.__getitem__, w)) for w in words]
         for i, t in enumerate(texts):
             if any(c in t for c in _ODD):
