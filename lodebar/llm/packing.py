@@ -14,10 +14,11 @@ from __future__ import annotations
 
 import itertools
 import os
-import struct
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -29,10 +30,13 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
 
 #: Words that a worker's table holds before a new one is begun; words still in use move on from the last (about 100 MB each).
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
 #: Texts whose words are looked up together.
 GROUP = 256
 #: Characters where str.split() splits but the tokenizer's white space does not.
+_PART = " \x01 "
+#: Letters that stay letters when normalised and lower-cased, then a comma or stop.
+_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+[,.]").fullmatch
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
@@ -50,18 +54,49 @@ class WordCachedTokenizer:
         self.tokenizer = Tokenizer.from_file(file)
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [struct.pack(f"<{len(i)}I", *i) for i in (x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))]
+        (self.part,) = np.frombuffer(self._whole(_PART.strip()), np.uint32)
+        self.marks = {m: self._whole(m) for m in ",."}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).astype("<u4").tobytes()
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """Many words in a call, each parted from the next by a character that is a token of its own and in no word."""
+        out: list[bytes] = []
+        lines = [_PART.join(words[i : i + 200]) for i in range(0, len(words), 200)]
+        for coded in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False):
+            ids = np.array(coded.ids, np.uint32)
+            cut = np.flatnonzero(ids == self.part).tolist()
+            raw = ids.astype("<u4").tobytes()
+            out += [raw[4 * i : 4 * j] for i, j in zip([0, *[c + 1 for c in cut]], [*cut, len(ids)], strict=True)]
+        return out
 
     def _learn(self, words: set[str]) -> None:
         new = words.difference(self.known)
         if len(self.known) + len(new) > CACHE_WORDS:
             self.known, self.before, new = {}, self.known, words
-        again = new.intersection(self.before)
-        self.known.update((w, self.before[w]) for w in again)
-        first = list(new - again)
+        for w in new.intersection(self.before):
+            self.known[w] = self.before[w]
+        plain, marked, odd = set(), [], []  # a word's letters and the comma or stop after them are coded apart anyway
+        for w in new.difference(self.known):
+            if "\x01" in w or "<|" in w:
+                odd.append(w)
+            elif w[-1] in ",." and _PLAIN(w):
+                core = w[:-1].lower() if w.isascii() else w[:-1]
+                marked.append((w, core))
+                plain.add(core)
+            elif w.isascii():
+                low = w.lower()
+                marked.append((w, low))
+                plain.add(low)
+            else:
+                plain.add(w)
+        first = list(plain.difference(self.known))
         self.known.update(zip(first, self._encode(first), strict=True))
+        for w, core in marked:
+            self.known[w] = self.known[core] + self.marks[w[-1]] if len(core) < len(w) else self.known[core]
+        for w in odd:
+            self.known[w] = self._whole(w)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [t.split() for t in texts]
@@ -69,7 +104,7 @@ class WordCachedTokenizer:
         out = [b"".join(map(self.known.__getitem__, w)) for w in words]
         for i, t in enumerate(texts):
             if any(c in t for c in _ODD):
-                out[i] = self._encode([t])[0]
+                out[i] = self._whole(t)
         return out
 
 

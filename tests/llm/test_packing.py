@@ -34,7 +34,7 @@ def check(rows, docs, length):
 
 
 def test_words_looked_up_one_by_one_give_the_ids_of_the_whole_text():
-    texts = ["Don't STOP, it's 12:30\u2003now!", "a\x1cb c\x85d\xa0e", "<|endoftext|> x<|startoftext|>y", "e\u0301t\u00e9 \u0301a \u1e9e\u0130 \u03a3\u03a3", "", "   ", "\U0001f600\u200d\U0001f600 \u0915\u094d\u0937", "x" * 5000, "\ufb01 \u212b\u00a0\u3000z"]
+    texts = ["Don't STOP, it's 12:30\u2003now!", "a\x1cb c\x85d\xa0e", "<|endoftext|> x<|startoftext|>y", "e\u0301t\u00e9 \u0301a \u1e9e\u0130 \u03a3\u03a3", "", "   ", "\U0001f600\u200d\U0001f600 \u0915\u094d\u0937", "x" * 5000, "\ufb01 \u212b\u00a0\u3000z", "a\x01b \x01 \x01.", "Tree. TREE, tree tree, \u00c9TÉ. ΣΣ, İ, e\u0301. . , ., a., \u0301,"]
     got = packing.WordCachedTokenizer(FILE).encode(texts)
     assert [g + b"\0\0\0\0" for g in got] == [coded(t) for t in texts]
 
