@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodebar.llm import langid, lm, packing, quality, url_filter
+from lodebar.llm import jaccard, langid, lm, packing, quality, url_filter
 from lodebar.llm.common import crc32_of_id, read_table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -26,6 +26,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return small.withColumn("keep", F.col("key") >= F.lit(least))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     docs = docs.withColumn("held_out", F.pmod(crc32_of_id("doc_id"), F.lit(3)) == 1)
@@ -67,6 +71,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_quality": op2_quality,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_langid": op4_langid,
     "op8_url_filter": op8_url_filter,
     "op10_pack": op10_pack,
