@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodebar.llm import jaccard, langid, lm, packing, quality, url_filter
+from lodebar.llm import decontam, jaccard, langid, lm, packing, quality, url_filter, warc
 from lodebar.llm.common import crc32_of_id, read_table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -37,6 +37,26 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score", "shares")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.packed_and_read(read_table(spark, sf_dir, "pages"), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP6_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha256(b) AS payload_digest FROM p),
+f AS (SELECT payload_digest AS g, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM d LEFT JOIN f ON payload_digest = g
+"""
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark")).drop("text")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -73,7 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_langid": op4_langid,
+    "op6_warc": op6_warc,
+    "op7_decontaminate": op7_decontaminate,
     "op8_url_filter": op8_url_filter,
     "op10_pack": op10_pack,
 }
-ORACLES: dict[str, str] = {"op8_url_filter": OP8_SQL}
+ORACLES: dict[str, str] = {"op6_warc": OP6_SQL, "op8_url_filter": OP8_SQL}

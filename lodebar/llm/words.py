@@ -18,6 +18,7 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _VALUE = np.random.Generator(np.random.PCG64(20240601)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _VALUE[65:91] = _VALUE[97:123]
 
@@ -41,10 +42,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _of_bytes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _of_bytes(raw: bytes, parts_at: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and first bytes' places of the words of ``raw``."""
     b = np.frombuffer(raw, np.uint8)
-    edge = np.diff(_SPACE[b].view(np.int8), prepend=np.int8(1), append=np.int8(1))
+    edge = np.diff(parts_at[b].view(np.int8), prepend=np.int8(1), append=np.int8(1))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     power, inverse = _power_tables(len(b) + 1)
     total = np.zeros(len(b) + 1, np.uint64)
@@ -52,27 +53,31 @@ def _of_bytes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return mix((total[end] - total[start]) * inverse[start]), start
 
 
-def _long(raw: bytes) -> np.ndarray:
+def _long(raw: bytes, parts_at: np.ndarray) -> np.ndarray:
     out, at = [], 0
     while at < len(raw):
         end = at + PART
         while end < len(raw) and not _SPACE[raw[end]]:
             end += 1
-        out.append(_of_bytes(raw[at:end])[0])
+        out.append(_of_bytes(raw[at:end], parts_at)[0])
         at = end
     return np.concatenate(out)
 
 
-def word_hashes(texts: Sequence[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first, hashes, offsets) for runs of texts: text ``first + i`` has the words hashes[offsets[i]:offsets[i + 1]]."""
+def word_hashes(texts: Sequence[str | None], letters: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first, hashes, offsets) for runs of texts: text ``first + i`` has the words hashes[offsets[i]:offsets[i + 1]].
+
+    letters: words are runs of letters, digits and bytes above 127 instead, so that punctuation parts them.
+    """
+    parts_at = _MARKS if letters else _SPACE
     group: list[bytes] = []
     size = first = 0
 
     def taken() -> tuple[int, np.ndarray, np.ndarray]:
         if len(group) == 1 and size > PART:
-            h = _long(group[0])
+            h = _long(group[0], parts_at)
             return first, h, np.array([0, len(h)])
-        h, start = _of_bytes(b"\n".join(group))
+        h, start = _of_bytes(b"\n".join(group), parts_at)
         ends = np.cumsum([len(g) + 1 for g in group])
         return first, h, np.concatenate(([0], np.searchsorted(start, ends)))
 
