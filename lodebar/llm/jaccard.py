@@ -172,7 +172,7 @@ def filed(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], k: int, percent:
         size = 0
 
         def flush() -> pa.RecordBatch:
-            token = np.concatenate(tokens)
+            token = mix(np.concatenate(tokens))  # prefixes hold small hashes: mixed anew, they spread evenly over the ranges
             of = np.repeat(np.arange(len(ids)), [len(t) for t in tokens])
             order = np.argsort(token, kind="stable")
             token, of = token[order], of[order]
