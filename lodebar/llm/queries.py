@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodebar.llm import decontam, jaccard, langid, lm, packing, quality, url_filter, warc
+from lodebar.llm import decontam, embedding_dedup, jaccard, langid, lm, packing, quality, url_filter, warc
 from lodebar.llm.common import crc32_of_id, read_table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -81,6 +81,10 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 """
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -96,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op7_decontaminate": op7_decontaminate,
     "op8_url_filter": op8_url_filter,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_pack": op10_pack,
 }
 ORACLES: dict[str, str] = {"op6_warc": OP6_SQL, "op8_url_filter": OP8_SQL}
