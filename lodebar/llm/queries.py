@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodebar.llm import decontam, embedding_dedup, jaccard, langid, lm, packing, quality, url_filter, warc
+from lodebar.llm import decontam, embedding_dedup, html_extract, jaccard, langid, lm, packing, quality, url_filter, warc
 from lodebar.llm.common import crc32_of_id, read_table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -37,6 +37,11 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score", "shares")
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).drop("html")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.packed_and_read(read_table(spark, sf_dir, "pages"), payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_langid": op4_langid,
+    "op5_html_extract": op5_html_extract,
     "op6_warc": op6_warc,
     "op7_decontaminate": op7_decontaminate,
     "op8_url_filter": op8_url_filter,
