@@ -8,12 +8,13 @@ documents link when 100 * intersection >= percent * union.
    last: two sets that link share one of these, whatever the order. Shingles travel as packed arrays, by ranges of hashes.
    Classes that share a shingle make up a tile; tiles with the same classes are one tile.
 3. In each tile and band of sizes, classes are compared with the band's leader first. Once components of those links are
-   known, only tiles that hold several components are left, and there all pairs from different components are compared.
-4. Comparing means: bitmap signatures of about two bits a shingle bound the overlap from above (bits that differ are
-   shingles of one set only); pairs that pass are intersected exactly.
+   known, only tiles that hold several components are left. In blocks of a tile, by bands of sizes, all pairs from
+   different components are compared by coarse bitmaps, and in blocks of the clusters of these by fine ones.
+4. Comparing means: hashed bitmap signatures bound the overlap from above (bits that differ are shingles of one set
+   only); pairs that pass are intersected exactly.
 
-So no link between components is lost, and a group of near copies costs about its size, not its square. Blocks of a tile
-have at most BLOCK classes on either side; a larger tile becomes a grid of blocks. Hashes have 64 bits: two given
+So no link between components is lost, and what comes out of a block are the pairs that may join components, never all
+pairs of a group. Blocks have at most BLOCK classes on either side; more become a grid of blocks. Hashes have 64 bits: two given
 shingles, or two given sets, are mistaken for one with a probability of 2**-64.
 
 Defined results: null text and text without words have an empty set, link with nothing and are their own component. A
@@ -23,8 +24,9 @@ null id never names a component. Repeated rows are copies. Other columns are not
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,8 @@ HOT = 200_000
 COUNTED, OFTEN = 2_000_000, 4
 #: Ids are broadcast to pick out texts up to so many; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
+#: Bits for each shingle in the bitmaps that are compared within blocks.
+FINE = 12
 #: Classes on either side of a block of pairs.
 BLOCK = 4096
 
@@ -71,9 +75,9 @@ def set_id(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def bitmap(shingles: np.ndarray) -> bytes:
-    """Hashed bitmap of the least power of two of bits that is at least twice the set's size, and 64 at least."""
-    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+def bitmap(shingles: np.ndarray, each: int = 2) -> bytes:
+    """Hashed bitmap of the least power of two of bits that is at least ``each`` times the set's size, and 64 at least."""
+    bits = max(64, 1 << (each * len(shingles) - 1).bit_length())
     on = np.zeros(bits, bool)
     on[(shingles & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(on, bitorder="little").tobytes()
@@ -285,8 +289,8 @@ class Join:
         classes = self.meta.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"), one.alias("s"), F.count("*").alias("copies"))
         self.classes = staged(classes.select("sid", "rep", "s.n", "s.bitmap", "copies"), "jaccard-classes")
 
-    def sets(self, wanted: DataFrame) -> DataFrame:
-        """(sid, shingles) of the classes in ``wanted``, from their documents' texts."""
+    def sets(self, wanted: DataFrame, fine: bool = False) -> DataFrame:
+        """(sid, shingles) of the classes in ``wanted``, from their documents' texts; ``fine``: bitmaps of them instead."""
         ids = staged(wanted.join(self.classes.select("sid", "rep"), "sid").select(F.col("rep").alias("doc_id"), "sid"), "jaccard-wanted")
         n = ids.count()
         chosen = self.docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "doc_id").select("sid", "text")
@@ -296,7 +300,7 @@ class Join:
             for b in batches:
                 for sid, s in zip(b.column(0).to_pylist(), shingle_sets(b.column(1).to_pylist(), k), strict=True):
                     if len(s) and set_id(s) == sid:  # of rows that share an id, those with the class's own text
-                        yield sid, s.tobytes()
+                        yield sid, bitmap(s, FINE) if fine else s.tobytes()
 
         rows = chosen.mapInArrow(lambda b: _batches({"sid": pa.int64(), "shingles": pa.binary()}, work(b), 1000), "sid long, shingles binary")
         return staged(rows, "jaccard-sets").dropDuplicates(["sid"])
@@ -316,88 +320,131 @@ class Join:
         right = sets.select(F.col("sid").alias("b"), F.col("shingles").alias("right_set"))
         return pairs.join(left, "a").join(right, "b").mapInArrow(_intersected(self.percent), "a long, b long")
 
-    def candidates_between(self, tiles: DataFrame, roots: DataFrame) -> DataFrame:
-        """All pairs of classes in a tile from different components whose bitmaps and sizes allow a link."""
+    def links_between(self, tiles: DataFrame, roots: DataFrame) -> DataFrame:
+        """All links (a, b) between classes of a tile that are in different components.
+
+        Coarse bitmaps first part the classes of tiles into clusters: what comes out of a tile is a spanning forest of the
+        pairs that they allow. In a cluster every class is once, so that fine bitmaps see no pair in two blocks.
+        """
         named = tiles.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-        named = staged(named, "jaccard-named")
+        named = staged(named.select("tile", "sid", "n", "band", "root"), "jaccard-named")
         mixed = named.groupBy("tile").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("tile")
-        held = named.join(mixed, "tile", "left_semi")
-        # a block: the classes of a band, and those of the next; more than BLOCK of a band make up several columns and rows
-        counts = held.groupBy("tile", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cuts"))
-        widths = counts.alias("x").join(counts.alias("y"), (F.col("x.tile") == F.col("y.tile")) & (F.col("y.band") == F.col("x.band") + 1), "left")
-        grid = widths.select("x.tile", "x.band", F.col("x.cuts").alias("rows"), F.coalesce("y.cuts", F.lit(0)).alias("more"))
-        cut = F.pmod(F.xxhash64("sid", F.lit(11)), F.col("rows")).cast("int")
-        own = held.join(grid, ["tile", "band"]).withColumn("cut", cut)
-        # own classes against own classes of the same or a later cut, and against every cut of the next band
-        across = F.sequence(F.lit(0), F.col("rows") + F.col("more") - 1)
-        as_row = own.withColumn("to", F.explode(F.filter(across, lambda c: c >= F.col("cut")))).select("tile", "band", F.col("cut").alias("from"), "to", "sid", "n", "root", F.lit(0).alias("side"))
-        same = own.withColumn("from", F.explode(F.sequence(F.lit(0), F.col("cut")))).select("tile", "band", "from", F.col("cut").alias("to"), "sid", "n", "root", F.lit(1).alias("side"))
-        before = grid.select("tile", (F.col("band") + 1).alias("band"), F.col("rows").alias("before"))
-        later = own.join(before, ["tile", "band"]).withColumn("from", F.explode(F.sequence(F.lit(0), F.col("before") - 1)))
-        as_next = later.select("tile", (F.col("band") - 1).alias("band"), "from", (F.col("before") + F.col("cut")).alias("to"), "sid", "n", "root", F.lit(1).alias("side"))
-        rows = as_row.unionAll(same).unionAll(as_next).join(self.classes.select("sid", "bitmap"), "sid")
-        block = ["tile", "band", "from", "to"]
-        dealt = rows.repartition(*block).sortWithinPartitions(*block, "side", "sid")
-        percent = self.percent
-        pairs = dealt.select(*block, "side", "sid", "n", "root", "bitmap").mapInArrow(lambda b: _compared(b, percent), "a long, b long")
-        return pairs.distinct()
-
-
-def _compared(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of each block that pass sizes, components and bitmaps; blocks arrive one after the other."""
-    held: list[pa.RecordBatch] = []
+        held = staged(named.join(mixed, "tile", "left_semi"), "jaccard-mixed")
+        forest = _in_blocks(held, "tile", self.classes.select("sid", F.col("bitmap").alias("bits")), _forest(self.percent)).distinct()
+        clusters = components(forest, "jaccard-clusters").select(F.col("node").alias("sid"), F.col("root").alias("cluster"))
+        members = staged(held.select("sid", "n", "band", "root").distinct().join(clusters, "sid"), "jaccard-members")
+        fine = self.sets(members.select("sid"), fine=True).withColumnRenamed("shingles", "bits")
+        return self.exact(staged(_in_blocks(members, "cluster", fine, _allowed(self.percent)), "jaccard-pairs"))
+
 
-    def pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        side = table.column("side").to_numpy()
-        bits = table.column("bitmap").to_pylist()
-        sid, root, n = (table.column(c).to_numpy() for c in ("sid", "root", "n"))
-        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        if not len(x) or not len(y) or root.min() == root.max():
-            return sid[:0], sid[:0]
-        matrix = folded(bits, min(map(len, bits)))
-        out_a, out_b = [], []
-        n = n.astype(np.int64)
-        step = max(1, (1 << 20) // (len(y) * matrix.shape[1]))
-        for at in range(0, len(x), step):
-            xs = x[at : at + step]
-            ok = root[xs][:, None] != root[y][None, :]
-            total = n[xs][:, None] + n[y][None, :]
-            ok &= 100 * np.minimum(n[xs][:, None], n[y][None, :]) >= percent * np.maximum(n[xs][:, None], n[y][None, :])
-            if ok.any():
-                differ = np.bitwise_count(matrix[xs][:, None, :] ^ matrix[y][None, :, :]).sum(axis=2, dtype=np.int64)
-                i, j = np.nonzero(ok & may_link(differ, total, percent))
-                out_a.append(sid[xs[i]])
-                out_b.append(sid[y[j]])
-        return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (sid[:0], sid[:0])
-
-    def blocks(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("tile", "band", "from", "to")])
-        edge = np.flatnonzero(np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(axis=0), [True])))
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-            p, q = pairs(table.slice(i, j - i))
-            a.append(np.minimum(p, q))
-            b.append(np.maximum(p, q))
-        both = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+def _in_blocks(members: DataFrame, key: str, bits: DataFrame, compare: Callable) -> DataFrame:
+    """``compare``'s pairs (a, b) over blocks: of each group, the classes of a band against each other and the next band's.
+
+    A band with more than BLOCK classes makes up several columns and rows of blocks.
+    """
+    counts = members.groupBy(key, "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cuts"))
+    after = counts.select(key, (F.col("band") - 1).alias("band"), F.col("cuts").alias("more"))
+    grid = counts.join(after, [key, "band"], "left").select(key, "band", F.col("cuts").alias("rows"), F.coalesce("more", F.lit(0)).alias("more"))
+    own = members.join(grid, [key, "band"]).withColumn("cut", F.pmod(F.xxhash64("sid", F.lit(11)), F.col("rows")).cast("int"))
+    # own classes against own classes of the same cut (side 2) or a later one, and against every cut of the next band
+    across = F.filter(F.sequence(F.lit(0), F.col("rows") + F.col("more") - 1), lambda c: c >= F.col("cut"))
+    as_row = own.withColumn("to", F.explode(across)).withColumn("from", F.col("cut")).withColumn("side", F.when(F.col("to") == F.col("cut"), 2).otherwise(0))
+    as_column = own.where("cut > 0").withColumn("from", F.explode(F.sequence(F.lit(0), F.col("cut") - 1))).withColumn("to", F.col("cut")).withColumn("side", F.lit(1))
+    before = grid.select(key, (F.col("band") + 1).alias("band"), F.col("rows").alias("before"))
+    later = own.join(before, [key, "band"]).withColumn("from", F.explode(F.sequence(F.lit(0), F.col("before") - 1)))
+    as_next = later.withColumn("band", F.col("band") - 1).withColumn("to", F.col("before") + F.col("cut")).withColumn("side", F.lit(1))
+    block = [key, "band", "from", "to"]
+    columns = [*block, "side", "sid", "n", "root"]
+    rows = as_row.select(*columns).unionAll(as_column.select(*columns)).unionAll(as_next.select(*columns)).join(bits, "sid")
+    dealt = rows.repartition(*block).sortWithinPartitions(*block, "side", "sid")
+    return dealt.select(*columns, "bits").mapInArrow(lambda b: _blocks(b, compare), "a long, b long")
+
+
+def _blocks(batches: Iterable[pa.RecordBatch], compare: Callable) -> Iterator[pa.RecordBatch]:
+    """``compare``'s pairs of each block; blocks arrive one after the other and may go on from batch to batch."""
+    held: list[pa.RecordBatch] = []
 
     def key(batch: pa.RecordBatch, row: int) -> tuple:
         return tuple(batch.column(c)[row].as_py() for c in range(4))
 
+    def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in range(4)])
+        side, sid, n, root = (table.column(c).to_numpy() for c in ("side", "sid", "n", "root"))
+        bits, n = table.column("bits").to_pylist(), n.astype(np.int64)
+        edge = np.flatnonzero(np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(axis=0), [True]))).tolist()
+        a, b = [sid[:0]], [sid[:0]]
+        for i, j in zip(edge[:-1], edge[1:], strict=True):
+            if j - i > 1 and (root[i:j] != root[i]).any():
+                p, q = compare(side[i:j], n[i:j], root[i:j], bits[i:j])
+                a.append(sid[i:j][p])
+                b.append(sid[i:j][q])
+        a, b = np.concatenate(a), np.concatenate(b)
+        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], names=["a", "b"])
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        last = key(batch, batch.num_rows - 1)
-        n = batch.num_rows
-        while n and key(batch, n - 1) == last:  # the last block may go on in the next batch
-            n -= 1
+        last, n = key(batch, batch.num_rows - 1), batch.num_rows
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in range(4)])
+        n = int((~(keys == np.array(last)[:, None]).all(axis=0)).sum())  # rows before the last block, which may go on
         if n or (held and key(held[0], 0) != last):
-            yield from blocks(pa.Table.from_batches([*held, batch.slice(0, n)]).combine_chunks())
+            yield from done(pa.Table.from_batches([*held, batch.slice(0, n)]).combine_chunks())
             held = [batch.slice(n)]
         else:
             held.append(batch)
     if held:
-        yield from blocks(pa.Table.from_batches(held).combine_chunks())
+        yield from done(pa.Table.from_batches(held).combine_chunks())
+
+
+def _passing(percent: int, side: np.ndarray, n: np.ndarray, root: np.ndarray, matrices: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of different components that sizes and then each of the bitmaps allow to link, rows of the block at a time."""
+    x, y = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    step = max(1, (1 << 20) // max(1, len(y)))
+    for k in range(0, len(x), step):
+        i, j = (v.ravel() for v in np.meshgrid(x[k : k + step], y, indexing="ij"))
+        fit = ((side[j] == 1) | ((side[i] == 2) & (i < j))) & (root[i] != root[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+        for matrix in matrices:
+            i, j = i[fit], j[fit]
+            fit = np.ones(len(i), bool)
+            part = max(1, (1 << 21) // matrix.shape[1])
+            for at in range(0, len(i), part):
+                p, q = i[at : at + part], j[at : at + part]
+                fit[at : at + part] = may_link(np.bitwise_count(matrix[p] ^ matrix[q]).sum(axis=1, dtype=np.int64), n[p] + n[q], percent)
+        yield i[fit], j[fit]
+
+
+def _forest(percent: int) -> Callable:
+    """A spanning forest of the pairs that coarse bitmaps allow."""
+
+    def forest(side: np.ndarray, n: np.ndarray, root: np.ndarray, bits: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        label = np.arange(len(n))
+        a, b = [], []
+        for i, j in _passing(percent, side, n, root, [folded(bits, min(map(len, bits)))]):
+            edge = [0, *(np.flatnonzero(np.diff(i)) + 1).tolist(), len(i)] if len(i) else []
+            for lo, hi in itertools.pairwise(edge):
+                own, theirs = i[lo], j[lo:hi]
+                groups, first = np.unique(label[theirs], return_index=True)
+                new = groups != label[own]
+                if new.any():
+                    a += [own] * int(new.sum())
+                    b += theirs[first[new]].tolist()
+                    label[np.isin(label, groups[new])] = label[own]
+        return np.array(a, np.int64), np.array(b, np.int64)
+
+    return forest
+
+
+def _allowed(percent: int) -> Callable:
+    """All pairs that fine bitmaps allow; they are folded for a first look."""
+
+    def allowed(side: np.ndarray, n: np.ndarray, root: np.ndarray, bits: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        fine = folded(bits, min(map(len, bits)))
+        coarse = np.bitwise_or.reduce(fine.reshape(len(bits), -1, max(1, fine.shape[1] // 4)), axis=1)
+        found = list(_passing(percent, side, n, root, [coarse, fine])) or [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+    return allowed
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
@@ -411,8 +458,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     stars = tiles.where("sid <> leader").select(F.least("sid", "leader").alias("a"), F.greatest("sid", "leader").alias("b")).distinct()
     first = staged(join.linked(stars), "jaccard-links")
     roots = staged(components(first, "jaccard-roots"), "jaccard-roots")
-    rest = staged(join.candidates_between(tiles, roots), "jaccard-pairs")
-    links = first.unionAll(staged(join.exact(rest), "jaccard-links"))
+    links = first.unionAll(staged(join.links_between(tiles, roots), "jaccard-links"))
     roots = components(links, "jaccard-roots").withColumnRenamed("node", "sid")
     named = join.classes.select("sid", "rep").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     lowest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
@@ -421,3 +467,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     full = rows.where("sid is not null").join(of_class, "sid").select("doc_id", "n_shingles", "component_id", F.col("sid").alias("set_id"))
     empty = rows.where("sid is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("sid").alias("set_id"))
     return full.unionAll(empty)
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` that stay when of each component only the document with the smallest id does.
+
+    Documents without words stay, and so do those without an id. Of rows with the same id and text a single one stays;
+    these are only looked for where an id occurs twice, since that deals all texts anew. Otherwise texts stay where they
+    are unless more than BROADCAST_IDS documents go.
+    """
+    found = staged(near_duplicates(docs.select("doc_id", "text"), k, percent).select("doc_id", "component_id"), "jaccard-found")
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    left = docs.join(gone, "doc_id", "left_anti")
+    repeated = found.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    return left.dropDuplicates(["doc_id", "text"]) if repeated else left
