@@ -42,11 +42,15 @@ _STEP = np.uint64(0xA0761D6478BD642F)
 #: The most frequent shingles, which go last in every prefix: at most so many are broadcast (16 bytes each).
 HOT = 200_000
 #: Shingles counted together in a task, and the count from which one is reported as frequent.
-COUNTED, OFTEN = 2_000_000, 4
+COUNTED, OFTEN = 1_000_000, 4
 #: Ids are broadcast to pick out texts up to so many; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
+#: Prefix shingles that a range of hashes holds on average.
+RANGE = 2_000_000
 #: Bits for each shingle in the bitmaps that are compared within blocks.
 FINE = 12
+#: Pairs of a block that are looked at together, and texts that are.
+PAIRS, TEXTS = 1 << 18, 512
 #: Classes on either side of a block of pairs.
 BLOCK = 4096
 
@@ -103,6 +107,13 @@ def prefix_length(n: int, percent: int) -> int:
     return n + (-percent * n // 100) + 1
 
 
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few texts at a time, so that a worker never holds a whole batch as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS):
+            yield batch.slice(at, TEXTS)
+
+
 def _batches(columns: dict[str, pa.DataType], rows: Iterator[tuple], size: int = 20_000) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
 
@@ -130,7 +141,7 @@ def sketched(docs: DataFrame, k: int) -> DataFrame:
             for h, c in zip(found[n >= OFTEN].view(np.int64).tolist(), n[n >= OFTEN].tolist(), strict=True):
                 yield None, None, None, None, h, c
 
-        for batch in batches:
+        for batch in _slices(batches):
             for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), k), strict=True):
                 yield (doc, len(s), set_id(s), bitmap(s), None, None) if len(s) else (doc, 0, None, None, None, None)
                 held.append(s)
@@ -153,6 +164,17 @@ def _hot(meta: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return hot[order], found["n"].to_numpy(np.int64)[order]
 
 
+def _packed(ascending: np.ndarray) -> bytes:
+    """Differences of sorted numbers, first bytes first: their high bytes are zeros, which the shuffle's codec removes."""
+    steps = np.diff(ascending, prepend=np.uint64(0))
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(raw: pa.Buffer) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+    return np.cumsum(steps, dtype=np.uint64)
+
+
 def filed(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], k: int, percent: int, parts: int) -> DataFrame:
     """Prefixes by ranges of hashes: (part, tokens, sets, sizes, of), ``of`` being a token's place in sets and sizes."""
     frequent = docs.sparkSession.sparkContext.broadcast(hot)
@@ -186,11 +208,12 @@ def filed(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], k: int, percent:
             for part, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
                 if j > i:
                     own, place = np.unique(of[i:j], return_inverse=True)
-                    for c, v in zip(out, (part, token[i:j].tobytes(), sets[own].tobytes(), sizes[own].tobytes(), place.astype(np.int32).tobytes()), strict=True):
+                    narrow = np.uint16 if len(own) <= 1 << 16 else np.uint32
+                    for c, v in zip(out, (part, _packed(token[i:j]), sets[own].tobytes(), sizes[own].tobytes(), place.astype(narrow).tobytes()), strict=True):
                         c.append(v)
             return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *[pa.array(c, pa.binary()) for c in out[1:]]], names=["part", "tokens", "sets", "sizes", "of"])
 
-        for batch in batches:
+        for batch in _slices(batches):
             for s in shingle_sets(batch.column(1).to_pylist(), k):
                 if len(s) and (sid := set_id(s)) not in seen:
                     seen.add(sid)
@@ -217,7 +240,9 @@ def _tiles(percent: int):  # noqa: ANN202
 
     def tiles(rows: pa.Table) -> pa.Table:
         get = lambda c, kind: [np.frombuffer(x.as_buffer(), kind) for x in rows.column(c)]
-        tokens, sets, sizes, of = get("tokens", np.uint64), get("sets", np.int64), get("sizes", np.int32), get("of", np.int32)
+        sets, sizes = get("sets", np.int64), get("sizes", np.int32)
+        tokens = [_unpacked(x.as_buffer()) for x in rows.column("tokens")]
+        of = [np.frombuffer(x.as_buffer(), np.uint16 if len(s) <= 1 << 16 else np.uint32) for x, s in zip(rows.column("of"), sets, strict=True)]
         token = np.concatenate(tokens)
         sid = np.concatenate([s[o] for s, o in zip(sets, of, strict=True)])
         n = np.concatenate([s[o] for s, o in zip(sizes, of, strict=True)])
@@ -292,12 +317,11 @@ class Join:
     def sets(self, wanted: DataFrame, fine: bool = False) -> DataFrame:
         """(sid, shingles) of the classes in ``wanted``, from their documents' texts; ``fine``: bitmaps of them instead."""
         ids = staged(wanted.join(self.classes.select("sid", "rep"), "sid").select(F.col("rep").alias("doc_id"), "sid"), "jaccard-wanted")
-        n = ids.count()
-        chosen = self.docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "doc_id").select("sid", "text")
+        chosen = self.docs.join(_small(ids), "doc_id").select("sid", "text")
         k = self.k
 
         def work(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-            for b in batches:
+            for b in _slices(batches):
                 for sid, s in zip(b.column(0).to_pylist(), shingle_sets(b.column(1).to_pylist(), k), strict=True):
                     if len(s) and set_id(s) == sid:  # of rows that share an id, those with the class's own text
                         yield sid, bitmap(s, FINE) if fine else s.tobytes()
@@ -326,10 +350,10 @@ class Join:
         Coarse bitmaps first part the classes of tiles into clusters: what comes out of a tile is a spanning forest of the
         pairs that they allow. In a cluster every class is once, so that fine bitmaps see no pair in two blocks.
         """
-        named = tiles.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-        named = staged(named.select("tile", "sid", "n", "band", "root"), "jaccard-named")
+        named = tiles.join(_small(roots.withColumnRenamed("node", "sid")), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+        named = named.select("tile", "sid", "n", "band", "root")
         mixed = named.groupBy("tile").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("tile")
-        held = staged(named.join(mixed, "tile", "left_semi"), "jaccard-mixed")
+        held = staged(named.join(_small(staged(mixed, "jaccard-mixed")), "tile", "left_semi"), "jaccard-held")
         forest = _in_blocks(held, "tile", self.classes.select("sid", F.col("bitmap").alias("bits")), _forest(self.percent)).distinct()
         clusters = components(forest, "jaccard-clusters").select(F.col("node").alias("sid"), F.col("root").alias("cluster"))
         members = staged(held.select("sid", "n", "band", "root").distinct().join(clusters, "sid"), "jaccard-members")
@@ -337,21 +361,27 @@ class Join:
         return self.exact(staged(_in_blocks(members, "cluster", fine, _allowed(self.percent)), "jaccard-pairs"))
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """A staged table of ids, to be broadcast if it has BROADCAST_IDS rows at most."""
+    return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
+
+
 def _in_blocks(members: DataFrame, key: str, bits: DataFrame, compare: Callable) -> DataFrame:
     """``compare``'s pairs (a, b) over blocks: of each group, the classes of a band against each other and the next band's.
 
     A band with more than BLOCK classes makes up several columns and rows of blocks.
     """
-    counts = members.groupBy(key, "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cuts"))
+    counts = staged(members.groupBy(key, "band").agg(F.count("*").alias("n")).withColumn("cuts", F.ceil(F.col("n") / BLOCK).cast("int")), "jaccard-grid")
     after = counts.select(key, (F.col("band") - 1).alias("band"), F.col("cuts").alias("more"))
-    grid = counts.join(after, [key, "band"], "left").select(key, "band", F.col("cuts").alias("rows"), F.coalesce("more", F.lit(0)).alias("more"))
-    own = members.join(grid, [key, "band"]).withColumn("cut", F.pmod(F.xxhash64("sid", F.lit(11)), F.col("rows")).cast("int"))
+    before = counts.select(key, (F.col("band") + 1).alias("band"), F.col("cuts").alias("before"))
+    grid = counts.join(after, [key, "band"], "left").join(before, [key, "band"], "left").where("n > 1 or more is not null or before is not null")
+    grid = grid.select(key, "band", F.col("cuts").alias("rows"), F.coalesce("more", F.lit(0)).alias("more"), F.coalesce("before", F.lit(0)).alias("before"), (F.col("n") > 1).alias("several"))
+    own = members.join(_small(staged(grid, "jaccard-grid")), [key, "band"]).withColumn("cut", F.pmod(F.xxhash64("sid", F.lit(11)), F.col("rows")).cast("int"))
     # own classes against own classes of the same cut (side 2) or a later one, and against every cut of the next band
     across = F.filter(F.sequence(F.lit(0), F.col("rows") + F.col("more") - 1), lambda c: c >= F.col("cut"))
-    as_row = own.withColumn("to", F.explode(across)).withColumn("from", F.col("cut")).withColumn("side", F.when(F.col("to") == F.col("cut"), 2).otherwise(0))
+    as_row = own.where("several or more > 0").withColumn("to", F.explode(across)).withColumn("from", F.col("cut")).withColumn("side", F.when(F.col("to") == F.col("cut"), 2).otherwise(0))
     as_column = own.where("cut > 0").withColumn("from", F.explode(F.sequence(F.lit(0), F.col("cut") - 1))).withColumn("to", F.col("cut")).withColumn("side", F.lit(1))
-    before = grid.select(key, (F.col("band") + 1).alias("band"), F.col("rows").alias("before"))
-    later = own.join(before, [key, "band"]).withColumn("from", F.explode(F.sequence(F.lit(0), F.col("before") - 1)))
+    later = own.where("before > 0").withColumn("from", F.explode(F.sequence(F.lit(0), F.col("before") - 1)))
     as_next = later.withColumn("band", F.col("band") - 1).withColumn("to", F.col("before") + F.col("cut")).withColumn("side", F.lit(1))
     block = [key, "band", "from", "to"]
     columns = [*block, "side", "sid", "n", "root"]
@@ -400,14 +430,14 @@ def _blocks(batches: Iterable[pa.RecordBatch], compare: Callable) -> Iterator[pa
 def _passing(percent: int, side: np.ndarray, n: np.ndarray, root: np.ndarray, matrices: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of different components that sizes and then each of the bitmaps allow to link, rows of the block at a time."""
     x, y = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    step = max(1, (1 << 20) // max(1, len(y)))
+    step = max(1, PAIRS // max(1, len(y)))
     for k in range(0, len(x), step):
         i, j = (v.ravel() for v in np.meshgrid(x[k : k + step], y, indexing="ij"))
         fit = ((side[j] == 1) | ((side[i] == 2) & (i < j))) & (root[i] != root[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
         for matrix in matrices:
             i, j = i[fit], j[fit]
             fit = np.ones(len(i), bool)
-            part = max(1, (1 << 21) // matrix.shape[1])
+            part = max(1, 2 * PAIRS // matrix.shape[1])
             for at in range(0, len(i), part):
                 p, q = i[at : at + part], j[at : at + part]
                 fit[at : at + part] = may_link(np.bitwise_count(matrix[p] ^ matrix[q]).sum(axis=1, dtype=np.int64), n[p] + n[q], percent)
@@ -451,7 +481,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     """(doc_id, n_shingles, component_id, set_id): component_id is the smallest doc_id that links reach, itself included."""
     join = Join(docs, k, percent)
     total = join.meta.agg(F.sum("n")).first()[0] or 0
-    parts = max(1, math.ceil(total * (100 - percent) / 100 / COUNTED))
+    parts = max(1, math.ceil(total * (100 - percent) / 100 / RANGE))
     prefixes = filed(join.docs, _hot(join.meta), k, percent, parts)
     kind = "tile long, sid long, n int, band int, leader long"
     tiles = staged(prefixes.groupBy("part").applyInArrow(_tiles(percent), kind).dropDuplicates(["tile", "sid"]), "jaccard-tiles")
