@@ -51,6 +51,18 @@ def crc32_of_id(column: str | Column) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary"))
 
 
+#: Rows of texts that Arrow hands to a Python worker at a time; Spark's default of 10,000 would be some 35 MB of text.
+ARROW_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keeps batches of texts small in this session, unless its own setting is smaller: workers' memory follows their size."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= ARROW_ROWS:
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's tables."""
+    """One of the driver's tables, to be handed to Python in small batches."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -32,7 +32,7 @@ PLACED = PIECES + ", sequence_id long, offset long"
 #: Words that a worker's table holds before a new one is begun; words still in use move on from the last (about 100 MB each).
 CACHE_WORDS = 1_000_000
 #: Texts whose words are looked up together.
-GROUP = 64
+GROUP = 256
 #: Characters where str.split() splits but the tokenizer's white space does not.
 _PART = " \x01 "
 #: Letters that stay letters when normalised and lower-cased, then a comma or stop.
