@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodebar.llm import decontam, jaccard, langid, packing, quality
-from lodebar.llm.common import read_table, staged
+from lodebar.llm.common import read_table, small_batches, staged
 
 #: The packed sequences' tokenizer; a parameter of the packing operator.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -25,18 +25,21 @@ LEADING_SHARE = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language: those without a letter, or without a language for half of the text, go."""
+    small_batches(spark)
     judged = langid.predict(docs, langid.learn(docs))
     return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEADING_SHARE)).select(*docs.columns)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling towards the labelled good ones selects."""
+    small_batches(spark)
     judged = quality.resample(docs, read_table(spark, sf_dir, "labels"))
     return judged.where("keep").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest id."""
+    small_batches(spark)
     return jaccard.one_of_each(docs).select(*docs.columns)
 
 
@@ -48,6 +51,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of what is left, with their sequences and places."""
+    small_batches(spark)
     return packing.pack(docs, TOKENIZER)
 
 
