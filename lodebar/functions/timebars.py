@@ -21,8 +21,7 @@ def _unit(unit: str) -> str:
 
 def bar_end(ts: Column, unit: str = "minute") -> Column:
     """End of the bar that holds ``ts``."""
-    start = F.date_trunc(_unit(unit), ts).cast("timestamp_ntz")
-    return F.when(start == ts, start).otherwise(start + F.expr(f"INTERVAL 1 {unit}"))
+    return F.date_trunc(_unit(unit), ts - F.expr("INTERVAL 1 MICROSECOND")).cast("timestamp_ntz") + F.expr(f"INTERVAL 1 {unit}")
 
 
 def bar_start(end: Column, unit: str = "minute") -> Column:
@@ -41,9 +40,8 @@ def key_to_end(key: Column) -> Column:
 
 def parse_digits(value: Column) -> Column:
     """Instant of a 17-digit number yyyyMMddHHmmssSSS; null if it isn't one."""
-    text = value.cast("string")
-    dotted = F.concat(F.substring(text, 1, 14), F.lit("."), F.substring(text, 15, 3))
-    return F.try_to_timestamp(F.when(text.rlike(r"^\d{17}$"), dotted), F.lit("yyyyMMddHHmmss.SSS")).cast("timestamp_ntz")
+    dotted = F.regexp_replace(value.cast("string"), r"^(\d{14})(\d{3})$", "$1.$2")  # what isn't 17 digits gets no dot and doesn't parse
+    return F.try_to_timestamp(dotted, F.lit("yyyyMMddHHmmss.SSS")).cast("timestamp_ntz")
 
 
 def digits(ts: Column) -> Column:

@@ -59,7 +59,7 @@ INSTRUMENTS = Layout(
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """(line, file, position) of text files; a last line without a line feed counts."""
     read = spark.read.text(path).withColumnRenamed("value", "line")
-    return read.select(F.rtrim(F.lit("\r"), F.col("line")).alias("line"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("position"))
+    return read.select(F.rtrim(F.col("line"), F.lit("\r")).alias("line"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("position"))
 
 
 def _typed(layout: Layout, parts: Column) -> list[Column]:
@@ -77,20 +77,32 @@ def _typed(layout: Layout, parts: Column) -> list[Column]:
 
 def parsed(rows: DataFrame, layout: Layout) -> DataFrame:
     """``rows`` (line, ...) with the layout's columns and ``problem``: null for rows that are good."""
-    # one step after the other, so that Catalyst splits a line once and casts a field once
-    split = rows.select("*", F.split("line", ",").alias("__parts"))
-    typed = split.select(*rows.columns, F.size("__parts").alias("__n"), *_typed(layout, F.col("__parts")))
-    missing = F.greatest(*[F.col(name).isNull() for name, _, _ in layout.columns])
+    line = F.col("line")
+    field = lambda i: F.trim(F.substring_index(F.substring_index(line, ",", i + 1), ",", -1))
+    # all of it looks at the line only: conditions over every typed column would multiply in the optimizer's inferences
     problem = (
-        F.when(F.trim("line") == "", "empty")
-        .when(F.col("line").startswith("symbol,"), "header")
-        .when(~F.col("__n").between(layout.least, len(layout.columns)), "number of columns")
-        .when(F.col("symbol") == "", "no symbol")
-        .when(missing, "not a number")
+        F.when(F.trim(line) == "", "empty")
+        .when(line.startswith("symbol,"), "header")
+        .when(~F.size(F.split(line, ",")).between(layout.least, len(layout.columns)), "number of columns")
+        .when(field(0) == "", "no symbol")
+        .when(~line.rlike(pattern(layout)), "not a number")
     )
-    if any(name == "time" for name, _, _ in layout.columns):
-        problem = problem.when(~F.col("time").cast("string").rlike(r"^\d{17}$"), "time")
-    return typed.withColumn("problem", problem).drop("__n")
+    if layout.columns[1][0] == "time":
+        problem = problem.when(~field(1).rlike(r"^\d{17}$"), "time")
+    split = rows.select("*", problem.alias("problem"), F.split(line, ",").alias("__parts"))
+    return split.select(*rows.columns, *_typed(layout, F.col("__parts")), "problem")
+
+
+def pattern(layout: Layout) -> str:
+    """A regular expression for lines whose numbers are numbers of up to 18 digits."""
+    out = ""
+    for i, (_, kind, _) in reversed(list(enumerate(layout.columns))):
+        own = "[^,]*" if kind == "string" else r"\s*[+-]?\d{1,18}\s*"
+        if kind == "long" and layout.blank_takes_default:
+            own = rf"(?:{own}|\s*)"
+        own = ("," if i else "") + own + out
+        out = own if i < layout.least else f"(?:{own})?"
+    return f"^{out}$"
 
 
 def accepted(rows: DataFrame) -> DataFrame:
