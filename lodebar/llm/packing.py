@@ -52,6 +52,7 @@ class WordCachedTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
+        self.limit = CACHE_WORDS
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         (self.part,) = np.frombuffer(self._whole(_PART.strip()), np.uint32)
@@ -71,36 +72,47 @@ class WordCachedTokenizer:
             out += [raw[4 * i : 4 * j] for i, j in zip([0, *[c + 1 for c in cut]], [*cut, len(ids)], strict=True)]
         return out
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: set[str], special: bool) -> None:
+        """Codes words that aren't known yet. special: some may hold marks that mean something to the tokenizer or to us."""
         new = words.difference(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:
+        if len(self.known) + len(new) > self.limit:
             self.known, self.before, new = {}, self.known, words
-        for w in new.intersection(self.before):
-            self.known[w] = self.before[w]
-        plain, marked, odd = set(), [], []  # a word's letters and the comma or stop after them are coded apart anyway
-        for w in new.difference(self.known):
-            if "\x01" in w or "<|" in w:
-                odd.append(w)
-            elif w[-1] in ",." and _PLAIN(w):
-                core = w[:-1].lower() if w.isascii() else w[:-1]
-                marked.append((w, core))
-                plain.add(core)
-            elif w.isascii():
-                low = w.lower()
-                marked.append((w, low))
-                plain.add(low)
-            else:
-                plain.add(w)
-        first = list(plain.difference(self.known))
-        self.known.update(zip(first, self._encode(first), strict=True))
+        known, before = self.known, self.before
+        again = new.intersection(before)
+        known.update(zip(again, map(before.__getitem__, again), strict=True))
+        new = new - again
+        if special:
+            for w in [w for w in new if "\x01" in w or "<|" in w]:
+                known[w] = self._whole(w)
+                new.discard(w)
+        plain, lowered, marked = set(), [], []  # a word's letters and the comma or stop after them are coded apart anyway
+        for w in new:
+            if w[-1] in ",.":
+                core = w[:-1]
+                if core.isalpha() and core.isascii():
+                    core = core.lower()
+                    marked.append((w, core))
+                    plain.add(core)
+                    continue
+                if _PLAIN(w):
+                    marked.append((w, core))
+                    plain.add(core)
+                    continue
+            low = w.lower() if w.isascii() else w
+            plain.add(low)
+            if low != w:
+                lowered.append((w, low))
+        first = list(plain.difference(known))
+        known.update(zip(first, self._encode(first), strict=True))
+        for w, low in lowered:
+            known[w] = known[low]
         for w, core in marked:
-            self.known[w] = self.known[core] + self.marks[w[-1]] if len(core) < len(w) else self.known[core]
-        for w in odd:
-            self.known[w] = self._whole(w)
+            known[w] = known[core] + self.marks[w[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [t.split() for t in texts]
-        self._learn(set(itertools.chain.from_iterable(words)))
+        special = any("\x01" in t or "<|" in t for t in texts)
+        self._learn(set(itertools.chain.from_iterable(words)), special)
         out = [b"".join(map(self.known.__getitem__, w)) for w in words]
         for i, t in enumerate(texts):
             if any(c in t for c in _ODD):
@@ -117,12 +129,13 @@ def tokenizer(file: str) -> WordCachedTokenizer:
     return _tokenizers[file]
 
 
-def pieces(docs: DataFrame, tokenizer_file: str, length: int = 2048, end_id: int = 0) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_file: str, length: int = 2048, end_id: int = 0, table_words: int = CACHE_WORDS) -> DataFrame:
     """Each document's ids followed by ``end_id``, cut into pieces of at most ``length``."""
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(tokenizer_file)
+        coder.limit = table_words
         for whole in batches:
             for at in range(0, whole.num_rows, GROUP):
                 batch = whole.slice(at, GROUP)
@@ -210,13 +223,13 @@ def _packed(batches: Iterable[pa.RecordBatch], length: int, open_bins: int, base
         yield flush()
 
 
-def pack(docs: DataFrame, tokenizer_file: str, length: int = 2048, open_bins: int = 256, end_id: int = 0, per_task: int = 200_000) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_file: str, length: int = 2048, open_bins: int = 256, end_id: int = 0, per_task: int = 200_000, table_words: int = CACHE_WORDS) -> DataFrame:
     """Where each piece of each document goes: sequence_id and offset beside what ``pieces`` returns.
 
     Pieces are dealt by hash into evenly filled tasks, so no key is hot. Sequences that tasks leave open are packed
-    again, about ``per_task`` pieces to a task.
+    again, about ``per_task`` pieces to a task. table_words: words that a worker remembers; fewer take less memory and more time.
     """
-    cut = pieces(docs, tokenizer_file, length, end_id)
+    cut = pieces(docs, tokenizer_file, length, end_id, table_words)
     order = [F.xxhash64("doc_id", "piece"), F.col("doc_id"), F.col("piece")]
     dealt = cut.repartition(order[0]).sortWithinPartitions(*order)
     first = staged(dealt.mapInArrow(lambda b: _packed(b, length, open_bins, 0, False), PLACED), "packed")
