@@ -19,6 +19,9 @@ from lodebar.llm.common import read_table, small_batches, staged
 #: The packed sequences' tokenizer; a parameter of the packing operator.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
+#: Words that a packing worker remembers: few, as the workers of all stages share an executor's memory.
+TABLE_WORDS = 100_000
+
 #: Shares below this have no leading language; such documents are rejected.
 LEADING_SHARE = 0.5
 
@@ -52,7 +55,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of what is left, with their sequences and places."""
     small_batches(spark)
-    return packing.pack(docs, TOKENIZER)
+    return packing.pack(docs, TOKENIZER, table_words=TABLE_WORDS)
 
 
 STAGES = [
