@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodebar.llm.common import staged, without
-from lodebar.llm.html_text import MAIN, NEUTRAL, NOISE, Block, hashed, read
+from lodebar.llm.html_text import MAIN, NEUTRAL, REGAINED, Block, hashed, read
 from lodebar.llm.url_filter import split_url
 
 #: Share of a host's pages that a token must be in.
@@ -92,10 +92,10 @@ def templates(pages: DataFrame) -> DataFrame:
 
 def main_text(page: str | None, tags: set[int], constants: set[int]) -> tuple[str, int]:
     """The text of a page's main slots, and how many slots it comes from."""
-    blocks = [b for b in read(page)[0] if _label(b) != NOISE]
-    chosen = [b for b in blocks if _label(b) == MAIN]
+    blocks = read(page)[0]
+    chosen = [b for b in blocks if _label(b) == MAIN] or [b for b in blocks if _label(b) == REGAINED]
     if not chosen:
-        chosen = [b for b in blocks if hashed(_place(b), b.text) not in constants]
+        chosen = [b for b in blocks if _label(b) == NEUTRAL and hashed(_place(b), b.text) not in constants]
     slots = {next((e.path for e in reversed(b.around) if e.path in tags), 0) for b in chosen}
     return "\n".join(b.text for b in chosen), len(slots)
 

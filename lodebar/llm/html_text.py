@@ -7,14 +7,16 @@ import html
 import re
 from dataclasses import dataclass
 
-NEUTRAL, MAIN, NOISE = 0, 1, 2
+#: What an element is by its meaning. Nothing in NOISE is read. DOUBT is what only a word of a class or id calls noise, FORM
+#: is in a form, and REGAINED is an article inside of either.
+NEUTRAL, MAIN, NOISE, DOUBT, FORM, REGAINED = range(6)
 
 # Element names of the HTML standard by what they mean here, and words that classes and ids use for parts
 # of a page.
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter output progress q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input keygen link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math object canvas audio video".split())
-_NOISE_NAMES = frozenset("nav footer aside form menu dialog button select optgroup option datalist fieldset legend head map".split()) | _RAW
+_NOISE_NAMES = frozenset("nav footer aside menu dialog button select optgroup option datalist fieldset legend head map".split()) | _RAW
 _NOISE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form".split())
 _NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies"
@@ -22,6 +24,10 @@ _NOISE_WORDS = frozenset(
     " pager pagination popup promo promoted promotion recommended related replies reply respond search share sharebar sharing sidebar signup skip"
     " social sponsor sponsored subscribe toolbar topbar widget".split()
 )
+# Noise even around an article: readers' articles.
+_COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond".split())
+# A name with one of these says what the page has, not what the element is: has-sidebar, comment-open.
+_STATE_WORDS = frozenset("closed disabled enabled has no off on open with without".split())
 _MAIN_WORDS = frozenset("article articlebody content entry main maincontent post story storybody".split())
 _CLOSES_ITSELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
@@ -42,6 +48,7 @@ class Element:
     path: int
     label: int
     block: bool
+    inside: bool = False  # of a main element, or one itself
 
 
 ROOT = Element("", 0, NEUTRAL, True)
@@ -57,18 +64,32 @@ def _opened(parent: Element, name: str, attributes: str) -> Element:
     marks = _words(found.get("class", "") + " " + found.get("id", ""))
     role = found.get("role", "").lower()
     hidden = "hidden" in found or found.get("aria-hidden", "") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
-    noise_words = _NOISE_WORDS.intersection(marks)
-    is_main = name in ("article", "main") or role == "main" or (name in ("div", "section", "td") and bool(_MAIN_WORDS.intersection(marks)))
+    named = [set(_words(n)) for n in (found.get("class", "") + " " + found.get("id", "")).split()]
+    own = set().union(*(n for n in named if not n & _STATE_WORDS))
+    noise_words = _NOISE_WORDS & own
+    whole_page = name == "main" or role == "main"
+    main_word = bool(_MAIN_WORDS.intersection(marks))
+    main_id = bool(found.get("id")) and set(_words(found["id"])) <= _MAIN_WORDS and found["id"].replace("-", "").replace("_", "").isalpha()
+    is_main = name == "article" or whole_page or (name in ("div", "section", "td") and main_word)
+    if whole_page or main_id or (name == "article" and main_word) or name in ("html", "body"):
+        noise_words = frozenset()
     label = parent.label
-    if name in _NOISE_NAMES or role in _NOISE_ROLES or hidden or (noise_words and name not in ("html", "body")):
+    if label == NOISE or name in _NOISE_NAMES or (role in _NOISE_ROLES and role != "form") or hidden or noise_words & _COMMENT_WORDS:
         label = NOISE
-    elif name == "header" and label != MAIN:
+    elif label == MAIN and noise_words and noise_words <= {"header"}:
+        pass  # an article's own header
+    elif noise_words:
+        label = NOISE if name in _INLINE else DOUBT
+    elif name == "header" and label not in (MAIN, REGAINED):
         label = NOISE
-    elif is_main and (label != NOISE or parent.name == "form"):
+    elif whole_page or (is_main and label in (NEUTRAL, FORM)):
         label = MAIN
-    if label == NOISE and parent.label == MAIN and noise_words and noise_words <= {"header"} and name not in _NOISE_NAMES:
-        label = MAIN  # an article's own header
-    return Element(name, hashed(parent.path, name, sorted(set(marks))), label, name not in _INLINE)
+    elif name == "article" and label == DOUBT and not parent.inside:
+        label = REGAINED
+    elif (name == "form" or role == "form") and label != DOUBT:
+        label = DOUBT if label in (MAIN, REGAINED) else FORM
+    inside = parent.inside or label in (MAIN, REGAINED)
+    return Element(name, hashed(parent.path, name, sorted(set(marks))), label, name not in _INLINE, inside)
 
 
 _seen: dict[tuple[Element, str, str], Element] = {}

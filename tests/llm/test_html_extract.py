@@ -105,3 +105,24 @@ def test_brute_force_classes(spark):
         vectors.setdefault(tuple(c.get(path, (0, 0))[1] for c in counts), []).append(path)
     want = {p for v, paths in vectors.items() if len(paths) >= 2 and sum(n > 0 for n in v) >= he.MIN_SUPPORT * len(counts) for p in paths}
     assert tags == want
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<div class='page has-sidebar'><article><p>x</p></article></div>", "x"),
+        ("<div class='sidebar-left'><article><p>x</p><div class='share'>tweet</div></article></div>", "x"),
+        ("<div id='main' class='with-sidebar'><p>x</p></div>", "x"),
+        ("<div id='main' class='sidebar-left'><p>x</p></div>", "x"),
+        ("<article class='post comment-open'><p>x</p></article>", "x"),
+        ("<section class='related-layout'><main><p>x</p></main></section>", "x"),
+        ("<form><div><article><p>x</p></article></div><input type=submit></form>", "x"),
+        ("<form><div><div id=content><p>x</p></div></div></form>", "x"),
+        ("<article><p>x</p><form><p>mail</p></form><div class='related'><article>y</article></div></article>", "x"),
+        ("<div class='related'><article>y</article></div><article>x</article>", "x"),
+        ("<aside class='wide'><article>y</article></aside><div class='comments'><article>z</article></div><p>x</p>", "x"),
+        ("<article class='comment'>y</article><p>x</p>", "x"),
+    ],
+)
+def test_a_word_on_a_wrapper_does_not_swallow_the_article_below(html, text):
+    assert he.main_text(html, set(), set())[0] == text
