@@ -10,9 +10,15 @@ Vectors are never built: every page sends a hash of itself and the count for eac
 exclusive or, before and after the shuffle, so a host with a third of all pages is no hot group. A host's template has at
 most (tokens of a page) / MIN_SUPPORT tokens; it is broadcast up to BROADCAST_HOSTS hosts and joined beyond.
 
-A page's text is that of its main slots (in ``article``, ``main`` or what is named like them). A page without any has the
-text of its other slots, less constant texts of the template. Menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles, hidden parts and reader comments are in no slot, by the meaning of their elements, classes and ids.
+Constant texts of the template are in no slot, wherever they stand. Of the slots that a page fills, names only choose the
+rank: its text is that of slots in ``article``, ``main`` or what is named like them; without any, of articles inside of what
+a class calls noise; then of slots without a name; then of template elements that a class calls noise or that are in a
+form. The last rank needs a template and a page without any main element. A page of a host with fewer than MIN_PAGES pages
+goes by names alone; one with a main element whose texts are all constant, and with no other slot filled, too. Menus, footers, asides,
+scripts, styles, hidden parts and reader comments are in no slot, by the meaning of their elements.
+
+A text is constant if it is in a valid class, in MIN_PAGES pages and in MIN_SUPPORT of the host's, or MAIN_SUPPORT where
+names call it main, so that a few copies of one article do not make it a template.
 
 Blocks: character references decoded, white space turned into one space (``br`` too), trimmed, joined by a line feed.
 
@@ -39,8 +45,10 @@ from lodebar.llm.url_filter import split_url
 
 #: Share of a host's pages that a token must be in.
 MIN_SUPPORT = 0.3
-#: Pages from which on a host's constant texts are told from data.
+#: Pages that a constant text must be in.
 MIN_PAGES = 3
+#: Share of a host's pages that a text in a main element must be in to be constant.
+MAIN_SUPPORT = 0.6
 BROADCAST_HOSTS = 200_000
 
 _PAGE, _TAG, _TEXT = 0, 1, 2
@@ -64,8 +72,8 @@ def tokens(pages: DataFrame) -> DataFrame:
                 blocks, counts = read(page)
                 out.append((host, _PAGE, 0, NEUTRAL, 1, hash((key, 1))))
                 out += [(host, _TAG, path, label, n, hash((key, n))) for path, (label, n) in counts.items()]
-                constant = Counter(hashed(_place(b), b.text) for b in blocks if _label(b) == NEUTRAL)
-                out += [(host, _TEXT, t, NEUTRAL, n, hash((key, n))) for t, n in constant.items()]
+                constant = Counter((hashed(_place(b), b.text), _label(b)) for b in blocks)
+                out += [(host, _TEXT, t, label, n, hash((key, n))) for (t, label), n in constant.items()]
             kinds = [pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["host", "kind", "token", "label", "n", "page"])
@@ -79,23 +87,29 @@ def templates(pages: DataFrame) -> DataFrame:
     vectors = tokens(pages).groupBy("host", "kind", "token").agg(
         F.max("label").alias("label"), F.count("*").alias("pages"), F.sum("n").alias("total"), F.bit_xor("page").alias("vector")
     )
-    vectors = staged(vectors, "html-vectors")
+    vectors = staged(vectors.where((F.col("kind") != _TEXT) | (F.col("pages") >= MIN_PAGES)), "html-vectors")
     hosts = vectors.where(F.col("kind") == _PAGE).select("host", F.col("pages").alias("host_pages"))
-    common = vectors.where(F.col("kind") != _PAGE).join(hosts, "host").where(F.col("pages") >= F.col("host_pages") * MIN_SUPPORT)
+    named = (F.col("kind") == _TEXT) & F.col("label").isin(MAIN, REGAINED)
+    support = F.when(named, MAIN_SUPPORT).otherwise(MIN_SUPPORT)
+    common = vectors.where(F.col("kind") != _PAGE).join(hosts, "host").where(F.col("pages") >= F.col("host_pages") * support)
     same = ["host", "vector", "pages", "total"]
     valid = common.groupBy(*same).agg(F.count("*").alias("size")).where("size >= 2").select(*same)
     members = common.join(valid, same, "left_semi")
     tag = F.when(F.col("kind") == _TAG, F.col("token"))
-    text = F.when((F.col("kind") == _TEXT) & (F.col("host_pages") >= MIN_PAGES), F.col("token"))
-    return staged(members.groupBy("host").agg(F.collect_list(tag).alias("tags"), F.collect_list(text).alias("constants")), "html-templates")
-
-
-def main_text(page: str | None, tags: set[int], constants: set[int]) -> tuple[str, int]:
-    """The text of a page's main slots, and how many slots it comes from."""
-    blocks = read(page)[0]
-    chosen = [b for b in blocks if _label(b) == MAIN] or [b for b in blocks if _label(b) == REGAINED]
-    if not chosen:
-        chosen = [b for b in blocks if _label(b) == NEUTRAL and hashed(_place(b), b.text) not in constants]
+    text = F.when(F.col("kind") == _TEXT, F.col("token"))
+    lists = members.groupBy("host", "host_pages").agg(F.collect_list(tag).alias("tags"), F.collect_list(text).alias("constants"))
+    return staged(lists, "html-templates")
+
+
+def main_text(page: str | None, tags: set[int], constants: set[int], pages: int = 1) -> tuple[str, int]:
+    """The text of a page's main slots, and how many slots it comes from; ``pages``: of its host."""
+    blocks, counts = read(page)
+    filled = [b for b in blocks if hashed(_place(b), b.text) not in constants] if constants else blocks
+    chosen = next((c for rank in (MAIN, REGAINED, NEUTRAL) if (c := [b for b in filled if _label(b) == rank])), [])
+    if not chosen and pages >= MIN_PAGES:
+        chosen = [b for b in blocks if _label(b) == MAIN]
+        if not any(label in (MAIN, REGAINED) for label, _ in counts.values()):
+            chosen = [b for b in filled if b.around and b.around[-1].path in tags]
     slots = {next((e.path for e in reversed(b.around) if e.path in tags), 0) for b in chosen}
     return "\n".join(b.text for b in chosen), len(slots)
 
@@ -105,17 +119,17 @@ def extract(pages: DataFrame) -> DataFrame:
     template = templates(pages)
     if template.count() <= BROADCAST_HOSTS:
         template = F.broadcast(template)
-    template = template.select(F.col("host").alias("__host"), F.col("tags").alias("__tags"), F.col("constants").alias("__constants"))
+    template = template.select(F.col("host").alias("__host"), F.col("tags").alias("__tags"), F.col("constants").alias("__constants"), F.col("host_pages").alias("__pages"))
     kind = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType()), T.StructField("n_slots", T.IntegerType())])
 
     @F.pandas_udf(kind)
-    def of(page: pd.Series, tags: pd.Series, constants: pd.Series) -> pd.DataFrame:
+    def of(page: pd.Series, tags: pd.Series, constants: pd.Series, pages: pd.Series) -> pd.DataFrame:
         rows = []
-        for h, t, c in zip(page, tags, constants, strict=True):
-            text, slots = main_text(h, set() if t is None else set(t), set() if c is None else set(c))
+        for h, t, c, n in zip(page, tags, constants, pages, strict=True):
+            text, slots = main_text(h, set() if t is None else set(t), set() if c is None else set(c), n)
             rows.append((text, len(text), slots))
         return pd.DataFrame(rows, columns=kind.names)
 
     joined = pages.withColumn("__host", split_url("url")[0]).join(template, "__host", "left")
-    done = joined.withColumn("__out", of("html", "__tags", "__constants"))
-    return without(done, *kind.names, "__host", "__tags", "__constants").select("*", "__out.*").drop("__out")
+    done = joined.withColumn("__out", of("html", "__tags", "__constants", F.coalesce("__pages", F.lit(1))))
+    return without(done, *kind.names, "__host", "__tags", "__constants", "__pages").select("*", "__out.*").drop("__out")

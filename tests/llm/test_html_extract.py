@@ -126,3 +126,24 @@ def test_brute_force_classes(spark):
 )
 def test_a_word_on_a_wrapper_does_not_swallow_the_article_below(html, text):
     assert he.main_text(html, set(), set())[0] == text
+
+
+def test_the_template_decides_before_names(spark):
+    """Constants inside of an article go, data outside of it stays, whatever the names say."""
+    share = "<div class=box><p>Read all about us</p></div>"
+    inside = lambda i: f"<article><p>story {i}</p>{share}</article><p>All prices in euro</p>"
+    outside = lambda i: f"<main><p>Welcome</p>{share}</main><div class=y><p>tale {i}</p></div>"
+    widget = lambda i: f"<nav>menu</nav><div class=widget><p>note {i}</p></div><div class=sidebar><p>Links</p></div>"
+    copies = lambda i: f"<article><p>{'same' if i < 3 else i}</p></article>"
+    rows = [(i, f"http://{host}/{i}", page(i)) for host, page in (("in", inside), ("out", outside), ("widget", widget), ("copies", copies)) for i in range(6)]
+    rows.append((9, "http://widget/9", "<article></article><div class=widget><p>note 9</p></div>"))
+    rows += [(0, "http://few/0", inside(0)), (1, "http://few/1", inside(1))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.url: r.text for r in he.extract(df).collect()}
+    for i in range(6):
+        assert got[f"http://in/{i}"] == f"story {i}"
+        assert got[f"http://out/{i}"] == f"tale {i}"
+        assert got[f"http://widget/{i}"] == f"note {i}"
+        assert got[f"http://copies/{i}"] == ("same" if i < 3 else str(i))
+    assert got["http://widget/9"] == ""
+    assert got["http://few/1"] == "story 1\nRead all about us"  # two pages are no template
