@@ -2,12 +2,16 @@
 
 Test items are indexed: every term has postings in item order, in blocks with the largest impact of each. A training text
 is cut into overlapping passages at least twice as long as the longest item, so that each place is whole in one of them.
-Every passage is a query. An impact is a term's BM25 weight in an item over the item's score for its own text, so a score
-says how much of an item a passage holds, and all items above a threshold are retrieved, however many:
-
-* the sums of block maxima over a passage's distinct terms bound its scores; where a block of items allows one, its
-  items' own impacts are summed; passages that these rule out, which are nearly all, are done;
-* for the others the postings are merged with block-max WAND (Ding and Suel, 2011): a pivot is the first item that the
+Every passage is a query. An item has two entries, its question and its whole text. An entry needs ``threshold`` of its
+BM25 score for its own text, or less where a passage with ``least`` of its n-grams can have less: a term's weight is spread
+over the n-grams it is in, so the lightest n-grams that make up ``least`` bound the score of any passage with that share
+from below. Retrieval so loses nothing that verification would accept. An impact is a term's weight over what its entry
+needs, and all entries that a passage's terms lift to 1 are retrieved, however many:
+
+* passages in which no n-gram of any item begins are done: nothing in them could be verified;
+* the sums of block maxima over a passage's distinct terms bound its scores; where a block of entries allows one, its
+  entries' own impacts are summed; passages that these rule out, which are nearly all, are done;
+* for the others the postings are merged with block-max WAND (Ding and Suel, 2011): a pivot is the first entry that the
   lists up to it can lift over the threshold; its blocks' maxima decide whether it is scored or the blocks are skipped.
 
 A retrieved item is then verified: the share of its word n-grams in the passage, those of the question and those that
@@ -41,8 +45,8 @@ from lodebar.llm.words import mix, word_hashes
 K1, B = 1.2, 0.75
 #: Postings to a block, and items to a block of the bounds that are checked first.
 BLOCK, SPAN = 32, 8
-#: Items in one index. Its table of bounds has a row for each term: 100 MB with thirty terms an item that no other has.
-MAX_ITEMS = 1_000
+#: Items in one index. Its table of bounds has a row for each term: 120 MB with thirty terms an item that no other has.
+MAX_ITEMS = 700
 #: Rows that are summed together when bounds are checked.
 ROWS = 1 << 19
 
@@ -70,10 +74,23 @@ def question_words(text: str) -> int:
     return at if at > 0 else len(lines) * 3 // 4
 
 
+def _least_score(terms: np.ndarray, weights: dict[int, float], n: int, least: float) -> float:
+    """A lower bound of the score of any passage that has ``least`` of the distinct n-grams of ``terms``.
+
+    Each term's weight is dealt out evenly to the distinct n-grams that it is in. Those that a passage has are dealt no more
+    than the weights of their terms, all of which the passage has, and no less than as many of the lightest.
+    """
+    n = min(n, len(terms))
+    inside = [set(g) for g in {tuple(terms[i : i + n].tolist()) for i in range(len(terms) - n + 1)}]
+    shared = Counter(t for g in inside for t in g)
+    dealt = sorted(sum(weights[t] / shared[t] for t in g) for g in inside)
+    return sum(dealt[: max(1, math.ceil(least * len(dealt) - 1e-9))]) * (1 - 1e-9)
+
+
 class Index:
-    """Postings of test items with block maxima."""
+    """Postings of the entries of test items, their questions and whole texts, with block maxima."""
 
-    def __init__(self, items: list[tuple[int, str]], n: int = 5) -> None:
+    def __init__(self, items: list[tuple[int, str]], n: int = 5, threshold: float = 0.45, least: float = 0.6) -> None:
         kept = []
         for item_id, text in items:
             ((_, words, at),) = word_hashes([text[: question_words(text)], text], letters=True)
@@ -83,40 +100,53 @@ class Index:
         self.ids = [k[0] for k in kept]
         self.longest = max((len(k[1]) for k in kept), default=1)
         self.vocabulary = np.unique(np.concatenate([k[1] for k in kept])) if kept else np.zeros(0, np.uint64)
-        counts = [Counter(np.searchsorted(self.vocabulary, k[1]).tolist()) for k in kept]
+        self.question, self.answer, self.whole = [], [], []
+        for _, words, q in kept:
+            g = grams(words, n)
+            inside = max(0, min(len(g), q - n + 1))
+            self.question.append(np.unique(g[:inside]))
+            self.answer.append(np.unique(g[inside:]))
+            self.whole.append(np.unique(g))
+        self.lengths = sorted({min(n, len(k[1])) for k in kept})
+        self.grams = np.unique(np.concatenate(self.whole)) if kept else np.zeros(0, np.uint64)
+        numbers = [np.searchsorted(self.vocabulary, k[1]) for k in kept]
+        counts = [Counter(t.tolist()) for t in numbers]
         found = Counter(t for c in counts for t in c)
         mean = sum(len(k[1]) for k in kept) / max(1, len(kept))
         idf = {t: math.log(1 + (len(kept) - f + 0.5) / (f + 0.5)) for t, f in found.items()}
         postings: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
-        for item, (c, (_, words, _)) in enumerate(zip(counts, kept, strict=True)):
-            weights = {t: idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean)) for t, tf in c.items()}
+        self.entries: list[int] = []  # the item of each
+        self.shares: list[tuple[np.ndarray, np.ndarray]] = []  # each item's terms, and their weights over its own score
+        for item, ((_, words, q), terms) in enumerate(zip(kept, numbers, strict=True)):
+            weights = {t: idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean)) for t, tf in counts[item].items()}
             own = sum(weights.values())
-            for t, w in weights.items():
-                postings[t].append((item, w / own))
+            self.shares.append((self.vocabulary[list(weights)], np.array(list(weights.values())) / own))
+            for part, parts in ((terms[:q], len(self.question[item])), (terms, -1)):
+                if not parts or (parts > 0 and q == len(words)):
+                    continue  # no question to verify, or the question is the whole
+                part_own = sum(weights[t] for t in set(part.tolist()))
+                needed = min(threshold * part_own, _least_score(part, weights, n, least))
+                for t in set(part.tolist()):
+                    postings[t].append((len(self.entries), weights[t] / needed))
+                self.entries.append(item)
         self.items = [[i for i, _ in p] for p in postings]
         self.impacts = [[w for _, w in p] for p in postings]
         self.most = [max(w) for w in self.impacts]
         self.block_most = [[max(w[k : k + BLOCK]) for k in range(0, len(w), BLOCK)] for w in self.impacts]
         self.block_last = [[i[min(k + BLOCK, len(i)) - 1] for k in range(0, len(i), BLOCK)] for i in self.items]
-        self.single = np.zeros((len(self.vocabulary), max(1, -(-len(kept) // SPAN)), SPAN), np.float32)
+        self.single = np.zeros((len(self.vocabulary), max(1, -(-len(self.entries) // SPAN)), SPAN), np.float32)
         for t, p in enumerate(postings):
             for i, w in p:
                 self.single[t, i // SPAN, i % SPAN] = w
         self.single *= np.float32(1 + 1e-5)  # rounded up: sums in single precision stay bounds
         self.bounds = self.single.max(axis=2)
-        self.question, self.answer = [], []
-        for _, words, q in kept:
-            g = grams(words, n)
-            inside = max(0, min(len(g), q - n + 1))
-            self.question.append(np.unique(g[:inside]))
-            self.answer.append(np.unique(g[inside:]))
 
     def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """All items whose impacts of ``terms`` (distinct) sum to the threshold or more, by block-max WAND."""
+        """All entries whose impacts of ``terms`` (distinct) sum to the threshold or more, by block-max WAND."""
         items, impacts, out = self.items, self.impacts, []
         heap = [(items[t][0], t, 0) for t in terms]  # each list's present item, and its place
         heapq.heapify(heap)
-        end = len(self.ids)
+        end = len(self.entries)
         while heap:
             ahead: list[tuple[int, int, int]] = []
             reach = 0.0
@@ -164,9 +194,13 @@ class Index:
 
     def overlap(self, item: int, found: np.ndarray) -> tuple[float, float, float]:
         """Shares of an item's question, answer and whole among a passage's n-grams."""
-        q, a = (np.isin(part, found).sum() for part in (self.question[item], self.answer[item]))
-        nq, na = len(self.question[item]), len(self.answer[item])
-        return q / nq if nq else 0.0, a / na if na else 0.0, (q + a) / (nq + na)
+        q, a, both = (np.isin(part, found).mean() if len(part) else 0.0 for part in (self.question[item], self.answer[item], self.whole[item]))
+        return float(q), float(a), float(both)
+
+    def score(self, item: int, words: np.ndarray) -> float:
+        """A passage's BM25 score for an item, over the item's score for its own text."""
+        terms, shares = self.shares[item]
+        return float(shares[np.isin(terms, words)].sum())
 
     def _allowed(self, term: np.ndarray, start_at: np.ndarray, end_at: np.ndarray, passage: np.ndarray, span: np.ndarray, threshold: float) -> np.ndarray:
         """Of passages and the spans that may hold something for them, the passages for which an item of the span may do."""
@@ -182,8 +216,20 @@ class Index:
                 out.append(p[sums.max(axis=1) >= threshold - 1e-6])
         return np.unique(np.concatenate(out))
 
-    def passages(self, hashes: np.ndarray, offsets: np.ndarray, threshold: float) -> tuple[np.ndarray, list[tuple[int, int, int, int, float]]]:
-        """Passages of each text, and (text, first word, end, item, score) of all that is retrieved."""
+    def _holding(self, hashes: np.ndarray, offsets: np.ndarray, first: np.ndarray, half: int, halves: int) -> np.ndarray:
+        """Halves in which an n-gram of any item begins; a passage without one has nothing to verify."""
+        out = np.zeros(halves, bool)
+        for n in self.lengths:
+            if len(hashes) >= n:
+                own = grams(hashes, n)
+                at = np.minimum(np.searchsorted(self.grams, own), len(self.grams) - 1)
+                begin = np.flatnonzero(self.grams[at] == own)
+                text = np.searchsorted(offsets, begin, side="right") - 1
+                out[first[text] + (begin - offsets[text]) // half] = True
+        return out
+
+    def passages(self, hashes: np.ndarray, offsets: np.ndarray, threshold: float = 1.0) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
+        """Passages of each text, and (text, first word, end, item) of all that is retrieved."""
         half = self.longest
         words = np.diff(offsets)
         halves = np.maximum(1, -(-words // half))
@@ -194,6 +240,7 @@ class Index:
             return count, []
         text = np.repeat(np.arange(len(words)), words)[known]
         first = np.cumsum(halves) - halves
+        holds = self._holding(hashes, offsets, first, half, int(halves.sum()))
         place = first[text] + (known - offsets[text]) // half
         pairs = np.unique(place * len(self.vocabulary) + at[known])
         place, term = np.divmod(pairs, len(self.vocabulary))
@@ -206,6 +253,7 @@ class Index:
         both[:-1][~last_half[:-1]] += most[1:][~last_half[:-1]]
         # a passage is two neighbouring halves of a text; the last half alone only where a text has no other
         begins = ~last_half | np.repeat(halves == 1, halves)
+        begins &= holds | np.concatenate((holds[1:], [False]))
         owner = np.repeat(np.arange(len(words)), halves)
         start_at = edge[:-1]
         end_at = np.where(last_half, edge[1:], np.concatenate((edge[2:], edge[-1:])))
@@ -216,32 +264,32 @@ class Index:
                 t = int(owner[h])
                 start = int(offsets[t] + (h - first[t]) * half)
                 end = min(int(offsets[t + 1]), start + 2 * half)
-                out += [(t, start, end, item, score) for item, score in found]
+                out += [(t, start, end, item) for item in sorted({self.entries[e] for e, _ in found})]
         return count, out
 
 
 JUDGED = "n_passages int, contaminated boolean, leaks array<struct<item_id: bigint, bm25: double, question: double, answer: double, overlap: double>>"
 
 
-def judge(texts: pd.Series, index: Index, threshold: float, least: float) -> pd.DataFrame:
+def judge(texts: pd.Series, index: Index, least: float) -> pd.DataFrame:
     whole = texts.tolist()
     passages, leaks = np.ones(len(whole), np.int32), [{} for _ in whole]
     for first, hashes, offsets in word_hashes(whole, letters=True):
-        count, found = index.passages(hashes, offsets, threshold)
+        count, found = index.passages(hashes, offsets)
         passages[first : first + len(count)] = count
-        for t, start, end, item, score in found:
+        for t, start, end, item in found:
             q, a, both = index.overlap(item, grams(hashes[start:end], index.n))
             if q >= least or both >= least:
                 best = leaks[first + t].get(index.ids[item])
                 if best is None or both > best["overlap"]:
-                    leaks[first + t][index.ids[item]] = {"item_id": index.ids[item], "bm25": score, "question": q, "answer": a, "overlap": both}
+                    leaks[first + t][index.ids[item]] = {"item_id": index.ids[item], "bm25": index.score(item, hashes[start:end]), "question": q, "answer": a, "overlap": both}
     return pd.DataFrame({"n_passages": passages, "contaminated": [bool(x) for x in leaks], "leaks": [[x[i] for i in sorted(x)] for x in leaks]})
 
 
-def _verdict(index: Broadcast, threshold: float, least: float):  # noqa: ANN202
+def _verdict(index: Broadcast, least: float):  # noqa: ANN202
     @F.pandas_udf(JUDGED)
     def verdict(texts: pd.Series) -> pd.DataFrame:
-        return judge(texts, index.value, threshold, least)
+        return judge(texts, index.value, least)
 
     return verdict
 
@@ -254,10 +302,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = 0.45, le
     judged, names = docs, []
     for k in range(passes):
         own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).orderBy("item_id", "text").collect()
-        shared = docs.sparkSession.sparkContext.broadcast(Index([(r[0], r[1]) for r in own], n))
-
+        shared = docs.sparkSession.sparkContext.broadcast(Index([(r[0], r[1]) for r in own], n, threshold, least))
         names.append(f"__judged_{k}")
-        judged = judged.withColumn(names[-1], _verdict(shared, threshold, least)("text"))
+        judged = judged.withColumn(names[-1], _verdict(shared, least)("text"))
     out: list[Column] = [
         F.greatest(*[F.col(f"{n}.n_passages") for n in names], F.lit(0)).alias("n_passages"),
         F.greatest(*[F.col(f"{n}.contaminated") for n in names], F.lit(False)).alias("contaminated"),

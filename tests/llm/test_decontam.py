@@ -93,3 +93,36 @@ def test_short_items_and_grams():
     index = decontam.Index([(1, "hi there"), (2, "?!"), (3, "a b c d e f")])
     assert index.ids == [1, 3] and len(index.question[1]) + len(index.answer[1]) == 2
     assert len(decontam.grams(np.zeros(0, np.uint64), 5)) == 0
+
+
+def brute_by_rule(docs, items, least=0.6, n=5):
+    """Texts with ``least`` of the n-grams of an item's question or of the whole item."""
+    shingles = lambda w: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+    out = {}
+    for d, text in docs:
+        own = shingles(plain(text))
+        for i, t in items:
+            for part in (t, t[: decontam.question_words(t)]):
+                g = shingles(plain(part))
+                if g and len(own & g) >= least * len(g):
+                    out.setdefault(d, set()).add(i)
+    return out
+
+
+def test_all_that_verification_accepts_is_retrieved(spark):
+    rng = random.Random(4)
+    word = lambda: rng.choice(["the", "of", "in"]) if rng.random() < 0.4 else f"t{rng.randrange(900)}"
+    words = lambda k: " ".join(word() for _ in range(k))
+    rare = lambda k: " ".join(f"r{rng.randrange(10**9)}" for _ in range(k))
+    # long answers, short answers, and rare words in one half only
+    items = [(i, {0: words(12) + "\n" + rare(40), 1: words(30) + "\n" + words(4), 2: words(20) + " " + rare(12) + "\n" + words(3)}[i % 3]) for i in range(90)]
+    docs = []
+    for i, t in items:
+        q = t[: decontam.question_words(t)].split()
+        docs.append((len(docs), rare(15) + " " + " ".join(q) + " " + rare(15)))  # the question alone
+        docs.append((len(docs), rare(15) + " " + " ".join(q[: -(-len(q) * 7 // 10)]) + " " + rare(15)))  # most of it
+        docs.append((len(docs), rare(15) + " " + " ".join(t.split()[: -(-len(t.split()) * 2 // 3)]) + " " + rare(15)))
+    want = brute_by_rule(docs, items)
+    got = decontam.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: {x.item_id for x in r.leaks} for r in got if r.contaminated} == want
+    assert len(want) > 150
