@@ -1,9 +1,10 @@
 """Near-duplicate vectors by cosine: an HNSW graph per shard, every shard queried, pairs verified, components united.
 
 Equal vectors are one class. Classes are dealt by hash into shards, as many as there are or as MAX_SHARD asks for; each
-task builds one shard's graph. Every class then queries every shard, in blocks. A pair counts only if its cosine in
-double precision reaches the bound. A block reports how many vectors each class links to, and only as many links as it
-takes to join what it has found linked, so the size of its answer doesn't grow with the pairs.
+task builds one shard's graph. Every class then queries every shard, in blocks of BLOCK_QUERIES or so. A pair counts only
+if its cosine in double precision reaches the bound. Pairs are taken a batch at a time, added to counts and united, and
+dropped. A block reports how many vectors each class links to, and for each class linked with others a link to one of them,
+so neither its memory nor its answer grows with the pairs.
 
 Defined results: vectors that are null, empty, zero, or hold nulls or values that aren't finite link with nothing; so do
 vectors of different lengths with each other. Such a row has 0 links and is its own component. A null id never names a
@@ -19,10 +20,12 @@ from pyspark.sql import functions as F
 
 from lodebar.llm.common import staged
 from lodebar.llm.components import components
-from lodebar.llm.hnsw import Graph, normalised, within
+from lodebar.llm.hnsw import Graph, near_pairs, normalised
 
 #: Vectors in a shard at most; with 64 dimensions such a shard takes about 400 MB.
 MAX_SHARD = 400_000
+#: Classes that query a shard in one task; their vectors of 64 dimensions take about 200 MB at most.
+BLOCK_QUERIES = 100_000
 #: Classes whose results are broadcast to their rows; more are joined by a shuffle.
 BROADCAST_CLASSES = 1_000_000
 
@@ -48,6 +51,20 @@ def _build(rows: pa.Table) -> pa.Table:
     )
 
 
+def united(root: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """``root`` (the lowest node known to be linked with each node) after linking nodes ``p`` with nodes ``q``."""
+    while True:
+        u, v = root[p], root[q]
+        apart = u != v
+        if not apart.any():
+            return root
+        p, q, u, v = p[apart], q[apart], u[apart], v[apart]
+        root = root.copy()
+        np.minimum.at(root, np.maximum(u, v), np.minimum(u, v))
+        while (root[root] != root).any():
+            root = root[root]
+
+
 def _query(least: float):  # noqa: ANN202
     def query(rows: pa.Table, shard: pa.Table) -> pa.Table:
         empty = pa.table({"class": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
@@ -56,28 +73,17 @@ def _query(least: float):  # noqa: ANN202
         graph = Graph.loaded(shard.column("graph")[0].as_py())
         theirs, copies = (np.frombuffer(shard.column(c)[0].as_py(), np.int64) for c in ("classes", "copies"))
         own = rows.column("class").to_numpy()
-        i, j = within(graph, normalised(_matrix(rows.column("embedding"))), least)
-        other = own[i] != theirs[j]
-        i, j = i[other], j[other]
-        linked, at = np.unique(i, return_inverse=True)
-        counts = np.bincount(at, weights=copies[j], minlength=len(linked)).astype(np.int64)
-        # a spanning forest of what is linked here
-        ids, ends = np.unique(np.concatenate((own[i], theirs[j])), return_inverse=True)
-        parent = list(range(len(ids)))
-
-        def find(k: int) -> int:
-            while parent[k] != k:
-                parent[k] = parent[parent[k]]
-                k = parent[k]
-            return k
-
-        tree = []
-        for p, q in zip(ends[: len(i)].tolist(), ends[len(i) :].tolist(), strict=True):
-            u, v = find(p), find(q)
-            if u != v:
-                parent[max(u, v)] = min(u, v)
-                tree.append((p, q))
-        a, b = (ids[[t[k] for t in tree]] if tree else ids[:0] for k in (0, 1))
+        ids, ends = np.unique(np.concatenate((own, theirs)), return_inverse=True)
+        asking, asked = ends[: len(own)], ends[len(own) :]
+        links, root = np.zeros(len(own), np.int64), np.arange(len(ids))
+        for i, j in near_pairs(graph, normalised(_matrix(rows.column("embedding"))), least):
+            other = own[i] != theirs[j]
+            i, j = i[other], j[other]
+            np.add.at(links, i, copies[j])
+            root = united(root, asking[i], asked[j])
+        linked = np.flatnonzero(links)
+        below = np.flatnonzero(root != np.arange(len(ids)))
+        counts, a, b = links[linked], ids[below], ids[root[below]]
         none = lambda n: pa.nulls(n, pa.int64())
         return pa.concat_tables(
             [
@@ -98,6 +104,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, shards: int = 6, blocks
     classes = staged(classes.withColumn("dim", F.size("embedding")), "vectors")
     most = classes.groupBy("dim").count().agg(F.max("count")).first()[0] or 0
     shards = max(shards, -(-most // MAX_SHARD))
+    blocks = max(blocks, -(-most // BLOCK_QUERIES))
     ready = classes.select("class", "copies", "dim", "embedding")
     dealt = ready.withColumn("shard", F.pmod(F.xxhash64("class", F.lit(1)), F.lit(shards)).cast("int"))
     kind = "dim int, shard int, graph binary, classes binary, copies binary"

@@ -7,6 +7,7 @@ built from the top; in each, nodes of higher layers come first, so entries found
 from __future__ import annotations
 
 import io
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,6 +20,8 @@ BUILD_BEAM = 48
 SPARE, TIES = 12, 2
 #: The widest beam that an audit may ask for.
 WIDEST = 1024
+#: Pairs that are looked at together.
+PAIRS = 1 << 21
 #: Open nodes of a beam that one step expands.
 AT_ONCE = 4
 
@@ -209,22 +212,36 @@ class Graph:
 
 
 def within(graph: Graph, queries: np.ndarray, least: float, width: int = 64, audit: int = 48, recall: float = 0.995) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) of all pairs found with a cosine of ``least`` or more in double precision.
+    """(query, node) of all pairs that ``near_pairs`` yields."""
+    parts = list(near_pairs(graph, queries, least, width, audit, recall))
+    none = np.zeros(0, int)
+    return np.concatenate([none, *(i for i, _ in parts)]), np.concatenate([none, *(j for _, j in parts)])
 
-    A beam half of which are such nodes is widened for its query. An audit compares ``audit`` of the queries, evenly
-    spaced, with all vectors of the shard; while it misses too much, all beams are widened. If that still doesn't help
-    at WIDEST, the shard's vectors are all compared.
+
+def near_pairs(graph: Graph, queries: np.ndarray, least: float, width: int = 64, audit: int = 48, recall: float = 0.995) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query, node) of pairs found with a cosine of ``least`` or more in double precision, PAIRS at most at a time or a query's.
+
+    A beam half of which are such nodes is widened for its query; one that is full at WIDEST is in a dense group, and its
+    query is compared with all vectors. An audit compares ``audit`` of the queries, evenly spaced, with all vectors of the
+    shard; while it misses too much, all beams are widened. If that still doesn't help at WIDEST, all queries are compared
+    with all vectors.
     """
     n = len(graph.v)
     checked = np.linspace(0, len(queries) - 1, min(audit, len(queries))).astype(int)
-    truth = graph.exact[:, :] @ queries[checked].T >= least if len(checked) else np.zeros((n, 0), bool)
+    truth = (graph.exact @ queries[checked].T >= least).sum() if len(checked) else 0
     size = max(8, min(256, (64 << 20) // (n + 1)))
 
-    def run(rows: np.ndarray, w: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        out_q, out_n = [], []
+    def compared(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        step = max(1, PAIRS // n)
+        for at in range(0, len(rows), step):
+            i, j = np.nonzero(queries[rows[at : at + step]] @ graph.exact.T >= least)
+            yield rows[at + i], j
+
+    def run(rows: np.ndarray, w: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         again = []
-        for at in range(0, len(rows), size):
-            part = rows[at : at + size]
+        step = max(1, min(size, PAIRS // w))
+        for at in range(0, len(rows), step):
+            part = rows[at : at + step]
             ids, sims = graph.search(queries[part], min(w, n))
             close = (ids >= 0) & (sims >= least - 1e-4)
             full = (2 * close.sum(axis=1) > w) & (w < n)
@@ -232,23 +249,14 @@ def within(graph: Graph, queries: np.ndarray, least: float, width: int = 64, aud
             i, j = np.nonzero(close & ~full[:, None])
             a, b = part[i], ids[i, j]
             ok = np.concatenate([np.einsum("nd,nd->n", queries[a[k : k + 65536]], graph.exact[b[k : k + 65536]]) >= least for k in range(0, len(a), 65536)] or [np.zeros(0, bool)])
-            out_q.append(a[ok])
-            out_n.append(b[ok])
+            yield a[ok], b[ok]
         rest = np.concatenate(again) if again else rows[:0]
         if len(rest):
-            more = run(rest, 2 * w)
-            out_q += more[0]
-            out_n += more[1]
-        return out_q, out_n
-
-    while True:
-        got = run(checked, width)
-        found = len(np.concatenate([*got[0], checked[:0]]))
-        if found >= recall * truth.sum():
-            break
+            yield from run(rest, 2 * w) if 2 * w <= WIDEST else compared(rest)
+
+    while sum(len(i) for i, _ in run(checked, width)) < recall * truth:
         width *= 2
         if width > min(n, WIDEST):
-            parts = [np.nonzero(queries[k : k + 1024] @ graph.exact.T >= least) for k in range(0, len(queries), 1024)]
-            return np.concatenate([i + 1024 * k for k, (i, _) in enumerate(parts)]), np.concatenate([j for _, j in parts])
-    got = run(np.arange(len(queries)), width)
-    return np.concatenate([*got[0], checked[:0]]), np.concatenate([*got[1], checked[:0]])
+            yield from compared(np.arange(len(queries)))
+            return
+    yield from run(np.arange(len(queries)), width)

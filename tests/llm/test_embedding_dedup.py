@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from lodebar.llm import hnsw
+from lodebar.llm import embedding_dedup, hnsw
 from lodebar.llm.embedding_dedup import near_vectors
 
 
@@ -82,3 +82,48 @@ def test_graph_survives_as_bytes_and_audits_fall_back_to_all_pairs():
     assert set(zip(i.tolist(), j.tolist(), strict=True)) == truth
     one = hnsw.Graph.built(x[:1])
     assert hnsw.within(one, x[:1], 0.9)[0].tolist() == [0]
+
+
+def test_dense_groups_are_taken_in_small_batches(monkeypatch):
+    """Pairs of a dense group never stand in memory together."""
+    rng = np.random.default_rng(3)
+    x = hnsw.normalised(np.concatenate((rng.normal(size=8) + 0.03 * rng.normal(size=(600, 8)), rng.normal(size=(300, 8)))))
+    truth = {tuple(t) for t in np.argwhere(x @ x.T >= 0.9)}
+    monkeypatch.setattr(hnsw, "WIDEST", 128)
+    monkeypatch.setattr(hnsw, "PAIRS", 4_000)
+    batches = [list(zip(i.tolist(), j.tolist(), strict=True)) for i, j in hnsw.near_pairs(hnsw.Graph.built(x), x, 0.9)]
+    found = [pair for b in batches for pair in b]
+    assert len(found) == len(set(found)) and set(found) <= truth and len(found) >= 0.99 * len(truth) > 300_000
+    assert max(len(b) for b in batches) <= 4_000
+
+
+def test_more_classes_make_more_blocks(spark, vectors, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCK_QUERIES", 40)
+    sizes = spark.sparkContext.accumulator(0)
+    plain = embedding_dedup._query
+
+    def counted(least):
+        query = plain(least)
+
+        def most(rows, shard):
+            if rows.num_rows > 90:
+                sizes.add(1)
+            return query(rows, shard)
+
+        return most
+
+    monkeypatch.setattr(embedding_dedup, "_query", counted)
+    ids, rows = vectors
+    got = near_vectors(spark.createDataFrame(list(zip(ids, rows, strict=True)), "vec_id long, embedding array<float>"), shards=3).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=repr) == brute(ids, rows)
+    assert sizes.value == 0
+
+
+def test_united_agrees_with_one_link_at_a_time():
+    rng = np.random.default_rng(2)
+    p, q = rng.integers(0, 400, (2, 300))
+    root, want = embedding_dedup.united(np.arange(400), p[:150], q[:150]), np.arange(400)
+    for a, b in zip(p, q, strict=True):
+        u, v = sorted((want[a], want[b]))
+        want[want == v] = u
+    assert embedding_dedup.united(root, p[150:], q[150:]).tolist() == want.tolist()
