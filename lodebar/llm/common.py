@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,11 +20,14 @@ _own_scratch: dict[str, str] = {}
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is missing (a single machine, as in tests) a temporary folder of this machine is used.
+    Only where that setting is missing and Spark runs in this process alone, as in tests, a temporary folder of this machine
+    is used; a cluster without the setting is refused, since its executors would not see each other's files.
     """
     set_by_cluster = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if set_by_cluster:
         return set_by_cluster.rstrip("/")
+    if not (master := spark.sparkContext.master or "").startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_scratch:
         _own_scratch[app] = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
@@ -39,6 +46,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Deletes what ``staged`` has written for ``tables``, once nothing that is still to run reads them."""
+    for table in tables:
+        spark = table.sparkSession
+        own = scratch_dir(spark)
+        for path in {f.rpartition("/")[0] for f in table.inputFiles()}:
+            if own.split(":", 1)[-1].lstrip("/") in path:
+                target = spark._jvm.org.apache.hadoop.fs.Path(path)
+                target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns that carry one of ``names`` in any case: an operator's own columns replace them."""
     taken = {n.lower() for n in names}
@@ -51,15 +69,30 @@ def crc32_of_id(column: str | Column) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary"))
 
 
-#: Rows of texts that Arrow hands to a Python worker at a time; Spark's default of 10,000 would be some 35 MB of text.
-ARROW_ROWS = 1_000
+#: Rows and bytes of texts that Arrow hands to a Python worker at a time, whichever are fewer.
+ARROW_ROWS, ARROW_BYTES = 1_000, 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keeps batches of texts small in this session, unless its own setting is smaller: workers' memory follows their size."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key, "10000")) <= ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
+    """Keeps batches of texts small in this session, unless its own settings are smaller: workers' memory follows their size."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)):
+        if not 0 < int(re.sub(r"\D", "", spark.conf.get(key, "0")) or 0) <= most:
+            spark.conf.set(key, str(most))
+
+
+def returned() -> None:
+    """Gives a Python worker's free memory back to the machine: workers outlive their tasks and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def frugal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches`` of a worker's output; free memory is given back at their end."""
+    try:
+        yield from batches
+    finally:
+        returned()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodebar.llm.common import staged
-from lodebar.llm.components import components
+from lodebar.llm.components import components, united
 from lodebar.llm.hnsw import Graph, near_pairs, normalised
 
 #: Vectors in a shard at most; with 64 dimensions such a shard takes about 400 MB.
@@ -51,20 +51,6 @@ def _build(rows: pa.Table) -> pa.Table:
     )
 
 
-def united(root: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """``root`` (the lowest node known to be linked with each node) after linking nodes ``p`` with nodes ``q``."""
-    while True:
-        u, v = root[p], root[q]
-        apart = u != v
-        if not apart.any():
-            return root
-        p, q, u, v = p[apart], q[apart], u[apart], v[apart]
-        root = root.copy()
-        np.minimum.at(root, np.maximum(u, v), np.minimum(u, v))
-        while (root[root] != root).any():
-            root = root[root]
-
-
 def _query(least: float):  # noqa: ANN202
     def query(rows: pa.Table, shard: pa.Table) -> pa.Table:
         empty = pa.table({"class": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})

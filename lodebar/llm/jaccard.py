@@ -17,8 +17,9 @@ So no link between components is lost, and what comes out of a block are the pai
 pairs of a group. Blocks have at most BLOCK classes on either side; more become a grid of blocks. Hashes have 64 bits: two given
 shingles, or two given sets, are mistaken for one with a probability of 2**-64.
 
-Defined results: null text and text without words have an empty set, link with nothing and are their own component. A
-null id never names a component. Repeated rows are copies. Other columns are not read. Empty tables give no rows.
+Defined results: null text and text without words have an empty set, link with nothing and are their own component. Rows
+without an id link like all others, but a null id never names a component: one of such rows only has none. Rows that share an
+id are rows of their own. Repeated rows are copies. Other columns are not read. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodebar.llm.common import staged
+from lodebar.llm.common import dropped, frugal, staged
 from lodebar.llm.components import components
 from lodebar.llm.words import mix, word_hashes
 
@@ -46,7 +47,7 @@ COUNTED, OFTEN = 1_000_000, 4
 #: Ids are broadcast to pick out texts up to so many; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 #: Prefix shingles that a range of hashes holds on average.
-RANGE = 2_000_000
+RANGE = 1_000_000
 #: Bits for each shingle in the bitmaps that are compared within blocks.
 FINE = 12
 #: Pairs of a block that are looked at together, and texts that are.
@@ -54,7 +55,12 @@ PAIRS, TEXTS = 1 << 18, 512
 #: Classes on either side of a block of pairs.
 BLOCK = 4096
 
-META = "doc_id long, n int, sid long, bitmap binary, hot long, often long"
+META = "doc_id long, text_id long, n int, sid long, bitmap binary, hot long, often long"
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_id, text): a text's own hash finds it again where ids are null or shared; texts of one id are mistaken for one with a probability of 2**-64."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
 
 
 def shingle_sets(texts: list[str | None], k: int) -> Iterator[np.ndarray]:
@@ -139,11 +145,11 @@ def sketched(docs: DataFrame, k: int) -> DataFrame:
         def often() -> Iterator[tuple]:
             found, n = np.unique(np.concatenate(held), return_counts=True)
             for h, c in zip(found[n >= OFTEN].view(np.int64).tolist(), n[n >= OFTEN].tolist(), strict=True):
-                yield None, None, None, None, h, c
+                yield None, None, None, None, None, h, c
 
         for batch in _slices(batches):
-            for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), k), strict=True):
-                yield (doc, len(s), set_id(s), bitmap(s), None, None) if len(s) else (doc, 0, None, None, None, None)
+            for doc, text, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingle_sets(batch.column(2).to_pylist(), k), strict=True):
+                yield (doc, text, len(s), set_id(s), bitmap(s), None, None) if len(s) else (doc, text, 0, None, None, None, None)
                 held.append(s)
                 size += len(s)
                 if size > COUNTED:
@@ -152,8 +158,9 @@ def sketched(docs: DataFrame, k: int) -> DataFrame:
         if held:
             yield from often()
 
-    kinds = dict(zip(("doc_id", "n", "sid", "bitmap", "hot", "often"), (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True))
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda b: _batches(kinds, work(b)), META)
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+    kinds = dict(zip(("doc_id", "text_id", "n", "sid", "bitmap", "hot", "often"), types, strict=True))
+    return docs.mapInArrow(lambda b: frugal(_batches(kinds, work(b))), META)
 
 
 def _hot(meta: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +221,7 @@ def filed(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], k: int, percent:
             return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *[pa.array(c, pa.binary()) for c in out[1:]]], names=["part", "tokens", "sets", "sizes", "of"])
 
         for batch in _slices(batches):
-            for s in shingle_sets(batch.column(1).to_pylist(), k):
+            for s in shingle_sets(batch.column(0).to_pylist(), k):
                 if len(s) and (sid := set_id(s)) not in seen:
                     seen.add(sid)
                     tokens.append(first(s))
@@ -227,7 +234,7 @@ def filed(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], k: int, percent:
         if tokens:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInArrow(work, "part int, tokens binary, sets binary, sizes binary, of binary")
+    return docs.select("text").mapInArrow(lambda b: frugal(work(b)), "part int, tokens binary, sets binary, sizes binary, of binary")
 
 
 def band_of(n: np.ndarray, percent: int) -> np.ndarray:
@@ -308,26 +315,33 @@ class Join:
     """What the rounds of one join share: documents, a document for each class, and classes' bitmaps."""
 
     def __init__(self, docs: DataFrame, k: int, percent: int) -> None:
-        self.docs, self.k, self.percent = docs.select(F.col("doc_id").cast("long"), "text"), k, percent
+        self.docs, self.k, self.percent = identified(docs), k, percent
         self.meta = staged(sketched(self.docs, k), "jaccard-meta")
-        one = F.min_by(F.struct("n", "bitmap"), F.struct(F.col("doc_id").isNull(), "doc_id"))
-        classes = self.meta.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"), one.alias("s"), F.count("*").alias("copies"))
-        self.classes = staged(classes.select("sid", "rep", "s.n", "s.bitmap", "copies"), "jaccard-classes")
+        one = F.min_by(F.struct("n", "bitmap", "doc_id", "text_id"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_id"))
+        classes = self.meta.where("sid is not null").groupBy("sid").agg(one.alias("s"))
+        self.classes = staged(classes.select("sid", "s.*"), "jaccard-classes")
+        self.passing: list[DataFrame] = []  # tables that only this join's own steps read
+
+    def kept(self, table: DataFrame, label: str) -> DataFrame:
+        """``table`` staged until the join is done."""
+        self.passing.append(staged(table, f"jaccard-{label}"))
+        return self.passing[-1]
 
     def sets(self, wanted: DataFrame, fine: bool = False) -> DataFrame:
-        """(sid, shingles) of the classes in ``wanted``, from their documents' texts; ``fine``: bitmaps of them instead."""
-        ids = staged(wanted.join(self.classes.select("sid", "rep"), "sid").select(F.col("rep").alias("doc_id"), "sid"), "jaccard-wanted")
-        chosen = self.docs.join(_small(ids), "doc_id").select("sid", "text")
+        """(sid, shingles) of the classes in ``wanted``, from their first documents' texts; ``fine``: bitmaps of them instead."""
+        ids = self.kept(wanted.join(self.classes.select("sid", "doc_id", "text_id"), "sid"), "wanted")
+        ids = _small(ids.select("sid", F.col("doc_id").alias("own_id"), F.col("text_id").alias("own_text")))
+        chosen = self.docs.join(ids, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_id") == F.col("own_text"))).select("sid", "text")
         k = self.k
 
         def work(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
             for b in _slices(batches):
                 for sid, s in zip(b.column(0).to_pylist(), shingle_sets(b.column(1).to_pylist(), k), strict=True):
-                    if len(s) and set_id(s) == sid:  # of rows that share an id, those with the class's own text
+                    if len(s) and set_id(s) == sid:
                         yield sid, bitmap(s, FINE) if fine else s.tobytes()
 
-        rows = chosen.mapInArrow(lambda b: _batches({"sid": pa.int64(), "shingles": pa.binary()}, work(b), 1000), "sid long, shingles binary")
-        return staged(rows, "jaccard-sets").dropDuplicates(["sid"])
+        rows = chosen.mapInArrow(lambda b: frugal(_batches({"sid": pa.int64(), "shingles": pa.binary()}, work(b), 1000)), "sid long, shingles binary")
+        return self.kept(rows, "sets").dropDuplicates(["sid"])
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that link: bitmaps first, then exactly."""
@@ -335,8 +349,7 @@ class Join:
         left = own.select(F.col("sid").alias("a"), F.col("n").alias("left_n"), F.col("bitmap").alias("left_bits"))
         right = own.select(F.col("sid").alias("b"), F.col("n").alias("right_n"), F.col("bitmap").alias("right_bits"))
         fit = F.lit(100) * F.least("left_n", "right_n") >= F.lit(self.percent) * F.greatest("left_n", "right_n")
-        bounded = staged(pairs.join(left, "a").join(right, "b").where(fit).mapInArrow(_bounded(self.percent), "a long, b long"), "jaccard-bounded")
-        return self.exact(bounded)
+        return self.exact(self.kept(pairs.join(left, "a").join(right, "b").where(fit).mapInArrow(_bounded(self.percent), "a long, b long"), "bounded"))
 
     def exact(self, pairs: DataFrame) -> DataFrame:
         sets = self.sets(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct())
@@ -353,12 +366,35 @@ class Join:
         named = tiles.join(_small(roots.withColumnRenamed("node", "sid")), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         named = named.select("tile", "sid", "n", "band", "root")
         mixed = named.groupBy("tile").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("tile")
-        held = staged(named.join(_small(staged(mixed, "jaccard-mixed")), "tile", "left_semi"), "jaccard-held")
-        forest = _in_blocks(held, "tile", self.classes.select("sid", F.col("bitmap").alias("bits")), _forest(self.percent)).distinct()
+        held = self.kept(named.join(_small(self.kept(mixed, "mixed")), "tile", "left_semi"), "held")
+        forest = self.in_blocks(held, "tile", self.classes.select("sid", F.col("bitmap").alias("bits")), _forest(self.percent)).distinct()
         clusters = components(forest, "jaccard-clusters").select(F.col("node").alias("sid"), F.col("root").alias("cluster"))
-        members = staged(held.select("sid", "n", "band", "root").distinct().join(clusters, "sid"), "jaccard-members")
+        members = self.kept(held.select("sid", "n", "band", "root").distinct().join(clusters, "sid"), "members")
         fine = self.sets(members.select("sid"), fine=True).withColumnRenamed("shingles", "bits")
-        return self.exact(staged(_in_blocks(members, "cluster", fine, _allowed(self.percent)), "jaccard-pairs"))
+        return self.exact(self.kept(self.in_blocks(members, "cluster", fine, _allowed(self.percent)), "pairs"))
+
+    def in_blocks(self, members: DataFrame, key: str, bits: DataFrame, compare: Callable) -> DataFrame:
+        """``compare``'s pairs (a, b) over blocks: of each group, the classes of a band against each other and the next band's.
+
+        A band with more than BLOCK classes makes up several columns and rows of blocks.
+        """
+        counts = self.kept(members.groupBy(key, "band").agg(F.count("*").alias("n")).withColumn("cuts", F.ceil(F.col("n") / BLOCK).cast("int")), "grid")
+        after = counts.select(key, (F.col("band") - 1).alias("band"), F.col("cuts").alias("more"))
+        before = counts.select(key, (F.col("band") + 1).alias("band"), F.col("cuts").alias("before"))
+        grid = counts.join(after, [key, "band"], "left").join(before, [key, "band"], "left").where("n > 1 or more is not null or before is not null")
+        grid = grid.select(key, "band", F.col("cuts").alias("rows"), F.coalesce("more", F.lit(0)).alias("more"), F.coalesce("before", F.lit(0)).alias("before"), (F.col("n") > 1).alias("several"))
+        own = members.join(_small(self.kept(grid, "grid")), [key, "band"]).withColumn("cut", F.pmod(F.xxhash64("sid", F.lit(11)), F.col("rows")).cast("int"))
+        # own classes against own classes of the same cut (side 2) or a later one, and against every cut of the next band
+        across = F.filter(F.sequence(F.lit(0), F.col("rows") + F.col("more") - 1), lambda c: c >= F.col("cut"))
+        as_row = own.where("several or more > 0").withColumn("to", F.explode(across)).withColumn("from", F.col("cut")).withColumn("side", F.when(F.col("to") == F.col("cut"), 2).otherwise(0))
+        as_column = own.where("cut > 0").withColumn("from", F.explode(F.sequence(F.lit(0), F.col("cut") - 1))).withColumn("to", F.col("cut")).withColumn("side", F.lit(1))
+        later = own.where("before > 0").withColumn("from", F.explode(F.sequence(F.lit(0), F.col("before") - 1)))
+        as_next = later.withColumn("band", F.col("band") - 1).withColumn("to", F.col("before") + F.col("cut")).withColumn("side", F.lit(1))
+        block = [key, "band", "from", "to"]
+        columns = [*block, "side", "sid", "n", "root"]
+        rows = as_row.select(*columns).unionAll(as_column.select(*columns)).unionAll(as_next.select(*columns)).join(bits, "sid")
+        dealt = rows.repartition(*block).sortWithinPartitions(*block, "side", "sid")
+        return dealt.select(*columns, "bits").mapInArrow(lambda b: frugal(_blocks(b, compare)), "a long, b long")
 
 
 def _small(table: DataFrame) -> DataFrame:
@@ -366,30 +402,6 @@ def _small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
 
 
-def _in_blocks(members: DataFrame, key: str, bits: DataFrame, compare: Callable) -> DataFrame:
-    """``compare``'s pairs (a, b) over blocks: of each group, the classes of a band against each other and the next band's.
-
-    A band with more than BLOCK classes makes up several columns and rows of blocks.
-    """
-    counts = staged(members.groupBy(key, "band").agg(F.count("*").alias("n")).withColumn("cuts", F.ceil(F.col("n") / BLOCK).cast("int")), "jaccard-grid")
-    after = counts.select(key, (F.col("band") - 1).alias("band"), F.col("cuts").alias("more"))
-    before = counts.select(key, (F.col("band") + 1).alias("band"), F.col("cuts").alias("before"))
-    grid = counts.join(after, [key, "band"], "left").join(before, [key, "band"], "left").where("n > 1 or more is not null or before is not null")
-    grid = grid.select(key, "band", F.col("cuts").alias("rows"), F.coalesce("more", F.lit(0)).alias("more"), F.coalesce("before", F.lit(0)).alias("before"), (F.col("n") > 1).alias("several"))
-    own = members.join(_small(staged(grid, "jaccard-grid")), [key, "band"]).withColumn("cut", F.pmod(F.xxhash64("sid", F.lit(11)), F.col("rows")).cast("int"))
-    # own classes against own classes of the same cut (side 2) or a later one, and against every cut of the next band
-    across = F.filter(F.sequence(F.lit(0), F.col("rows") + F.col("more") - 1), lambda c: c >= F.col("cut"))
-    as_row = own.where("several or more > 0").withColumn("to", F.explode(across)).withColumn("from", F.col("cut")).withColumn("side", F.when(F.col("to") == F.col("cut"), 2).otherwise(0))
-    as_column = own.where("cut > 0").withColumn("from", F.explode(F.sequence(F.lit(0), F.col("cut") - 1))).withColumn("to", F.col("cut")).withColumn("side", F.lit(1))
-    later = own.where("before > 0").withColumn("from", F.explode(F.sequence(F.lit(0), F.col("before") - 1)))
-    as_next = later.withColumn("band", F.col("band") - 1).withColumn("to", F.col("before") + F.col("cut")).withColumn("side", F.lit(1))
-    block = [key, "band", "from", "to"]
-    columns = [*block, "side", "sid", "n", "root"]
-    rows = as_row.select(*columns).unionAll(as_column.select(*columns)).unionAll(as_next.select(*columns)).join(bits, "sid")
-    dealt = rows.repartition(*block).sortWithinPartitions(*block, "side", "sid")
-    return dealt.select(*columns, "bits").mapInArrow(lambda b: _blocks(b, compare), "a long, b long")
-
-
 def _blocks(batches: Iterable[pa.RecordBatch], compare: Callable) -> Iterator[pa.RecordBatch]:
     """``compare``'s pairs of each block; blocks arrive one after the other and may go on from batch to batch."""
     held: list[pa.RecordBatch] = []
@@ -478,38 +490,52 @@ def _allowed(percent: int) -> Callable:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
-    """(doc_id, n_shingles, component_id, set_id): component_id is the smallest doc_id that links reach, itself included."""
+    """(doc_id, n_shingles, component_id, set_id, group_id, text_id): component_id is the smallest doc_id that links reach, itself included.
+
+    set_id names the row's shingle set, group_id the component (its smallest set_id; both null for empty sets), and text_id
+    is a hash of its text.
+    """
     join = Join(docs, k, percent)
     total = join.meta.agg(F.sum("n")).first()[0] or 0
     parts = max(1, math.ceil(total * (100 - percent) / 100 / RANGE))
     prefixes = filed(join.docs, _hot(join.meta), k, percent, parts)
     kind = "tile long, sid long, n int, band int, leader long"
-    tiles = staged(prefixes.groupBy("part").applyInArrow(_tiles(percent), kind).dropDuplicates(["tile", "sid"]), "jaccard-tiles")
+    tiles = join.kept(prefixes.groupBy("part").applyInArrow(_tiles(percent), kind).dropDuplicates(["tile", "sid"]), "tiles")
     stars = tiles.where("sid <> leader").select(F.least("sid", "leader").alias("a"), F.greatest("sid", "leader").alias("b")).distinct()
-    first = staged(join.linked(stars), "jaccard-links")
-    roots = staged(components(first, "jaccard-roots"), "jaccard-roots")
-    links = first.unionAll(staged(join.links_between(tiles, roots), "jaccard-links"))
+    first = join.kept(join.linked(stars), "links")
+    roots = join.kept(components(first, "jaccard-roots"), "roots")
+    links = first.unionAll(join.kept(join.links_between(tiles, roots), "links"))
     roots = components(links, "jaccard-roots").withColumnRenamed("node", "sid")
-    named = join.classes.select("sid", "rep").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    lowest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of_class = staged(named.join(lowest, "root").select("sid", "component_id"), "jaccard-components")
-    rows = join.meta.where("hot is null").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "sid")
-    full = rows.where("sid is not null").join(of_class, "sid").select("doc_id", "n_shingles", "component_id", F.col("sid").alias("set_id"))
-    empty = rows.where("sid is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("sid").alias("set_id"))
-    return full.unionAll(empty)
+    named = join.classes.select("sid", "doc_id").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    lowest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    of_class = staged(named.join(lowest, "root").select("sid", "component_id", F.col("root").alias("group_id")), "jaccard-components")
+    dropped(*join.passing, join.classes)
+    rows = join.meta.where("hot is null").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "sid", "text_id")
+    out = ["doc_id", "n_shingles", "component_id", F.col("sid").alias("set_id"), "group_id", "text_id"]
+    full = rows.where("sid is not null").join(of_class, "sid").select(*out)
+    empty = rows.where("sid is null").withColumn("component_id", F.col("doc_id")).withColumn("group_id", F.lit(None).cast("long"))
+    return full.unionAll(empty.select(*out))
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
-    """The rows of ``docs`` that stay when of each component only the document with the smallest id does.
+    """The rows of ``docs`` that stay when of each component a single row does: that with the smallest id.
 
-    Documents without words stay, and so do those without an id. Of rows with the same id and text a single one stays;
-    these are only looked for where an id occurs twice, since that deals all texts anew. Otherwise texts stay where they
-    are unless more than BROADCAST_IDS documents go.
+    A row without an id stays only where no row of its component has one; between texts of the same id, and between rows
+    without one, a hash of the text decides, and of rows with the same id and text any one stays. Documents without words
+    all stay. Texts stay where they are unless more than BROADCAST_IDS rows go; only rows that occur twice are dealt anew.
     """
-    found = staged(near_duplicates(docs.select("doc_id", "text"), k, percent).select("doc_id", "component_id"), "jaccard-found")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    left = docs.join(gone, "doc_id", "left_anti")
-    repeated = found.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return left.dropDuplicates(["doc_id", "text"]) if repeated else left
+    found = near_duplicates(docs.select("doc_id", "text"), k, percent).where("group_id is not null")
+    found = staged(found.groupBy("group_id", "doc_id", "text_id").agg(F.count("*").alias("rows")), "jaccard-found")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id")).alias("first")
+    stays = found.groupBy("group_id").agg(first).select("group_id", F.col("first.doc_id").alias("stay_id"), F.col("first.text_id").alias("stay_text"))
+    judged = found.join(stays, "group_id").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("stay_id")) & (F.col("text_id") == F.col("stay_text")))
+    named = [F.col("doc_id").alias("__doc"), F.col("text_id").alias("__text")]
+    gone = _small(staged(judged.where("not stays").select(*named), "jaccard-gone"))
+    twice = staged(judged.where("stays and rows > 1").select(*named), "jaccard-twice")
+    same = lambda ids: docs["doc_id"].cast("long").eqNullSafe(ids["__doc"]) & (F.xxhash64(docs["text"]) == ids["__text"])
+    left = docs.join(gone, same(gone), "left_anti")
+    if not twice.limit(1).count():
+        return left
+    twice = _small(twice)
+    once = left.join(twice, same(twice), "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(twice, same(twice), "left_anti").unionAll(once)

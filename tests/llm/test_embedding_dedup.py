@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from lodebar.llm import embedding_dedup, hnsw
+from lodebar.llm import components, embedding_dedup, hnsw
 from lodebar.llm.embedding_dedup import near_vectors
 
 
@@ -122,8 +122,8 @@ def test_more_classes_make_more_blocks(spark, vectors, monkeypatch):
 def test_united_agrees_with_one_link_at_a_time():
     rng = np.random.default_rng(2)
     p, q = rng.integers(0, 400, (2, 300))
-    root, want = embedding_dedup.united(np.arange(400), p[:150], q[:150]), np.arange(400)
+    root, want = components.united(np.arange(400), p[:150], q[:150]), np.arange(400)
     for a, b in zip(p, q, strict=True):
         u, v = sorted((want[a], want[b]))
         want[want == v] = u
-    assert embedding_dedup.united(root, p[150:], q[150:]).tolist() == want.tolist()
+    assert components.united(root, p[150:], q[150:]).tolist() == want.tolist()

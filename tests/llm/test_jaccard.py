@@ -55,7 +55,15 @@ def docs():
     out += ["", None, "  \n", "one two", "one  TWO", "one two three four", "x " * 9000]
     rng.shuffle(out)
     rows = list(enumerate(out))
-    return rows + [rows[3], (None, out[5]), (None, None)]
+    walk = new(150)
+    step = [" ".join(walk[i : i + 60]) for i in (0, 7, 14, 21)]  # each links with the next one only
+    chain = [(1000, step[0]), (None, step[1]), (1002, step[2]), (None, step[3])]
+    lone = [(None, " ".join(varied(rng, new(50), 0))), (None, " ".join(new(50))), (None, " ".join(new(50)))]
+    nameless = new(70)
+    lone += [(None, " ".join(nameless)), (None, " ".join(nameless[:-3])), (None, " ".join(nameless))]
+    apart, shared = " ".join(new(40)), new(40)
+    ids = [(2000, apart), (2000, " ".join(shared)), (2000, " ".join(shared[:-2])), (2001, " ".join(shared[1:])), (2002, apart), (2002, " ".join(new(30)))]
+    return rows + chain + lone + ids + [rows[3], (None, out[5]), (None, None), (None, None), (None, "")]
 
 
 @pytest.mark.parametrize("small", [False, True])
@@ -68,6 +76,40 @@ def test_components_agree_with_all_pairs(spark, docs, small, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(docs)
 
 
+def kept_by_brute_force(rows):
+    """(how many rows of each component stay, which (id, text) may)."""
+    root = {i: i for i in range(len(rows))}
+    sets = [shingles(t) for _, t in rows]
+    for _ in rows:
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets[:i]):
+                if x and y and root[i] != root[j] and 100 * len(x & y) >= 75 * len(x | y):
+                    low, high = sorted((root[i], root[j]))
+                    root = {n: low if r == high else r for n, r in root.items()}
+    groups = {}
+    for i, (d, t) in enumerate(rows):
+        groups.setdefault(root[i] if sets[i] else -1 - i, []).append((d, t))
+    return groups
+
+
+def test_one_row_of_each_component_stays(spark, docs):
+    df = spark.createDataFrame([(*d, "z") for d in docs], "doc_id long, text string, __Text string").repartition(3)
+    left = [(r.doc_id, r.text) for r in jaccard.one_of_each(df).collect()]
+    groups = kept_by_brute_force(docs)
+    assert len(left) == len(groups)
+    for rows in groups.values():
+        ids = [d for d, _ in rows if d is not None]
+        stays = [r for r in left if r in rows]
+        assert any(d == (min(ids) if ids else None) for d, _ in stays)
+
+
+def test_ids_shared_by_different_texts_lose_no_text(spark):
+    w = lambda p: " ".join(f"{p}{i}" for i in range(20))
+    rows = [(1, w("w")), (5, w("w")), (5, w("v")), (7, w("v")), (9, w("u")), (9, w("u")), (None, w("t")), (None, w("t"))]
+    left = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=repr) == sorted([(1, w("w")), (5, w("v")), (9, w("u")), (None, w("t"))], key=repr)
+
+
 def test_empty_table(spark):
     assert jaccard.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
