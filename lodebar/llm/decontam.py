@@ -1,58 +1,63 @@
-"""Benchmark decontamination: BM25 over test items, block-max WAND, verified overlap.
+"""Benchmark decontamination: BM25 over test items, block-max WAND, verified overlap of question and answer.
 
 Test items are indexed: every term has postings in item order, in blocks with the largest impact of each. A training text
 is cut into overlapping passages at least twice as long as the longest item, so that each place is whole in one of them.
 Every passage is a query. An item has two entries, its question and its whole text. An entry needs ``threshold`` of its
-BM25 score for its own text, or less where a passage with ``least`` of its n-grams can have less: a term's weight is spread
-over the n-grams it is in, so the lightest n-grams that make up ``least`` bound the score of any passage with that share
-from below. Retrieval so loses nothing that verification would accept. An impact is a term's weight over what its entry
-needs, and all entries that a passage's terms lift to 1 are retrieved, however many:
+BM25 score for its own text, or less where a passage that verification accepts can have less: a term's weight is spread
+over the n-grams it is in, so the lightest n-grams that make up what verification asks for bound the score of any such
+passage from below. Retrieval so loses nothing that verification would accept. An impact is a term's weight over what its
+entry needs, and all entries that a passage's terms lift to 1 are retrieved, however many:
 
 * passages in which no n-gram of any item begins are done: nothing in them could be verified;
-* the sums of block maxima over a passage's distinct terms bound its scores; where a block of entries allows one, its
-  entries' own impacts are summed; passages that these rule out, which are nearly all, are done;
+* the sums of block maxima over a passage's distinct terms bound its scores, and most passages end there;
 * for the others the postings are merged with block-max WAND (Ding and Suel, 2011): a pivot is the first entry that the
   lists up to it can lift over the threshold; its blocks' maxima decide whether it is scored or the blocks are skipped.
 
-A retrieved item is then verified: the share of its word n-grams in the passage, those of the question and those that
-reach into the answer (the last line; of a single line the last sentence) apart. A text is contaminated when the passage
-holds at least ``least`` of an item's question or of the whole item.
+A retrieved item is then verified: the shares of the n-grams of its question, of those that reach into the answer (the
+last line; of a single line the last sentence) and of all. A text is contaminated when a passage holds ``least`` of an
+item's question or of the whole item, or ``least`` of the answer together with half of that of the question: an answer
+alone is no leak, with a reworded question it is one.
 
-Words are runs of letters and digits, A-Z lower-cased. Items are broadcast up to MAX_ITEMS at a time; more are taken in
-several passes over each batch of texts.
+Document frequencies, the number of items and their mean length are those of all items. The index is built in parts of
+PART_BYTES or so of items, one task each, and the texts are read once for each part: parts change neither scores nor
+verdicts, and no task or broadcast holds more than a part. Words are runs of letters and digits, A-Z lower-cased.
 
-Defined results: null and empty texts are one empty passage and clean. Null and wordless items are never found; of items
-with the same id every text counts. Repeated rows are judged alike. Texts' other columns pass through; those named like
-the outputs are replaced.
+Defined results: null and empty texts are clean. Null and wordless items are never found; one of fewer than n words is
+found where all its words stand in order; a question of fewer than n words is only looked at with its answer. Of items with
+the same id every text counts, and the one with the largest share is reported. Repeated rows are judged alike: verdicts
+are by text (texts are told apart by 96 bits of hashes). Texts' other columns pass through; those named like the outputs
+are replaced.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+import pickle
 import re
 from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodebar.llm.common import without
+from lodebar.llm.common import dropped, frugal, staged, without
 from lodebar.llm.words import mix, word_hashes
 
 K1, B = 1.2, 0.75
-#: Postings to a block, and items to a block of the bounds that are checked first.
-BLOCK, SPAN = 32, 8
-#: Items in one index. Its table of bounds has a row for each term: 120 MB with thirty terms an item that no other has.
-MAX_ITEMS = 700
-#: Rows that are summed together when bounds are checked.
-ROWS = 1 << 19
+#: Postings to a block, and entries to a block of the bounds that are checked first.
+BLOCK, SPAN = 32, 4
+#: Bytes of items in one part of the index: about 350,000 words, and 700,000 postings at most in 10 MB.
+PART_BYTES = 2 << 20
+#: Contaminated texts that are broadcast to their rows; more are joined by a shuffle.
+BROADCAST_TEXTS = 200_000
+#: Posting lists that a worker keeps as Python lists.
+LISTS = 20_000
 
 _STEP = np.uint64(0xE7037ED1A0B428DB)
 
-
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the n-grams of a text, by first word; of a shorter text, one for all of it."""
     n = min(n, len(hashes))
@@ -74,8 +79,8 @@ def question_words(text: str) -> int:
     return at if at > 0 else len(lines) * 3 // 4
 
 
-def _least_score(terms: np.ndarray, weights: dict[int, float], n: int, least: float) -> float:
-    """A lower bound of the score of any passage that has ``least`` of the distinct n-grams of ``terms``.
+def _least_score(terms: np.ndarray, weights: dict[int, float], n: int, needed: int) -> float:
+    """A lower bound of the score of any passage that has ``needed`` of the distinct n-grams of ``terms``.
 
     Each term's weight is dealt out evenly to the distinct n-grams that it is in. Those that a passage has are dealt no more
     than the weights of their terms, all of which the passage has, and no less than as many of the lightest.
@@ -84,67 +89,118 @@ def _least_score(terms: np.ndarray, weights: dict[int, float], n: int, least: fl
     inside = [set(g) for g in {tuple(terms[i : i + n].tolist()) for i in range(len(terms) - n + 1)}]
     shared = Counter(t for g in inside for t in g)
     dealt = sorted(sum(weights[t] / shared[t] for t in g) for g in inside)
-    return sum(dealt[: max(1, math.ceil(least * len(dealt) - 1e-9))]) * (1 - 1e-9)
+    return sum(dealt[: max(1, needed)]) * (1 - 1e-9)
+
+
+def _asked(share: float, of: np.ndarray) -> int:
+    return math.ceil(share * len(of) - 1e-9)
+
+
+def item_words(text: str) -> tuple[np.ndarray, int]:
+    """Hashes of an item's words, and how many of them are its question's."""
+    ((_, words, at),) = word_hashes([text[: question_words(text)], text], letters=True)
+    return words[at[1] :], int(at[1])
+
+
+class Statistics:
+    """What BM25 knows of all items: how many there are, their mean length, the longest, and the items of each term."""
+
+    def __init__(self, items: int, words: int, longest: int, terms: np.ndarray, found: np.ndarray) -> None:
+        self.items, self.mean, self.longest = items, words / max(1, items), max(1, longest)
+        order = np.argsort(terms)
+        self.terms, self.found = terms[order], found[order]
+
+    @classmethod
+    def of(cls, items: list[tuple[int, str]]) -> Statistics:
+        words = [w for w in (item_words(t)[0] for _, t in items) if len(w)]
+        terms, found = np.unique(np.concatenate([np.unique(w) for w in words]) if words else np.zeros(0, np.uint64), return_counts=True)
+        return cls(len(words), sum(map(len, words)), max(map(len, words), default=1), terms, found)
+
+    def weights(self, terms: np.ndarray) -> np.ndarray:
+        f = self.found[np.searchsorted(self.terms, terms)]
+        return np.log(1 + (self.items - f + 0.5) / (f + 0.5))
 
 
 class Index:
-    """Postings of the entries of test items, their questions and whole texts, with block maxima."""
-
-    def __init__(self, items: list[tuple[int, str]], n: int = 5, threshold: float = 0.45, least: float = 0.6) -> None:
-        kept = []
-        for item_id, text in items:
-            ((_, words, at),) = word_hashes([text[: question_words(text)], text], letters=True)
-            if at[2] > at[1]:
-                kept.append((item_id, words[at[1] :], int(at[1])))
-        self.n = n
+    """Postings of the entries of test items, their questions and whole texts, with block maxima; all in flat arrays."""
+
+    def __init__(self, items: list[tuple[int, str]], n: int = 5, threshold: float = 0.45, least: float = 0.6, statistics: Statistics | None = None) -> None:
+        known = statistics or Statistics.of(items)
+        kept = [(item_id, *item_words(text)) for item_id, text in items]
+        kept = [k for k in kept if len(k[1])]
+        self.n, self.least, self.longest = n, least, known.longest
         self.ids = [k[0] for k in kept]
-        self.longest = max((len(k[1]) for k in kept), default=1)
         self.vocabulary = np.unique(np.concatenate([k[1] for k in kept])) if kept else np.zeros(0, np.uint64)
-        self.question, self.answer, self.whole = [], [], []
+        self.question, self.answer, self.whole, self.size = [], [], [], []
         for _, words, q in kept:
             g = grams(words, n)
             inside = max(0, min(len(g), q - n + 1))
             self.question.append(np.unique(g[:inside]))
             self.answer.append(np.unique(g[inside:]))
             self.whole.append(np.unique(g))
-        self.lengths = sorted({min(n, len(k[1])) for k in kept})
+            self.size.append(min(n, len(words)))
+        self.lengths = sorted(set(self.size))
         self.grams = np.unique(np.concatenate(self.whole)) if kept else np.zeros(0, np.uint64)
-        numbers = [np.searchsorted(self.vocabulary, k[1]) for k in kept]
-        counts = [Counter(t.tolist()) for t in numbers]
-        found = Counter(t for c in counts for t in c)
-        mean = sum(len(k[1]) for k in kept) / max(1, len(kept))
-        idf = {t: math.log(1 + (len(kept) - f + 0.5) / (f + 0.5)) for t, f in found.items()}
-        postings: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
+        idf = known.weights(self.vocabulary)
         self.entries: list[int] = []  # the item of each
         self.shares: list[tuple[np.ndarray, np.ndarray]] = []  # each item's terms, and their weights over its own score
-        for item, ((_, words, q), terms) in enumerate(zip(kept, numbers, strict=True)):
-            weights = {t: idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean)) for t, tf in counts[item].items()}
-            own = sum(weights.values())
-            self.shares.append((self.vocabulary[list(weights)], np.array(list(weights.values())) / own))
-            for part, parts in ((terms[:q], len(self.question[item])), (terms, -1)):
-                if not parts or (parts > 0 and q == len(words)):
-                    continue  # no question to verify, or the question is the whole
-                part_own = sum(weights[t] for t in set(part.tolist()))
-                needed = min(threshold * part_own, _least_score(part, weights, n, least))
-                for t in set(part.tolist()):
-                    postings[t].append((len(self.entries), weights[t] / needed))
+        term, entry, impact = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for item, (_, words, q) in enumerate(kept):
+            numbers = np.searchsorted(self.vocabulary, words)
+            own, tf = np.unique(numbers, return_counts=True)
+            w = idf[own] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / known.mean))
+            weights = dict(zip(own.tolist(), w.tolist(), strict=True))
+            self.shares.append((self.vocabulary[own], w / w.sum()))
+            asked = _asked(least, self.whole[item])
+            if len(self.question[item]) and len(self.answer[item]):
+                asked = min(asked, _asked(least, self.answer[item]) + _asked(least / 2, self.question[item]))
+            parts = [(numbers, asked)]
+            if len(self.question[item]) and q < len(words):
+                parts.append((numbers[:q], _asked(least, self.question[item])))
+            for part, asked in parts:
+                mine = np.unique(part)
+                score = w[np.searchsorted(own, mine)]
+                needed = min(threshold * score.sum(), _least_score(part, weights, n, asked))
+                term.append(mine)
+                entry.append(np.full(len(mine), len(self.entries)))
+                impact.append(score / needed)
                 self.entries.append(item)
-        self.items = [[i for i, _ in p] for p in postings]
-        self.impacts = [[w for _, w in p] for p in postings]
-        self.most = [max(w) for w in self.impacts]
-        self.block_most = [[max(w[k : k + BLOCK]) for k in range(0, len(w), BLOCK)] for w in self.impacts]
-        self.block_last = [[i[min(k + BLOCK, len(i)) - 1] for k in range(0, len(i), BLOCK)] for i in self.items]
-        self.single = np.zeros((len(self.vocabulary), max(1, -(-len(self.entries) // SPAN)), SPAN), np.float32)
-        for t, p in enumerate(postings):
-            for i, w in p:
-                self.single[t, i // SPAN, i % SPAN] = w
-        self.single *= np.float32(1 + 1e-5)  # rounded up: sums in single precision stay bounds
-        self.bounds = self.single.max(axis=2)
+        terms, entries, impacts = np.concatenate(term), np.concatenate(entry), np.concatenate(impact)
+        order = np.lexsort((entries, terms))
+        self.entry_of, self.impact_of = entries[order].astype(np.int32), impacts[order]
+        self.at = np.searchsorted(terms[order], np.arange(len(self.vocabulary) + 1))
+        # a term's largest impact in each span of entries, rounded up: sums in single precision stay bounds
+        span = terms[order] * (len(self.entries) // SPAN + 1) + self.entry_of // SPAN
+        first = np.flatnonzero(np.concatenate(([True], span[1:] != span[:-1]))) if len(span) else np.zeros(0, np.int64)
+        self.span_of = (self.entry_of[first] // SPAN).astype(np.int32)
+        self.span_most = (np.maximum.reduceat(self.impact_of, first) * (1 + 1e-5)).astype(np.float32) if len(first) else np.zeros(0, np.float32)
+        self.span_at = np.searchsorted(terms[order][first], np.arange(len(self.vocabulary) + 1))
+        self._lists: dict[int, tuple] = {}
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_lists": {}}
+
+    def postings(self, t: int) -> tuple[list[int], list[float], float, list[float], list[int]]:
+        """A term's entries, their impacts, the largest; the largest and the last entry of each block."""
+        got = self._lists.get(t)
+        if got is None:
+            if len(self._lists) >= LISTS:
+                self._lists.clear()
+            items, impacts = (x[self.at[t] : self.at[t + 1]].tolist() for x in (self.entry_of, self.impact_of))
+            blocks = range(0, len(items), BLOCK)
+            got = self._lists[t] = items, impacts, max(impacts), [max(impacts[k : k + BLOCK]) for k in blocks], [items[min(k + BLOCK, len(items)) - 1] for k in blocks]
+        return got
+
+    def may_hold(self, terms: np.ndarray, threshold: float = 1.0) -> bool:
+        """Whether block maxima allow any entry of these distinct terms to reach the threshold."""
+        start, size = self.span_at[terms], self.span_at[terms + 1] - self.span_at[terms]
+        at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return bool(len(at)) and bool(np.bincount(self.span_of[at], self.span_most[at]).max() >= threshold - 1e-6)
 
     def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """All entries whose impacts of ``terms`` (distinct) sum to the threshold or more, by block-max WAND."""
-        items, impacts, out = self.items, self.impacts, []
-        heap = [(items[t][0], t, 0) for t in terms]  # each list's present item, and its place
+        lists, out = {t: self.postings(t) for t in terms}, []
+        heap = [(lists[t][0][0], t, 0) for t in terms]  # each list's present entry, and its place
         heapq.heapify(heap)
         end = len(self.entries)
         while heap:
@@ -152,7 +208,7 @@ class Index:
             reach = 0.0
             while heap:  # lists in item order, until their largest impacts reach the threshold
                 ahead.append(heapq.heappop(heap))
-                reach += self.most[ahead[-1][1]]
+                reach += lists[ahead[-1][1]][2]
                 if reach >= threshold:
                     break
             else:
@@ -162,26 +218,26 @@ class Index:
                 ahead.append(heapq.heappop(heap))
             allowed, skip = 0.0, heap[0][0] if heap else end
             for _, t, at in ahead:
-                last, block = self.block_last[t], at // BLOCK
+                last, block = lists[t][4], at // BLOCK
                 while block < len(last) and last[block] < pivot:
                     block += 1
                 if block < len(last):
-                    allowed += self.block_most[t][block]
+                    allowed += lists[t][3][block]
                     skip = min(skip, last[block] + 1)
             if allowed >= threshold:
                 score, to = 0.0, pivot + 1
                 for _, t, at in ahead:
-                    own = items[t]
+                    own = lists[t][0]
                     while at < len(own) and own[at] < pivot:
                         at += 1
                     if at < len(own) and own[at] == pivot:
-                        score += impacts[t][at]
+                        score += lists[t][1][at]
                 if score >= threshold:
                     out.append((pivot, score))
             else:
                 to = max(pivot + 1, skip)
             for _, t, at in ahead:
-                own, last = items[t], self.block_last[t]
+                own, last = lists[t][0], lists[t][4]
                 block = at // BLOCK
                 while block < len(last) and last[block] < to:
                     block += 1
@@ -192,30 +248,21 @@ class Index:
                     heapq.heappush(heap, (own[at], t, at))
         return out
 
-    def overlap(self, item: int, found: np.ndarray) -> tuple[float, float, float]:
+    def overlap(self, item: int, words: np.ndarray) -> tuple[float, float, float]:
         """Shares of an item's question, answer and whole among a passage's n-grams."""
+        found = grams(words, self.size[item]) if len(words) >= self.size[item] else words[:0]
         q, a, both = (np.isin(part, found).mean() if len(part) else 0.0 for part in (self.question[item], self.answer[item], self.whole[item]))
         return float(q), float(a), float(both)
 
+    def accepts(self, question: float, answer: float, whole: float) -> bool:
+        least = self.least - 1e-9
+        return question >= least or whole >= least or (answer >= least and question >= least / 2)
+
     def score(self, item: int, words: np.ndarray) -> float:
         """A passage's BM25 score for an item, over the item's score for its own text."""
         terms, shares = self.shares[item]
         return float(shares[np.isin(terms, words)].sum())
 
-    def _allowed(self, term: np.ndarray, start_at: np.ndarray, end_at: np.ndarray, passage: np.ndarray, span: np.ndarray, threshold: float) -> np.ndarray:
-        """Of passages and the spans that may hold something for them, the passages for which an item of the span may do."""
-        out = [np.zeros(0, np.int64)]
-        size = (end_at - start_at)[passage]
-        cuts = np.searchsorted(np.cumsum(size), np.arange(ROWS, size.sum() + ROWS, ROWS)) if len(size) else []
-        for i, j in zip([0, *(c + 1 for c in cuts)], [*(c + 1 for c in cuts), len(passage)], strict=True):
-            p, s, n = passage[i:j], span[i:j], size[i:j]
-            if len(p):
-                at = np.cumsum(n) - n
-                rows = np.arange(n.sum()) + np.repeat(start_at[p] - at, n)
-                sums = np.add.reduceat(self.single[term[rows], np.repeat(s, n)], at)
-                out.append(p[sums.max(axis=1) >= threshold - 1e-6])
-        return np.unique(np.concatenate(out))
-
     def _holding(self, hashes: np.ndarray, offsets: np.ndarray, first: np.ndarray, half: int, halves: int) -> np.ndarray:
         """Halves in which an n-gram of any item begins; a passage without one has nothing to verify."""
         out = np.zeros(halves, bool)
@@ -228,86 +275,123 @@ class Index:
                 out[first[text] + (begin - offsets[text]) // half] = True
         return out
 
-    def passages(self, hashes: np.ndarray, offsets: np.ndarray, threshold: float = 1.0) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
-        """Passages of each text, and (text, first word, end, item) of all that is retrieved."""
+    def passages(self, hashes: np.ndarray, offsets: np.ndarray, threshold: float = 1.0) -> list[tuple[int, int, int, int]]:
+        """(text, first word, end, item) of all that is retrieved for the passages of each text."""
         half = self.longest
         words = np.diff(offsets)
         halves = np.maximum(1, -(-words // half))
-        count = np.maximum(1, halves - 1)
-        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        known = np.flatnonzero(self.vocabulary[at] == hashes) if len(self.vocabulary) else np.zeros(0, np.int64)
-        if not len(known):
-            return count, []
-        text = np.repeat(np.arange(len(words)), words)[known]
         first = np.cumsum(halves) - halves
-        holds = self._holding(hashes, offsets, first, half, int(halves.sum()))
-        place = first[text] + (known - offsets[text]) // half
-        pairs = np.unique(place * len(self.vocabulary) + at[known])
-        place, term = np.divmod(pairs, len(self.vocabulary))
-        edge = np.searchsorted(place, np.arange(halves.sum() + 1))
-        sums = np.concatenate((np.zeros((1, self.bounds.shape[1])), np.cumsum(self.bounds[term], axis=0, dtype=float)))
-        most = sums[edge[1:]] - sums[edge[:-1]]
-        last_half = np.zeros(halves.sum(), bool)
-        last_half[np.cumsum(halves) - 1] = True
-        both = most.copy()
-        both[:-1][~last_half[:-1]] += most[1:][~last_half[:-1]]
+        last = np.zeros(halves.sum(), bool)
+        last[np.cumsum(halves) - 1] = True
         # a passage is two neighbouring halves of a text; the last half alone only where a text has no other
-        begins = ~last_half | np.repeat(halves == 1, halves)
-        begins &= holds | np.concatenate((holds[1:], [False]))
-        owner = np.repeat(np.arange(len(words)), halves)
-        start_at = edge[:-1]
-        end_at = np.where(last_half, edge[1:], np.concatenate((edge[2:], edge[-1:])))
+        begins = ~last | np.repeat(halves == 1, halves)
+        holds = self._holding(hashes, offsets, first, half, len(last))
+        begins &= holds | (np.concatenate((holds[1:], [False])) & ~last)
         out = []
-        for h in self._allowed(term, start_at, end_at, *np.nonzero((both >= threshold - 1e-6) & begins[:, None]), threshold).tolist():
-            found = self.search(np.unique(term[start_at[h] : end_at[h]]).tolist(), threshold)
-            if found:
-                t = int(owner[h])
-                start = int(offsets[t] + (h - first[t]) * half)
-                end = min(int(offsets[t + 1]), start + 2 * half)
+        for h in np.flatnonzero(begins).tolist():
+            t = int(np.searchsorted(first, h, side="right")) - 1
+            start = int(offsets[t] + (h - first[t]) * half)
+            end = min(int(offsets[t + 1]), start + 2 * half)
+            own = np.unique(hashes[start:end])
+            at = np.minimum(np.searchsorted(self.vocabulary, own), len(self.vocabulary) - 1)
+            terms = at[self.vocabulary[at] == own]
+            if self.may_hold(terms, threshold):
+                found = self.search(terms.tolist(), threshold)
                 out += [(t, start, end, item) for item in sorted({self.entries[e] for e, _ in found})]
-        return count, out
-
-
-JUDGED = "n_passages int, contaminated boolean, leaks array<struct<item_id: bigint, bm25: double, question: double, answer: double, overlap: double>>"
-
-
-def judge(texts: pd.Series, index: Index, least: float) -> pd.DataFrame:
-    whole = texts.tolist()
-    passages, leaks = np.ones(len(whole), np.int32), [{} for _ in whole]
-    for first, hashes, offsets in word_hashes(whole, letters=True):
-        count, found = index.passages(hashes, offsets)
-        passages[first : first + len(count)] = count
-        for t, start, end, item in found:
-            q, a, both = index.overlap(item, grams(hashes[start:end], index.n))
-            if q >= least or both >= least:
-                best = leaks[first + t].get(index.ids[item])
-                if best is None or both > best["overlap"]:
-                    leaks[first + t][index.ids[item]] = {"item_id": index.ids[item], "bm25": index.score(item, hashes[start:end]), "question": q, "answer": a, "overlap": both}
-    return pd.DataFrame({"n_passages": passages, "contaminated": [bool(x) for x in leaks], "leaks": [[x[i] for i in sorted(x)] for x in leaks]})
-
+        return out
 
-def _verdict(index: Broadcast, least: float):  # noqa: ANN202
-    @F.pandas_udf(JUDGED)
-    def verdict(texts: pd.Series) -> pd.DataFrame:
-        return judge(texts, index.value, least)
 
-    return verdict
+LEAK = "item_id: bigint, bm25: double, question: double, answer: double, overlap: double"
+FOUND = "text_a long, text_b int, item_id long, bm25 double, question double, answer double, overlap double"
+
+
+def leaks(texts: list[str | None], index: Index) -> Iterator[tuple[int, int, float, float, float, float]]:
+    """(text, item_id, bm25, question, answer, overlap) of all that verification accepts, of an item's passages the best."""
+    if not index.ids:
+        return
+    for first, hashes, offsets in word_hashes(texts, letters=True):
+        best: dict[tuple[int, int], tuple[float, ...]] = {}
+        for t, start, end, item in index.passages(hashes, offsets):
+            q, a, both = index.overlap(item, hashes[start:end])
+            if index.accepts(q, a, both):
+                key = first + t, index.ids[item]
+                best[key] = max(best.get(key, (-1.0,)), (both, q, a, index.score(item, hashes[start:end])))
+        for (t, item_id), (both, q, a, bm25) in best.items():
+            yield t, item_id, bm25, q, a, both
+
+
+def _summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each distinct term of an item, and one without a term for the item itself."""
+    for batch in batches:
+        part, term, words = [], [], []
+        for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            own = item_words(text)[0]
+            if len(own):
+                distinct = np.unique(own).view(np.int64).tolist()
+                part += [k] * (len(distinct) + 1)
+                term += [None, *distinct]
+                words += [len(own)] + [0] * len(distinct)
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(term, pa.int64()), pa.array(words, pa.int64())], names=["part", "term", "words"])
+
+
+def indexed(items: DataFrame, n: int, threshold: float, least: float) -> DataFrame:
+    """(part, blob): the pickled parts of the index over ``items`` (item_id, text), each built in a task of its own."""
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).dropna()
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-size // PART_BYTES)))).cast("int"))
+    summaries = staged(rows.select("part", "text").mapInArrow(_summaries, "part int, term long, words long"), "decontam-terms")
+    count, words, longest = summaries.where("term is null").agg(F.count("*"), F.sum("words"), F.max("words")).first()
+    own = summaries.where("term is not null").groupBy("part", "term").agg(F.count("*").alias("n"))
+    terms = own.join(own.groupBy("term").agg(F.sum("n").alias("found")), "term").select("part", "term", "found")
+
+    def build(items: pa.Table, terms: pa.Table) -> pa.Table:
+        if not items.num_rows or not terms.num_rows:
+            return pa.table({"part": pa.array([], pa.int32()), "blob": pa.array([], pa.binary())})
+        items = items.sort_by([("item_id", "ascending"), ("text", "ascending")])
+        known = Statistics(count, words, longest, terms.column("term").to_numpy().view(np.uint64), terms.column("found").to_numpy())
+        index = Index(list(zip(items.column("item_id").to_pylist(), items.column("text").to_pylist(), strict=True)), n, threshold, least, known)
+        return pa.table({"part": items.column("part").slice(0, 1), "blob": pa.array([pickle.dumps(index)], pa.binary())})
+
+    built = staged(rows.groupBy("part").cogroup(terms.groupBy("part")).applyInArrow(build, "part int, blob binary"), "decontam-index")
+    dropped(summaries)
+    return built
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = 0.45, least: float = 0.6, n: int = 5) -> DataFrame:
-    """``docs`` with n_passages, contaminated and leaks (a row for each verified item, by item id)."""
-    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").dropna()
-    total = rows.count()
-    passes = max(1, -(-total // MAX_ITEMS))
-    judged, names = docs, []
-    for k in range(passes):
-        own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).orderBy("item_id", "text").collect()
-        shared = docs.sparkSession.sparkContext.broadcast(Index([(r[0], r[1]) for r in own], n, threshold, least))
-        names.append(f"__judged_{k}")
-        judged = judged.withColumn(names[-1], _verdict(shared, least)("text"))
-    out: list[Column] = [
-        F.greatest(*[F.col(f"{n}.n_passages") for n in names], F.lit(0)).alias("n_passages"),
-        F.greatest(*[F.col(f"{n}.contaminated") for n in names], F.lit(False)).alias("contaminated"),
-        F.flatten(F.array(*[F.col(f"{n}.leaks") for n in names])).alias("leaks"),
-    ]
-    return without(judged, "n_passages", "contaminated", "leaks").select("*", *out).drop(*names)
+    """``docs`` (text, ...) with contaminated and leaks (a row for each verified item, by item id)."""
+    spark = docs.sparkSession
+    index = indexed(items, n, threshold, least)
+    parts = sorted(r[0] for r in index.select("part").collect())
+    texts = docs.select(F.xxhash64("text").alias("text_a"), F.hash("text").alias("text_b"), "text")
+    found: DataFrame | None = None
+    for part in parts:
+        shared = spark.sparkContext.broadcast(index.where(F.col("part") == part).first()["blob"])
+        one = staged(texts.mapInArrow(_judging(shared), FOUND), "decontam-found")
+        shared.unpersist()
+        found = one if found is None else found.unionAll(one)
+    if found is None:
+        found = spark.createDataFrame([], FOUND)
+    leak = F.struct("item_id", "bm25", "question", "answer", "overlap")
+    best = found.groupBy("text_a", "text_b", "item_id").agg(F.max_by(leak, F.struct("overlap", "question", "answer", "bm25")).alias("leak"))
+    leaky = staged(best.groupBy("text_a", "text_b").agg(F.sort_array(F.collect_list("leak")).alias("leaks")), "decontam-leaks")
+    leaky = leaky.select(F.col("text_a").alias("__a"), F.col("text_b").alias("__b"), F.col("leaks").alias("__leaks"))
+    if leaky.count() <= BROADCAST_TEXTS:
+        leaky = F.broadcast(leaky)
+    plain = without(docs, "contaminated", "leaks")
+    judged = plain.join(leaky, (F.xxhash64(plain["text"]) == leaky["__a"]) & (F.hash(plain["text"]) == leaky["__b"]), "left")
+    none = F.from_json(F.lit("[]"), f"array<struct<{LEAK}>>")
+    return judged.select(*[plain[f"`{c}`"] for c in plain.columns], leaky["__leaks"].isNotNull().alias("contaminated"), F.coalesce(leaky["__leaks"], none).alias("leaks"))
+
+
+def _judging(shared):  # noqa: ANN001, ANN202
+    """Rows of FOUND for the texts of each batch."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index: Index = pickle.loads(shared.value)
+        for batch in batches:
+            rows = list(leaks(batch.column("text").to_pylist(), index))
+            at = pa.array([r[0] for r in rows], pa.int64())
+            columns = [batch.column("text_a").take(at), batch.column("text_b").take(at), pa.array([r[1] for r in rows], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, *[pa.array([r[k] for r in rows], pa.float64()) for k in range(2, 6)]], names=["text_a", "text_b", "item_id", "bm25", "question", "answer", "overlap"])
+
+    return lambda batches: frugal(work(batches))

@@ -11,7 +11,7 @@ from lodebar.llm import decontam
 def brute_scores(index, terms):
     total = Counter()
     for t in terms:
-        for item, w in zip(index.items[t], index.impacts[t], strict=True):
+        for item, w in zip(*index.postings(t)[:2], strict=True):
             total[item] += w
     return total
 
@@ -31,7 +31,7 @@ def test_wand_finds_all_above_the_threshold_and_no_others(items, monkeypatch):
         for _ in range(60):
             terms = sorted(rng.sample(range(len(index.vocabulary)), rng.randrange(0, 80)))
             if rng.random() < 0.5:
-                terms = sorted({*terms, *(t for t in range(len(index.vocabulary)) if rng.randrange(150) in index.items[t])})
+                terms = sorted({*terms, *(t for t in range(len(index.vocabulary)) if rng.randrange(150) in index.postings(t)[0])})
             want = {i: s for i, s in brute_scores(index, terms).items() if s >= threshold + 1e-9}
             got = dict(index.search(terms, threshold))
             assert set(want) <= set(got) and all(s >= threshold - 1e-9 for s in got.values())
@@ -71,14 +71,17 @@ def test_planted_items_are_found_and_clean_texts_left_alone(spark, items, monkey
     df = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, Leaks int")
     bench = spark.createDataFrame([*items, (None, "no id at all here now"), (900, None), (901, "...")], "item_id long, text string")
     want = brute(docs, items)
-    for most in (1_000, 40):  # one index, and several passes
-        monkeypatch.setattr(decontam, "MAX_ITEMS", most)
+    scores = []
+    for most in (1 << 20, 6_000):  # one part, and several
+        monkeypatch.setattr(decontam, "PART_BYTES", most)
         got = decontam.decontaminate(df, bench).collect()
+        scores.append(sorted((r.doc_id, r.contaminated, r.leaks) for r in got))
         assert len(got) == len(docs)
         found = {r.doc_id: {x.item_id for x in r.leaks} for r in got if r.contaminated}
         assert all(want[d] <= found.get(d, set()) for d in want)
         assert set(found) == set(want)
     assert len(want) > 45
+    assert scores[0] == scores[1]  # parts change no verdict and no score
     assert decontam.decontaminate(df.limit(0), bench).count() == 0
     assert decontam.decontaminate(df, bench.limit(0)).where("contaminated").count() == 0
 
@@ -96,19 +99,33 @@ def test_short_items_and_grams():
 
 
 def brute_by_rule(docs, items, least=0.6, n=5):
-    """Texts with ``least`` of the n-grams of an item's question or of the whole item."""
+    """Texts with ``least`` of the n-grams of an item's question or of the whole item, or of its answer and half of it of its question."""
     shingles = lambda w: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
     out = {}
     for d, text in docs:
         own = shingles(plain(text))
         for i, t in items:
-            for part in (t, t[: decontam.question_words(t)]):
-                g = shingles(plain(part))
-                if g and len(own & g) >= least * len(g):
-                    out.setdefault(d, set()).add(i)
+            q = shingles(plain(t[: decontam.question_words(t)]))
+            whole = plain(t)
+            inside = max(0, len(plain(t[: decontam.question_words(t)])) - n + 1)
+            a = {tuple(whole[j : j + n]) for j in range(inside, len(whole) - n + 1)}
+            has = lambda g, share, own=own: bool(g) and len(own & g) >= share * len(g) - 1e-9
+            if has(shingles(whole), least) or has(q, least) or (has(a, least) and has(q, least / 2)):
+                out.setdefault(d, set()).add(i)
     return out
 
 
+def test_an_answer_counts_with_a_reworded_question_only(spark):
+    w = lambda p, k: " ".join(f"{p}{i}" for i in range(k))
+    items = [(1, w("q", 24) + "\n" + w("a", 10)), (2, "one two three"), (3, w("z", 30))]
+    asks = w("q", 24).split()
+    docs = [(1, w("f", 9) + " " + w("a", 10)), (2, " ".join(asks[13:]) + " " + w("a", 10)), (3, " ".join(asks[:9]) + " x"), (4, "zero one two three four"), (5, "one two x three four")]
+    found = {r.doc_id: [x.item_id for x in r.leaks] for r in decontam.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = {d: sorted(i) for d, i in brute_by_rule(docs, items).items()}
+    assert want == {2: [1]}
+    assert found == {1: [], 2: [1], 3: [], 4: [2], 5: []}
+
+
 def test_all_that_verification_accepts_is_retrieved(spark):
     rng = random.Random(4)
     word = lambda: rng.choice(["the", "of", "in"]) if rng.random() < 0.4 else f"t{rng.randrange(900)}"
