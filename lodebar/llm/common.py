@@ -76,7 +76,7 @@ ARROW_ROWS, ARROW_BYTES = 1_000, 4 << 20
 def small_batches(spark: SparkSession) -> None:
     """Keeps batches of texts small in this session, unless its own settings are smaller: workers' memory follows their size."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)):
-        if not 0 < int(re.sub(r"\D", "", spark.conf.get(key, "0")) or 0) <= most:
+        if not 0 < int(re.sub(r"\D", "", spark.conf.get(key)) or 0) <= most:
             spark.conf.set(key, str(most))
 
 
