@@ -6,8 +6,8 @@ make up an equivalence class; it is valid if it has two tokens or more and occur
 valid classes, nested as their elements are, are the host's template. What stands between its tokens are slots: a block
 belongs to the slot of the innermost template element around it, and elements that only some pages have are data.
 
-Vectors are never built: every page sends a hash of itself and the count for each of its tokens, and these are combined by
-exclusive or, before and after the shuffle, so a host with a third of all pages is no hot group. A host's template has at
+Vectors are never built: every page sends a hash of itself and the count for each of its tokens, and these are added up,
+before and after the shuffle, so a host with a third of all pages is no hot group. A host's template has at
 most (tokens of a page) / MIN_SUPPORT tokens; it is broadcast up to BROADCAST_HOSTS hosts and joined beyond.
 
 Constant texts of the template are in no slot, wherever they stand. Of the slots that a page fills, names only choose the
@@ -17,6 +17,8 @@ form. The last rank needs a template and a page without any main element. A page
 goes by names alone; one with a main element whose texts are all constant, and with no other slot filled, too. Menus, footers, asides,
 scripts, styles, hidden parts and reader comments are in no slot, by the meaning of their elements.
 
+Texts that stand in links only are no main text by their names: an ``article`` of links is a teaser.
+
 A text is constant if it is in a valid class, in MIN_PAGES pages and in MIN_SUPPORT of the host's, or MAIN_SUPPORT where
 names call it main, so that a few copies of one article do not make it a template.
 
@@ -35,12 +37,12 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodebar.llm.common import staged, without
-from lodebar.llm.html_text import MAIN, NEUTRAL, REGAINED, Block, hashed, read
+from lodebar.llm.common import frugal, returned, staged, without
+from lodebar.llm.html_text import MAIN, NEUTRAL, REGAINED, Block, Element, hashed, read
 from lodebar.llm.url_filter import split_url
 
 #: Share of a host's pages that a token must be in.
@@ -54,14 +56,6 @@ BROADCAST_HOSTS = 200_000
 _PAGE, _TAG, _TEXT = 0, 1, 2
 
 
-def _place(block: Block) -> int:
-    return block.around[-1].path if block.around else 0
-
-
-def _label(block: Block) -> int:
-    return block.around[-1].label if block.around else NEUTRAL
-
-
 def tokens(pages: DataFrame) -> DataFrame:
     """(host, kind, token, label, n, page): every token of every page, with its count and a hash of the page and it."""
 
@@ -72,20 +66,25 @@ def tokens(pages: DataFrame) -> DataFrame:
                 blocks, counts = read(page)
                 out.append((host, _PAGE, 0, NEUTRAL, 1, hash((key, 1))))
                 out += [(host, _TAG, path, label, n, hash((key, n))) for path, (label, n) in counts.items()]
-                constant = Counter((hashed(_place(b), b.text), _label(b)) for b in blocks)
+                constant = Counter((hashed(b.element.path, b.text), b.element.label) for b in blocks)
                 out += [(host, _TEXT, t, label, n, hash((key, n))) for (t, label), n in constant.items()]
             kinds = [pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["host", "kind", "token", "label", "n", "page"])
 
     key = F.xxhash64("page_id", "url", F.octet_length("html"))
-    return pages.select(split_url("url")[0].alias("host"), key.alias("key"), "html").mapInArrow(work, "host string, kind int, token long, label int, n long, page long")
+    return pages.select(split_url("url")[0].alias("host"), key.alias("key"), "html").mapInArrow(lambda b: frugal(work(b)), "host string, kind int, token long, label int, n long, page long")
+
+
+def vector(page: str) -> Column:
+    """A token's occurrence vector: the sum over pages, so that pages that occur twice do not cancel out."""
+    return F.sum(F.col(page).cast("decimal(20,0)"))
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """(host, tags, constants) of every host: the tokens of its valid classes."""
     vectors = tokens(pages).groupBy("host", "kind", "token").agg(
-        F.max("label").alias("label"), F.count("*").alias("pages"), F.sum("n").alias("total"), F.bit_xor("page").alias("vector")
+        F.max("label").alias("label"), F.count("*").alias("pages"), F.sum("n").alias("total"), vector("page").alias("vector")
     )
     vectors = staged(vectors.where((F.col("kind") != _TEXT) | (F.col("pages") >= MIN_PAGES)), "html-vectors")
     hosts = vectors.where(F.col("kind") == _PAGE).select("host", F.col("pages").alias("host_pages"))
@@ -101,17 +100,32 @@ def templates(pages: DataFrame) -> DataFrame:
     return staged(lists, "html-templates")
 
 
+def slots_of(blocks: list[Block], tags: set[int]) -> list[int]:
+    """Each block's slot: the path of the innermost template element around it, 0 if there is none."""
+    known: dict[Element, int] = {}
+    out = []
+    for b in blocks:
+        chain, e = [], b.element
+        while e is not None and e not in known and e.path not in tags:
+            chain.append(e)
+            e = e.parent
+        slot = 0 if e is None else known.get(e, e.path)
+        known.update(dict.fromkeys(chain, slot))
+        out.append(slot)
+    return out
+
+
 def main_text(page: str | None, tags: set[int], constants: set[int], pages: int = 1) -> tuple[str, int]:
     """The text of a page's main slots, and how many slots it comes from; ``pages``: of its host."""
     blocks, counts = read(page)
-    filled = [b for b in blocks if hashed(_place(b), b.text) not in constants] if constants else blocks
-    chosen = next((c for rank in (MAIN, REGAINED, NEUTRAL) if (c := [b for b in filled if _label(b) == rank])), [])
+    filled = [b for b in blocks if hashed(b.element.path, b.text) not in constants] if constants else blocks
+    ranked = {rank: [b for b in filled if b.element.label == rank] for rank in (MAIN, REGAINED, NEUTRAL)}
+    chosen = next((c for c in ranked.values() if not all(b.linked for b in c)), []) or next((c for c in ranked.values() if c), [])
     if not chosen and pages >= MIN_PAGES:
-        chosen = [b for b in blocks if _label(b) == MAIN]
+        chosen = [b for b in blocks if b.element.label == MAIN]
         if not any(label in (MAIN, REGAINED) for label, _ in counts.values()):
-            chosen = [b for b in filled if b.around and b.around[-1].path in tags]
-    slots = {next((e.path for e in reversed(b.around) if e.path in tags), 0) for b in chosen}
-    return "\n".join(b.text for b in chosen), len(slots)
+            chosen = [b for b, slot in zip(filled, slots_of(filled, tags), strict=True) if slot and slot == b.element.path]
+    return "\n".join(b.text for b in chosen), len(set(slots_of(chosen, tags)))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -128,6 +142,7 @@ def extract(pages: DataFrame) -> DataFrame:
         for h, t, c, n in zip(page, tags, constants, pages, strict=True):
             text, slots = main_text(h, set() if t is None else set(t), set() if c is None else set(c), n)
             rows.append((text, len(text), slots))
+        returned()
         return pd.DataFrame(rows, columns=kind.names)
 
     joined = pages.withColumn("__host", split_url("url")[0]).join(template, "__host", "left")

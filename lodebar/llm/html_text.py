@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 #: What an element is by its meaning. Nothing in NOISE is read. DOUBT is what only a word of a class or id calls noise, FORM
@@ -13,10 +14,13 @@ NEUTRAL, MAIN, NOISE, DOUBT, FORM, REGAINED = range(6)
 
 # Element names of the HTML standard by what they mean here, and words that classes and ids use for parts
 # of a page.
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter output progress q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+_INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter output progress q rp rt ruby s samp small span strike strong sub sup time tt u var wbr"
+    " math menclose mfrac mi mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
+)
 _VOID = frozenset("area base br col embed hr img input keygen link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math object canvas audio video".split())
-_NOISE_NAMES = frozenset("nav footer aside menu dialog button select optgroup option datalist fieldset legend head map".split()) | _RAW
+_RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg object canvas audio video".split())
+_NOISE_NAMES = frozenset("nav footer aside menu dialog button select optgroup option datalist head map annotation annotation-xml".split()) | _RAW
 _NOISE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form".split())
 _NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies"
@@ -40,15 +44,16 @@ def hashed(*parts: object) -> int:
     return int.from_bytes(hashlib.blake2b(repr(parts).encode(), digest_size=8).digest(), "little", signed=True)
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Element:
-    """An open element: ``path`` stands for it and all around it."""
+    """An open element: ``path`` stands for it and all around it; ``parent`` is the element around it."""
 
     name: str
     path: int
     label: int
     block: bool
     inside: bool = False  # of a main element, or one itself
+    parent: Element | None = None
 
 
 ROOT = Element("", 0, NEUTRAL, True)
@@ -67,6 +72,8 @@ def _opened(parent: Element, name: str, attributes: str) -> Element:
     named = [set(_words(n)) for n in (found.get("class", "") + " " + found.get("id", "")).split()]
     own = set().union(*(n for n in named if not n & _STATE_WORDS))
     noise_words = _NOISE_WORDS & own
+    if name not in _INLINE:
+        noise_words -= {"skip"}  # links to the text are skip links; a paragraph may be called skip-first
     whole_page = name == "main" or role == "main"
     main_word = bool(_MAIN_WORDS.intersection(marks))
     main_id = bool(found.get("id")) and set(_words(found["id"])) <= _MAIN_WORDS and found["id"].replace("-", "").replace("_", "").isalpha()
@@ -89,7 +96,7 @@ def _opened(parent: Element, name: str, attributes: str) -> Element:
     elif (name == "form" or role == "form") and label != DOUBT:
         label = DOUBT if label in (MAIN, REGAINED) else FORM
     inside = parent.inside or label in (MAIN, REGAINED)
-    return Element(name, hashed(parent.path, name, sorted(set(marks))), label, name not in _INLINE, inside)
+    return Element(name, hashed(parent.path, name, sorted(set(marks))), label, name not in _INLINE, inside, parent)
 
 
 _seen: dict[tuple[Element, str, str], Element] = {}
@@ -107,36 +114,49 @@ def opened(parent: Element, name: str, attributes: str) -> Element:
 
 @dataclass
 class Block:
-    around: tuple[Element, ...]  # from the outermost
+    element: Element  # the innermost block element around
     text: str
+    linked: bool  # all of it is in links
 
 
 def read(page: str | None) -> tuple[list[Block], dict[int, tuple[int, int]]]:
-    """Blocks of text in page order, those in noise left out, and (label, count) of every block element's path."""
+    """Blocks of text in page order, those in noise left out, and (label, count) of every block element's path.
+
+    The time grows with the page's length, however deep its elements are.
+    """
     text = page or ""
     blocks: list[Block] = []
     counts: dict[int, tuple[int, int]] = {}
     stack: list[Element] = [ROOT]
+    around: list[Element] = [ROOT]  # the block elements of the stack
+    open_names: Counter[str] = Counter()
     held: list[str] = []
-    at, end = 0, len(text)
+    at, end, link, linked = 0, len(text), False, True
 
     def flush() -> None:
+        nonlocal linked
         if held:
             joined = " ".join(html.unescape("".join(held)).split())
             if joined:
-                blocks.append(Block(tuple(e for e in stack[1:] if e.block), joined))
+                blocks.append(Block(around[-1], joined, linked))
             held.clear()
+            linked = True
 
     def pop_to(k: int) -> None:
-        if any(e.block for e in stack[k:]):
+        if any(stack[i].block for i in range(k, len(stack))):
             flush()
-        del stack[k:]
+        while len(stack) > k:
+            gone = stack.pop()
+            open_names[gone.name] -= 1
+            if gone.block:
+                around.pop()
 
     while at < end:
         m = _ITEM.search(text, at)
         stop = m.start() if m else end
         if stop > at and stack[-1].label != NOISE:
             held.append(text[at:stop])
+            linked = linked and (link or text[at:stop].isspace())
         if not m:
             break
         at = m.end()
@@ -148,22 +168,21 @@ def read(page: str | None) -> tuple[list[Block], dict[int, tuple[int, int]]]:
         if not name:
             continue
         name = name.lower()
+        if name == "a":
+            link = not closing
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name == name:
-                    pop_to(k)
-                    break
+            if open_names[name] > 0:
+                pop_to(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].name == name))
             continue
         if name in _VOID:
-            if name in ("br", "img", "wbr"):
-                if stack[-1].label != NOISE and name == "br":
-                    held.append(" ")
+            if name == "br" and stack[-1].label != NOISE:
+                held.append(" ")
             elif name == "hr":
                 flush()
             continue
         if name in _RAW:
-            close = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.IGNORECASE).search(text, at)
             if not attributes.rstrip().endswith("/"):
+                close = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.IGNORECASE).search(text, at)
                 at = close.end() if close else end
             continue
         if name not in _INLINE:
@@ -178,8 +197,10 @@ def read(page: str | None) -> tuple[list[Block], dict[int, tuple[int, int]]]:
             flush()
             label, n = counts.get(element.path, (element.label, 0))
             counts[element.path] = (label, n + 1)
+            around.append(element)
         elif element.label == stack[-1].label:
             continue  # inline elements count only where they are noise
         stack.append(element)
+        open_names[name] += 1
     flush()
     return blocks, counts

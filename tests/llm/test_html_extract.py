@@ -1,3 +1,4 @@
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -75,6 +76,13 @@ def test_single_pages(html, text):
     assert he.main_text(html, set(), set())[0] == text
 
 
+def test_time_grows_with_the_length_alone():
+    for deep in ("<div>" * 50_000 + "x" + "</div>y" * 50_000, "<div>" * 50_000 + "x</p></span>" * 50_000, "<b>" * 50_000 + "x" + "</b>" * 50_000, "<iframe/>x" * 50_000):
+        began = time.process_time()
+        text, _ = he.main_text(deep, {1}, {1})
+        assert text and time.process_time() - began < 10  # quadratic readers take minutes
+
+
 def test_deep_and_long_pages():
     assert he.main_text("<div>" * 3000 + "deep" + "</div>" * 3000, set(), set())[0] == "deep"
     assert len(he.main_text("<article>" + "<p>word</p>" * 50_000, set(), set())[0]) == 5 * 50_000 - 1
@@ -90,8 +98,19 @@ def test_templates_part_constant_text_from_data(spark):
     assert he.extract(df).count() == len(rows)
     assert he.extract(df.limit(0)).count() == 0
     template = {r.host: r for r in he.templates(df).collect()}
-    x, y = (next(b for b in read(page(1))[0] if t in b.text).around for t in ("Welcome", "story"))
-    assert x[-2].path in template["a.b"].tags and y[-2].path in template["a.b"].tags and len(template["a.b"].constants) == 2
+    x, y = (next(b for b in read(page(1))[0] if t in b.text).element.parent for t in ("Welcome", "story"))
+    assert x.path in template["a.b"].tags and y.path in template["a.b"].tags and len(template["a.b"].constants) == 2
+
+
+def test_pages_that_occur_twice_make_no_classes_of_their_own(spark):
+    """Lists that are in one doubled page each do not get the same vector."""
+    lists = {1: "<ul><li>x</li></ul>", 2: "<ol><li>x</li></ol>"}
+    page = lambda i: f"<div class=a><p>t{i}</p></div>{lists.get(i, '')}"
+    rows = [(i % 4, f"http://a.b/{i % 4}", page(i % 4)) for i in range(8)]
+    tokens = he.tokens(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    seen = {r.token: r.v for r in tokens.groupBy("token").agg(he.vector("page").alias("v")).collect()}
+    one, two = (next(b for b in read(page(i))[0] if b.text == "x").element.path for i in (1, 2))
+    assert seen[one] != seen[two] and seen[one] and seen[two]
 
 
 def test_brute_force_classes(spark):
@@ -122,6 +141,14 @@ def test_brute_force_classes(spark):
         ("<div class='related'><article>y</article></div><article>x</article>", "x"),
         ("<aside class='wide'><article>y</article></aside><div class='comments'><article>z</article></div><p>x</p>", "x"),
         ("<article class='comment'>y</article><p>x</p>", "x"),
+        ("<article class='post has-comments'><p>x</p></article>", "x"),
+        ("<article class='post category-social'><p>x</p></article>", "x"),
+        ("<main class='page-with-sidebar'><p>x</p></main>", "x"),
+        ("<article><p class='skip-first'>x</p><p>y</p></article>", "x\ny"),
+        ("<article><p>a <math><mi>x</mi><mo>+</mo><mn>1</mn></math> b</p><fieldset><legend>l</legend><p>f</p></fieldset></article>", "a x+1 b\nl\nf"),
+        ("<div class=x><h1>T</h1><p>real text</p></div><div class=y><article><a href=/1>teaser</a></article></div>", "T\nreal text"),
+        ("<article><p>a</p><form><fieldset><p>mail</p></fieldset></form></article>", "a"),
+        ("<article><a href=/>only a link</a></article>", "only a link"),
     ],
 )
 def test_a_word_on_a_wrapper_does_not_swallow_the_article_below(html, text):
