@@ -1,11 +1,12 @@
 """Quality by importance resampling: how much likelier a text is under the target's words than under all text's.
 
 Two generative models are fitted over words and word pairs hashed into BUCKETS: one of the target (documents labelled
-good), one of every document. A document's log weight is the sum over its grams of the log ratio of the two. A
-selection adds Gumbel noise, scaled by a temperature, to the log weights and takes the k largest: a sample without
-replacement in proportion to weight ** (1 / temperature).
+good), one of every document. A document's log weight is the sum over its grams of the log ratio of the two. The sum of a
+long text would drown any noise, so a text of n grams counts with LENGTH / (n + LENGTH) of it: short texts with nearly all,
+long ones as LENGTH grams of their kind. A selection adds Gumbel noise, times a temperature, to these scaled weights and
+takes the k largest: a sample without replacement in proportion to exp(scaled weight / temperature).
 
-k is a stated share of the documents, or else follows from the labels: of all weights that part the labelled documents
+k is a stated share of the documents, or else follows from the labels: of all scaled weights that part the labelled documents
 the one that errs least on good and bad ones (each class counting half) is taken, and k is the number of documents of
 the whole table that reach it.
 
@@ -26,10 +27,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodebar.llm.common import staged, without
+from lodebar.llm.common import frugal, returned, staged, without
 from lodebar.llm.words import mix, sums_between, word_hashes
 
 BUCKETS = 1 << 14
+#: Grams of the standard text that long ones are scaled to.
+LENGTH = 1000
 _SHIFT = np.uint64(50)
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
 
@@ -70,7 +73,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
 
     sample = F.broadcast(_sample(labels, max_labelled))
     rows = docs.select("doc_id", "text").join(sample, "doc_id", "left").select("text", "good")
-    counts = rows.mapInArrow(count, "bucket int, target long, raw long")
+    counts = rows.mapInArrow(lambda b: frugal(count(b)), "bucket int, target long, raw long")
     return counts.groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw"))
 
 
@@ -98,6 +101,7 @@ def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
             for bucket, at in gram_buckets(hashes, offsets):
                 weight[first : first + len(at) - 1] += sums_between(shared.value[bucket], at)
                 grams[first : first + len(at) - 1] += np.diff(at)
+        returned()
         return pd.DataFrame({"log_weight": weight, "n_grams": grams})
 
     scored = docs.withColumn("__w", score("text"))
@@ -143,26 +147,31 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> float:
 
 
 def noise(id_col: str, temperature: float, seed: int) -> Column:
-    """Gumbel noise times the temperature, from a hash of the id."""
+    """Gumbel noise times the temperature, from a hash of the id; 0 where the temperature is."""
     uniform = (F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
     return F.lit(-temperature) * F.log(-F.log(uniform))
 
 
-def weighed_ids(docs: DataFrame, labels: DataFrame, temperature: float = 0.05, seed: int = 7, keep_share: float | None = None, max_labelled: int = MAX_LABELLED) -> tuple[DataFrame, np.ndarray, float]:
+def scaled_weight() -> Column:
+    """The log weight as that of a text of standard length."""
+    return F.col("log_weight") * F.lit(float(LENGTH)) / (F.col("n_grams") + F.lit(LENGTH))
+
+
+def weighed_ids(docs: DataFrame, labels: DataFrame, temperature: float = 1.0, seed: int = 7, keep_share: float | None = None, max_labelled: int = MAX_LABELLED) -> tuple[DataFrame, np.ndarray, float]:
     """(doc_id, log_weight, n_grams, key) of every document, the log ratios, and the key from which on documents are kept."""
     ratios = log_ratios(fit(docs, labels, max_labelled))
     weighed = weigh(docs.select("doc_id", "text"), ratios).select("doc_id", "log_weight", "n_grams")
-    small = staged(weighed.withColumn("key", F.col("log_weight") + noise("doc_id", temperature, seed)), "quality")
+    small = staged(weighed.withColumn("key", scaled_weight() + noise("doc_id", temperature, seed)), "quality")
     if keep_share is not None:
         k = round(keep_share * small.count())
     else:
-        labelled = small.join(F.broadcast(_sample(labels, max_labelled)), "doc_id").groupBy("doc_id").agg(F.first("good").alias("good"), F.max("log_weight").alias("w")).toPandas()
-        k = small.where(F.col("log_weight") >= F.lit(best_bound(labelled["good"].to_numpy() == 1, labelled["w"].to_numpy(float)))).count()
+        labelled = small.join(F.broadcast(_sample(labels, max_labelled)), "doc_id").groupBy("doc_id").agg(F.first("good").alias("good"), F.max(scaled_weight()).alias("w")).toPandas()
+        k = small.where(scaled_weight() >= F.lit(best_bound(labelled["good"].to_numpy() == 1, labelled["w"].to_numpy(float)))).count()
     return small, ratios, kth_largest(small, "key", k)
 
 
-def resample(docs: DataFrame, labels: DataFrame, temperature: float = 0.05, seed: int = 7, keep_share: float | None = None, max_labelled: int = MAX_LABELLED) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, temperature: float = 1.0, seed: int = 7, keep_share: float | None = None, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """``docs`` with log_weight, n_grams, key and keep; every column of ``docs`` stays, and nothing is shuffled for it."""
     _, ratios, least = weighed_ids(docs, labels, temperature, seed, keep_share, max_labelled)
-    keyed = without(weigh(docs, ratios), "key", "keep").withColumn("key", F.col("log_weight") + noise("doc_id", temperature, seed))
+    keyed = without(weigh(docs, ratios), "key", "keep").withColumn("key", scaled_weight() + noise("doc_id", temperature, seed))
     return keyed.withColumn("keep", F.col("key") >= F.lit(least))

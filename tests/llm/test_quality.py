@@ -45,12 +45,31 @@ def test_weights_and_selection(spark, corpus):
     want = plain_weights(corpus, {i for i in range(100) if i % 5})
     assert len(got) == len(corpus) and all(math.isclose(got[i].log_weight, want[i], abs_tol=1e-6) for i in want)
     assert all(got[i].keep == (i % 5 > 0) for i in range(200)) and got[202].keep
-    n = quality.resample(docs, labels, keep_share=0.25, temperature=1.0).where("keep").count()
+    n = quality.resample(docs, labels, keep_share=0.25).where("keep").count()
     assert n == round(0.25 * len(corpus))
     assert quality.resample(docs, labels.limit(0)).where("not keep").count() == 0
     assert quality.resample(docs.limit(0), labels).count() == 0
 
 
+@pytest.mark.parametrize("temperature", [0.0, 1.0, 5.0])
+def test_kept_rows_are_the_gumbel_top_k(spark, temperature):
+    """Keys and kept rows against plain Python; at a temperature of 1 noise already decides about some."""
+    rng = random.Random(3)
+    docs = [(i, " ".join(rng.choice(GOOD + BAD[: i % 6]) for _ in range(rng.randrange(1, 400)))) for i in range(300)]
+    labels = [(i, int(i % 6 < 3), 0) for i in range(0, 300, 2)]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = quality.resample(*frames, temperature=temperature, keep_share=0.3).collect()
+    weights = plain_weights(docs, {i for i, good, _ in labels if good})
+    words = {i: len(t.split()) for i, t in docs}
+    scaled = {i: w * quality.LENGTH / (2 * words[i] - 1 + quality.LENGTH) for i, w in weights.items()}
+    noise = {r.doc_id: r.n for r in frames[0].select("doc_id", quality.noise("doc_id", 1.0, 7).alias("n")).collect()}
+    top = sorted(scaled, key=lambda i: -(scaled[i] + temperature * noise[i]))[:90]
+    assert {r.doc_id for r in got if r.keep} == set(top)
+    largest = set(sorted(scaled, key=lambda i: -scaled[i])[:90])
+    assert (set(top) == largest) == (temperature == 0)
+    assert abs(np.mean(list(noise.values())) - 0.577) < 0.25 and 1.0 < np.std(list(noise.values())) < 1.6
+
+
 def test_kth_largest(spark):
     rng = random.Random(4)
     values = [rng.choice([rng.gauss(0, 1), 1e-9 * rng.random(), 2.0, -1e300, 5e-324]) for _ in range(3000)]
