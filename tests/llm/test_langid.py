@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from lodebar.llm import langid
 
@@ -21,17 +22,62 @@ def plain_shares(p, count, members, rounds):
     return share
 
 
-def test_shares_agree_with_plain_em():
+def plain_set(p, count, penalty, rounds):
+    """The chosen set and its shares, for one text: sets of the largest shares as long as one more language pays."""
+    k = p.shape[1]
+    full = plain_shares(p, count, list(range(k)), rounds)
+    ranked = sorted(range(k), key=lambda i: -full[i])
+    single = (count[:, None] * np.log(p)).sum(axis=0)
+    best, value = {int(single.argmax()): 1.0}, single.max()
+    for size in range(2, k + 1):
+        members = ranked[:size]
+        if full[members[-1]] <= 0.01:
+            break
+        share = full[members] / full[members].sum()
+        for _ in range(rounds // 2):
+            r = share * p[:, members]
+            share = (r / r.sum(axis=1, keepdims=True) * count[:, None]).sum(axis=0)
+            share = share / share.sum()
+        now = (count * np.log(p[:, members] @ share)).sum() - (size - 1) * penalty * np.log(count.sum())
+        if now <= value:
+            break
+        best, value = dict(zip(members, share, strict=True)), now
+    return best
+
+
+@pytest.mark.parametrize("cells", [1 << 20, 300])
+def test_chosen_sets_agree_with_plain_em(cells, monkeypatch):
+    """Every text's set and shares against the plain loop; in slices of languages and runs of texts too."""
+    monkeypatch.setattr(langid, "CELLS", cells)
     rng = np.random.default_rng(1)
-    m = langid.Mixture(["a", "b", "c"], rng.integers(0, 50, (3, langid.BUCKETS)).astype(float), rounds=12)
-    offsets, bucket, count = np.array([0, 0, 40, 90]), rng.integers(0, langid.BUCKETS, 90), rng.integers(1, 4, 90).astype(float)
-    doc, at = np.repeat([0, 1], [40, 50]), np.array([0, 40])
-    got, fit = m._fit(np.full((2, 3), 1 / 3), doc, at, m.p[bucket], count, 12)
-    for i, rows in enumerate((slice(0, 40), slice(40, 90))):
-        want = plain_shares(m.p[bucket[rows]], count[rows], [0, 1, 2], 12)
-        assert np.allclose(got[i], want)
-        assert np.isclose(fit[i], (count[rows] * np.log(m.p[bucket[rows]] @ want)).sum())
-    assert m.shares(offsets, bucket, count)[0].tolist() == [0, 0, 0]
+    counts = rng.integers(0, 50, (6, langid.BUCKETS)) * (rng.random((6, langid.BUCKETS)) < 0.3)
+    p = ((counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * langid.BUCKETS)).T.astype(np.float32)
+    m = langid.Mixture(list("abcdef"), p, rounds=12)
+    offsets, buckets, number = [0, 0], [], []
+    for _ in range(60):
+        weight = rng.dirichlet(np.full(6, 0.3)) if rng.random() < 0.7 else np.eye(6)[rng.integers(6)]
+        drawn, n = np.unique(rng.choice(langid.BUCKETS, rng.integers(1, 400), p=(p @ weight).astype(float) / (p @ weight).astype(float).sum()), return_counts=True)
+        buckets.append(drawn)
+        number.append(n.astype(float))
+        offsets.append(offsets[-1] + len(drawn))
+    got = m.shares(np.array(offsets), np.concatenate(buckets), np.concatenate(number))
+    assert got[0] == [] and len({len(g) for g in got}) > 3
+    for found, bucket, count in zip(got[1:], buckets, number, strict=True):
+        want = plain_set(p[bucket].astype(float), count, m.penalty, 12)
+        assert {i for i, _ in found} == set(want) and all(np.isclose(s, want[i]) for i, s in found)
+        assert [s for _, s in found] == sorted((s for _, s in found), reverse=True)
+
+
+def test_more_than_a_thousand_languages(spark):
+    def own(i):
+        rng = random.Random(i)
+        return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(4))
+
+    rows = [(f"l{i:04}", int(b), 40) for i in range(1200) for b in langid._buckets(own(i).encode())]
+    model = spark.createDataFrame(rows, "lang string, bucket int, n long").dropDuplicates(["lang", "bucket"])
+    texts = [(i, (own(i) + " ") * 9) for i in (3, 700, 1199)]
+    got = langid.predict(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()
+    assert sorted((r.doc_id, r.lang_pred) for r in got) == [(i, f"l{i:04}") for i, _ in texts]
 
 
 def test_learns_predicts_and_splits_mixtures(spark):
