@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodebar.llm.common import dropped, frugal, staged
+from lodebar.llm.common import dropped, frugal, returned, staged
 from lodebar.llm.components import components
 from lodebar.llm.words import mix, word_hashes
 
@@ -277,6 +277,8 @@ def _tiles(percent: int):  # noqa: ANN202
         head = np.ones(len(tile), bool)
         head[1:] = (tile[1:] != tile[:-1]) | (band[1:] != band[:-1])
         leader = sid[np.maximum.accumulate(np.where(head, np.arange(len(tile)), 0))] if len(tile) else sid
+        del found, back, count, sets, sizes, tokens, of, order, head
+        returned()
         return pa.table({"tile": tile, "sid": sid, "n": pa.array(n, pa.int32()), "band": pa.array(band, pa.int32()), "leader": leader})
 
     return tiles

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodebar.llm.common import staged
+from lodebar.llm.common import frugal, staged
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
@@ -152,7 +152,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, length: int = 2048, end_id: int
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lambda b: frugal(cut(b)), PIECES)
 
 
 class BestFit:
@@ -232,11 +232,11 @@ def pack(docs: DataFrame, tokenizer_file: str, length: int = 2048, open_bins: in
     cut = pieces(docs, tokenizer_file, length, end_id, table_words)
     order = [F.xxhash64("doc_id", "piece"), F.col("doc_id"), F.col("piece")]
     dealt = cut.repartition(order[0]).sortWithinPartitions(*order)
-    first = staged(dealt.mapInArrow(lambda b: _packed(b, length, open_bins, 0, False), PLACED), "packed")
+    first = staged(dealt.mapInArrow(lambda b: frugal(_packed(b, length, open_bins, 0, False)), PLACED), "packed")
     left = first.where("sequence_id is null").select(*PLACED_COLUMNS[:5])
     tasks = max(1, left.count() // per_task)
     again = left.repartition(tasks, order[0]).sortWithinPartitions(F.desc("length"), *order)
-    rest = again.mapInArrow(lambda b: _packed(b, length, open_bins, 1 << 62, True), PLACED)
+    rest = again.mapInArrow(lambda b: frugal(_packed(b, length, open_bins, 1 << 62, True)), PLACED)
     return first.where("sequence_id is not null").unionByName(rest)
 
 

@@ -31,7 +31,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodebar.llm.common import scratch_path, staged
+from lodebar.llm.common import frugal, scratch_path, staged
 
 MIN_REVISIT = 100
 #: An archive ends when its records take so many bytes; a record is never split.
@@ -252,7 +252,7 @@ def write_archives(pages: DataFrame, folder: str, zip64: bool = False, archive_b
         if data:
             yield close()
 
-    return staged(named.mapInArrow(work, "path string, records long, bytes long"), "warc-manifest")
+    return staged(named.mapInArrow(lambda b: frugal(work(b)), "path string, records long, bytes long"), "warc-manifest")
 
 
 def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
@@ -278,7 +278,7 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    return manifest.select("path").repartition(max(1, n)).mapInArrow(work, RECORDS)
+    return manifest.select("path").repartition(max(1, n)).mapInArrow(lambda b: frugal(work(b)), RECORDS)
 
 
 def packed_and_read(pages: DataFrame, payloads: bool = True) -> DataFrame:
