@@ -54,6 +54,16 @@ def trading_date(ts: Column) -> Column:
     return F.to_date(ts)
 
 
+def bar_date(end: Column) -> Column:
+    """The day that a bar's time lies in: a bar that ends at midnight belongs to the day before."""
+    return F.to_date(end - F.expr("INTERVAL 1 MICROSECOND"))
+
+
+def other_date(ts: Column, date: Column) -> Column:
+    """Whether an instant isn't on the date that is being worked on."""
+    return trading_date(ts) != date
+
+
 def in_session(end: Column, first: str, last: str) -> Column:
     """Whether a bar's end lies in a trading session given as HHmm texts, both included."""
     return F.date_format(end, "HHmm").between(first, last)

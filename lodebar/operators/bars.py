@@ -2,7 +2,8 @@
 
 All of it is clustered by symbol: aggregation, the look back to the previous bar and the stretch of bars that a state
 holds for share one exchange. Gaps are filled by giving every bar of a symbol the run of grid bars until its next one, so
-there is no product of bars and symbols to begin with, and no state is ever taken from a later bar.
+there is no product of bars and symbols to begin with, and no state is ever taken from a later bar. What one day leaves
+to the next is a parameter: prices are carried over midnight, volumes and quotes start anew unless asked for.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodebar.functions.prices import scaled, trade_flag
-from lodebar.functions.timebars import bar_end
+from lodebar.functions.timebars import bar_date, bar_end
+from lodebar.operators.sinks import staged
 
 #: Grids up to so many bars are broadcast (a year of minutes has 525,600); longer ones are joined by a shuffle.
 BROADCAST_BARS = 2_000_000
@@ -30,11 +32,12 @@ def last_by(order: tuple[str, ...], *columns: str) -> Column:
     return F.max_by(F.struct(*columns), F.struct(*order))
 
 
-def ohlcv(ticks: DataFrame, unit: str = "minute", first_seen: str = "self") -> DataFrame:
+def ohlcv(ticks: DataFrame, unit: str = "minute", first_seen: str = "self", carry_across_days: bool = False) -> DataFrame:
     """One row for each bar and symbol that has ticks: open, high, low, close by arrival, and differenced volumes.
 
-    Volume and amount are what the cumulative ones have grown by since the symbol's previous bar, not below 0. A
-    symbol's first bar has none to compare with: ``self`` gives it 0, ``start`` counts from its first tick, ``zero`` from 0.
+    Volume and amount are what the cumulative ones have grown by since the symbol's previous bar of the same day (or of
+    any day, with ``carry_across_days``), not below 0. A first bar has none to compare with: ``self`` gives it 0,
+    ``start`` counts from its first tick, ``zero`` from 0.
     """
     if first_seen not in ("self", "start", "zero"):
         raise ValueError(f"unknown first_seen {first_seen!r}")
@@ -48,7 +51,7 @@ def ohlcv(ticks: DataFrame, unit: str = "minute", first_seen: str = "self") -> D
         F.max("seqno").alias("seqno"),
         F.bool_or(F.col("lasttradeqty") > 0).alias("any_quantity"),
     )
-    before = Window.partitionBy("symbol").orderBy("bar")
+    before = Window.partitionBy("symbol", *([] if carry_across_days else [bar_date(F.col("bar"))])).orderBy("bar")
     since = {"self": "tail", "start": "head"}.get(first_seen)
 
     def grown(column: str) -> Column:
@@ -63,35 +66,46 @@ def ohlcv(ticks: DataFrame, unit: str = "minute", first_seen: str = "self") -> D
 
 
 def grid(*bars: DataFrame) -> DataFrame:
-    """(bar, at) of all distinct bars, counted in order. As many rows as there are bars, whatever the symbols."""
+    """(bar, at, day_end) of all distinct bars, counted in order; day_end is the place of the next day's first bar.
+
+    As many rows as there are bars, whatever the symbols; they are written once, since every user of a grid reads it twice.
+    """
     every = bars[0].select("bar")
     for b in bars[1:]:
         every = every.unionAll(b.select("bar"))
-    return every.distinct().select("bar", (F.row_number().over(Window.orderBy("bar")) - 1).alias("at"))
+    placed = every.distinct().select("bar", (F.row_number().over(Window.orderBy("bar")) - 1).alias("at"))
+    return staged(placed.withColumn("day_end", F.max("at").over(Window.partitionBy(bar_date(F.col("bar")))) + 1), "grid")
+
+
+def small(bars: DataFrame) -> DataFrame:
+    """A table of bars, to be broadcast if it has BROADCAST_BARS rows at most."""
+    return F.broadcast(bars) if bars.count() <= BROADCAST_BARS else bars
 
 
-def carried(states: DataFrame, bars: DataFrame) -> DataFrame:
+def carried(states: DataFrame, bars: DataFrame, across_days: bool = True, shown: DataFrame | None = None) -> DataFrame:
     """``states`` (symbol, bar, ...) for every grid bar from a symbol's first on: its own row, then that one until the next.
 
-    ``held`` says whether a row is carried; ``bar`` is the grid's bar.
+    ``held`` says whether a row is carried; ``bar`` is the grid's bar. Without ``across_days`` a row is carried to the end
+    of its day. ``shown`` (bar) are the grid's bars that come out, all by default.
     """
-    placed = states.join(bars, "bar")
-    after = F.lead("at").over(Window.partitionBy("symbol").orderBy("at"))
-    last = bars.agg((F.max("at") + 1).alias("end"))
-    run = F.sequence(F.col("at"), F.col("until") - 1)
-    spread = placed.withColumn("next", after).join(F.broadcast(last)).withColumn("until", F.coalesce("next", "end")).withColumn("in", F.explode(run))
-    named = bars.select(F.col("at").alias("in"), F.col("bar").alias("grid_bar"))
-    return spread.join(named, "in").withColumn("held", F.col("in") > F.col("at")).drop("bar", "at", "next", "end", "until", "in").withColumnRenamed("grid_bar", "bar")
+    end = (bars.agg(F.max("at")).first()[0] or 0) + 1
+    grid_bars = small(bars)
+    after = F.coalesce(F.lead("at").over(Window.partitionBy("symbol").orderBy("at")), F.lit(end))
+    placed = states.join(grid_bars, "bar").withColumn("until", after)
+    until = F.col("until") if across_days else F.least("until", "day_end")
+    spread = placed.withColumn("in", F.explode(F.sequence(F.col("at"), until - 1))).withColumn("held", F.col("in") > F.col("at")).drop("bar", "at", "day_end", "until")
+    out = bars if shown is None else bars.join(shown.select("bar").distinct(), "bar", "left_semi")
+    return spread.join(small(out.select(F.col("at").alias("in"), "bar")), "in").drop("in")
 
 
-def kline(ticks: DataFrame, names: DataFrame, unit: str = "minute", first_seen: str = "self", full: bool = True) -> DataFrame:
+def kline(ticks: DataFrame, names: DataFrame, unit: str = "minute", first_seen: str = "self", full: bool = True, carry_across_days: bool = False) -> DataFrame:
     """Bars with gaps filled by flat bars at the last price; without ``full`` only symbols with ticks in the bar."""
-    own = ohlcv(ticks, unit, first_seen)
-    filled = carried(own, grid(own)) if full else own.withColumn("held", F.lit(False))
+    own = named(ohlcv(ticks, unit, first_seen, carry_across_days), names)
+    filled = carried(own, grid(with_bar(ticks, unit))) if full else own.withColumn("held", F.lit(False))
     held, last = F.col("held"), scaled(F.col("lastprice"), F.col("decimal"))
     flat = lambda c: F.when(held, last).otherwise(F.col(c)).alias(c)
     none = lambda c: F.when(held, 0).otherwise(F.col(c)).alias(c)
-    return named(filled, names).select(
+    return filled.select(
         "bar", "symbol", "name", "seqno", *[flat(c) for c in ("open", "high", "low", "close")], none("volume").cast("long").alias("volume"), none("amount").cast("double").alias("amount"),
         none("count").cast("long").alias("count"), F.when(held, "N").otherwise(trade_flag(F.col("volume"), F.col("any_quantity"))).alias("trade_flag"),
         F.when(held, "N").otherwise("Y").alias("update_flag"),
@@ -111,8 +125,8 @@ def snapshot(ticks: DataFrame, names: DataFrame, unit: str = "minute", full: boo
         return own
     columns = [c for c in ticks.columns if c != "symbol"]
     last = rows.groupBy("symbol", "bar").agg(last_by(("seqno",), *columns).alias("r"))
-    held = carried(last, grid(last)).where("held").select("symbol", "bar", *[F.col(f"r.{c}") for c in columns], F.lit("N").alias("update_flag"))
-    return own.unionByName(named(held, names))
+    held = carried(named(last, names), grid(rows)).where("held").select("symbol", "bar", "name", *[F.col(f"r.{c}") for c in columns], F.lit("N").alias("update_flag"))
+    return own.unionByName(held)
 
 
 def latest(rows: DataFrame, *order: str) -> DataFrame:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodebar.operators.sinks import staged
+
+#: Tasks over which a busy bar's late rows are dealt, and arrivals of a key that one task looks through.
+SALTS, STRETCH = 32, 1 << 20
+
 
 def late_split(rows: DataFrame, flushed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(on time, late): rows of bars that have been emitted already are late."""
@@ -13,10 +18,14 @@ def late_split(rows: DataFrame, flushed: DataFrame) -> tuple[DataFrame, DataFram
 
 
 def capped(late: DataFrame, cap: int) -> DataFrame:
-    """The first ``cap`` late rows of each bar by arrival, and how many there were: that limit is a feature of the feed."""
-    w = Window.partitionBy("bar")
-    ranked = late.withColumn("place", F.row_number().over(w.orderBy("seqno"))).withColumn("of", F.count("*").over(w))
-    return ranked.where(F.col("place") <= cap)
+    """The first ``cap`` late rows of each bar by arrival, and how many there were: that limit is a feature of the feed.
+
+    A busy bar's rows are dealt over SALTS tasks first, each of which keeps its own first ones.
+    """
+    place = lambda *keys: F.row_number().over(Window.partitionBy("bar", *keys).orderBy("seqno"))
+    salt = F.pmod(F.xxhash64("seqno"), F.lit(SALTS))
+    own = late.withColumn("place", place(salt)).where(F.col("place") <= cap).withColumn("place", place())
+    return own.where(F.col("place") <= cap).join(late.groupBy("bar").agg(F.count("*").alias("of")), "bar")
 
 
 def late_statistics(late: DataFrame) -> DataFrame:
@@ -31,10 +40,28 @@ def three_way(ticks: DataFrame, quotes: DataFrame, committed: DataFrame) -> Data
     return every.select("bar", F.when(inside & F.col("c"), "complete").when(inside, "missing").otherwise("extra").alias("status"))
 
 
+def most_before(rows: DataFrame, column: str, key: str, order: str, stretch: Column, name: str) -> DataFrame:
+    """``rows`` with the largest ``column`` of all rows of the same key that come before by ``order``, null for the first.
+
+    ``stretch`` grows with ``order``: a busy key is worked on stretch by stretch, in tasks of their own, and what the
+    stretches before have reached is found from one row for each.
+    """
+    cut = rows.withColumn("__stretch", stretch)
+    so_far = Window.partitionBy(key).orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
+    reached = cut.groupBy(key, "__stretch").agg(F.max(column).alias("__most")).withColumn("__most", F.max("__most").over(so_far))
+    inside = F.max(column).over(Window.partitionBy(key, "__stretch").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    return cut.withColumn(name, inside).join(reached, [key, "__stretch"]).withColumn(name, F.greatest(name, "__most")).drop("__stretch", "__most")
+
+
+def by_arrival(order: str = "seqno") -> Column:
+    """Stretches of STRETCH arrivals."""
+    return F.floor(F.col(order) / F.lit(STRETCH))
+
+
 def running_watermark(rows: DataFrame) -> DataFrame:
     """Per symbol and arrival, the newest bar seen so far (``watermark``) and whether the row came behind it."""
-    w = Window.partitionBy("symbol").orderBy("seqno").rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("watermark", F.max("bar").over(w)).withColumn("behind", F.col("bar") < F.col("watermark"))
+    seen = most_before(rows, "bar", "symbol", "seqno", by_arrival(), "watermark")
+    return seen.withColumn("watermark", F.greatest("watermark", "bar")).withColumn("behind", F.col("bar") < F.col("watermark"))
 
 
 def bar_numbers(bars: DataFrame) -> DataFrame:
@@ -49,8 +76,6 @@ def arrival_numbers(rows: DataFrame, *order: str) -> DataFrame:
     Rows are range-partitioned by arrival; each partition counts its own, and starts after all before it. The first pass
     is written so that both passes see the same ranges.
     """
-    from lodebar.operators.sinks import staged
-
     ranged = staged(rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "arrival")
     sizes = ranged.groupBy("__part").count()
     starts = sizes.select("__part", (F.sum("count").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("count")).alias("__start"))
@@ -58,10 +83,9 @@ def arrival_numbers(rows: DataFrame, *order: str) -> DataFrame:
     return ranged.join(F.broadcast(starts), "__part").withColumn("number", own + F.col("__start")).drop("__part", "__start")
 
 
-def increasing(rows: DataFrame, column: str, key: str, order: str) -> DataFrame:
-    """Rows whose ``column`` is larger than all before it of the same key."""
-    before = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("__most", F.max(column).over(before)).where(F.col("__most").isNull() | (F.col(column) > F.col("__most"))).drop("__most")
+def increasing(rows: DataFrame, column: str, key: str, order: str, stretch: Column) -> DataFrame:
+    """Rows whose ``column`` is larger than all before it of the same key; ``stretch`` as in ``most_before``."""
+    return most_before(rows, column, key, order, stretch, "__before").where(F.col("__before").isNull() | (F.col(column) > F.col("__before"))).drop("__before")
 
 
 def not_increasing(rows: DataFrame, column: str, key: str, order: str) -> DataFrame:

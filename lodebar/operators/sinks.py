@@ -8,15 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodebar.functions.timebars import bar_key
+from lodebar.functions.timebars import bar_key, key_to_end
 
 _own: dict[str, str] = {}
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new path in the folder that spark.checkpoint.dir names; in one of this machine's where that is unset."""
+    """A new path in the folder that spark.checkpoint.dir names; where that is unset and Spark runs in this process alone, in one of this machine's."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not (master := spark.sparkContext.master or "").startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = _own.setdefault(spark.sparkContext.applicationId, "")
         if not base:
             base = _own[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="spark-work-")
@@ -46,6 +48,44 @@ def write_product(rows: DataFrame, path: str, kind: str = "parquet") -> None:
         out.parquet(path)
 
 
-def append_late(rows: DataFrame, path: str) -> None:
-    """Adds late rows to their bars' partitions; bars themselves are not revised."""
-    partitioned(rows).drop("bar").write.mode("append").partitionBy("year", "date", "hhmm").parquet(path)
+def append_late(rows: DataFrame, path: str, batch: int) -> None:
+    """Adds a batch's late rows beside their bars; bars themselves are not revised, and a batch that runs again adds nothing."""
+    ready = partitioned(rows).drop("bar").withColumn("batch", F.lit(batch))
+    ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "date", "hhmm", "batch").parquet(f"{path}-late")
+
+
+def read_product(spark: SparkSession, path: str) -> DataFrame:
+    """A product's rows and the late ones added to it."""
+    own = spark.read.parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}-late")
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        return own
+    return own.unionByName(spark.read.parquet(f"{path}-late").drop("batch"))
+
+
+def produced_bars(spark: SparkSession, path: str) -> DataFrame:
+    """(bar) of the bars that a product on disk has: what a restart need not make again."""
+    return spark.read.parquet(path).select("date", "hhmm").distinct().select(key_to_end(F.concat(F.col("date").cast("string"), F.lpad(F.col("hhmm").cast("string"), 4, "0"))).alias("bar"))
+
+
+def latest_from(spark: SparkSession, path: str, until: str | None = None) -> DataFrame:
+    """The last row of each symbol by time and arrival in a written snapshot product, up to the bar key ``until``."""
+    rows = read_product(spark, path)
+    if until is not None:
+        rows = rows.where(F.concat(F.col("date").cast("string"), F.lpad(F.col("hhmm").cast("string"), 4, "0")) <= until)
+    columns = [c for c in rows.columns if c not in ("symbol", "year", "date", "hhmm")]
+    order = [c for c in ("ts", "rcvtime", "seqno") if c in columns]
+    return rows.groupBy("symbol").agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("r")).select("symbol", "r.*")
+
+
+# The text products' columns in order.
+SNAPSHOT_TEXT = (
+    "seqno symbol name time preclose lastprice open high low close lasttradeprice lasttradeqty totalvol totalamount sessionid tradetype status direction pflag"
+    " decimal vwap shortsellflag rcvtime update_flag"
+).split()
+ORDER_TEXT = "seqno symbol time bidprice bidsize askprice asksize decimal rcvtime".split()
+
+
+def text_rows(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` with ``line``: the columns as one line of the text product, whole numbers as they came."""
+    return rows.withColumn("line", F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))

@@ -1,7 +1,8 @@
 """The wide product: one row for each symbol and bar with its first tick, its first quote and the instrument's limits.
 
 A symbol without a tick (or quote) in a bar has the last one before; the two sides meet in a full outer join, so that a
-symbol with only one of them has its row too. Bars are those with ticks; quotes of other bars are carried to the next.
+symbol with only one of them has its row too. Bars are those with ticks; quotes of other bars are carried to the next, but
+not over midnight unless asked for. Bars are numbered from 1 on each day.
 """
 
 from __future__ import annotations
@@ -10,9 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodebar.functions.prices import intraday_return, number_text, price_or_null, scaled, short_flag
-from lodebar.functions.timebars import local_time, update_time
-from lodebar.operators.bars import carried, first_by, grid, last_by, with_bar
+from lodebar.functions.timebars import bar_date, local_time, update_time
+from lodebar.operators.bars import carried, first_by, grid, last_by, small, with_bar
 from lodebar.operators.instruments import with_limits
+from lodebar.operators.sinks import staged
 
 # The product's columns in order. Those of the book's levels 2 to 10 and a few others are always empty.
 COLUMNS = (
@@ -24,22 +26,23 @@ COLUMNS = (
 TYPE = "69"
 
 
-def first_or_held(rows: DataFrame, unit: str, bars: DataFrame) -> DataFrame:
-    """(symbol, bar, r) for all bars of the grid: the first row in the bar, else the last one before it."""
+def first_or_held(rows: DataFrame, unit: str, bars: DataFrame, across_days: bool, shown: DataFrame) -> DataFrame:
+    """(symbol, bar, r) for the bars shown: the first row in the bar by time, receipt and arrival, else the last one before it."""
     columns = [c for c in rows.columns if c != "symbol"]
-    order = ("ts", "seqno")
+    order = tuple(c for c in ("ts", "rcvtime", "seqno") if c in columns)
     both = with_bar(rows, unit).groupBy("symbol", "bar").agg(first_by(order, *columns).alias("first"), last_by(order, *columns).alias("last"))
-    return carried(both, bars).select("symbol", "bar", F.when(F.col("held"), F.col("last")).otherwise(F.col("first")).alias("r"))
+    return carried(both, bars, across_days, shown).select("symbol", "bar", F.when(F.col("held"), F.col("last")).otherwise(F.col("first")).alias("r"))
 
 
-def rows(ticks: DataFrame, quotes: DataFrame, instruments: DataFrame, unit: str = "minute") -> DataFrame:
+def rows(ticks: DataFrame, quotes: DataFrame, instruments: DataFrame, unit: str = "minute", carry_quotes_across_days: bool = False) -> DataFrame:
     """Typed columns under the product's names, and bar; nulls where the text product says NA."""
     tick_bars = with_bar(ticks, unit).select("bar").distinct()
     every = grid(tick_bars, with_bar(quotes, unit))
-    seq = tick_bars.select("bar", F.row_number().over(Window.orderBy("bar")).alias("seq"))
-    t = first_or_held(ticks, unit, every).join(F.broadcast(seq.select("bar")), "bar", "left_semi").withColumnRenamed("r", "t")
-    q = first_or_held(quotes, unit, every).join(F.broadcast(seq.select("bar")), "bar", "left_semi").withColumnRenamed("r", "q")
-    both = with_limits(t.join(q, ["symbol", "bar"], "full_outer"), instruments).join(F.broadcast(seq), "bar")
+    number = F.row_number().over(Window.partitionBy(bar_date(F.col("bar"))).orderBy("bar"))
+    seq = staged(tick_bars.select("bar", number.alias("seq")), "bars")
+    t = first_or_held(ticks, unit, every, True, seq).withColumnRenamed("r", "t")
+    q = first_or_held(quotes, unit, every, carry_quotes_across_days, seq).withColumnRenamed("r", "q")
+    both = with_limits(t.join(q, ["symbol", "bar"], "full_outer"), instruments).join(small(seq), "bar")
     d = F.col("t.decimal")
     price = lambda c: price_or_null(F.col(f"t.{c}"), d)
     at, ticked = F.coalesce("t.ts", "q.ts"), F.col("t").isNotNull()

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodebar.functions import prices, timebars
-from lodebar.operators import bars, control, instruments, wide
+from lodebar.operators import bars, control, instruments, sinks, wide
 from lodebar.plans import sqltext as s
 from lodebar.sources import feeds, tables
 from lodebar.streaming import queries as streams
@@ -85,15 +85,17 @@ def bar_limits(spark: SparkSession, d: str) -> DataFrame:
 # ---- text feeds
 
 
-def _tick_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Event rows written as lines of the tick feed, every 50th spoilt in one of four ways."""
+def _tick_lines(spark: SparkSession, d: str, doubtful: bool = False) -> DataFrame:
+    """Event rows written as lines of the tick feed, every 50th spoilt in one of four ways; ``doubtful``: some values wrong, too."""
     t = tables.raw_ticks(spark, d)
     n = F.col("seqno")
     spoilt = F.when(n % 200 == 50, "").when(n % 200 == 100, "x").otherwise(F.col("symbol"))
     time = F.when(n % 200 == 150, F.lit("12:00")).otherwise(timebars.digits(F.col("ts")).cast("string"))
     tail = F.when(n % 200 == 0, F.lit(",1")).otherwise(F.lit(""))
     decimal = F.when(n % 11 == 0, 9).otherwise(2)
-    fields = [spoilt, time, F.lit(0), F.col("lastprice"), *[F.lit(0)] * 5, F.col("lasttradeqty"), F.lit(7), F.lit(8), F.lit(1), F.lit(""), F.lit("T"), F.lit(0), F.lit("Y"), decimal, F.lit(0), F.col("shortsellflag"), F.lit(0)]
+    wrong = lambda every, value, right: F.when(n % every == 0, value).otherwise(right) if doubtful else right
+    price, volume, status = wrong(37, F.lit(-1), F.col("lastprice")), wrong(41, F.lit(-7), F.lit(7)), wrong(43, F.lit("Z"), F.lit("T"))
+    fields = [spoilt, time, F.lit(0), price, *[F.lit(0)] * 5, F.col("lasttradeqty"), volume, F.lit(8), F.lit(1), F.lit(""), status, F.lit(0), F.lit("Y"), decimal, F.lit(0), F.col("shortsellflag"), F.lit(0)]
     return t.select("seqno", F.concat(F.concat_ws(",", *[f.cast("string") for f in fields]), tail).alias("line"))
 
 
@@ -121,18 +123,21 @@ def quotes_typed(spark: SparkSession, d: str) -> DataFrame:
     return good.select("seqno", "symbol", timebars.bar_key(F.col("ts")).alias("minute"), "bidprice", "bidsize", "askprice", "asksize", "decimal", "rcvtime")
 
 
-@query(f"WITH {RAW} SELECT symbol, name, market, limitup, limitdown, decimal FROM irows WHERE seqno % 2 = 0")
+@query(f"WITH {RAW} SELECT symbol, name, market, limitup, limitdown, decimal FROM irows")
 def instruments_typed(spark: SparkSession, d: str) -> DataFrame:
-    rows = tables.instrument_rows(spark, d).where("seqno % 2 = 0")
+    rows = tables.instrument_rows(spark, d)
     blank = F.lit("")
-    fields = ["symbol", "market", blank, "name", blank, blank, blank, blank, blank, blank, blank, "limitup", "limitdown", blank]
+    decimal = F.when(F.col("decimal") == 2, "").otherwise(F.col("decimal").cast("string"))  # blank takes the default
+    fields = ["symbol", "market", blank, "name", blank, blank, blank, blank, blank, blank, blank, "limitup", "limitdown", decimal]
     lines = rows.select(F.concat_ws(",", *[(F.col(f) if isinstance(f, str) else f).cast("string") for f in fields]).alias("line"))
     return feeds.accepted(feeds.parsed(lines, feeds.INSTRUMENTS)).select("symbol", "name", "market", "limitup", "limitdown", "decimal")
 
 
-@query(f"WITH {RAW} SELECT count(*) AS rows, 0 AS negative_price, 0 AS negative_volume, 0 AS unknown_status FROM rt WHERE {GOOD}")
+@query(
+    f"WITH {RAW} SELECT count(*) AS rows, count(*) FILTER (WHERE seqno % 37 = 0) AS negative_price, count(*) FILTER (WHERE seqno % 41 = 0) AS negative_volume, count(*) FILTER (WHERE seqno % 43 = 0) AS unknown_status FROM rt WHERE {GOOD}"
+)
 def dq_metrics(spark: SparkSession, d: str) -> DataFrame:
-    return feeds.warnings(feeds.accepted(feeds.parsed(_tick_lines(spark, d), feeds.TICKS)))
+    return feeds.warnings(feeds.accepted(feeds.parsed(_tick_lines(spark, d, True), feeds.TICKS)))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 12 - 2 BETWEEN 0 AND 6 THEN event_id % 12 - 2 ELSE 0 END AS decimal FROM events")
@@ -165,9 +170,9 @@ def minute_slice(spark: SparkSession, d: str) -> DataFrame:
 OHLCV = "symbol, {key} AS bar, open, high, low, close, {volumes}, count, seqno, any_quantity"
 
 
-def _ohlcv(first_seen: str, unit: str = "minute") -> Query:
+def _ohlcv(first_seen: str, unit: str = "minute", across_days: bool = False) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return keyed(bars.ohlcv(tables.ticks(spark, d), unit, first_seen)).drop("lastprice", "decimal")
+        return keyed(bars.ohlcv(tables.ticks(spark, d), unit, first_seen, across_days)).drop("lastprice", "decimal")
 
     return run
 
@@ -176,6 +181,9 @@ for _name, _mode in (("ohlcv_bars", "self"), ("ohlcv_volume_start", "start"), ("
     QUERIES[_name] = _ohlcv(_mode)
     ORACLES[_name] = f"WITH {MINUTE} SELECT {OHLCV.format(key=KEY, volumes=s.volumes(_mode))} FROM bl"
 
+QUERIES["ohlcv_across_days"] = _ohlcv("self", "hour", True)
+ORACLES["ohlcv_across_days"] = f"WITH {HOUR} SELECT {OHLCV.format(key=KEY, volumes=s.volumes('self'))} FROM bx"
+
 QUERIES["ohlcv_volume_self"] = _ohlcv("self", "hour")
 ORACLES["ohlcv_volume_self"] = f"WITH {HOUR} SELECT {OHLCV.format(key=KEY, volumes=s.volumes('self'))} FROM bl"
 
@@ -253,6 +261,35 @@ def latest_quote_per_symbol(spark: SparkSession, d: str) -> DataFrame:
     return bars.latest(tables.quotes(spark, d), "ts").select("symbol", "seqno", "bidprice", "asksize")
 
 
+def _received(rows: DataFrame) -> DataFrame:
+    """Rows whose times are whole days, so that the time of receipt decides, and then arrival."""
+    return rows.withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz")).withColumn("rcvtime", (F.col("seqno") * 7919) % 53)
+
+
+RECEIVED = "SELECT * EXCLUDE (ts), date_trunc('day', ts) AS ts, (seqno * 7919) % 53 AS rcvtime FROM"
+
+
+@query(f"WITH {RAW}, x AS ({RECEIVED} t) SELECT symbol, arg_max(seqno, row(ts, rcvtime, seqno)) AS seqno, arg_max(lastprice, row(ts, rcvtime, seqno)) AS lastprice FROM x GROUP BY symbol")
+def latest_by_rcvtime(spark: SparkSession, d: str) -> DataFrame:
+    return bars.latest(_received(tables.raw_ticks(spark, d)), "ts", "rcvtime").select("symbol", "seqno", "lastprice")
+
+
+@query(f"WITH {RAW}, x AS ({RECEIVED} q) SELECT {s.key_of(s.end_of('ts', 'day'))} AS bar, symbol, arg_min(seqno, row(ts, rcvtime, seqno)) AS seqno FROM x GROUP BY ALL")
+def earliest_by_rcvtime(spark: SparkSession, d: str) -> DataFrame:
+    return keyed(bars.earliest_in_bar(_received(tables.quotes(spark, d)), "day", "ts", "rcvtime")).select("bar", "symbol", "seqno")
+
+
+@query(f"WITH {RAW} SELECT seqno, concat_ws(',', seqno, symbol, strftime(ts, '%Y%m%d%H%M%S'), bidprice, bidsize, askprice, asksize, decimal, 0) AS line FROM q")
+def order_text_rows(spark: SparkSession, d: str) -> DataFrame:
+    q = tables.quotes(spark, d).withColumn("time", F.date_format("ts", "yyyyMMddHHmmss")).withColumn("rcvtime", F.lit(0))
+    return sinks.text_rows(q, sinks.ORDER_TEXT).select("seqno", "line")
+
+
+@query("SELECT event_id, CAST(ts AS DATE) <> DATE '2024-01-15' AS other FROM events")
+def other_date(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/events.parquet").select("event_id", timebars.other_date(F.col("ts"), F.lit("2024-01-15").cast("date")).alias("other"))
+
+
 @query(f"WITH {MINUTE} SELECT {KEY} AS bar, symbol, arg_min(seqno, row(ts, seqno)) AS seqno, arg_min(lastprice, row(ts, seqno)) AS lastprice FROM tb GROUP BY symbol, bar")
 def earliest_tick_in_bar(spark: SparkSession, d: str) -> DataFrame:
     return keyed(bars.earliest_in_bar(tables.ticks(spark, d), "minute", "ts")).select("bar", "symbol", "seqno", "lastprice")
@@ -277,7 +314,7 @@ def asof_quote_at_bar(spark: SparkSession, d: str) -> DataFrame:
     t, q = tables.raw_ticks(spark, d), tables.quotes(spark, d)
     ends = bars.with_bar(t, "hour").select("bar").distinct()
     held = bars.as_of(q, "hour", bars.grid(ends, bars.with_bar(q, "hour")))
-    return keyed(held.join(F.broadcast(ends), "bar", "left_semi")).select("bar", "symbol", "seqno", "bidprice")
+    return keyed(held.join(ends, "bar", "left_semi")).select("bar", "symbol", "seqno", "bidprice")
 
 
 # ---- instruments and single columns
@@ -319,11 +356,11 @@ def zero_price_to_null(spark: SparkSession, d: str) -> DataFrame:
 
 
 WIDE = f"""
-WITH {HOUR}, ends AS (SELECT bar, row_number() OVER (ORDER BY bar) AS seq FROM (SELECT DISTINCT bar FROM tb)), every AS (SELECT bar FROM tb UNION SELECT bar FROM qb),
+WITH {HOUR}, ends AS (SELECT bar, row_number() OVER (PARTITION BY {s.DAY.format(c="bar")} ORDER BY bar) AS seq FROM (SELECT DISTINCT bar FROM tb)), every AS (SELECT bar FROM tb UNION SELECT bar FROM qb),
 tf AS (SELECT symbol, bar, arg_min(seqno, row(ts, seqno)) AS f, arg_max(seqno, row(ts, seqno)) AS l FROM tb GROUP BY ALL),
 qf AS (SELECT symbol, bar, arg_min(seqno, row(ts, seqno)) AS f, arg_max(seqno, row(ts, seqno)) AS l FROM qb GROUP BY ALL),
 tg AS (SELECT e.bar, k.symbol, coalesce(x.f, last_value(x.l IGNORE NULLS) OVER (PARTITION BY k.symbol ORDER BY e.bar ROWS UNBOUNDED PRECEDING)) AS tn FROM every e CROSS JOIN (SELECT DISTINCT symbol FROM t) k LEFT JOIN tf x ON x.symbol = k.symbol AND x.bar = e.bar),
-qg AS (SELECT e.bar, k.symbol, coalesce(x.f, last_value(x.l IGNORE NULLS) OVER (PARTITION BY k.symbol ORDER BY e.bar ROWS UNBOUNDED PRECEDING)) AS qn FROM every e CROSS JOIN (SELECT DISTINCT symbol FROM q) k LEFT JOIN qf x ON x.symbol = k.symbol AND x.bar = e.bar),
+qg AS (SELECT e.bar, k.symbol, coalesce(x.f, last_value(x.l IGNORE NULLS) OVER (PARTITION BY k.symbol, {s.DAY.format(c="e.bar")} ORDER BY e.bar ROWS UNBOUNDED PRECEDING)) AS qn FROM every e CROSS JOIN (SELECT DISTINCT symbol FROM q) k LEFT JOIN qf x ON x.symbol = k.symbol AND x.bar = e.bar),
 n AS (SELECT bar, symbol, tn, qn FROM (SELECT * FROM tg WHERE tn IS NOT NULL) FULL JOIN (SELECT * FROM qg WHERE qn IS NOT NULL) USING (bar, symbol))
 SELECT {s.key_of("n.bar")} AS bar, n.symbol AS "InstrumentID", strftime(coalesce(t.ts, q.ts), '%Y%m%d') AS "TradingDay", nullif(t.lastprice, 0) / 100.0 AS "LastPrice", nullif(t.preclose, 0) / 100.0 AS "PreClosePrice",
   nullif(t.open, 0) / 100.0 AS "OpenPrice", nullif(t.high, 0) / 100.0 AS "HighestPrice", nullif(t.low, 0) / 100.0 AS "LowestPrice", t.totalvol AS "Volume", t.totalamount / 100.0 AS "Turnover",
@@ -446,7 +483,7 @@ def seqno_monotone_check(spark: SparkSession, d: str) -> DataFrame:
     f"WITH {MINUTE}, a AS (SELECT symbol, ts, seqno * 2 + CASE WHEN seqno % 97 = 0 THEN 1001 ELSE 0 END AS seqno FROM tb), w AS (SELECT *, max(seqno) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS most FROM a) SELECT symbol, seqno FROM w WHERE most IS NULL OR seqno > most"
 )
 def offset_monotone_filter(spark: SparkSession, d: str) -> DataFrame:
-    return control.increasing(_shuffled(spark, d), "seqno", "symbol", "ts").select("symbol", "seqno")
+    return control.increasing(_shuffled(spark, d), "seqno", "symbol", "ts", F.to_date("ts")).select("symbol", "seqno")
 
 
 @query(
@@ -492,12 +529,19 @@ QUERIES["stream_bars_append"] = streams.bars_append
 ORACLES["stream_bars_append"] = f"WITH {HOUR} SELECT {KEY} AS bar, symbol, open, high, low, close, count, seqno FROM b"
 QUERIES["stream_late_append"] = streams.late_append
 ORACLES["stream_late_append"] = (
-    f"WITH {HOUR}, seen AS (SELECT DISTINCT bar FROM tb WHERE seqno % 97 > 0) SELECT seqno, symbol, {KEY} AS bar, seqno % 97 = 0 AND bar IN (SELECT bar FROM seen) AS late FROM tb"
+    f"WITH {HOUR}, w AS (SELECT max(ts) - INTERVAL 2 hour AS passed FROM tb WHERE seqno % 97 > 0) SELECT seqno, symbol, {KEY} AS bar, seqno % 97 = 0 AND bar <= passed AS late FROM tb, w"
 )
 QUERIES["stream_stall_flush"] = streams.stall_flush
 ORACLES["stream_stall_flush"] = (
     f"WITH {HOUR} SELECT symbol, {KEY} AS bar, count, close, CASE WHEN bar = max(bar) OVER (PARTITION BY symbol) THEN 'stall' ELSE 'next' END AS why FROM b"
 )
+QUERIES["stream_late_in_stall"] = streams.late_in_stall
+ORACLES["stream_late_in_stall"] = (
+    f"WITH {HOUR}, p AS (SELECT symbol, max(bar) AS present FROM tb WHERE seqno % 97 > 0 GROUP BY symbol), m AS ("
+    "SELECT tb.*, coalesce(seqno % 97 = 0 AND bar < present, false) AS late FROM tb LEFT JOIN p USING (symbol)), o AS ("
+    "SELECT symbol, bar, late, count(*) AS count, arg_max(lastprice, seqno) / 100.0 AS close FROM m GROUP BY ALL)"
+    f" SELECT symbol, {KEY} AS bar, count, close, CASE WHEN late THEN 'late' WHEN bar = max(bar) FILTER (WHERE NOT late) OVER (PARTITION BY symbol) THEN 'stall' ELSE 'next' END AS why FROM o"
+)
 QUERIES["stream_two_feed_gate"] = streams.two_feed_gate
 ORACLES["stream_two_feed_gate"] = (
     f"WITH {HOUR}, u AS (SELECT bar, symbol, 1 AS tick FROM tb UNION ALL SELECT bar, symbol, 0 FROM qb) SELECT {KEY} AS bar, symbol, CAST(sum(tick) AS BIGINT) AS ticks, CAST(sum(1 - tick) AS BIGINT) AS quotes FROM u GROUP BY bar, symbol"

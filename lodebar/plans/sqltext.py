@@ -5,6 +5,10 @@ from __future__ import annotations
 END_OF = "CASE WHEN date_trunc('{u}', {c}) = {c} THEN {c} ELSE date_trunc('{u}', {c}) + INTERVAL 1 {u} END"
 
 
+#: The day that a bar's time lies in.
+DAY = "CAST({c} - INTERVAL 1 microsecond AS DATE)"
+
+
 def end_of(column: str, unit: str) -> str:
     return END_OF.format(u=unit, c=column)
 
@@ -45,7 +49,9 @@ def bars(unit: str) -> str:
          count(*) AS count, max(seqno) AS seqno, bool_or(lasttradeqty > 0) AS any_quantity, arg_min(totalvol, seqno) AS v0, arg_max(totalvol, seqno) AS v1,
          arg_min(totalamount, seqno) AS a0, arg_max(totalamount, seqno) AS a1, arg_max(lastprice, seqno) AS lastprice FROM tb GROUP BY symbol, bar
 ), bl AS (
-  SELECT *, lag(v1) OVER (PARTITION BY symbol ORDER BY bar) AS pv, lag(a1) OVER (PARTITION BY symbol ORDER BY bar) AS pa FROM b
+  SELECT *, lag(v1) OVER w AS pv, lag(a1) OVER w AS pa FROM b WINDOW w AS (PARTITION BY symbol, {DAY.format(c="bar")} ORDER BY bar)
+), bx AS (
+  SELECT *, lag(v1) OVER w AS pv, lag(a1) OVER w AS pa FROM b WINDOW w AS (PARTITION BY symbol ORDER BY bar)
 ), g AS (
   SELECT s.symbol, d.bar FROM (SELECT DISTINCT bar FROM b) d JOIN (SELECT symbol, min(bar) AS first FROM b GROUP BY symbol) s ON d.bar >= s.first
 )"""

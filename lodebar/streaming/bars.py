@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lodebar.functions.prices import scaled
 from lodebar.functions.timebars import bar_end
-from lodebar.operators.control import late_split
+from lodebar.operators.bars import latest, named
 
 
 def windowed_bars(ticks: DataFrame, width: str, delay: str = "0 seconds") -> DataFrame:
@@ -33,57 +33,75 @@ def windowed_bars(ticks: DataFrame, width: str, delay: str = "0 seconds") -> Dat
 
 
 class BarWriter:
-    """A micro-batch sink: rows of bars that were written by an earlier batch are appended as late, others make up bars.
+    """A micro-batch sink: rows of bars that the watermark had passed before their batch are late, others make up bars.
 
-    Every output has a folder for each batch, and a batch that runs again replaces its own, so nothing is doubled.
+    The watermark is the newest event time of all earlier batches less ``delay``; a bar may arrive in any number of batches
+    until then. Late rows leave their bars alone but count for the latest state. Every output has a folder for each batch,
+    and a batch that runs again replaces its own, so nothing is doubled.
     """
 
-    def __init__(self, path: str, unit: str) -> None:
-        self.path, self.unit = path, unit
+    def __init__(self, path: str, unit: str, delay: str = "0 seconds") -> None:
+        self.path, self.unit, self.delay = path, unit, delay
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.withColumn("bar", bar_end(F.col("ts"), self.unit)).withColumn("batch", F.lit(batch_id).cast("long"))
-        control = f"{self.path}/control"
-        empty = spark.createDataFrame([], "bar timestamp_ntz, batch long")
-        try:
-            done = spark.read.schema(empty.schema).parquet(control)
-        except Exception as missing:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            done = empty
-        rows.persist()
-        on_time, late = late_split(rows, done.where(F.col("batch") < batch_id))
-        late.write.mode("overwrite").parquet(f"{self.path}/late/id={batch_id}")
-        on_time.write.mode("overwrite").parquet(f"{self.path}/rows/id={batch_id}")
-        on_time.select("bar", "batch").distinct().write.mode("overwrite").parquet(f"{control}/id={batch_id}")
-        rows.unpersist()
+        rows = batch.withColumn("bar", bar_end(F.col("ts"), self.unit))
+        before = self._read(batch.sparkSession, "control", "newest timestamp_ntz, batch long").where(F.col("batch") < batch_id)
+        passed = before.agg((F.max("newest") - F.expr(f"INTERVAL {self.delay}")).alias("watermark")).first()["watermark"]
+        late = F.lit(False) if passed is None else F.col("bar") <= F.lit(passed).cast("timestamp_ntz")
+        marked = rows.withColumn("late", F.coalesce(late, F.lit(False))).persist()
+        marked.where("late").drop("late").write.mode("overwrite").parquet(f"{self.path}/late/id={batch_id}")
+        marked.where("not late").drop("late").write.mode("overwrite").parquet(f"{self.path}/rows/id={batch_id}")
+        newest = marked.agg(F.max("ts").alias("newest")).withColumn("batch", F.lit(batch_id).cast("long"))
+        newest.write.mode("overwrite").parquet(f"{self.path}/control/id={batch_id}")
+        marked.unpersist()
+
+    def _read(self, spark: SparkSession, what: str, schema: str) -> DataFrame:
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{what}")
+        if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+            return spark.read.schema(schema).parquet(f"{self.path}/{what}")
+        return spark.createDataFrame([], schema)
+
+    def latest(self, spark: SparkSession) -> DataFrame:
+        """The newest row of each symbol, late ones included: by time, receipt and arrival."""
+        both = spark.read.parquet(f"{self.path}/rows").unionByName(spark.read.parquet(f"{self.path}/late"))
+        return latest(both.drop("id", "bar"), "ts", *(["rcvtime"] if "rcvtime" in both.columns else []))
 
 
 STALL = "symbol string, bar timestamp, count long, close double, why string"
-_STATE = "bar timestamp, count long, close double"
+_STATE = "bar timestamp, count long, close double, seqno long"
 
 
 def stalled_bars(ticks: DataFrame, unit: str, timeout_ms: int) -> DataFrame:
-    """Bars of each symbol, emitted when its next bar begins, or when nothing has come for ``timeout_ms``."""
+    """Bars of each symbol, emitted when its next bar begins, or when nothing has come for ``timeout_ms``.
+
+    Rows behind the symbol's present bar come out as bars of their own, marked ``late``: bars that are out are not revised. A
+    close is the last arrival's price, whatever batch brings it.
+    """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         out: list[tuple] = []
-        bar, count, close = state.get if state.exists else (None, 0, 0.0)
+        bar, count, close, seqno = state.get if state.exists else (None, 0, 0.0, -1)
         if state.hasTimedOut:
             if count:
                 out.append((key[0], bar, count, close, "stall"))
             state.remove()
         else:
+            present = bar
             rows = pd.concat(list(frames)).sort_values(["bar", "seqno"])
             for own, group in rows.groupby("bar", sort=True):
-                if bar is not None and own > bar and count:
-                    out.append((key[0], bar, count, close, "next"))
-                    count = 0
-                bar = own if bar is None or own > bar else bar
+                last = group.iloc[-1]
+                if present is not None and own < present:
+                    out.append((key[0], own, len(group), float(last["price"]), "late"))
+                    continue
+                if bar is not None and own > bar:
+                    if count:
+                        out.append((key[0], bar, count, close, "next"))
+                    count, seqno = 0, -1
+                bar = own
                 count += len(group)
-                close = float(group["price"].iloc[-1])
-            state.update((bar, count, close))
+                if int(last["seqno"]) > seqno:
+                    close, seqno = float(last["price"]), int(last["seqno"])
+            state.update((bar, count, close, seqno))
             state.setTimeoutDuration(timeout_ms)
         if out:
             yield pd.DataFrame(out, columns=["symbol", "bar", "count", "close", "why"])
@@ -93,6 +111,15 @@ def stalled_bars(ticks: DataFrame, unit: str, timeout_ms: int) -> DataFrame:
     return rows.groupBy("symbol").applyInPandasWithState(step, STALL, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
+def with_instruments(read: Callable[[SparkSession], DataFrame], write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """A micro-batch function that names each batch's ticks from the master as it is then: ``read`` is asked anew each time."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        write(named(batch, read(batch.sparkSession)), batch_id)
+
+    return step
+
+
 def gated_bars(ticks: DataFrame, quotes: DataFrame, width: str, delay: str = "0 seconds") -> DataFrame:
     """(bar, symbol, ticks, quotes) of both feeds: a bar comes out when both feeds have passed it.
 

@@ -1,8 +1,13 @@
-"""Streams over the driver's events, each run until its input is used up."""
+"""Streams over the driver's events, each run until its input is used up.
+
+Steps of a feed are written one after the other, by as many tasks as there are, and the stream takes up from its
+checkpoint after each: what a step brings is one micro-batch, whatever the number of files.
+"""
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +19,32 @@ from lodebar.sources import tables
 from lodebar.streaming import bars
 
 
-def _run(writer: DataStreamWriter, spark: SparkSession, label: str) -> None:
-    query = writer.option("checkpointLocation", scratch(spark, f"{label}-checkpoint")).trigger(availableNow=True).start()
-    query.awaitTermination()
+class Feed:
+    """A folder that a stream reads and steps are written to."""
+
+    def __init__(self, spark: SparkSession, like: DataFrame, label: str) -> None:
+        self.spark, self.path = spark, scratch(spark, label)
+        self.schema = self._stored(like).schema
+        self._stored(like.limit(0)).write.parquet(self.path)
+
+    @staticmethod
+    def _stored(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+
+    def write(self, rows: DataFrame) -> None:
+        self._stored(rows).write.mode("append").parquet(self.path)
+
+    def read(self, **options: int) -> DataFrame:
+        return self.spark.readStream.schema(self.schema).options(**options).parquet(self.path).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def _stepped(spark: SparkSession, label: str, steps: list[list[tuple[Feed, DataFrame]]], writer: Callable[[], DataStreamWriter]) -> None:
+    """Writes each step's rows and runs the stream until it has used them up."""
+    checkpoint = scratch(spark, f"{label}-checkpoint")
+    for step in steps:
+        for feed, rows in step:
+            feed.write(rows)
+        writer().option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def _ending(rows: DataFrame) -> DataFrame:
@@ -25,57 +53,84 @@ def _ending(rows: DataFrame) -> DataFrame:
     return rows.limit(1).select(*[values.get(c, F.col(c)).cast(dict(rows.dtypes)[c]).alias(c) for c in rows.columns])
 
 
-def _two_steps(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
-    """A stream of three files: the rows, then twice the row that ends them, as bars close a batch after the watermark moves."""
-    path = scratch(spark, label)
-    for part in (rows, _ending(rows), _ending(rows)):
-        part.withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(part.withColumn("ts", F.col("ts").cast("timestamp")).schema).option("maxFilesPerTrigger", 1).parquet(path)
+def bars_append(spark: SparkSession, d: str) -> DataFrame:
+    """Watermarked hourly bars in append mode; bars close a batch after the watermark moves, so the end comes twice."""
+    rows, out = tables.raw_ticks(spark, d), scratch(spark, "bars")
+    feed, end = Feed(spark, rows, "ticks"), _ending(rows)
+    _stepped(
+        spark, "bars", [[(feed, rows)], [(feed, end)], [(feed, end)]],
+        lambda: bars.windowed_bars(feed.read(), "1 hour").writeStream.format("parquet").option("path", out).outputMode("append"),
+    )
+    return spark.read.parquet(out).where("symbol <> '~end'").withColumn("bar", bar_key(F.col("bar")))
 
 
-def bars_append(spark: SparkSession, d: str) -> DataFrame:
-    """Watermarked hourly bars in append mode."""
-    ticks = _two_steps(spark, tables.raw_ticks(spark, d), "ticks")
-    out = scratch(spark, "bars")
-    _run(bars.windowed_bars(ticks, "1 hour").writeStream.format("parquet").option("path", out).outputMode("append"), spark, "bars")
-    got = spark.read.parquet(out).where("symbol <> '~end'")
-    return got.withColumn("bar", bar_key(F.col("bar")))
+def _in_two(spark: SparkSession, d: str) -> tuple[Feed, list[list[tuple[Feed, DataFrame]]]]:
+    """A feed of ticks whose every 97th row comes in a second step."""
+    rows = tables.raw_ticks(spark, d)
+    feed = Feed(spark, rows, "feed")
+    return feed, [[(feed, rows.where("seqno % 97 > 0"))], [(feed, rows.where("seqno % 97 = 0"))]]
 
 
 def late_append(spark: SparkSession, d: str) -> DataFrame:
-    """Rows on time and late, when every 97th comes in a second batch: those of bars written before are late."""
-    rows = tables.raw_ticks(spark, d)
-    path, out = scratch(spark, "feed"), scratch(spark, "written")
-    for part in (rows.where("seqno % 97 > 0"), rows.where("seqno % 97 = 0")):
-        part.withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(path)
-    schema = part.withColumn("ts", F.col("ts").cast("timestamp")).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    _run(stream.writeStream.foreachBatch(bars.BarWriter(out, "hour")), spark, "late")
+    """Rows on time and late, when every 97th comes in a second batch: late are those whose bar the watermark had passed."""
+    feed, steps = _in_two(spark, d)
+    out = scratch(spark, "written")
+    _stepped(spark, "late", steps, lambda: feed.read().writeStream.foreachBatch(bars.BarWriter(out, "hour", "2 hours")))
     both = spark.read.parquet(f"{out}/rows").withColumn("late", F.lit(False)).unionByName(spark.read.parquet(f"{out}/late").withColumn("late", F.lit(True)))
     return both.select("seqno", "symbol", bar_key(F.col("bar")).alias("bar"), "late")
 
 
+def _stalling(spark: SparkSession, feed: Feed, steps: list[list[tuple[Feed, DataFrame]]]) -> DataFrame:
+    """Bars of all steps, the last ones by running out of time: it is over when no symbol has a bar in the making.
+
+    Streams with timers never end by themselves, so all steps run in one: a batch takes the files of the first step, which
+    are as many as those of a later one or more, so that one batch follows the other and no symbol runs out of time between.
+    """
+    files = 0
+    for step in steps:
+        for own, rows in step:
+            own.write(rows)
+        files = files or len(spark.read.parquet(feed.path).inputFiles())
+    out = scratch(spark, "stalled")
+    kind = "symbol string, bar timestamp, count long, close double, why string"
+    if spark.read.parquet(feed.path).limit(1).count():
+        ticks = feed.read(maxFilesPerTrigger=files)
+        writer = bars.stalled_bars(ticks, "hour", 500).writeStream.format("parquet").option("path", out).outputMode("append")
+        query = writer.option("checkpointLocation", scratch(spark, "stalled-checkpoint")).trigger(processingTime="0 seconds").start()
+        while query.isActive:
+            done = query.lastProgress
+            if done and done["stateOperators"] and done["numInputRows"] == 0 and done["stateOperators"][0]["numRowsTotal"] == 0:
+                break
+            time.sleep(0.2)
+        failed = query.exception()
+        query.stop()
+        if failed is not None:
+            raise failed
+    else:
+        spark.createDataFrame([], kind).write.parquet(out)
+    return spark.read.schema(kind).parquet(out).withColumn("bar", bar_key(F.col("bar").cast("timestamp_ntz")))
+
+
 def stall_flush(spark: SparkSession, d: str) -> DataFrame:
     """Hourly bars of each symbol, emitted as its next one begins, the last ones because nothing more comes."""
-    path, out = scratch(spark, "feed"), scratch(spark, "stalled")
-    rows = tables.raw_ticks(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
-    rows.coalesce(1).write.parquet(path)
-    ticks = spark.readStream.schema(rows.schema).parquet(path).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    writer = bars.stalled_bars(ticks, "hour", 1_000).writeStream.format("parquet").option("path", out).outputMode("append")
-    query = writer.option("checkpointLocation", scratch(spark, "stalled-checkpoint")).trigger(processingTime="200 milliseconds").start()
-    until = time.time() + 60
-    while query.isActive and time.time() < until:  # timers run out in batches without data, which never end by themselves
-        seen = [p for p in query.recentProgress if p["numInputRows"]]
-        if seen and query.lastProgress["batchId"] > seen[-1]["batchId"] and query.lastProgress["stateOperators"][0]["numRowsTotal"] == 0:
-            break
-        time.sleep(0.2)
-    query.stop()
-    return spark.read.parquet(out).withColumn("bar", bar_key(F.col("bar").cast("timestamp_ntz")))
+    rows = tables.raw_ticks(spark, d)
+    feed = Feed(spark, rows, "feed")
+    return _stalling(spark, feed, [[(feed, rows)]])
+
+
+def late_in_stall(spark: SparkSession, d: str) -> DataFrame:
+    """The same when every 97th row comes in a second batch: rows behind their symbol's present bar come out as late."""
+    feed, steps = _in_two(spark, d)
+    return _stalling(spark, feed, steps)
 
 
 def two_feed_gate(spark: SparkSession, d: str) -> DataFrame:
     """Counts of both feeds for each hour and symbol, once both have passed it."""
-    ticks, quotes = (_two_steps(spark, r, n) for r, n in ((tables.raw_ticks(spark, d), "ticks"), (tables.quotes(spark, d), "quotes")))
     out = scratch(spark, "gated")
-    _run(bars.gated_bars(ticks, quotes, "1 hour").writeStream.format("parquet").option("path", out).outputMode("append"), spark, "gated")
+    both = [(Feed(spark, r, n), r) for r, n in ((tables.raw_ticks(spark, d), "ticks"), (tables.quotes(spark, d), "quotes"))]
+    end = [(feed, _ending(rows)) for feed, rows in both]
+    _stepped(
+        spark, "gated", [both, end, end],
+        lambda: bars.gated_bars(*(feed.read() for feed, _ in both), "1 hour").writeStream.format("parquet").option("path", out).outputMode("append"),
+    )
     return spark.read.parquet(out).where("symbol <> '~end'").withColumn("bar", bar_key(F.col("bar")))
