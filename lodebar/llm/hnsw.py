@@ -211,24 +211,25 @@ class Graph:
         return cls(got["exact"], [Layer(got[f"nodes{i}"], got[f"links{i}"]) for i in range((len(got.files) - 1) // 2)])
 
 
-def within(graph: Graph, queries: np.ndarray, least: float, width: int = 64, audit: int = 48, recall: float = 0.995) -> tuple[np.ndarray, np.ndarray]:
+def within(graph: Graph, queries: np.ndarray, least: float, width: int = 64, audit: int = 192, recall: float = 0.995) -> tuple[np.ndarray, np.ndarray]:
     """(query, node) of all pairs that ``near_pairs`` yields."""
     parts = list(near_pairs(graph, queries, least, width, audit, recall))
     none = np.zeros(0, int)
     return np.concatenate([none, *(i for i, _ in parts)]), np.concatenate([none, *(j for _, j in parts)])
 
 
-def near_pairs(graph: Graph, queries: np.ndarray, least: float, width: int = 64, audit: int = 48, recall: float = 0.995) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def near_pairs(graph: Graph, queries: np.ndarray, least: float, width: int = 64, audit: int = 192, recall: float = 0.995) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(query, node) of pairs found with a cosine of ``least`` or more in double precision, PAIRS at most at a time or a query's.
 
     A beam half of which are such nodes is widened for its query; one that is full at WIDEST is in a dense group, and its
     query is compared with all vectors. An audit compares ``audit`` of the queries, evenly spaced, with all vectors of the
-    shard; while it misses too much, all beams are widened. If that still doesn't help at WIDEST, all queries are compared
-    with all vectors.
+    shard; while it misses too much, of all pairs or of the mean query's own, all beams are widened: neither dense groups nor
+    queries with a single neighbour hide what the others miss. If that still doesn't help at WIDEST, all queries are compared
+    with all vectors. A query's pairs come together.
     """
     n = len(graph.v)
     checked = np.linspace(0, len(queries) - 1, min(audit, len(queries))).astype(int)
-    truth = (graph.exact @ queries[checked].T >= least).sum() if len(checked) else 0
+    truth = np.concatenate([(graph.exact @ queries[checked[k : k + 16]].T >= least).sum(axis=0) for k in range(0, len(checked), 16)] or [np.zeros(0, int)])
     size = max(8, min(256, (64 << 20) // (n + 1)))
 
     def compared(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -254,7 +255,14 @@ def near_pairs(graph: Graph, queries: np.ndarray, least: float, width: int = 64,
         if len(rest):
             yield from run(rest, 2 * w) if 2 * w <= WIDEST else compared(rest)
 
-    while sum(len(i) for i, _ in run(checked, width)) < recall * truth:
+    def misses() -> bool:
+        found = np.zeros(len(checked), int)
+        for i, _ in run(checked, width):
+            np.add.at(found, np.searchsorted(checked, i), 1)
+        some = truth > 0
+        return bool(some.any()) and min(found.sum() / truth.sum(), (found[some] / truth[some]).mean()) < recall
+
+    while misses():
         width *= 2
         if width > min(n, WIDEST):
             yield from compared(np.arange(len(queries)))

@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lodebar.llm import components, embedding_dedup, hnsw
 from lodebar.llm.embedding_dedup import near_vectors
@@ -61,14 +62,44 @@ def test_links_agree_with_all_pairs(spark, vectors):
     assert near_vectors(df.limit(0)).count() == 0
 
 
-def test_recall_on_the_whole_table(spark):
-    from lodebar.llm.queries import op9_embedding_dedup
-
-    e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").toPandas()
-    x = hnsw.normalised(np.stack(e.embedding))
-    true = dict(zip(e.vec_id, (x @ x.T >= 0.9).sum(axis=1) - 1, strict=True))
-    got = {r.vec_id: r.n_links for r in op9_embedding_dedup(spark, "/root/testdata/sf0.1").collect()}
-    assert all(got[i] <= true[i] for i in true) and sum(got.values()) >= 0.99 * sum(true.values())
+def planted(background, groups, dim=48, seed=4):
+    """(vectors, size of each one's group): random ones and groups of near copies, sizes given as {size: how many}."""
+    rng = np.random.default_rng(seed)
+    rows, sizes = [rng.normal(size=(background, dim))], [np.ones(background, int)]
+    for size, n in groups.items():
+        centre = rng.normal(size=(n, 1, dim))
+        spread = rng.uniform(0.05, 0.42, size=(n, 1, 1))  # from nearly the same to around the bound
+        rows.append((centre + spread * rng.normal(size=(n, size, dim))).reshape(-1, dim))
+        sizes.append(np.full(size * n, size))
+    order = rng.permutation(sum(map(len, rows)))
+    return np.concatenate(rows)[order], np.concatenate(sizes)[order]
+
+
+def true_links(x, least=0.9):
+    x = hnsw.normalised(x)
+    return np.concatenate([(x[k : k + 1000] @ x.T >= least).sum(axis=1) - 1 for k in range(0, len(x), 1000)])
+
+
+def test_recall_by_group_size(spark):
+    """Of planted near copies at least 0.99 of all links are found in groups of every size, and never one too many."""
+    x, sizes = planted(3000, {2: 300, 5: 120, 40: 12, 500: 1})
+    truth = true_links(x)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = near_vectors(df).collect()
+    got = np.array([r.n_links for r in sorted(rows, key=lambda r: r.vec_id)])
+    assert (got <= truth).all() and truth[sizes == 1].sum() == 0
+    for size in (2, 5, 40, 500):
+        own = sizes == size
+        assert truth[own].sum() > 0 and got[own].sum() >= 0.99 * truth[own].sum(), size
+
+
+def test_a_link_counts_for_both_ends_whoever_finds_it(spark):
+    classes = spark.createDataFrame([(1, 1), (2, 3), (3, 1), (4, 1)], "class long, copies long")
+    shard = lambda c: F.pmod(F.col(c), F.lit(2)).cast("int")
+    # 1 finds 2; 2 and 3 find each other; 4 has counted 7 in shard 1 but is found by 1 and 2, too
+    found = [(2, 1, 2, 0), (2, 2, 3, 1), (2, 3, 2, 0), (0, 4, 7, 1), (2, 1, 4, 0), (2, 2, 4, 0), (1, 1, 2, 0)]
+    got = embedding_dedup._links(spark.createDataFrame(found, embedding_dedup.FOUND), classes, shard)
+    assert {r["class"]: r.links for r in got.collect()} == {1: 4, 2: 3, 3: 3, 4: 10}
 
 
 def test_graph_survives_as_bytes_and_audits_fall_back_to_all_pairs():
