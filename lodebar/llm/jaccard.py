@@ -46,8 +46,8 @@ HOT = 200_000
 COUNTED, OFTEN = 1_000_000, 4
 #: Ids are broadcast to pick out texts up to so many; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
-#: Prefix shingles that a range of hashes holds on average.
-RANGE = 1_000_000
+#: Prefix shingles that a range of hashes holds on average, and that are looked at together.
+RANGE, SLICE = 4_000_000, 1_000_000
 #: Bits for each shingle in the bitmaps that are compared within blocks.
 FINE = 12
 #: Pairs of a block that are looked at together, and texts that are.
@@ -245,14 +245,7 @@ def band_of(n: np.ndarray, percent: int) -> np.ndarray:
 def _tiles(percent: int):  # noqa: ANN202
     """Per range of hashes: (tile, sid, n, band, leader) of every class that shares a prefix shingle, each set of classes once."""
 
-    def tiles(rows: pa.Table) -> pa.Table:
-        get = lambda c, kind: [np.frombuffer(x.as_buffer(), kind) for x in rows.column(c)]
-        sets, sizes = get("sets", np.int64), get("sizes", np.int32)
-        tokens = [_unpacked(x.as_buffer()) for x in rows.column("tokens")]
-        of = [np.frombuffer(x.as_buffer(), np.uint16 if len(s) <= 1 << 16 else np.uint32) for x, s in zip(rows.column("of"), sets, strict=True)]
-        token = np.concatenate(tokens)
-        sid = np.concatenate([s[o] for s, o in zip(sets, of, strict=True)])
-        n = np.concatenate([s[o] for s, o in zip(sizes, of, strict=True)])
+    def of_slice(token: np.ndarray, sid: np.ndarray, n: np.ndarray) -> pa.Table:
         found, back, count = np.unique(token, return_inverse=True, return_counts=True)
         shared = count[back] > 1
         token, sid, n = back[shared], sid[shared], n[shared]
@@ -277,10 +270,28 @@ def _tiles(percent: int):  # noqa: ANN202
         head = np.ones(len(tile), bool)
         head[1:] = (tile[1:] != tile[:-1]) | (band[1:] != band[:-1])
         leader = sid[np.maximum.accumulate(np.where(head, np.arange(len(tile)), 0))] if len(tile) else sid
-        del found, back, count, sets, sizes, tokens, of, order, head
-        returned()
         return pa.table({"tile": tile, "sid": sid, "n": pa.array(n, pa.int32()), "band": pa.array(band, pa.int32()), "leader": leader})
 
+    def tiles(rows: pa.Table) -> pa.Table:
+        """Slices of the range one after the other: shingles of different slices have no tile in common."""
+        get = lambda c, kind: [np.frombuffer(x.as_buffer(), kind) for x in rows.column(c)]
+        sets, sizes = get("sets", np.int64), get("sizes", np.int32)
+        tokens = [_unpacked(x.as_buffer()) for x in rows.column("tokens")]
+        of = [np.frombuffer(x.as_buffer(), np.uint16 if len(s) <= 1 << 16 else np.uint32) for x, s in zip(rows.column("of"), sets, strict=True)]
+        low, high = min(int(t[0]) for t in tokens), max(int(t[-1]) for t in tokens) + 1
+        cuts = max(1, sum(map(len, tokens)) // SLICE)
+        bounds = np.array([low + (high - low) * c // cuts for c in range(1, cuts)], np.uint64)
+        edges = [[0, *np.searchsorted(t, bounds).tolist(), len(t)] for t in tokens]
+        out = []
+        for c in range(cuts):
+            own = [slice(e[c], e[c + 1]) for e in edges]
+            token = np.concatenate([t[k] for t, k in zip(tokens, own, strict=True)])
+            sid = np.concatenate([s[o[k]] for s, o, k in zip(sets, of, own, strict=True)])
+            n = np.concatenate([s[o[k]] for s, o, k in zip(sizes, of, own, strict=True)])
+            out.append(of_slice(token, sid, n))
+        returned()
+        return pa.concat_tables(out)
+
     return tiles
 
 

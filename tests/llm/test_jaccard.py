@@ -70,6 +70,7 @@ def docs():
 def test_components_agree_with_all_pairs(spark, docs, small, monkeypatch):
     if small:  # tiles in grids of blocks, and several packed arrays a task
         monkeypatch.setattr(jaccard, "BLOCK", 5)
+        monkeypatch.setattr(jaccard, "SLICE", 500)
         monkeypatch.setattr(jaccard, "BROADCAST_IDS", 0)
     df = spark.createDataFrame([(*d, "z") for d in docs], "doc_id long, text string, N string").repartition(3)
     got = jaccard.near_duplicates(df).collect()
