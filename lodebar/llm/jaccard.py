@@ -48,8 +48,8 @@ COUNTED, OFTEN = 1_000_000, 4
 BROADCAST_IDS = 2_000_000
 #: Prefix shingles that a range of hashes holds on average, and that are looked at together.
 RANGE, SLICE = 4_000_000, 1_000_000
-#: Bits for each shingle in the bitmaps that are compared within blocks.
-FINE = 12
+#: Bits for each shingle at least in the bitmaps of the first look, which travel to every tile, and in those of the second.
+COARSE, FINE = 1, 12
 #: Pairs of a block that are looked at together, and texts that are.
 PAIRS, TEXTS = 1 << 18, 512
 #: Classes on either side of a block of pairs.
@@ -149,7 +149,7 @@ def sketched(docs: DataFrame, k: int) -> DataFrame:
 
         for batch in _slices(batches):
             for doc, text, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingle_sets(batch.column(2).to_pylist(), k), strict=True):
-                yield (doc, text, len(s), set_id(s), bitmap(s), None, None) if len(s) else (doc, text, 0, None, None, None, None)
+                yield (doc, text, len(s), set_id(s), bitmap(s, COARSE), None, None) if len(s) else (doc, text, 0, None, None, None, None)
                 held.append(s)
                 size += len(s)
                 if size > COUNTED:
