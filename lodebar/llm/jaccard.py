@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from lodebar.llm.common import dropped, frugal, returned, staged
 from lodebar.llm.components import components
-from lodebar.llm.words import mix, word_hashes
+from lodebar.llm.words import mix, packed, unpacked, word_hashes
 
 _STEP = np.uint64(0xA0761D6478BD642F)
 
@@ -171,17 +171,6 @@ def _hot(meta: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return hot[order], found["n"].to_numpy(np.int64)[order]
 
 
-def _packed(ascending: np.ndarray) -> bytes:
-    """Differences of sorted numbers, first bytes first: their high bytes are zeros, which the shuffle's codec removes."""
-    steps = np.diff(ascending, prepend=np.uint64(0))
-    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def _unpacked(raw: pa.Buffer) -> np.ndarray:
-    steps = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
-    return np.cumsum(steps, dtype=np.uint64)
-
-
 def filed(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], k: int, percent: int, parts: int) -> DataFrame:
     """Prefixes by ranges of hashes: (part, tokens, sets, sizes, of), ``of`` being a token's place in sets and sizes."""
     frequent = docs.sparkSession.sparkContext.broadcast(hot)
@@ -216,7 +205,7 @@ def filed(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], k: int, percent:
                 if j > i:
                     own, place = np.unique(of[i:j], return_inverse=True)
                     narrow = np.uint16 if len(own) <= 1 << 16 else np.uint32
-                    for c, v in zip(out, (part, _packed(token[i:j]), sets[own].tobytes(), sizes[own].tobytes(), place.astype(narrow).tobytes()), strict=True):
+                    for c, v in zip(out, (part, packed(token[i:j]), sets[own].tobytes(), sizes[own].tobytes(), place.astype(narrow).tobytes()), strict=True):
                         c.append(v)
             return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *[pa.array(c, pa.binary()) for c in out[1:]]], names=["part", "tokens", "sets", "sizes", "of"])
 
@@ -276,7 +265,7 @@ def _tiles(percent: int):  # noqa: ANN202
         """Slices of the range one after the other: shingles of different slices have no tile in common."""
         get = lambda c, kind: [np.frombuffer(x.as_buffer(), kind) for x in rows.column(c)]
         sets, sizes = get("sets", np.int64), get("sizes", np.int32)
-        tokens = [_unpacked(x.as_buffer()) for x in rows.column("tokens")]
+        tokens = [unpacked(x.as_buffer()) for x in rows.column("tokens")]
         of = [np.frombuffer(x.as_buffer(), np.uint16 if len(s) <= 1 << 16 else np.uint32) for x, s in zip(rows.column("of"), sets, strict=True)]
         low, high = min(int(t[0]) for t in tokens), max(int(t[-1]) for t in tokens) + 1
         cuts = max(1, sum(map(len, tokens)) // SLICE)

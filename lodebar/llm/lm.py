@@ -12,8 +12,10 @@ pass from left to right needs the state before each token only. It is written ov
 
 No task holds the whole model. Texts are dealt into chunks by hash. Each chunk asks for the counts of its distinct words
 and pairs, in packed arrays split by ranges of their hashes; each range adds up what all chunks have sent and answers
-each in its own order. Ranges and chunks are even whatever words are frequent, since a chunk sends any word once, and
-their sizes are fixed in bytes while their number grows with the input.
+each in its own order. A chunk sends to ranges that have one of its words or pairs only, so there are never more messages
+than distinct words and pairs of chunks, and these grow with the input. Ranges and chunks are even whatever words are
+frequent, since a chunk sends any word once, and their sizes are fixed in bytes while their number grows with the input.
+A row that occurs often is sent once by each task for every REPEATS_BYTES of text, and goes to a chunk of that task's own.
 
 Defined results: null text counts as empty: its only token is the end. A null id counts as empty text where ids are
 hashed. Repeated rows are learned from and scored as often as they occur. Empty tables give no rows. Columns other than
@@ -23,22 +25,43 @@ those named are not read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodebar.llm.words import mix, sums_between, word_hashes
+from lodebar.llm.common import frugal
+from lodebar.llm.words import mix, packed, sums_between, unpacked, word_hashes
 
 #: Hash of the end of a text, which is also what stands before its first word.
 END = np.uint64(0x5851F42D4C957F2D)
 _PAIR = np.uint64(0xD1342543DE82EF95)
 
+#: Text that a task looks through at a time for repeated rows, and tokens whose distinct words it sends at a time.
+REPEATS_BYTES, TOKENS = 8 << 20, 1 << 20
+
+ONCE = "doc_id long, text string, learned boolean, times long, task int"
 ASKED = "part int, chunk int, words binary, word_counts binary, pairs binary, pair_counts binary"
-ANSWERED = "chunk int, part int, tokens long, kinds long, word_counts binary, pair_counts binary"
-SCORED = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+ANSWERED = "chunk int, part int, word_counts binary, pair_counts binary"
+SCORED = "times long, doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def range_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Which of ``parts`` (below 2**31) equal ranges each hash is in."""
+    return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+
+
+def _slim(counts: np.ndarray) -> np.ndarray:
+    return counts.astype(np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.uint64)
+
+
+def _counts(raw: pa.Buffer, n: int) -> np.ndarray:
+    if raw.size not in (4 * n, 8 * n):
+        raise RuntimeError("counts don't fit the chunk that asked for them")
+    return np.frombuffer(raw, np.uint32 if raw.size == 4 * n else np.uint64)
 
 
 class Chunk:
@@ -57,10 +80,16 @@ class Chunk:
         before = np.concatenate(([END], tokens[:-1]))  # what stands before a text's first word is the end of the last
         self.pairs, self.pair_at = np.unique(mix(before * _PAIR + tokens), return_inverse=True)
 
-    def counts(self, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """How often each distinct word and pair occurs in the texts to learn from."""
-        weight = np.repeat(learned, np.diff(self.offsets))
-        return tuple(np.bincount(at[weight], minlength=n).astype(np.uint32) for at, n in ((self.word_at, len(self.words)), (self.pair_at, len(self.pairs))))  # type: ignore[return-value]
+    def counts(self, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often each distinct word and pair occurs when texts are learned from ``times`` times."""
+        weight = np.repeat(times, np.diff(self.offsets))
+        return tuple(np.bincount(at, weight, n).astype(np.uint64) for at, n in ((self.word_at, len(self.words)), (self.pair_at, len(self.pairs))))  # type: ignore[return-value]
+
+    def messages(self, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ranges of hashes that have words or pairs of this chunk, and where each one's words and pairs begin; ends last."""
+        words, pairs = range_of(self.words, parts), range_of(self.pairs, parts)
+        used = np.union1d(words, pairs)
+        return used, *(np.append(np.searchsorted(own, used), len(own)) for own in (words, pairs))
 
 
 class Automaton:
@@ -83,18 +112,56 @@ class Automaton:
         return np.where(self.seen[at], self.arc[at], self.failure[self.state] + self.root[self.chunk.word_at])
 
 
+def _once(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a task, repeated ones together."""
+    held: list[pa.RecordBatch] = []
+    task = TaskContext.get().partitionId()  # the same when the task is run again
+
+    def made() -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).group_by(["doc_id", "text", "learned"]).aggregate([([], "count_all")])
+        rows = rows.select(["doc_id", "text", "learned"]).append_column("times", rows.column("count_all").cast(pa.int64()))
+        yield from rows.append_column("task", pa.array([task] * rows.num_rows, pa.int32())).to_batches(1000)
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= REPEATS_BYTES:
+            yield from made()
+            held = []
+    if held:
+        yield from made()
+
+
+def _vocabulary(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct words of TOKENS tokens or so at a time and how often they occur; a longer text's at once."""
+
+    def made() -> pa.RecordBatch:
+        words, counts = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts, pa.int64())], names=["word", "n"])
+
+    held: list[np.ndarray] = []
+    for batch in batches:
+        for _, h, at in word_hashes(batch.column("text").to_pylist()):
+            held += [h, np.full(len(at) - 1, END)]
+            if sum(map(len, held)) >= TOKENS:
+                yield made()
+                held = []
+    if held:
+        yield made()
+
+
 def _ask(parts: int):  # noqa: ANN202
     def ask(key: tuple, rows: pa.Table) -> pa.Table:
         chunk = Chunk(rows.column("text").to_pylist())
-        counted = chunk.counts(rows.column("learned").to_numpy().astype(bool))
-        bounds = (np.arange(parts + 1, dtype=object) << 64) // parts
-        edges = [np.concatenate(([0], np.searchsorted(h, np.array([int(b) for b in bounds[1:-1]], np.uint64)), [len(h)])).astype(int) for h in (chunk.words, chunk.pairs)]
-        cut = lambda a, e: [a[i:j].tobytes() for i, j in zip(e[:-1], e[1:], strict=True)]
-        columns = [cut(chunk.words, edges[0]), cut(counted[0], edges[0]), cut(chunk.pairs, edges[1]), cut(counted[1], edges[1])]
+        learned = rows.column("learned").to_numpy().astype(bool)
+        counted = chunk.counts(np.where(learned, rows.column("times").to_numpy(), 0))
+        used, *edges = chunk.messages(parts)
+        cut = lambda a, e, kept: [kept(a[i:j]) for i, j in zip(e[:-1].tolist(), e[1:].tolist(), strict=True)]
+        counts = lambda a: _slim(a).tobytes()
+        columns = [cut(chunk.words, edges[0], packed), cut(counted[0], edges[0], counts), cut(chunk.pairs, edges[1], packed), cut(counted[1], edges[1], counts)]
         return pa.table(
             {
-                "part": pa.array(range(parts), pa.int32()),
-                "chunk": pa.array([key[0].as_py()] * parts, pa.int32()),
+                "part": pa.array(used, pa.int32()),
+                "chunk": pa.array([key[0].as_py()] * len(used), pa.int32()),
                 **{n: pa.array(c, pa.binary()) for n, c in zip(("words", "word_counts", "pairs", "pair_counts"), columns, strict=True)},
             }
         )
@@ -102,58 +169,42 @@ def _ask(parts: int):  # noqa: ANN202
     return ask
 
 
-def _summed(hashes: pa.ChunkedArray, counts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """Sums over all chunks: per distinct hash, and per hash as sent; and where each chunk's own begin."""
-    sent = [np.frombuffer(x.as_buffer(), np.uint64) for x in hashes]
-    own = [np.frombuffer(x.as_buffer(), np.uint32) for x in counts]
+def _summed(hashes: pa.ChunkedArray, counts: pa.ChunkedArray) -> list[bytes]:
+    """For each chunk that has sent hashes, their counts over all chunks."""
+    sent = [unpacked(x.as_buffer()) for x in hashes]
+    own = [_counts(x.as_buffer(), len(s)) for x, s in zip(counts, sent, strict=True)]
     found, at = np.unique(np.concatenate(sent), return_inverse=True)
-    total = np.bincount(at, weights=np.concatenate(own), minlength=len(found)).astype(np.uint64)
-    return total, total[at], np.cumsum([0, *map(len, sent)]).tolist()
+    each = np.bincount(at, weights=np.concatenate(own), minlength=len(found)).astype(np.uint64)[at]
+    edges = np.cumsum([0, *map(len, sent)]).tolist()
+    return [_slim(each[i:j]).tobytes() for i, j in zip(edges[:-1], edges[1:], strict=True)]
 
 
 def _answer(key: tuple, rows: pa.Table) -> pa.Table:
-    out, totals = [], (0, 0)
-    for what in ("word", "pair"):
-        total, each, at = _summed(rows.column(f"{what}s"), rows.column(f"{what}_counts"))
-        if what == "word":
-            totals = int(total.sum()), int((total > 0).sum())
-        small = each.astype(np.uint32 if not len(each) or each.max() < 1 << 32 else np.uint64)
-        out.append([small[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)])
-    n = rows.num_rows
     return pa.table(
         {
             "chunk": rows.column("chunk"),
-            "part": pa.array([key[0].as_py()] * n, pa.int32()),
-            "tokens": pa.array([totals[0]] * n, pa.int64()),
-            "kinds": pa.array([totals[1]] * n, pa.int64()),
-            "word_counts": pa.array(out[0], pa.binary()),
-            "pair_counts": pa.array(out[1], pa.binary()),
+            "part": rows.column("part"),
+            **{f"{what}_counts": pa.array(_summed(rows.column(f"{what}s"), rows.column(f"{what}_counts")), pa.binary()) for what in ("word", "pair")},
         }
     )
 
 
-def _joined(parts: list[bytes], widths: list[int]) -> np.ndarray:
-    return np.concatenate([np.frombuffer(b, np.uint32 if w == 4 else np.uint64).astype(float) for b, w in zip(parts, widths, strict=True)])
-
-
-def _score(mu: float):  # noqa: ANN202
+def _score(parts: int, tokens: int, kinds: int, mu: float):  # noqa: ANN202
     def score(rows: pa.Table, answers: pa.Table) -> pa.Table:
         chunk = Chunk(rows.column("text").to_pylist())
         answers = answers.sort_by("part")
-        tokens, kinds = (sum(answers.column(c).to_pylist()) for c in ("tokens", "kinds"))
-        sums = []
-        for what, n in (("word", len(chunk.words)), ("pair", len(chunk.pairs))):
-            blobs = answers.column(f"{what}_counts").to_pylist()
-            hashes = chunk.words if what == "word" else chunk.pairs
-            edges = [0, *[int(np.searchsorted(hashes, np.uint64((i << 64) // len(blobs)))) for i in range(1, len(blobs))], n]
-            sizes = np.diff(edges)
-            if any(s and len(b) not in (4 * s, 8 * s) for b, s in zip(blobs, sizes, strict=True)):
-                raise RuntimeError("counts don't fit the chunk that asked for them")
-            sums.append(_joined(blobs, [len(b) // s if s else 4 for b, s in zip(blobs, sizes, strict=True)]))
+        used, *edges = chunk.messages(parts)
+        if answers.column("part").to_pylist() != used.tolist():
+            raise RuntimeError("answers don't fit the chunk that asked for them")
+        sums = [
+            np.concatenate([np.zeros(0), *(_counts(x.as_buffer(), n).astype(float) for x, n in zip(answers.column(f"{what}_counts"), np.diff(e).tolist(), strict=True))])
+            for what, e in zip(("word", "pair"), edges, strict=True)
+        ]
         model = Automaton(chunk, *sums, tokens, kinds, mu)
         at, n = chunk.offsets, len(chunk.offsets) - 1
         return pa.table(
             {
+                "times": rows.column("times"),
                 "doc_id": rows.column("doc_id"),
                 "n_tokens": pa.array(np.diff(at), pa.int64()),
                 "n_known": pa.array(sums_between(model.known[chunk.word_at].astype(np.int64), at), pa.int64()),
@@ -166,7 +217,7 @@ def _score(mu: float):  # noqa: ANN202
     return score
 
 
-def score(docs: DataFrame, learned: Column, mu: float = 300.0, chunk_bytes: int = 16 << 20, part_bytes: int = 32 << 20) -> DataFrame:
+def score(docs: DataFrame, learned: Column, mu: float = 300.0, chunk_bytes: int = 16 << 20, part_bytes: int = 16 << 20) -> DataFrame:
     """Scores of all documents under a model of those where ``learned`` holds.
 
     chunk_bytes: text that one task scores at a time; part_bytes: the text whose words one range of hashes counts.
@@ -174,8 +225,12 @@ def score(docs: DataFrame, learned: Column, mu: float = 300.0, chunk_bytes: int
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(learned, F.lit(False)).alias("learned"))
     size = rows.agg(F.sum(F.octet_length("text") + F.lit(8))).first()[0] or 0
     chunks, parts = max(1, math.ceil(size / chunk_bytes)), max(1, math.ceil(size / part_bytes))
-    place = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(chunks)).cast("int")
-    dealt = rows.withColumn("chunk", place).repartition("chunk")
+    words = rows.where("learned").select("text").mapInArrow(lambda b: frugal(_vocabulary(b)), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    tokens, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    place = F.pmod(F.xxhash64("doc_id", F.xxhash64("text"), "task"), F.lit(chunks)).cast("int")
+    dealt = rows.mapInArrow(lambda b: frugal(_once(b)), ONCE).withColumn("chunk", place).drop("task").repartition("chunk")
     asked = dealt.groupBy("chunk").applyInArrow(_ask(parts), ASKED)
     answered = asked.groupBy("part").applyInArrow(_answer, ANSWERED)
-    return dealt.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(_score(mu), SCORED)
+    scored = dealt.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(_score(parts, tokens, kinds, mu), SCORED)
+    each = scored.withColumn("times", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+    return each.drop("times")

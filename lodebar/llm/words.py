@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 #: Texts are taken together up to so many bytes; a longer text is taken in parts that end at white space.
 PART = 1 << 20
@@ -42,6 +43,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def packed(ascending: np.ndarray) -> bytes:
+    """Differences of sorted numbers, first bytes first: their high bytes are zeros, which the shuffle's codec removes."""
+    steps = np.diff(ascending, prepend=np.uint64(0))
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(raw: pa.Buffer) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+    return np.cumsum(steps, dtype=np.uint64)
+
+
 def _of_bytes(raw: bytes, parts_at: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and first bytes' places of the words of ``raw``."""
     b = np.frombuffer(raw, np.uint8)

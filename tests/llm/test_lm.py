@@ -45,7 +45,7 @@ def test_scores_agree_with_a_walk_in_dictionaries(spark, sizes):
     rng = random.Random(1)
     vocab = ["The", "the", "of", "tree", "É", "a,b", "x1", "zz"] + [f"w{i}" for i in range(60)]
     docs = [(i, " \n".join(rng.choices(vocab, k=rng.randrange(0, 40)))) for i in range(80)]
-    docs += [(80, None), (81, ""), (82, "long " * 3000), (83, "unseen words only"), (5, docs[5][1]), (None, "the tree")]
+    docs += [(80, None), (81, ""), (82, "long " * 3000), (83, "unseen words only"), (5, docs[5][1]), (None, "the tree"), *[(90, "hot row")] * 50, *[(None, None)] * 3]
     learn = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 5 != 1
     df = spark.createDataFrame([(*d, 1.0) for d in docs], "doc_id long, text string, score double").repartition(3)
     from lodebar.llm.common import crc32_of_id
