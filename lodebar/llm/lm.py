@@ -82,7 +82,7 @@ class Chunk:
 
     def counts(self, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How often each distinct word and pair occurs when texts are learned from ``times`` times."""
-        weight = np.repeat(times, np.diff(self.offsets))
+        weight = np.repeat(times.astype(float), np.diff(self.offsets))
         return tuple(np.bincount(at, weight, n).astype(np.uint64) for at, n in ((self.word_at, len(self.words)), (self.pair_at, len(self.pairs))))  # type: ignore[return-value]
 
     def messages(self, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -217,7 +217,7 @@ def _score(parts: int, tokens: int, kinds: int, mu: float):  # noqa: ANN202
     return score
 
 
-def score(docs: DataFrame, learned: Column, mu: float = 300.0, chunk_bytes: int = 16 << 20, part_bytes: int = 16 << 20) -> DataFrame:
+def score(docs: DataFrame, learned: Column, mu: float = 300.0, chunk_bytes: int = 12 << 20, part_bytes: int = 16 << 20) -> DataFrame:
     """Scores of all documents under a model of those where ``learned`` holds.
 
     chunk_bytes: text that one task scores at a time; part_bytes: the text whose words one range of hashes counts.
