@@ -32,12 +32,13 @@ def last_by(order: tuple[str, ...], *columns: str) -> Column:
     return F.max_by(F.struct(*columns), F.struct(*order))
 
 
-def ohlcv(ticks: DataFrame, unit: str = "minute", first_seen: str = "self", carry_across_days: bool = False) -> DataFrame:
+def ohlcv(ticks: DataFrame, unit: str = "minute", first_seen: str = "self", carry_across_days: bool = False, seeds: DataFrame | None = None) -> DataFrame:
     """One row for each bar and symbol that has ticks: open, high, low, close by arrival, and differenced volumes.
 
     Volume and amount are what the cumulative ones have grown by since the symbol's previous bar of the same day (or of
     any day, with ``carry_across_days``), not below 0. A first bar has none to compare with: ``self`` gives it 0,
-    ``start`` counts from its first tick, ``zero`` from 0.
+    ``start`` counts from its first tick, ``zero`` from 0. ``seeds`` (symbol, bar, r) are the last ticks of symbols in bars
+    before all of these; they are compared with, but not shown.
     """
     if first_seen not in ("self", "start", "zero"):
         raise ValueError(f"unknown first_seen {first_seen!r}")
@@ -51,6 +52,10 @@ def ohlcv(ticks: DataFrame, unit: str = "minute", first_seen: str = "self", carr
         F.max("seqno").alias("seqno"),
         F.bool_or(F.col("lasttradeqty") > 0).alias("any_quantity"),
     )
+    if seeds is not None:
+        own_price = scaled(F.col("r.lastprice"), F.col("r.decimal")).alias("price")
+        tail = F.struct(own_price, *[F.col(f"r.{c}") for c in ("totalvol", "totalamount", "lastprice", "decimal")])
+        grouped = grouped.unionByName(seeds.select("symbol", "bar", tail.alias("tail")), allowMissingColumns=True)
     before = Window.partitionBy("symbol", *([] if carry_across_days else [bar_date(F.col("bar"))])).orderBy("bar")
     since = {"self": "tail", "start": "head"}.get(first_seen)
 
@@ -59,10 +64,21 @@ def ohlcv(ticks: DataFrame, unit: str = "minute", first_seen: str = "self", carr
         return F.greatest(F.col(f"tail.{column}") - base, F.lit(0))
 
     amount = scaled(grown("totalamount"), F.col("tail.decimal"))
-    return grouped.select(
+    out = grouped.select(
         "symbol", "bar", F.col("head.price").alias("open"), "high", "low", F.col("tail.price").alias("close"), grown("totalvol").alias("volume"),
         amount.alias("amount"), "count", "seqno", "any_quantity", F.col("tail.lastprice").alias("lastprice"), F.col("tail.decimal").alias("decimal"),
     )
+    return out if seeds is None else out.where("count is not null")
+
+
+def level(seeds: DataFrame, across_days: bool = True) -> DataFrame:
+    """``seeds`` (symbol, bar, ...) as they stand at the newest of their bars: a bar is as old as the newest for all that hold until it.
+
+    Without ``across_days`` only those of the newest bar's day still hold.
+    """
+    newest = F.lit(seeds.agg(F.max("bar")).first()[0]).cast("timestamp_ntz")
+    held = seeds if across_days else seeds.where(bar_date(F.col("bar")) == bar_date(newest))
+    return held.withColumn("bar", newest)
 
 
 def grid(*bars: DataFrame) -> DataFrame:
@@ -98,10 +114,20 @@ def carried(states: DataFrame, bars: DataFrame, across_days: bool = True, shown:
     return spread.join(small(out.select(F.col("at").alias("in"), "bar")), "in").drop("in")
 
 
-def kline(ticks: DataFrame, names: DataFrame, unit: str = "minute", first_seen: str = "self", full: bool = True, carry_across_days: bool = False) -> DataFrame:
-    """Bars with gaps filled by flat bars at the last price; without ``full`` only symbols with ticks in the bar."""
-    own = named(ohlcv(ticks, unit, first_seen, carry_across_days), names)
-    filled = carried(own, grid(with_bar(ticks, unit))) if full else own.withColumn("held", F.lit(False))
+def kline(
+    ticks: DataFrame, names: DataFrame, unit: str = "minute", first_seen: str = "self", full: bool = True, carry_across_days: bool = False, seeds: DataFrame | None = None
+) -> DataFrame:
+    """Bars with gaps filled by flat bars at the last price; without ``full`` only symbols with ticks in the bar.
+
+    ``seeds`` (symbol, bar, r): last ticks in bars before all of these, to compare with and to carry.
+    """
+    own, shown = ohlcv(ticks, unit, first_seen, carry_across_days, seeds), with_bar(ticks, unit)
+    every = [shown]
+    if seeds is not None and full:
+        held = level(seeds).select("symbol", "bar", F.col("r.seqno").alias("seqno"), F.col("r.lastprice").alias("lastprice"), F.col("r.decimal").alias("decimal"))
+        own, every = own.unionByName(held, allowMissingColumns=True), [shown, held]
+    own = named(own, names)
+    filled = carried(own, grid(*every), True, None if seeds is None else shown) if full else own.withColumn("held", F.lit(False))
     held, last = F.col("held"), scaled(F.col("lastprice"), F.col("decimal"))
     flat = lambda c: F.when(held, last).otherwise(F.col(c)).alias(c)
     none = lambda c: F.when(held, 0).otherwise(F.col(c)).alias(c)
@@ -117,15 +143,25 @@ def named(rows: DataFrame, names: DataFrame) -> DataFrame:
     return rows.join(names.select("symbol", "name"), "symbol", "left").withColumn("name", F.coalesce("name", F.lit("")))
 
 
-def snapshot(ticks: DataFrame, names: DataFrame, unit: str = "minute", full: bool = True) -> DataFrame:
-    """Every tick of a bar (flag Y) and, with ``full``, the last one before it of each symbol that has none (flag N)."""
-    rows = with_bar(ticks, unit)
+def snapshot(ticks: DataFrame, names: DataFrame, unit: str = "minute", full: bool = True, seeds: DataFrame | None = None) -> DataFrame:
+    """Every tick of a bar (flag Y) and, with ``full``, the last one before it of each symbol that has none (flag N).
+
+    ``seeds`` (symbol, bar, r): last ticks in bars before all of these, to be carried.
+    """
+    return snapshot_of(with_bar(ticks, unit), names, full, None if seeds is None else level(seeds))
+
+
+def snapshot_of(rows: DataFrame, names: DataFrame, full: bool = True, seeds: DataFrame | None = None) -> DataFrame:
+    """The same of rows that have their bar; ``seeds`` (symbol, bar, r) stand in whatever bar they are for, before or between."""
     own = named(rows.withColumn("update_flag", F.lit("Y")), names)
     if not full:
         return own
-    columns = [c for c in ticks.columns if c != "symbol"]
+    columns = [c for c in rows.columns if c not in ("symbol", "bar")]
     last = rows.groupBy("symbol", "bar").agg(last_by(("seqno",), *columns).alias("r"))
-    held = carried(named(last, names), grid(rows)).where("held").select("symbol", "bar", "name", *[F.col(f"r.{c}") for c in columns], F.lit("N").alias("update_flag"))
+    if seeds is not None:
+        last = last.unionByName(seeds.select("symbol", "bar", F.struct(*[F.col(f"r.{c}") for c in columns]).alias("r")))
+    placed = carried(named(last, names), grid(rows, *([] if seeds is None else [seeds])), True, None if seeds is None else rows)
+    held = placed.where("held").select("symbol", "bar", "name", *[F.col(f"r.{c}") for c in columns], F.lit("N").alias("update_flag"))
     return own.unionByName(held)
 
 

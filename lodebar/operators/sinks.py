@@ -39,8 +39,11 @@ def partitioned(rows: DataFrame) -> DataFrame:
 
 
 def write_product(rows: DataFrame, path: str, kind: str = "parquet") -> None:
-    """Writes each bar's rows, sorted by symbol, into its own partition; partitions that are written again are replaced."""
-    ready = partitioned(rows).drop("bar").repartition("year", "date", "hhmm").sortWithinPartitions("year", "date", "hhmm", "symbol")
+    """Writes each bar's rows, sorted by symbol in each file, into its own partition; partitions that are written again are replaced.
+
+    A bar has one file, unless it is so large that adaptive execution deals it to several tasks.
+    """
+    ready = partitioned(rows).drop("bar").hint("rebalance", "year", "date", "hhmm").sortWithinPartitions("year", "date", "hhmm", "symbol")
     out = ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "date", "hhmm")
     if kind == "csv":
         out.option("header", True).option("nullValue", "NA").csv(path)

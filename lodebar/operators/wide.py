@@ -7,12 +7,14 @@ not over midnight unless asked for. Bars are numbered from 1 on each day.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodebar.functions.prices import intraday_return, number_text, price_or_null, scaled, short_flag
 from lodebar.functions.timebars import bar_date, local_time, update_time
-from lodebar.operators.bars import carried, first_by, grid, last_by, small, with_bar
+from lodebar.operators.bars import carried, first_by, grid, last_by, level, small, with_bar
 from lodebar.operators.instruments import with_limits
 from lodebar.operators.sinks import staged
 
@@ -26,22 +28,38 @@ COLUMNS = (
 TYPE = "69"
 
 
-def first_or_held(rows: DataFrame, unit: str, bars: DataFrame, across_days: bool, shown: DataFrame) -> DataFrame:
-    """(symbol, bar, r) for the bars shown: the first row in the bar by time, receipt and arrival, else the last one before it."""
+def first_or_held(rows: DataFrame, unit: str, bars: DataFrame, across_days: bool, shown: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
+    """(symbol, bar, r) for the bars shown: the first row in the bar by time, receipt and arrival, else the last one before it.
+
+    ``seeds`` (symbol, bar, r) are last rows in bars before all of these.
+    """
     columns = [c for c in rows.columns if c != "symbol"]
     order = tuple(c for c in ("ts", "rcvtime", "seqno") if c in columns)
     both = with_bar(rows, unit).groupBy("symbol", "bar").agg(first_by(order, *columns).alias("first"), last_by(order, *columns).alias("last"))
+    if seeds is not None:
+        both = both.unionByName(seeds.select("symbol", "bar", F.struct(*[F.col(f"r.{c}") for c in columns]).alias("last")), allowMissingColumns=True)
     return carried(both, bars, across_days, shown).select("symbol", "bar", F.when(F.col("held"), F.col("last")).otherwise(F.col("first")).alias("r"))
 
 
-def rows(ticks: DataFrame, quotes: DataFrame, instruments: DataFrame, unit: str = "minute", carry_quotes_across_days: bool = False) -> DataFrame:
-    """Typed columns under the product's names, and bar; nulls where the text product says NA."""
+def rows(
+    ticks: DataFrame, quotes: DataFrame, instruments: DataFrame, unit: str = "minute", carry_quotes_across_days: bool = False,
+    tick_seeds: DataFrame | None = None, quote_seeds: DataFrame | None = None, numbered: tuple[date, int] | None = None,
+) -> DataFrame:
+    """Typed columns under the product's names, and bar; nulls where the text product says NA.
+
+    The seeds (symbol, bar, r) are last rows in bars before all of these, to be carried; ``numbered`` are a date and how many of
+    its bars have numbers already.
+    """
     tick_bars = with_bar(ticks, unit).select("bar").distinct()
-    every = grid(tick_bars, with_bar(quotes, unit))
+    t_seeds = None if tick_seeds is None else level(tick_seeds)
+    q_seeds = None if quote_seeds is None else level(quote_seeds, carry_quotes_across_days)
+    every = grid(tick_bars, with_bar(quotes, unit), *[x for x in (t_seeds, q_seeds) if x is not None])
     number = F.row_number().over(Window.partitionBy(bar_date(F.col("bar"))).orderBy("bar"))
+    if numbered is not None:
+        number = number + F.when(bar_date(F.col("bar")) == F.lit(numbered[0]), numbered[1]).otherwise(0)
     seq = staged(tick_bars.select("bar", number.alias("seq")), "bars")
-    t = first_or_held(ticks, unit, every, True, seq).withColumnRenamed("r", "t")
-    q = first_or_held(quotes, unit, every, carry_quotes_across_days, seq).withColumnRenamed("r", "q")
+    t = first_or_held(ticks, unit, every, True, seq, t_seeds).withColumnRenamed("r", "t")
+    q = first_or_held(quotes, unit, every, carry_quotes_across_days, seq, q_seeds).withColumnRenamed("r", "q")
     both = with_limits(t.join(q, ["symbol", "bar"], "full_outer"), instruments).join(small(seq), "bar")
     d = F.col("t.decimal")
     price = lambda c: price_or_null(F.col(f"t.{c}"), d)

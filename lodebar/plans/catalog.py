@@ -546,3 +546,38 @@ QUERIES["stream_two_feed_gate"] = streams.two_feed_gate
 ORACLES["stream_two_feed_gate"] = (
     f"WITH {HOUR}, u AS (SELECT bar, symbol, 1 AS tick FROM tb UNION ALL SELECT bar, symbol, 0 FROM qb) SELECT {KEY} AS bar, symbol, CAST(sum(tick) AS BIGINT) AS ticks, CAST(sum(1 - tick) AS BIGINT) AS quotes FROM u GROUP BY bar, symbol"
 )
+
+
+@query(
+    f"WITH {RAW}, k AS (SELECT symbol FROM t UNION SELECT symbol FROM q), a AS (SELECT symbol, max(row(ts, seqno)) AS n, max(CAST(ts AS DATE)) AS day FROM t GROUP BY symbol), b AS (SELECT symbol, max(row(ts, seqno)) AS n FROM q GROUP BY symbol),"
+    " f AS (SELECT t.symbol, arg_min(totalvol, row(ts, t.seqno)) AS base FROM t JOIN a ON a.symbol = t.symbol AND CAST(t.ts AS DATE) = a.day GROUP BY t.symbol)"
+    " SELECT k.symbol, t.seqno AS tick_seqno, t.lastprice, t.totalvol, t.totalamount, q.seqno AS quote_seqno, q.bidprice, q.asksize, strftime(a.day, '%Y-%m-%d') AS day, t.totalvol - f.base AS day_volume"
+    " FROM k LEFT JOIN a USING (symbol) LEFT JOIN t ON t.symbol = k.symbol AND row(t.ts, t.seqno) = a.n LEFT JOIN f ON f.symbol = k.symbol LEFT JOIN b ON b.symbol = k.symbol LEFT JOIN q ON q.symbol = k.symbol AND row(q.ts, q.seqno) = b.n"
+)
+def stream_latest_state(spark: SparkSession, d: str) -> DataFrame:
+    s_ = streams.latest_state(spark, d)
+    return s_.select(
+        "symbol", "tick_seqno", F.col("tick_lastprice").alias("lastprice"), F.col("tick_totalvol").alias("totalvol"), F.col("tick_totalamount").alias("totalamount"), "quote_seqno",
+        F.col("quote_bidprice").alias("bidprice"), F.col("quote_asksize").alias("asksize"), F.date_format("day", "yyyy-MM-dd").alias("day"), "day_volume",
+    )
+
+
+QUERIES["stream_latest_resumed"] = streams.latest_resumed
+ORACLES["stream_latest_resumed"] = (
+    f"WITH {RAW} SELECT symbol, arg_max(seqno, row(ts, seqno)) AS tick_seqno, arg_max(lastprice, row(ts, seqno)) AS tick_lastprice, arg_max(totalvol, row(ts, seqno)) AS tick_totalvol, arg_max(totalamount, row(ts, seqno)) AS tick_totalamount FROM t GROUP BY symbol"
+)
+
+
+@query(SNAPSHOT)
+def stream_snapshot_full(spark: SparkSession, d: str) -> DataFrame:
+    return keyed(streams.snapshot_full(spark, d)).select(*SNAPSHOT_COLUMNS)
+
+
+@query(KLINE)
+def stream_kline_full(spark: SparkSession, d: str) -> DataFrame:
+    return keyed(streams.kline_full(spark, d))
+
+
+@query(WIDE)
+def stream_wide_rows(spark: SparkSession, d: str) -> DataFrame:
+    return keyed(streams.wide_rows(spark, d)).select("bar", *WIDE_COLUMNS).withColumn("IntraDailyReturn", F.round("IntraDailyReturn", 9))

@@ -14,9 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from lodebar.functions.timebars import bar_key
+from lodebar.operators import instruments, sinks
+from lodebar.operators import bars as batch_bars
 from lodebar.operators.sinks import scratch
 from lodebar.sources import tables
-from lodebar.streaming import bars
+from lodebar.streaming import bars, latest
+from lodebar.streaming.products import ProductWriter, both_feeds
+from lodebar.streaming.tables import Upsert
 
 
 class Feed:
@@ -49,7 +53,7 @@ def _stepped(spark: SparkSession, label: str, steps: list[list[tuple[Feed, DataF
 
 def _ending(rows: DataFrame) -> DataFrame:
     """A row far ahead of ``rows``, which moves the watermark past all of them."""
-    values = {"symbol": F.lit("~end"), "ts": F.lit("2100-01-01 00:00:00").cast("timestamp_ntz"), "seqno": F.lit(1 << 40)}
+    values = {"symbol": F.lit("~end"), "ts": F.lit("2100-01-01 00:30:00").cast("timestamp_ntz"), "seqno": F.lit(1 << 40)}
     return rows.limit(1).select(*[values.get(c, F.col(c)).cast(dict(rows.dtypes)[c]).alias(c) for c in rows.columns])
 
 
@@ -134,3 +138,77 @@ def two_feed_gate(spark: SparkSession, d: str) -> DataFrame:
         lambda: bars.gated_bars(*(feed.read() for feed, _ in both), "1 hour").writeStream.format("parquet").option("path", out).outputMode("append"),
     )
     return spark.read.parquet(out).where("symbol <> '~end'").withColumn("bar", bar_key(F.col("bar")))
+
+
+def _in_three(rows: DataFrame) -> list[DataFrame]:
+    """Rows in three steps, by arrival modulo 3: the later two bring rows that are older than what was there."""
+    return [rows.where(F.col("seqno") % 3 == k) for k in range(3)]
+
+
+def latest_state(spark: SparkSession, d: str) -> DataFrame:
+    """Last tick, last quote and the newest day's volume of each symbol, over three batches of which two are late."""
+    sides = [(Feed(spark, r, n), r) for r, n in ((tables.ticks(spark, d), "ticks"), (tables.quotes(spark, d), "quotes"))]
+    parts = [(feed, _in_three(rows)) for feed, rows in sides]
+    table = Upsert(scratch(spark, "latest"), latest.STATE, "symbol")
+    with latest.keyed_state(spark):
+        _stepped(
+            spark, "latest", [[(feed, own[k]) for feed, own in parts] for k in (2, 0, 1)],
+            lambda: latest.latest_state(*(feed.read() for feed, _ in sides)).writeStream.foreachBatch(table).outputMode("update"),
+        )
+    return table.read(spark)
+
+
+#: The days of the events before and from which the queries of resumed runs stop and go on.
+STOPPED = "2024-01-16"
+
+
+def latest_resumed(spark: SparkSession, d: str) -> DataFrame:
+    """Last ticks when a stream stops at midnight and a new one, without its checkpoint, goes on from the written product."""
+    ticks = tables.ticks(spark, d)
+    first, rest = ticks.where(F.col("ts") < F.lit(STOPPED).cast("timestamp_ntz")), ticks.where(F.col("ts") >= F.lit(STOPPED).cast("timestamp_ntz"))
+    product, names = scratch(spark, "product"), tables.instrument_rows(spark, d)
+    sinks.write_product(batch_bars.snapshot(first, instruments.merged(names), "hour"), product)
+    begin = latest.feed_rows(sinks.latest_from(spark, product), "tick") if not first.isEmpty() else None
+    feed, table = Feed(spark, ticks, "ticks"), Upsert(scratch(spark, "latest"), latest.STATE, "symbol")
+    if begin is not None:
+        table(latest.as_state(begin), 0)
+    with latest.keyed_state(spark):
+        _stepped(
+            spark, "resumed", [[(feed, rest)]],
+            lambda: latest.latest_state(feed.read(), first=begin).writeStream.foreachBatch(lambda rows, n: table(rows, n + 1)).outputMode("update"),
+        )
+    return table.read(spark).select("symbol", "tick_seqno", "tick_lastprice", "tick_totalvol", "tick_totalamount")
+
+
+#: Days whose ends part the steps of the streams that make products.
+STEPS = ("2024-01-08 13:20:00", "2024-01-16 00:00:00")
+
+
+def _products(spark: SparkSession, d: str, *products: str, steps: tuple[str, ...] = STEPS, **options: object) -> ProductWriter:
+    """Both feeds, parted at the given times and run through a stream that writes ``products``, to the end."""
+    ticks, quotes = tables.ticks(spark, d), tables.quotes(spark, d)
+    feeds = [(Feed(spark, r, n), r) for r, n in ((ticks, "ticks"), (quotes, "quotes"))]
+    at = lambda t: F.lit(t).cast("timestamp_ntz")
+    limits = [None, *steps, None]
+    within = lambda rows, low, high: rows.where((F.lit(True) if low is None else F.col("ts") >= at(low)) & (F.lit(True) if high is None else F.col("ts") < at(high)))
+    parts = [[(feed, within(rows, low, high)) for feed, rows in feeds] for low, high in zip(limits, limits[1:], strict=False)]
+    end = [(feed, _ending(rows)) for feed, rows in feeds]
+    names = instruments.merged(tables.instrument_rows(spark, d))
+    writer = ProductWriter(scratch(spark, "products"), ticks.schema, quotes.schema, lambda s: names, "hour", products=products, **options)
+    _stepped(spark, "products", [*parts, end], lambda: both_feeds(*(feed.read() for feed, _ in feeds)).writeStream.foreachBatch(writer))
+    return writer
+
+
+def snapshot_full(spark: SparkSession, d: str) -> DataFrame:
+    """Ticks and carried rows of every bar, from a stream in four batches that breaks off within a day and at midnight."""
+    return _products(spark, d, "snapshot").read(spark, "snapshot")
+
+
+def kline_full(spark: SparkSession, d: str) -> DataFrame:
+    """Gap-filled bars with volumes by day, from the same stream."""
+    return _products(spark, d, "kline").read(spark, "kline")
+
+
+def wide_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The wide product from two feeds: a bar comes out once both have passed it."""
+    return _products(spark, d, "wide").read(spark, "wide")
