@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodebar.functions import prices, timebars
-from lodebar.operators import bars, control, instruments, sinks, wide
+from lodebar.operators import bars, control, instruments, resume, sinks, wide
 from lodebar.plans import sqltext as s
 from lodebar.sources import feeds, tables
 from lodebar.streaming import queries as streams
@@ -581,3 +581,73 @@ def stream_kline_full(spark: SparkSession, d: str) -> DataFrame:
 @query(WIDE)
 def stream_wide_rows(spark: SparkSession, d: str) -> DataFrame:
     return keyed(streams.wide_rows(spark, d)).select("bar", *WIDE_COLUMNS).withColumn("IntraDailyReturn", F.round("IntraDailyReturn", 9))
+
+
+def _until(sql: str, low: str | None, high: str | None) -> str:
+    """``sql`` over ticks of a stretch of time only."""
+    limits = [f"ts {op} TIMESTAMP '{t}'" for op, t in ((">=", low), ("<", high)) if t]
+    return sql.replace("AS bar FROM t)", f"AS bar FROM t WHERE {' AND '.join(limits)})") if limits else sql
+
+
+@query(f"SELECT *, 1 AS step FROM ({_until(KLINE, None, streams.STEPS[0])}) UNION ALL SELECT *, 2 FROM ({KLINE})")
+def stream_open_bars(spark: SparkSession, d: str) -> DataFrame:
+    return keyed(streams.open_bars(spark, d))
+
+
+@query(
+    f"WITH {HOUR}, a AS (SELECT bar, CASE WHEN seqno % 97 = 0 THEN 3 WHEN ts < TIMESTAMP '{streams.STEPS[1]}' THEN 1 ELSE 2 END AS step FROM tb),"
+    f" c1 AS (SELECT max(bar) AS c FROM (SELECT DISTINCT bar FROM a WHERE step = 1 ORDER BY bar DESC OFFSET {streams.MOST_OPEN})),"
+    f" s2 AS (SELECT bar, step, coalesce(step = 2 AND bar <= c, false) AS late FROM a, c1 WHERE step < 3), c2 AS (SELECT max(bar) AS c FROM (SELECT DISTINCT bar FROM s2 WHERE NOT late ORDER BY bar DESC OFFSET {streams.MOST_OPEN})),"
+    f" s3 AS (SELECT bar, late FROM s2 UNION ALL SELECT bar, coalesce(bar <= c, false) FROM a, c2 WHERE step = 3), c3 AS (SELECT max(bar) AS c FROM (SELECT DISTINCT bar FROM s3 WHERE NOT late ORDER BY bar DESC OFFSET {streams.MOST_OPEN}))"
+    f" SELECT {KEY} AS bar, count(*) FILTER (WHERE NOT late) AS rows, count(*) FILTER (WHERE late) AS late_rows FROM s3, c3 WHERE late OR bar <= c GROUP BY 1"
+)
+def stream_evicted_bars(spark: SparkSession, d: str) -> DataFrame:
+    return streams.evicted_bars(spark, d)
+
+
+def _quote_lines(spark: SparkSession, d: str) -> DataFrame:
+    q = tables.quotes(spark, d)
+    fields = ["symbol", timebars.digits(F.col("ts")), "bidprice", "bidsize", "askprice", "asksize"]
+    return q.select("seqno", F.concat_ws(",", *[(F.col(f) if isinstance(f, str) else f).cast("string") for f in fields]).alias("line"))
+
+
+_STEP2 = "seqno % 97 = 0"
+TEXT = f"""
+WITH {RAW}, g AS (SELECT row_number() OVER (ORDER BY {_STEP2}, seqno) AS number, seqno, CASE WHEN seqno % 200 = 100 THEN 'x' ELSE symbol END AS symbol, date_trunc('millisecond', ts) AS ts, lastprice FROM rt WHERE {GOOD}),
+qm AS (SELECT seqno, date_trunc('millisecond', ts) AS ts FROM q), gb AS (SELECT *, {s.end_of("ts", "hour")} AS bar FROM g),
+w AS (SELECT least((SELECT max(ts) FROM g WHERE NOT {_STEP2}), (SELECT max(ts) FROM qm WHERE NOT {_STEP2})) - INTERVAL 2 hour AS c1, least((SELECT max(ts) FROM g), (SELECT max(ts) FROM qm)) - INTERVAL 2 hour AS c2)
+SELECT number AS seqno, symbol, {KEY} AS bar, lastprice, {_STEP2} AND bar <= c1 AS late FROM gb, w WHERE bar <= c2 OR ({_STEP2} AND bar <= c1)"""
+
+
+def _text_products(spark: SparkSession, d: str) -> streams.TextIntake:
+    return streams.text_products(spark, _tick_lines(spark, d), _quote_lines(spark, d), _ins(spark, d))
+
+
+@query(TEXT)
+def stream_products(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the bars that came out of two text feeds, numbered by arrival over a restart, and the late rows beside them."""
+    writer = _text_products(spark, d).writer
+    columns = ["seqno", "symbol", "bar", "lastprice"]
+    own = writer.read(spark, "snapshot").where("update_flag = 'Y'").select(*columns, F.lit(False).alias("late"))
+    late = writer.late(spark)
+    return keyed(own if late is None else own.unionByName(late.where("feed = 'tick'").select(*columns, F.lit(True).alias("late"))))
+
+
+@query(
+    f"WITH {RAW} SELECT CASE WHEN seqno % 97 = 0 THEN 1 ELSE 0 END AS batch, count(*) AS lines, count(*) FILTER (WHERE tick AND NOT good) AS rejected, count(*) FILTER (WHERE tick AND good) AS ticks, count(*) FILTER (WHERE NOT tick) AS quotes,"
+    " count(*) FILTER (WHERE tick AND good AND seqno % 37 = 0) AS negative_price, count(*) FILTER (WHERE tick AND good AND seqno % 41 = 0) AS negative_volume, count(*) FILTER (WHERE tick AND good AND seqno % 43 = 0) AS unknown_status"
+    f" FROM (SELECT seqno, true AS tick, {GOOD} AS good FROM rt UNION ALL SELECT seqno, false, true FROM q) GROUP BY 1"
+)
+def stream_intake_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """What each batch of the text feeds held, observed while its good rows were written."""
+    return streams.text_products(spark, _tick_lines(spark, d, True), _quote_lines(spark, d), _ins(spark, d)).metrics(spark)
+
+
+@query(SNAPSHOT)
+def resumed_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """A product that lacks every fifth hour and all after a midnight, completed from what it has."""
+    ticks, names, path = tables.ticks(spark, d), _ins(spark, d), sinks.scratch(spark, "resumed")
+    made = bars.snapshot(ticks.where(F.col("ts") < F.lit(streams.STOPPED).cast("timestamp_ntz")), names, "hour")
+    sinks.write_product(made.where(F.hour("bar") % 5 > 0), path)
+    resume.resume(ticks, names, path, "hour")
+    return keyed(resume.with_bars(spark.read.parquet(path))).select(*SNAPSHOT_COLUMNS)

@@ -27,7 +27,7 @@ from lodebar.operators.sinks import append_late, write_product
 from lodebar.streaming.tables import Versions
 
 CONTROL = (
-    "batch long, newest_tick timestamp_ntz, newest_quote timestamp_ntz, closed timestamp_ntz, numbered date, numbers long, bars long, rows long, late long, evicted array<timestamp_ntz>"
+    "batch long, newest_tick timestamp_ntz, newest_quote timestamp_ntz, closed timestamp_ntz, numbered date, numbers long, bars long, ticks long, quotes long, late long, evicted array<timestamp_ntz>"
 )
 FEEDS = ("tick", "quote")
 PRODUCTS = ("snapshot", "kline", "wide")
@@ -68,7 +68,7 @@ class ProductWriter:
     def control(self, spark: SparkSession, batch: int | None = None) -> dict[str, Any]:
         """What was known before ``batch``, or is now."""
         found = self._versions(spark, "control").before(batch, CONTROL).first()
-        return found.asDict() if found else {"bars": 0, "rows": 0, "late": 0, "numbers": 0} | dict.fromkeys(("newest_tick", "newest_quote", "closed", "numbered"))
+        return found.asDict() if found else dict.fromkeys(("bars", "ticks", "quotes", "late", "numbers"), 0) | dict.fromkeys(("newest_tick", "newest_quote", "closed", "numbered"))
 
     def _seeds(self, spark: SparkSession, feed: str, batch: int) -> DataFrame:
         """(symbol, bar, by_arrival, by_time): last rows of closed bars."""
@@ -130,7 +130,7 @@ class ProductWriter:
         end = lambda t: F.lit(t).cast("timestamp_ntz")
         is_late = F.col("bar") <= end(control["closed"]) if control["closed"] else F.lit(False)
         counts = {r["feed"]: r for r in rows.groupBy("feed").agg(F.max("ts").alias("newest"), F.count("*").alias("n"), F.count(F.when(is_late, 1)).alias("late")).collect()}
-        late, total = sum(r["late"] for r in counts.values()), sum(r["n"] for r in counts.values())
+        late, came = sum(r["late"] for r in counts.values()), {f: counts[f]["n"] if f in counts else 0 for f in FEEDS}
         if late:
             append_late(rows.where(is_late), f"{self.path}/rows", batch_id)
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
@@ -150,7 +150,8 @@ class ProductWriter:
         if day == control["numbered"]:
             numbers += control["numbers"]
         values = (
-            batch_id, newest["tick"], newest["quote"], closed, day, numbers, control["bars"] + done["bars"], control["rows"] + total, control["late"] + late, evicted,
+            batch_id, newest["tick"], newest["quote"], closed, day, numbers, control["bars"] + done["bars"],
+            control["ticks"] + came["tick"], control["quotes"] + came["quote"], control["late"] + late, evicted,
         )
         versions["control"].write(spark.createDataFrame([values], CONTROL).coalesce(1), batch_id)
         for v in versions.values():

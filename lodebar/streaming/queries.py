@@ -18,7 +18,8 @@ from lodebar.operators import instruments, sinks
 from lodebar.operators import bars as batch_bars
 from lodebar.operators.sinks import scratch
 from lodebar.sources import tables
-from lodebar.streaming import bars, latest
+from lodebar.streaming import bars, latest, tail_source
+from lodebar.streaming.intake import TextIntake, text_schemas
 from lodebar.streaming.products import ProductWriter, both_feeds
 from lodebar.streaming.tables import Upsert
 
@@ -42,13 +43,16 @@ class Feed:
         return self.spark.readStream.schema(self.schema).options(**options).parquet(self.path).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-def _stepped(spark: SparkSession, label: str, steps: list[list[tuple[Feed, DataFrame]]], writer: Callable[[], DataStreamWriter]) -> None:
-    """Writes each step's rows and runs the stream until it has used them up."""
+def _stepped(
+    spark: SparkSession, label: str, steps: list[list[tuple[Feed, DataFrame]]], writer: Callable[[], DataStreamWriter], after: Callable[[int], None] = lambda n: None
+) -> None:
+    """Writes each step's rows and runs the stream until it has used them up; ``after`` is called with the step's number."""
     checkpoint = scratch(spark, f"{label}-checkpoint")
-    for step in steps:
+    for n, step in enumerate(steps):
         for feed, rows in step:
             feed.write(rows)
         writer().option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        after(n)
 
 
 def _ending(rows: DataFrame) -> DataFrame:
@@ -184,18 +188,18 @@ def latest_resumed(spark: SparkSession, d: str) -> DataFrame:
 STEPS = ("2024-01-08 13:20:00", "2024-01-16 00:00:00")
 
 
-def _products(spark: SparkSession, d: str, *products: str, steps: tuple[str, ...] = STEPS, **options: object) -> ProductWriter:
-    """Both feeds, parted at the given times and run through a stream that writes ``products``, to the end."""
+def _products(spark: SparkSession, d: str, *products: str, steps: tuple[str, ...] = STEPS) -> ProductWriter:
+    """Both feeds, parted at the given times and run through a stream that writes ``products``; a last row of each closes all bars."""
     ticks, quotes = tables.ticks(spark, d), tables.quotes(spark, d)
     feeds = [(Feed(spark, r, n), r) for r, n in ((ticks, "ticks"), (quotes, "quotes"))]
     at = lambda t: F.lit(t).cast("timestamp_ntz")
     limits = [None, *steps, None]
     within = lambda rows, low, high: rows.where((F.lit(True) if low is None else F.col("ts") >= at(low)) & (F.lit(True) if high is None else F.col("ts") < at(high)))
     parts = [[(feed, within(rows, low, high)) for feed, rows in feeds] for low, high in zip(limits, limits[1:], strict=False)]
-    end = [(feed, _ending(rows)) for feed, rows in feeds]
+    parts[-1] += [(feed, _ending(rows)) for feed, rows in feeds]
     names = instruments.merged(tables.instrument_rows(spark, d))
-    writer = ProductWriter(scratch(spark, "products"), ticks.schema, quotes.schema, lambda s: names, "hour", products=products, **options)
-    _stepped(spark, "products", [*parts, end], lambda: both_feeds(*(feed.read() for feed, _ in feeds)).writeStream.foreachBatch(writer))
+    writer = ProductWriter(scratch(spark, "products"), ticks.schema, quotes.schema, lambda s: names, "hour", products=products)
+    _stepped(spark, "products", parts, lambda: both_feeds(*(feed.read() for feed, _ in feeds)).writeStream.foreachBatch(writer))
     return writer
 
 
@@ -212,3 +216,56 @@ def kline_full(spark: SparkSession, d: str) -> DataFrame:
 def wide_rows(spark: SparkSession, d: str) -> DataFrame:
     """The wide product from two feeds: a bar comes out once both have passed it."""
     return _products(spark, d, "wide").read(spark, "wide")
+
+
+def open_bars(spark: SparkSession, d: str) -> DataFrame:
+    """Gap-filled bars after each of two steps, of which the first ends within a bar: bars come out open and are replaced as they grow."""
+    ticks = tables.ticks(spark, d)
+    names = instruments.merged(tables.instrument_rows(spark, d))
+    at = F.lit(STEPS[0]).cast("timestamp_ntz")
+    feed = Feed(spark, ticks, "ticks")
+    writer = ProductWriter(scratch(spark, "open"), ticks.schema, None, lambda s: names, "hour", products=("kline",), open_bars=True)
+    seen: list[DataFrame] = []
+    _stepped(
+        spark, "open", [[(feed, ticks.where(F.col("ts") < at))], [(feed, ticks.where(F.col("ts") >= at))]], lambda: feed.read().writeStream.foreachBatch(writer),
+        lambda n: seen.append(sinks.staged(writer.read(spark, "kline").withColumn("step", F.lit(n + 1)), "step")),
+    )
+    return seen[0].unionByName(seen[1])
+
+
+#: Bars that may be open at once in the stream that evicts.
+MOST_OPEN = 24
+
+
+def evicted_bars(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each bar that came out, on time or late, when nothing but a bound on open bars closes bars; every 97th row comes last."""
+    ticks = tables.raw_ticks(spark, d).withColumn("totalvol", F.lit(0).cast("long")).withColumn("totalamount", F.lit(0).cast("long"))
+    names = instruments.merged(tables.instrument_rows(spark, d))
+    at, last = F.lit(STEPS[1]).cast("timestamp_ntz"), F.col("seqno") % 97 == 0
+    feed = Feed(spark, ticks, "ticks")
+    writer = ProductWriter(scratch(spark, "evicted"), ticks.schema, None, lambda s: names, "hour", "1000 days", products=("snapshot",), most_open=MOST_OPEN)
+    steps = [[(feed, ticks.where(~last & (F.col("ts") < at)))], [(feed, ticks.where(~last & (F.col("ts") >= at)))], [(feed, ticks.where(last))]]
+    _stepped(spark, "evicted", steps, lambda: feed.read().writeStream.foreachBatch(writer))
+    on_time = writer.read(spark, "snapshot").where("update_flag = 'Y'").select("bar", F.lit(0).alias("late"))
+    late = writer.late(spark)
+    both = on_time if late is None else on_time.unionByName(late.select("bar", F.lit(1).alias("late")))
+    return both.groupBy(bar_key(F.col("bar")).alias("bar")).agg(F.count(F.when(F.col("late") == 0, 1)).alias("rows"), F.sum("late").alias("late_rows"))
+
+
+def text_products(spark: SparkSession, tick_lines: DataFrame, quote_lines: DataFrame, names: DataFrame) -> TextIntake:
+    """Both text feeds, (seqno, line), followed as they grow: every 97th line comes in a second step, after a restart of the stream."""
+    schemas = text_schemas(spark)
+    writer = ProductWriter(scratch(spark, "text-products"), schemas["tick"], schemas["quote"], lambda s: names, "hour", "2 hours", products=("snapshot",))
+    intake = TextIntake(f"{writer.path}/intake", writer)
+    folders = {"tick": (scratch(spark, "tick-lines"), tick_lines), "quote": (scratch(spark, "quote-lines"), quote_lines)}
+    checkpoint = scratch(spark, "text-checkpoint")
+    for condition in ("seqno % 97 > 0", "seqno % 97 = 0"):
+        for path, rows in folders.values():  # ranges of arrivals, a file each, in the order of their names
+            rows.where(condition).repartitionByRange("seqno").sortWithinPartitions("seqno").select("line").write.mode("append").text(path)
+        ticks, quotes = (tail_source.follow(spark, f"{path}/part-*").withColumn("feed", F.lit(f)) for f, (path, _) in folders.items())
+        stream = ticks.unionByName(quotes).writeStream.foreachBatch(intake).option("checkpointLocation", checkpoint).start()
+        try:
+            stream.processAllAvailable()
+        finally:
+            stream.stop()
+    return intake
