@@ -8,6 +8,8 @@ to the next is a parameter: prices are carried over midnight, volumes and quotes
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,37 +83,43 @@ def level(seeds: DataFrame, across_days: bool = True) -> DataFrame:
     return held.withColumn("bar", newest)
 
 
-def grid(*bars: DataFrame) -> DataFrame:
-    """(bar, at, day_end) of all distinct bars, counted in order; day_end is the place of the next day's first bar.
+@dataclass(frozen=True)
+class Grid:
+    """(bar, at, day_end) of all distinct bars, counted in order from 0, and how many there are.
 
-    As many rows as there are bars, whatever the symbols; they are written once, since every user of a grid reads it twice.
+    day_end is the place of the next day's first bar.
     """
+
+    rows: DataFrame
+    count: int
+
+    def small(self, bars: DataFrame) -> DataFrame:
+        """A table of no more bars than the grid has, to be broadcast if these are BROADCAST_BARS at most."""
+        return F.broadcast(bars) if self.count <= BROADCAST_BARS else bars
+
+
+def grid(*bars: DataFrame) -> Grid:
+    """The grid of all bars in ``bars``: as many rows as there are bars, whatever the symbols; written once, as it is read several times."""
     every = bars[0].select("bar")
     for b in bars[1:]:
         every = every.unionAll(b.select("bar"))
     placed = every.distinct().select("bar", (F.row_number().over(Window.orderBy("bar")) - 1).alias("at"))
-    return staged(placed.withColumn("day_end", F.max("at").over(Window.partitionBy(bar_date(F.col("bar")))) + 1), "grid")
-
-
-def small(bars: DataFrame) -> DataFrame:
-    """A table of bars, to be broadcast if it has BROADCAST_BARS rows at most."""
-    return F.broadcast(bars) if bars.count() <= BROADCAST_BARS else bars
+    rows = staged(placed.withColumn("day_end", F.max("at").over(Window.partitionBy(bar_date(F.col("bar")))) + 1), "grid")
+    return Grid(rows, rows.count())
 
 
-def carried(states: DataFrame, bars: DataFrame, across_days: bool = True, shown: DataFrame | None = None) -> DataFrame:
+def carried(states: DataFrame, bars: Grid, across_days: bool = True, shown: DataFrame | None = None) -> DataFrame:
     """``states`` (symbol, bar, ...) for every grid bar from a symbol's first on: its own row, then that one until the next.
 
     ``held`` says whether a row is carried; ``bar`` is the grid's bar. Without ``across_days`` a row is carried to the end
     of its day. ``shown`` (bar) are the grid's bars that come out, all by default.
     """
-    end = (bars.agg(F.max("at")).first()[0] or 0) + 1
-    grid_bars = small(bars)
-    after = F.coalesce(F.lead("at").over(Window.partitionBy("symbol").orderBy("at")), F.lit(end))
-    placed = states.join(grid_bars, "bar").withColumn("until", after)
+    after = F.coalesce(F.lead("at").over(Window.partitionBy("symbol").orderBy("at")), F.lit(bars.count))
+    placed = states.join(bars.small(bars.rows), "bar").withColumn("until", after)
     until = F.col("until") if across_days else F.least("until", "day_end")
     spread = placed.withColumn("in", F.explode(F.sequence(F.col("at"), until - 1))).withColumn("held", F.col("in") > F.col("at")).drop("bar", "at", "day_end", "until")
-    out = bars if shown is None else bars.join(shown.select("bar").distinct(), "bar", "left_semi")
-    return spread.join(small(out.select(F.col("at").alias("in"), "bar")), "in").drop("in")
+    out = bars.rows if shown is None else bars.rows.join(shown.select("bar").distinct(), "bar", "left_semi")
+    return spread.join(bars.small(out.select(F.col("at").alias("in"), "bar")), "in").drop("in")
 
 
 def kline(
@@ -182,6 +190,6 @@ def last_in_bar(rows: DataFrame, unit: str, *order: str) -> DataFrame:
     return with_bar(rows, unit).groupBy("symbol", "bar").agg(last_by((*order, "seqno"), *columns).alias("r")).select("symbol", "bar", "r.*")
 
 
-def as_of(rows: DataFrame, unit: str, bars: DataFrame) -> DataFrame:
+def as_of(rows: DataFrame, unit: str, bars: Grid) -> DataFrame:
     """For every bar of the grid and symbol seen by then, the last row at or before the bar's end."""
     return carried(last_in_bar(rows, unit, "ts"), bars)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lodebar.functions.prices import intraday_return, number_text, price_or_null, scaled, short_flag
 from lodebar.functions.timebars import bar_date, local_time, update_time
-from lodebar.operators.bars import carried, first_by, grid, last_by, level, small, with_bar
+from lodebar.operators.bars import Grid, carried, first_by, grid, last_by, level, with_bar
 from lodebar.operators.instruments import with_limits
 from lodebar.operators.sinks import staged
 
@@ -28,7 +28,7 @@ COLUMNS = (
 TYPE = "69"
 
 
-def first_or_held(rows: DataFrame, unit: str, bars: DataFrame, across_days: bool, shown: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
+def first_or_held(rows: DataFrame, unit: str, bars: Grid, across_days: bool, shown: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
     """(symbol, bar, r) for the bars shown: the first row in the bar by time, receipt and arrival, else the last one before it.
 
     ``seeds`` (symbol, bar, r) are last rows in bars before all of these.
@@ -60,7 +60,7 @@ def rows(
     seq = staged(tick_bars.select("bar", number.alias("seq")), "bars")
     t = first_or_held(ticks, unit, every, True, seq, t_seeds).withColumnRenamed("r", "t")
     q = first_or_held(quotes, unit, every, carry_quotes_across_days, seq, q_seeds).withColumnRenamed("r", "q")
-    both = with_limits(t.join(q, ["symbol", "bar"], "full_outer"), instruments).join(small(seq), "bar")
+    both = with_limits(t.join(q, ["symbol", "bar"], "full_outer"), instruments).join(every.small(seq), "bar")
     d = F.col("t.decimal")
     price = lambda c: price_or_null(F.col(f"t.{c}"), d)
     at, ticked = F.coalesce("t.ts", "q.ts"), F.col("t").isNotNull()

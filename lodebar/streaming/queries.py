@@ -88,6 +88,10 @@ def late_append(spark: SparkSession, d: str) -> DataFrame:
     return both.select("seqno", "symbol", bar_key(F.col("bar")).alias("bar"), "late")
 
 
+#: Seconds after which a stream that should have run out of bars has failed.
+PATIENCE_S = 900
+
+
 def _stalling(spark: SparkSession, feed: Feed, steps: list[list[tuple[Feed, DataFrame]]]) -> DataFrame:
     """Bars of all steps, the last ones by running out of time: it is over when no symbol has a bar in the making.
 
@@ -105,7 +109,11 @@ def _stalling(spark: SparkSession, feed: Feed, steps: list[list[tuple[Feed, Data
         ticks = feed.read(maxFilesPerTrigger=files)
         writer = bars.stalled_bars(ticks, "hour", 500).writeStream.format("parquet").option("path", out).outputMode("append")
         query = writer.option("checkpointLocation", scratch(spark, "stalled-checkpoint")).trigger(processingTime="0 seconds").start()
+        until = time.monotonic() + PATIENCE_S
         while query.isActive:
+            if time.monotonic() > until:
+                query.stop()
+                raise TimeoutError(f"bars are still in the making after {PATIENCE_S} s")
             done = query.lastProgress
             if done and done["stateOperators"] and done["numInputRows"] == 0 and done["stateOperators"][0]["numRowsTotal"] == 0:
                 break
@@ -204,17 +212,17 @@ def _products(spark: SparkSession, d: str, *products: str, steps: tuple[str, ...
 
 
 def snapshot_full(spark: SparkSession, d: str) -> DataFrame:
-    """Ticks and carried rows of every bar, from a stream in four batches that breaks off within a day and at midnight."""
-    return _products(spark, d, "snapshot").read(spark, "snapshot")
+    """Ticks and carried rows of every bar, from a stream in two batches that breaks off within a bar."""
+    return _products(spark, d, "snapshot", steps=STEPS[:1]).read(spark, "snapshot")
 
 
 def kline_full(spark: SparkSession, d: str) -> DataFrame:
-    """Gap-filled bars with volumes by day, from the same stream."""
-    return _products(spark, d, "kline").read(spark, "kline")
+    """Gap-filled bars with volumes by day, from a stream that breaks off at midnight."""
+    return _products(spark, d, "kline", steps=STEPS[1:]).read(spark, "kline")
 
 
 def wide_rows(spark: SparkSession, d: str) -> DataFrame:
-    """The wide product from two feeds: a bar comes out once both have passed it."""
+    """The wide product from two feeds: a bar comes out once both have passed it. It breaks off within a bar and at midnight."""
     return _products(spark, d, "wide").read(spark, "wide")
 
 

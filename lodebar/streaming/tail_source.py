@@ -15,6 +15,7 @@ import fnmatch
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import date
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -43,15 +44,20 @@ class Range(InputPartition):
 
 
 class _Tail:
-    def __init__(self, path: str, chunk: int) -> None:
-        self.path, self.chunk = path, chunk
+    def __init__(self, path: str, chunk: int, since: str = "") -> None:
+        self.path, self.chunk, self.since = path, chunk, since
 
     def files(self) -> dict[str, int]:
         """Sizes of the files that match; the pattern is in the last part of the path."""
         store, path = _store(self.path)
         folder, _, pattern = path.rpartition("/")
         found = store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
-        return {i.path: i.size for i in sorted(found, key=lambda i: i.path) if i.is_file and fnmatch.fnmatch(i.base_name, pattern)}
+        return {i.path: i.size for i in sorted(found, key=lambda i: i.path) if i.is_file and fnmatch.fnmatch(i.base_name, pattern) and not self.finished(i.base_name)}
+
+    def finished(self, name: str) -> bool:
+        """Whether the date that a file's name ends in is before ``since``: such files are not even opened."""
+        dated = re.search(r"\d{8}$", name)
+        return bool(self.since and dated and dated[0] < self.since)
 
     def last_line_end(self, file: str, size: int) -> int:
         """The place after the last line feed before ``size``, looked for from the end."""
@@ -130,22 +136,26 @@ class TailSource(DataSource):
         return "line string, file string, position long"
 
     def streamReader(self, schema: object) -> TailReader:
-        return TailReader(self.options["path"], int(self.options.get("chunk", CHUNK)))
+        return TailReader(self.options["path"], int(self.options.get("chunk", CHUNK)), self.options.get("since", ""))
 
     def reader(self, schema: object) -> TailOnce:
-        return TailOnce(self.options["path"], int(self.options.get("chunk", CHUNK)))
+        return TailOnce(self.options["path"], int(self.options.get("chunk", CHUNK)), self.options.get("since", ""))
+
+
+def _options(path: str, chunk: int, since: date | None) -> dict[str, str]:
+    return {"path": path, "chunk": str(chunk), "since": since.strftime("%Y%m%d") if since else ""}
 
 
-def follow(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFrame:
-    """Lines of all files that match ``path``, as a stream."""
+def follow(spark: SparkSession, path: str, chunk: int = CHUNK, since: date | None = None) -> DataFrame:
+    """Lines of all files that match ``path``, as a stream; files whose names end in a date before ``since`` are left out."""
     spark.dataSource.register(TailSource)
-    return spark.readStream.format("tail").option("path", path).option("chunk", chunk).load()
+    return spark.readStream.format("tail").options(**_options(path, chunk, since)).load()
 
 
-def lines(spark: SparkSession, path: str, chunk: int = CHUNK) -> DataFrame:
+def lines(spark: SparkSession, path: str, chunk: int = CHUNK, since: date | None = None) -> DataFrame:
     """Lines of all files that match ``path``, with the byte position of each and the date that the file's name ends in."""
     spark.dataSource.register(TailSource)
-    return dated(spark.read.format("tail").option("path", path).option("chunk", chunk).load())
+    return dated(spark.read.format("tail").options(**_options(path, chunk, since)).load())
 
 
 def dated(rows: DataFrame) -> DataFrame:

@@ -34,9 +34,6 @@ def rows(columns, values):
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_agrees_with_its_sql(spark, duck, name):
     got = catalog.QUERIES[name](spark, SF)
-    if name not in catalog.ORACLES:
-        assert got.count() >= 0
-        return
     cursor = duck.execute(catalog.ORACLES[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(columns) == sorted(got.columns)
