@@ -651,3 +651,8 @@ def resumed_snapshot(spark: SparkSession, d: str) -> DataFrame:
     sinks.write_product(made.where(F.hour("bar") % 5 > 0), path)
     resume.resume(ticks, names, path, "hour")
     return keyed(resume.with_bars(spark.read.parquet(path))).select(*SNAPSHOT_COLUMNS)
+
+
+@query(f"WITH {RAW} SELECT * FROM ins")
+def stream_instruments(spark: SparkSession, d: str) -> DataFrame:
+    return streams.master(spark, d).select("symbol", "name", "market", "limitup", "limitdown", "decimal")

@@ -21,7 +21,7 @@ from lodebar.sources import tables
 from lodebar.streaming import bars, latest, tail_source
 from lodebar.streaming.intake import TextIntake, text_schemas
 from lodebar.streaming.products import ProductWriter, both_feeds
-from lodebar.streaming.tables import Upsert
+from lodebar.streaming.tables import MasterTable, Upsert
 
 
 class Feed:
@@ -34,13 +34,14 @@ class Feed:
 
     @staticmethod
     def _stored(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+        return rows.withColumn("ts", F.col("ts").cast("timestamp")) if "ts" in rows.columns else rows
 
     def write(self, rows: DataFrame) -> None:
         self._stored(rows).write.mode("append").parquet(self.path)
 
     def read(self, **options: int) -> DataFrame:
-        return self.spark.readStream.schema(self.schema).options(**options).parquet(self.path).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        rows = self.spark.readStream.schema(self.schema).options(**options).parquet(self.path)
+        return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz")) if "ts" in rows.columns else rows
 
 
 def _stepped(
@@ -226,6 +227,14 @@ def wide_rows(spark: SparkSession, d: str) -> DataFrame:
     return _products(spark, d, "wide").read(spark, "wide")
 
 
+def master(spark: SparkSession, d: str) -> DataFrame:
+    """The instrument master after three batches of its rows, of which the later two bring older rows, too."""
+    rows = tables.instrument_rows(spark, d)
+    feed, table = Feed(spark, rows, "master"), MasterTable(scratch(spark, "master"), rows)
+    _stepped(spark, "master", [[(feed, part)] for part in reversed(_in_three(rows))], lambda: feed.read().writeStream.foreachBatch(table))
+    return table.read(spark)
+
+
 def open_bars(spark: SparkSession, d: str) -> DataFrame:
     """Gap-filled bars after each of two steps, of which the first ends within a bar: bars come out open and are replaced as they grow."""
     ticks = tables.ticks(spark, d)

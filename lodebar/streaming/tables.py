@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodebar.operators import instruments
+
 
 class Versions:
     """Folders ``id=N`` below a path, each a table as it was after batch N."""
@@ -60,3 +62,23 @@ class Upsert:
 
     def read(self, spark: SparkSession) -> DataFrame:
         return Versions(spark, self.path).before(None, self.schema)
+
+
+class MasterTable:
+    """A micro-batch sink for rows of the instrument master: a batch's new rows are folded into the table, nothing older is read again.
+
+    Its present state is what ``instruments.merged`` gives over all rows that have come, in whatever order they came.
+    """
+
+    def __init__(self, path: str, like: DataFrame) -> None:
+        self.path = path
+        self.schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in instruments.as_state(like.limit(0)).schema)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        versions = Versions(batch.sparkSession, self.path)
+        versions.write(instruments.folded(versions.before(batch_id, self.schema), instruments.as_state(batch)), batch_id)
+        versions.forget(batch_id)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The master as it is now."""
+        return instruments.of_state(Versions(spark, self.path).before(None, self.schema))

@@ -3,13 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lodebar.operators import bars, resume, sinks, wide
+from lodebar.operators import bars, instruments, resume, sinks, wide
 from lodebar.operators.sinks import scratch
 from lodebar.sources import feeds
 from lodebar.streaming import latest, products, tail_source
 from lodebar.streaming.intake import TextIntake, text_schemas
 from lodebar.streaming.products import ProductWriter, both_feeds
-from lodebar.streaming.tables import Upsert, Versions
+from lodebar.streaming.tables import MasterTable, Upsert, Versions
 
 
 
@@ -249,3 +249,14 @@ def test_latest_state_takes_rows_in_any_order_and_a_first_state(spark, tmp_path)
             made.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     got = {r.symbol: (r.tick_seqno, r.tick_lastprice, str(r.day), r.day_volume) for r in table.read(spark).collect()}
     assert got == {"a": (9, 99, "2026-03-03", 2), "b": (11, 502, "2026-03-03", -8), "c": (10, 71, "2026-03-03", 0)}
+
+
+def test_the_master_is_folded_batch_by_batch(spark):
+    made = [(1, "a", "A", 100, 50, 2), (2, "b", "B", 7, 0, 0), (3, "a", "A*", 0, 0, 0), (4, "a", "A**", 0, 60, 3), (5, "b", "B", 0, 9, 0), (6, "c", "C", 0, 0, 0)]
+    every = spark.createDataFrame(made, "seqno long, symbol string, name string, limitup long, limitdown long, decimal int")
+    table = MasterTable(scratch(spark, "master"), every)
+    seen = []
+    for n, part in enumerate(((4, 5), (1, 6), (1, 6), (2, 3))):
+        table(every.where(F.col("seqno").isin(*part)), (0, 1, 1, 2)[n])
+        seen += part
+        assert rows(table.read(spark)) == rows(instruments.merged(every.where(F.col("seqno").isin(*seen)))), n
