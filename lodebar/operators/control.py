@@ -88,10 +88,17 @@ def increasing(rows: DataFrame, column: str, key: str, order: str, stretch: Colu
     return most_before(rows, column, key, order, stretch, "__before").where(F.col("__before").isNull() | (F.col(column) > F.col("__before"))).drop("__before")
 
 
-def not_increasing(rows: DataFrame, column: str, key: str, order: str) -> DataFrame:
-    """Rows whose ``column`` isn't larger than that of the row before."""
-    last = F.lag(column).over(Window.partitionBy(key).orderBy(order))
-    return rows.withColumn("before", last).where(F.col(column) <= F.col("before"))
+def not_increasing(rows: DataFrame, column: str, key: str, order: str, stretch: Column) -> DataFrame:
+    """Rows whose ``column`` isn't larger than that of the row before of the same key; ``stretch`` as in ``most_before``.
+
+    A stretch's first row is compared with the last one of the key's stretch before.
+    """
+    cut = rows.withColumn("__stretch", stretch)
+    ends = cut.groupBy(key, "__stretch").agg(F.max_by(column, order).alias("__end"))
+    ends = ends.withColumn("__end", F.lag("__end").over(Window.partitionBy(key).orderBy("__stretch")))
+    last = F.lag(column).over(Window.partitionBy(key, "__stretch").orderBy(order))
+    seen = cut.withColumn("before", last).join(ends, [key, "__stretch"]).withColumn("before", F.coalesce("before", "__end")).drop("__stretch", "__end")
+    return seen.where(F.col(column) <= F.col("before"))
 
 
 def counts_compared(source: DataFrame, output: DataFrame) -> DataFrame:

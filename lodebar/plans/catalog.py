@@ -476,7 +476,7 @@ def bar_seqno(spark: SparkSession, d: str) -> DataFrame:
     f"WITH {MINUTE}, a AS (SELECT symbol, ts, seqno * 2 + CASE WHEN seqno % 97 = 0 THEN 1001 ELSE 0 END AS seqno FROM tb), w AS (SELECT *, lag(seqno) OVER (PARTITION BY symbol ORDER BY ts) AS before FROM a) SELECT symbol, seqno, before FROM w WHERE seqno <= before"
 )
 def seqno_monotone_check(spark: SparkSession, d: str) -> DataFrame:
-    return control.not_increasing(_shuffled(spark, d), "seqno", "symbol", "ts").select("symbol", "seqno", "before")
+    return control.not_increasing(_shuffled(spark, d), "seqno", "symbol", "ts", F.to_date("ts")).select("symbol", "seqno", "before")
 
 
 @query(

@@ -12,6 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from lodebar.functions.prices import scaled
 from lodebar.functions.timebars import bar_end
 from lodebar.operators.bars import latest, named
+from lodebar.streaming.tables import Versions
 
 
 def windowed_bars(ticks: DataFrame, width: str, delay: str = "0 seconds") -> DataFrame:
@@ -35,7 +36,7 @@ def windowed_bars(ticks: DataFrame, width: str, delay: str = "0 seconds") -> Dat
 class BarWriter:
     """A micro-batch sink: rows of bars that the watermark had passed before their batch are late, others make up bars.
 
-    The watermark is the newest event time of all earlier batches less ``delay``; a bar may arrive in any number of batches
+    The watermark is the newest event time of all earlier batches less ``delay``, kept in one row for each batch; a bar may arrive in any number of batches
     until then. Late rows leave their bars alone but count for the latest state. Every output has a folder for each batch,
     and a batch that runs again replaces its own, so nothing is doubled.
     """
@@ -45,22 +46,18 @@ class BarWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("bar", bar_end(F.col("ts"), self.unit))
-        before = self._read(batch.sparkSession, "control", "newest timestamp_ntz, batch long").where(F.col("batch") < batch_id)
-        passed = before.agg((F.max("newest") - F.expr(f"INTERVAL {self.delay}")).alias("watermark")).first()["watermark"]
+        control = Versions(batch.sparkSession, f"{self.path}/control")
+        delay = F.expr(f"INTERVAL {self.delay}")
+        before = control.before(batch_id, "newest timestamp_ntz").select("newest", (F.col("newest") - delay).alias("watermark")).first()
+        newest, passed = (before["newest"], before["watermark"]) if before else (None, None)
         late = F.lit(False) if passed is None else F.col("bar") <= F.lit(passed).cast("timestamp_ntz")
         marked = rows.withColumn("late", F.coalesce(late, F.lit(False))).persist()
         marked.where("late").drop("late").write.mode("overwrite").parquet(f"{self.path}/late/id={batch_id}")
         marked.where("not late").drop("late").write.mode("overwrite").parquet(f"{self.path}/rows/id={batch_id}")
-        newest = marked.agg(F.max("ts").alias("newest")).withColumn("batch", F.lit(batch_id).cast("long"))
-        newest.write.mode("overwrite").parquet(f"{self.path}/control/id={batch_id}")
+        control.write(marked.agg(F.greatest(F.max("ts"), F.lit(newest).cast("timestamp_ntz")).alias("newest")), batch_id)
+        control.forget(batch_id)
         marked.unpersist()
 
-    def _read(self, spark: SparkSession, what: str, schema: str) -> DataFrame:
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{what}")
-        if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
-            return spark.read.schema(schema).parquet(f"{self.path}/{what}")
-        return spark.createDataFrame([], schema)
-
     def latest(self, spark: SparkSession) -> DataFrame:
         """The newest row of each symbol, late ones included: by time, receipt and arrival."""
         both = spark.read.parquet(f"{self.path}/rows").unionByName(spark.read.parquet(f"{self.path}/late"))

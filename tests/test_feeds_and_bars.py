@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from lodebar.functions.timebars import bar_key
 from lodebar.operators import bars, control, instruments, sinks, wide
 from lodebar.sources import feeds
+from lodebar.streaming import tail_source
 
 DAY = "20310307"
 
@@ -31,7 +32,7 @@ CODES = "X1,4,MKT,Old name,EUR,share,plain,,,,,99000,81000,2,0,,0\nX1,4,MKT,New
 def read(spark, tmp_path, name, text, layout):
     path = tmp_path / name
     path.write_bytes(text.encode() if isinstance(text, str) else text)
-    return feeds.parsed(feeds.lines(spark, f"file://{path}").withColumnRenamed("position", "seqno"), layout)
+    return feeds.parsed(tail_source.lines(spark, str(path)).drop("date").withColumnRenamed("position", "seqno"), layout)
 
 
 @pytest.fixture
@@ -163,3 +164,9 @@ def test_stretches_change_nothing(spark, monkeypatch):
             assert got[n] == most[symbol]
         up = {r.seqno for r in control.increasing(df, "bar", "symbol", "seqno", control.by_arrival()).collect()}
         assert up == {n for n, symbol, bar in rows if all(b < bar for m, s, b in rows if s == symbol and m < n)}
+
+
+def test_order_checks_look_over_the_ends_of_stretches(spark):
+    rows = spark.createDataFrame([("a", i, v) for i, v in enumerate([5, 6, 6, 9, 3, 4, 4, 8])] + [("b", i, v) for i, v in ((0, 2), (5, 1))], "k string, at int, v int")
+    got = control.not_increasing(rows, "v", "k", "at", F.floor(F.col("at") / 2)).select("k", "at", "before").collect()
+    assert sorted(map(tuple, got)) == [("a", 2, 6), ("a", 4, 9), ("a", 6, 4), ("b", 5, 2)]
