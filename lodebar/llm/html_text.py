@@ -33,6 +33,7 @@ _COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply re
 # A name with one of these says what the page has, not what the element is: has-sidebar, comment-open.
 _STATE_WORDS = frozenset("closed disabled enabled has no off on open with without".split())
 _MAIN_WORDS = frozenset("article articlebody content entry main maincontent post story storybody".split())
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _CLOSES_ITSELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 _ITEM = re.compile(r"""<!--|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>?|<[a-zA-Z][^>]*\Z""")
@@ -69,7 +70,9 @@ def _opened(parent: Element, name: str, attributes: str) -> Element:
     marks = _words(found.get("class", "") + " " + found.get("id", ""))
     role = found.get("role", "").lower()
     hidden = "hidden" in found or found.get("aria-hidden", "") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
-    named = [set(_words(n)) for n in (found.get("class", "") + " " + found.get("id", "")).split()]
+    # a heading's id inside an article is made from what it says: related-work, sharing
+    own_names = found.get("class", "") if name in _HEADINGS and parent.label in (MAIN, REGAINED) else found.get("class", "") + " " + found.get("id", "")
+    named = [set(_words(n)) for n in own_names.split()]
     own = set().union(*(n for n in named if not n & _STATE_WORDS))
     noise_words = _NOISE_WORDS & own
     if name not in _INLINE:

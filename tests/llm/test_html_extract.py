@@ -174,3 +174,15 @@ def test_the_template_decides_before_names(spark):
         assert got[f"http://copies/{i}"] == ("same" if i < 3 else str(i))
     assert got["http://widget/9"] == ""
     assert got["http://few/1"] == "story 1\nRead all about us"  # two pages are no template
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<article><h2 id='related-work'>Related work</h2><p>x y</p><h3 id='sharing'>On sharing</h3><p>z</p></article>", "Related work\nx y\nOn sharing\nz"),
+        ("<article><p>x y</p><div class='related'><h2 id='related-work'>More</h2><p>z</p></div></article>", "x y"),
+        ("<article><p>x y</p><h2 class='comments'>Comments</h2></article>", "x y"),
+    ],
+)
+def test_an_id_made_from_a_heading_is_no_noise_inside_an_article(html, text):
+    assert he.main_text(html, set(), set())[0] == text
