@@ -8,10 +8,11 @@ over the n-grams it is in, so the lightest n-grams that make up what verificatio
 passage from below. Retrieval so loses nothing that verification would accept. An impact is a term's weight over what its
 entry needs, and all entries that a passage's terms lift to 1 are retrieved, however many:
 
-* passages in which no n-gram of any item begins are done: nothing in them could be verified;
-* the sums of block maxima over a passage's distinct terms bound its scores, and most passages end there;
-* for the others the postings are merged with block-max WAND (Ding and Suel, 2011): a pivot is the first entry that the
-  lists up to it can lift over the threshold; its blocks' maxima decide whether it is scored or the blocks are skipped.
+* entries lie in blocks of SPAN neighbours, the same for all posting lists, and a list keeps its largest impact of each block;
+* WAND's condition in its block-max form (Ding and Suel, 2011) is put to all blocks and many passages at once: a passage whose
+  lists' largest impacts do not sum to 1 has no pivot and is done; of the others only blocks whose maxima sum to 1 stay live
+  (as in Dimopoulos, Nepomnyachiy and Suel, 2013);
+* in live blocks the postings are added up, and entries that reach 1 are retrieved.
 
 A retrieved item is then verified: the shares of the n-grams of its question, of those that reach into the answer (the
 last line; of a single line the last sentence) and of all. A text is contaminated when a passage holds ``least`` of an
@@ -19,8 +20,8 @@ item's question or of the whole item, or ``least`` of the answer together with h
 alone is no leak, with a reworded question it is one.
 
 Document frequencies, the number of items and their mean length are those of all items. The index is built in parts of
-PART_BYTES or so of items, one task each, and the texts are read once for each part: parts change neither scores nor
-verdicts, and no task or broadcast holds more than a part. Words are runs of letters and digits, A-Z lower-cased.
+PART_BYTES or so of items, one task each, and the texts are read once for as many parts as TOGETHER bytes of index hold:
+parts change neither scores nor verdicts, and a task builds one part and searches those of one broadcast. Words are runs of letters and digits, A-Z lower-cased.
 
 Defined results: null and empty texts are clean. Null and wordless items are never found; one of fewer than n words is
 found where all its words stand in order; a question of fewer than n words is only looked at with its answer. Of items with
@@ -31,7 +32,7 @@ are replaced.
 
 from __future__ import annotations
 
-import heapq
+import itertools
 import math
 import pickle
 import re
@@ -47,14 +48,14 @@ from lodebar.llm.common import dropped, frugal, staged, without
 from lodebar.llm.words import mix, word_hashes
 
 K1, B = 1.2, 0.75
-#: Postings to a block, and entries to a block of the bounds that are checked first.
-BLOCK, SPAN = 32, 4
-#: Bytes of items in one part of the index: about 350,000 words, and 700,000 postings at most in 10 MB.
+#: Entries to a block, and what is looked at together: postings of blocks, and blocks by passages.
+SPAN, WORK = 4, 1 << 18
+#: Bytes of items in one part of the index: about 350,000 words, and 700,000 postings at most.
 PART_BYTES = 2 << 20
+#: Bytes of index that are broadcast together, one part at least; a part has 30 MB or so.
+TOGETHER = 96 << 20
 #: Contaminated texts that are broadcast to their rows; more are joined by a shuffle.
 BROADCAST_TEXTS = 200_000
-#: Posting lists that a worker keeps as Python lists.
-LISTS = 20_000
 
 _STEP = np.uint64(0xE7037ED1A0B428DB)
 
@@ -139,8 +140,6 @@ class Index:
             self.answer.append(np.unique(g[inside:]))
             self.whole.append(np.unique(g))
             self.size.append(min(n, len(words)))
-        self.lengths = sorted(set(self.size))
-        self.grams = np.unique(np.concatenate(self.whole)) if kept else np.zeros(0, np.uint64)
         idf = known.weights(self.vocabulary)
         self.entries: list[int] = []  # the item of each
         self.shares: list[tuple[np.ndarray, np.ndarray]] = []  # each item's terms, and their weights over its own score
@@ -169,84 +168,35 @@ class Index:
         order = np.lexsort((entries, terms))
         self.entry_of, self.impact_of = entries[order].astype(np.int32), impacts[order]
         self.at = np.searchsorted(terms[order], np.arange(len(self.vocabulary) + 1))
-        # a term's largest impact in each span of entries, rounded up: sums in single precision stay bounds
-        span = terms[order] * (len(self.entries) // SPAN + 1) + self.entry_of // SPAN
-        first = np.flatnonzero(np.concatenate(([True], span[1:] != span[:-1]))) if len(span) else np.zeros(0, np.int64)
-        self.span_of = (self.entry_of[first] // SPAN).astype(np.int32)
-        self.span_most = (np.maximum.reduceat(self.impact_of, first) * (1 + 1e-5)).astype(np.float32) if len(first) else np.zeros(0, np.float32)
-        self.span_at = np.searchsorted(terms[order][first], np.arange(len(self.vocabulary) + 1))
-        self._lists: dict[int, tuple] = {}
-
-    def __getstate__(self) -> dict:
-        return {**self.__dict__, "_lists": {}}
-
-    def postings(self, t: int) -> tuple[list[int], list[float], float, list[float], list[int]]:
-        """A term's entries, their impacts, the largest; the largest and the last entry of each block."""
-        got = self._lists.get(t)
-        if got is None:
-            if len(self._lists) >= LISTS:
-                self._lists.clear()
-            items, impacts = (x[self.at[t] : self.at[t + 1]].tolist() for x in (self.entry_of, self.impact_of))
-            blocks = range(0, len(items), BLOCK)
-            got = self._lists[t] = items, impacts, max(impacts), [max(impacts[k : k + BLOCK]) for k in blocks], [items[min(k + BLOCK, len(items)) - 1] for k in blocks]
-        return got
-
-    def may_hold(self, terms: np.ndarray, threshold: float = 1.0) -> bool:
-        """Whether block maxima allow any entry of these distinct terms to reach the threshold."""
-        start, size = self.span_at[terms], self.span_at[terms + 1] - self.span_at[terms]
-        at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        return bool(len(at)) and bool(np.bincount(self.span_of[at], self.span_most[at]).max() >= threshold - 1e-6)
-
-    def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """All entries whose impacts of ``terms`` (distinct) sum to the threshold or more, by block-max WAND."""
-        lists, out = {t: self.postings(t) for t in terms}, []
-        heap = [(lists[t][0][0], t, 0) for t in terms]  # each list's present entry, and its place
-        heapq.heapify(heap)
-        end = len(self.entries)
-        while heap:
-            ahead: list[tuple[int, int, int]] = []
-            reach = 0.0
-            while heap:  # lists in item order, until their largest impacts reach the threshold
-                ahead.append(heapq.heappop(heap))
-                reach += lists[ahead[-1][1]][2]
-                if reach >= threshold:
-                    break
-            else:
-                break
-            pivot = ahead[-1][0]
-            while heap and heap[0][0] == pivot:
-                ahead.append(heapq.heappop(heap))
-            allowed, skip = 0.0, heap[0][0] if heap else end
-            for _, t, at in ahead:
-                last, block = lists[t][4], at // BLOCK
-                while block < len(last) and last[block] < pivot:
-                    block += 1
-                if block < len(last):
-                    allowed += lists[t][3][block]
-                    skip = min(skip, last[block] + 1)
-            if allowed >= threshold:
-                score, to = 0.0, pivot + 1
-                for _, t, at in ahead:
-                    own = lists[t][0]
-                    while at < len(own) and own[at] < pivot:
-                        at += 1
-                    if at < len(own) and own[at] == pivot:
-                        score += lists[t][1][at]
-                if score >= threshold:
-                    out.append((pivot, score))
-            else:
-                to = max(pivot + 1, skip)
-            for _, t, at in ahead:
-                own, last = lists[t][0], lists[t][4]
-                block = at // BLOCK
-                while block < len(last) and last[block] < to:
-                    block += 1
-                at = max(at, block * BLOCK)
-                while at < len(own) and own[at] < to:
-                    at += 1
-                if at < len(own):
-                    heapq.heappush(heap, (own[at], t, at))
-        return out
+        # a term's largest impact in each block of entries, rounded up: sums in single precision stay bounds
+        self.blocks = len(self.entries) // SPAN + 1
+        block = terms[order] * self.blocks + self.entry_of // SPAN
+        new = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1]))) if len(block) else np.zeros(0, np.int64)
+        most = np.maximum.reduceat(self.impact_of, new) if len(new) else np.zeros(0)
+        self.block_of = (self.entry_of[new] // SPAN).astype(np.int32)
+        self.block_most = (most * (1 + 1e-5)).astype(np.float32)
+        self.block_at = np.searchsorted(terms[order][new], np.arange(len(self.vocabulary) + 1))
+        self.block_from = np.concatenate((new, [len(block)])).astype(np.int64)
+        self.list_most = np.maximum.reduceat(self.block_most, self.block_at[:-1]) if len(new) else self.block_most
+        self.item_of = np.array(self.entries, np.int64)
+
+    def search(self, asks: np.ndarray, terms: np.ndarray, n: int, threshold: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(passage, entry, score) of all entries to which the impacts of a passage's terms sum to the threshold or more.
+
+        ``asks`` and ``terms`` are the distinct pairs of passages, numbered below ``n``, and terms.
+        """
+        enough = threshold - 1e-6
+        pivot = np.bincount(asks, self.list_most[terms], minlength=n) >= enough
+        asks, terms = asks[pivot[asks]], terms[pivot[asks]]
+        at, of = _ranges(self.block_at[terms], self.block_at[terms + 1])
+        cell = asks[of] * self.blocks + self.block_of[at]
+        live = (np.bincount(cell, self.block_most[at], minlength=n * self.blocks) >= enough)[cell]
+        at, passage = at[live], asks[of[live]]
+        at, of = _ranges(self.block_from[at], self.block_from[at + 1])
+        found, cell = np.unique(passage[of] * len(self.entries) + self.entry_of[at], return_inverse=True)
+        score = np.bincount(cell, self.impact_of[at], minlength=len(found))
+        hit = score >= threshold
+        return *divmod(found[hit], max(1, len(self.entries))), score[hit]
 
     def overlap(self, item: int, words: np.ndarray) -> tuple[float, float, float]:
         """Shares of an item's question, answer and whole among a passage's n-grams."""
@@ -263,59 +213,53 @@ class Index:
         terms, shares = self.shares[item]
         return float(shares[np.isin(terms, words)].sum())
 
-    def _holding(self, hashes: np.ndarray, offsets: np.ndarray, first: np.ndarray, half: int, halves: int) -> np.ndarray:
-        """Halves in which an n-gram of any item begins; a passage without one has nothing to verify."""
-        out = np.zeros(halves, bool)
-        for n in self.lengths:
-            if len(hashes) >= n:
-                own = grams(hashes, n)
-                at = np.minimum(np.searchsorted(self.grams, own), len(self.grams) - 1)
-                begin = np.flatnonzero(self.grams[at] == own)
-                text = np.searchsorted(offsets, begin, side="right") - 1
-                out[first[text] + (begin - offsets[text]) // half] = True
-        return out
-
-    def passages(self, hashes: np.ndarray, offsets: np.ndarray, threshold: float = 1.0) -> list[tuple[int, int, int, int]]:
-        """(text, first word, end, item) of all that is retrieved for the passages of each text."""
-        half = self.longest
-        words = np.diff(offsets)
-        halves = np.maximum(1, -(-words // half))
-        first = np.cumsum(halves) - halves
-        last = np.zeros(halves.sum(), bool)
-        last[np.cumsum(halves) - 1] = True
-        # a passage is two neighbouring halves of a text; the last half alone only where a text has no other
-        begins = ~last | np.repeat(halves == 1, halves)
-        holds = self._holding(hashes, offsets, first, half, len(last))
-        begins &= holds | (np.concatenate((holds[1:], [False])) & ~last)
-        out = []
-        for h in np.flatnonzero(begins).tolist():
-            t = int(np.searchsorted(first, h, side="right")) - 1
-            start = int(offsets[t] + (h - first[t]) * half)
-            end = min(int(offsets[t + 1]), start + 2 * half)
-            own = np.unique(hashes[start:end])
-            at = np.minimum(np.searchsorted(self.vocabulary, own), len(self.vocabulary) - 1)
-            terms = at[self.vocabulary[at] == own]
-            if self.may_hold(terms, threshold):
-                found = self.search(terms.tolist(), threshold)
-                out += [(t, start, end, item) for item in sorted({self.entries[e] for e, _ in found})]
-        return out
+    def passages(self, hashes: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text, first word, end, item) of all that is retrieved for the passages of each text: every passage is a query."""
+        text, start, end = passages_of(offsets, self.longest)
+        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
+        known = np.flatnonzero(self.vocabulary[at] == hashes)
+        term = at[known]
+        low, high = np.searchsorted(known, start), np.searchsorted(known, end)
+        lists = np.concatenate(([0], np.cumsum(np.diff(self.block_at)[term])))
+        done = np.cumsum(lists[high] - lists[low] + self.blocks)
+        cuts = np.unique(np.searchsorted(done, np.arange(0, done[-1] if len(done) else 0, WORK))).tolist()
+        for i, j in itertools.pairwise([*cuts, len(text)]):
+            words, of = _ranges(low[i:j], high[i:j])
+            pairs = np.unique(of * len(self.vocabulary) + term[words])
+            asks, entries, _ = self.search(*divmod(pairs, len(self.vocabulary)), j - i)
+            for found in np.unique(asks * len(self.ids) + self.item_of[entries]).tolist():
+                k, item = divmod(found, len(self.ids))
+                yield int(text[i + k]), int(start[i + k]), int(end[i + k]), item
+
+
+def _ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges, one range after the other, and which range each is of."""
+    size = end - start
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum()), np.repeat(np.arange(len(size)), size)
+
+
+def passages_of(offsets: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word, end) of every passage: two neighbouring halves of a text, or all of a text that has one half only."""
+    halves = np.maximum(1, -(-np.diff(offsets) // half))
+    k, text = _ranges(np.zeros(len(halves), np.int64), np.maximum(1, halves - 1))
+    start = offsets[text] + k * half
+    return text, start, np.minimum(offsets[text + 1], start + 2 * half)
 
 
 LEAK = "item_id: bigint, bm25: double, question: double, answer: double, overlap: double"
 FOUND = "text_a long, text_b int, item_id long, bm25 double, question double, answer double, overlap double"
 
 
-def leaks(texts: list[str | None], index: Index) -> Iterator[tuple[int, int, float, float, float, float]]:
+def leaks(texts: list[str | None], *parts: Index) -> Iterator[tuple[int, int, float, float, float, float]]:
     """(text, item_id, bm25, question, answer, overlap) of all that verification accepts, of an item's passages the best."""
-    if not index.ids:
-        return
     for first, hashes, offsets in word_hashes(texts, letters=True):
         best: dict[tuple[int, int], tuple[float, ...]] = {}
-        for t, start, end, item in index.passages(hashes, offsets):
-            q, a, both = index.overlap(item, hashes[start:end])
-            if index.accepts(q, a, both):
-                key = first + t, index.ids[item]
-                best[key] = max(best.get(key, (-1.0,)), (both, q, a, index.score(item, hashes[start:end])))
+        for index in parts:
+            for t, start, end, item in index.passages(hashes, offsets) if index.ids else ():
+                q, a, both = index.overlap(item, hashes[start:end])
+                if index.accepts(q, a, both):
+                    key = first + t, index.ids[item]
+                    best[key] = max(best.get(key, (-1.0,)), (both, q, a, index.score(item, hashes[start:end])))
         for (t, item_id), (both, q, a, bm25) in best.items():
             yield t, item_id, bm25, q, a, both
 
@@ -361,11 +305,19 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = 0.45, le
     """``docs`` (text, ...) with contaminated and leaks (a row for each verified item, by item id)."""
     spark = docs.sparkSession
     index = indexed(items, n, threshold, least)
-    parts = sorted(r[0] for r in index.select("part").collect())
+    turns: list[list[int]] = []
+    room = 0
+    for part, size in sorted(tuple(r) for r in index.select("part", F.length("blob")).collect()):
+        if size > room:
+            turns.append([])
+            room = TOGETHER
+        turns[-1].append(part)
+        room -= size
     texts = docs.select(F.xxhash64("text").alias("text_a"), F.hash("text").alias("text_b"), "text")
     found: DataFrame | None = None
-    for part in parts:
-        shared = spark.sparkContext.broadcast(index.where(F.col("part") == part).first()["blob"])
+    for turn in turns:
+        own = index.where(F.col("part").isin(turn)).orderBy("part").collect()
+        shared = spark.sparkContext.broadcast([r["blob"] for r in own])
         one = staged(texts.mapInArrow(_judging(shared), FOUND), "decontam-found")
         shared.unpersist()
         found = one if found is None else found.unionAll(one)
@@ -387,9 +339,9 @@ def _judging(shared):  # noqa: ANN001, ANN202
     """Rows of FOUND for the texts of each batch."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index: Index = pickle.loads(shared.value)
+        parts: list[Index] = [pickle.loads(blob) for blob in shared.value]
         for batch in batches:
-            rows = list(leaks(batch.column("text").to_pylist(), index))
+            rows = list(leaks(batch.column("text").to_pylist(), *parts))
             at = pa.array([r[0] for r in rows], pa.int64())
             columns = [batch.column("text_a").take(at), batch.column("text_b").take(at), pa.array([r[1] for r in rows], pa.int64())]
             yield pa.RecordBatch.from_arrays([*columns, *[pa.array([r[k] for r in rows], pa.float64()) for k in range(2, 6)]], names=["text_a", "text_b", "item_id", "bm25", "question", "answer", "overlap"])

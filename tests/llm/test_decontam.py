@@ -8,11 +8,15 @@ import pytest
 from lodebar.llm import decontam
 
 
+def postings(index, t):
+    return index.entry_of[index.at[t] : index.at[t + 1]].tolist(), index.impact_of[index.at[t] : index.at[t + 1]].tolist()
+
+
 def brute_scores(index, terms):
     total = Counter()
     for t in terms:
-        for item, w in zip(*index.postings(t)[:2], strict=True):
-            total[item] += w
+        for entry, w in zip(*postings(index, t), strict=True):
+            total[entry] += w
     return total
 
 
@@ -23,21 +27,53 @@ def items():
     return [(i, " ".join(word() for _ in range(rng.randrange(8, 40))) + ("\n" if i % 2 else ". ") + " ".join(word() for _ in range(rng.randrange(2, 9)))) for i in range(150)]
 
 
-def test_wand_finds_all_above_the_threshold_and_no_others(items, monkeypatch):
-    monkeypatch.setattr(decontam, "BLOCK", 3)
+@pytest.mark.parametrize("span", [1, 3, 64])
+def test_wand_finds_all_above_the_threshold_and_no_others(items, monkeypatch, span):
+    monkeypatch.setattr(decontam, "SPAN", span)
     index = decontam.Index(items)
     rng = random.Random(1)
     for threshold in (0.02, 0.1, 0.3, 0.6):
+        queries = []
         for _ in range(60):
-            terms = sorted(rng.sample(range(len(index.vocabulary)), rng.randrange(0, 80)))
+            terms = set(rng.sample(range(len(index.vocabulary)), rng.randrange(0, 80)))
             if rng.random() < 0.5:
-                terms = sorted({*terms, *(t for t in range(len(index.vocabulary)) if rng.randrange(150) in index.postings(t)[0])})
+                terms |= {t for t in range(len(index.vocabulary)) if rng.randrange(150) in postings(index, t)[0]}
+            queries.append(sorted(terms))
+        asks = np.repeat(np.arange(60), [len(q) for q in queries])
+        owner, entry, score = index.search(asks, np.array([t for q in queries for t in q], np.int64), 60, threshold)
+        for k, terms in enumerate(queries):
             want = {i: s for i, s in brute_scores(index, terms).items() if s >= threshold + 1e-9}
-            got = dict(index.search(terms, threshold))
+            got = dict(zip(entry[owner == k].tolist(), score[owner == k].tolist(), strict=True))
             assert set(want) <= set(got) and all(s >= threshold - 1e-9 for s in got.values())
             assert all(abs(got[i] - s) < 1e-9 for i, s in want.items())
 
 
+@pytest.mark.parametrize("work", [1, 500, 1 << 18])
+def test_every_passage_is_a_query(items, monkeypatch, work):
+    """Also those without an n-gram of any item; what is retrieved is what BM25 finds passage by passage."""
+    monkeypatch.setattr(decontam, "WORK", work)
+    index = decontam.Index(items)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["the", "of", f"t{rng.randrange(900)}"]) for _ in range(k)) for k in (0, 1, 30, index.longest, 2 * index.longest + 1, 900)]
+    texts += ["", None, "nothing known here", *(items[k][1] for k in (7, 8, 20, 33))]
+    asked = []
+    plainly = decontam.Index.search
+    monkeypatch.setattr(decontam.Index, "search", lambda self, asks, terms, n, *more: (asked.append(n), plainly(self, asks, terms, n, *more))[1])
+    got, want, passages = set(), set(), 0
+    for first, hashes, offsets in decontam.word_hashes(texts, letters=True):
+        got |= {(first + t, s, e, i) for t, s, e, i in index.passages(hashes, offsets)}
+        for t in range(len(offsets) - 1):
+            low, high = int(offsets[t]), int(offsets[t + 1])
+            starts = [s for s in range(low, high, index.longest) if s == low or s + index.longest < high] or [low]
+            for s in starts:
+                passages += 1
+                e = min(high, s + 2 * index.longest)
+                terms = [k for k, v in enumerate(index.vocabulary.tolist()) if v in set(hashes[s:e].tolist())]
+                want |= {(first + t, s, e, index.entries[x]) for x, score in brute_scores(index, terms).items() if score >= 1}
+    assert sum(asked) == passages > 20
+    assert got == want and len(want) > 5
+
+
 def plain(text):
     return re.findall(r"[a-z0-9\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
@@ -72,8 +108,9 @@ def test_planted_items_are_found_and_clean_texts_left_alone(spark, items, monkey
     bench = spark.createDataFrame([*items, (None, "no id at all here now"), (900, None), (901, "...")], "item_id long, text string")
     want = brute(docs, items)
     scores = []
-    for most in (1 << 20, 6_000):  # one part, and several
+    for most, together in ((1 << 20, 96 << 20), (6_000, 96 << 20), (6_000, 1)):  # one part, several, and several turns
         monkeypatch.setattr(decontam, "PART_BYTES", most)
+        monkeypatch.setattr(decontam, "TOGETHER", together)
         got = decontam.decontaminate(df, bench).collect()
         scores.append(sorted((r.doc_id, r.contaminated, r.leaks) for r in got))
         assert len(got) == len(docs)
@@ -81,7 +118,7 @@ def test_planted_items_are_found_and_clean_texts_left_alone(spark, items, monkey
         assert all(want[d] <= found.get(d, set()) for d in want)
         assert set(found) == set(want)
     assert len(want) > 45
-    assert scores[0] == scores[1]  # parts change no verdict and no score
+    assert scores[0] == scores[1] == scores[2]  # parts change no verdict and no score
     assert decontam.decontaminate(df.limit(0), bench).count() == 0
     assert decontam.decontaminate(df, bench.limit(0)).where("contaminated").count() == 0
 
