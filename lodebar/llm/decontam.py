@@ -198,11 +198,14 @@ class Index:
         hit = score >= threshold
         return *divmod(found[hit], max(1, len(self.entries))), score[hit]
 
-    def overlap(self, item: int, words: np.ndarray) -> tuple[float, float, float]:
-        """Shares of an item's question, answer and whole among a passage's n-grams."""
-        found = grams(words, self.size[item]) if len(words) >= self.size[item] else words[:0]
-        q, a, both = (np.isin(part, found).mean() if len(part) else 0.0 for part in (self.question[item], self.answer[item], self.whole[item]))
-        return float(q), float(a), float(both)
+    def overlap(self, item: int, found: np.ndarray) -> tuple[float, float, float]:
+        """Shares of an item's question, answer and whole among ``found``, a passage's n-grams of the item's size."""
+        found, whole = np.sort(found), self.whole[item]
+        held = whole[found[np.minimum(np.searchsorted(found, whole), len(found) - 1)] == whole] if len(found) else found
+        if not len(held):
+            return 0.0, 0.0, 0.0
+        q, a = (np.isin(part, held).mean() if len(part) else 0.0 for part in (self.question[item], self.answer[item]))
+        return float(q), float(a), len(held) / len(whole)
 
     def accepts(self, question: float, answer: float, whole: float) -> bool:
         least = self.least - 1e-9
@@ -254,9 +257,13 @@ def leaks(texts: list[str | None], *parts: Index) -> Iterator[tuple[int, int, fl
     """(text, item_id, bm25, question, answer, overlap) of all that verification accepts, of an item's passages the best."""
     for first, hashes, offsets in word_hashes(texts, letters=True):
         best: dict[tuple[int, int], tuple[float, ...]] = {}
+        rolled: dict[int, np.ndarray] = {}  # n-grams of all texts, by first word
         for index in parts:
             for t, start, end, item in index.passages(hashes, offsets) if index.ids else ():
-                q, a, both = index.overlap(item, hashes[start:end])
+                n = index.size[item]
+                if n not in rolled:
+                    rolled[n] = grams(hashes, n)
+                q, a, both = index.overlap(item, rolled[n][start : max(start, end - n + 1)])
                 if index.accepts(q, a, both):
                     key = first + t, index.ids[item]
                     best[key] = max(best.get(key, (-1.0,)), (both, q, a, index.score(item, hashes[start:end])))
