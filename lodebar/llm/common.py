@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import re
 import tempfile
 import uuid
@@ -57,6 +58,16 @@ def dropped(*tables: DataFrame) -> None:
                 target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def freed(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files and broadcasts of what has been staged: nothing reads them any more.
+
+    Spark deletes them once the driver's collector finds them unreachable, and a driver with little to do may not collect
+    for half an hour (``spark.cleaner.periodicGC.interval``), while executors' disks fill.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns that carry one of ``names`` in any case: an operator's own columns replace them."""
     taken = {n.lower() for n in names}

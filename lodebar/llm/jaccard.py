@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodebar.llm.common import dropped, frugal, returned, staged
+from lodebar.llm.common import dropped, freed, frugal, returned, staged
 from lodebar.llm.components import components
 from lodebar.llm.words import mix, packed, unpacked, word_hashes
 
@@ -325,10 +325,16 @@ class Join:
         self.passing: list[DataFrame] = []  # tables that only this join's own steps read
 
     def kept(self, table: DataFrame, label: str) -> DataFrame:
-        """``table`` staged until the join is done."""
+        """``table`` staged until the join is done; the shuffles that made it are freed."""
         self.passing.append(staged(table, f"jaccard-{label}"))
+        freed(table.sparkSession)
         return self.passing[-1]
 
+    def passed(self, since: int) -> None:
+        """Deletes what was kept after the first ``since`` tables, but for the last one, which was made of it."""
+        dropped(*self.passing[since:-1])
+        del self.passing[since:-1]
+
     def sets(self, wanted: DataFrame, fine: bool = False) -> DataFrame:
         """(sid, shingles) of the classes in ``wanted``, from their first documents' texts; ``fine``: bitmaps of them instead."""
         ids = self.kept(wanted.join(self.classes.select("sid", "doc_id", "text_id"), "sid"), "wanted")
@@ -369,7 +375,10 @@ class Join:
         named = named.select("tile", "sid", "n", "band", "root")
         mixed = named.groupBy("tile").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("tile")
         held = self.kept(named.join(_small(self.kept(mixed, "mixed")), "tile", "left_semi"), "held")
-        forest = self.in_blocks(held, "tile", self.classes.select("sid", F.col("bitmap").alias("bits")), _forest(self.percent)).distinct()
+        mark = len(self.passing)
+        blocks = self.in_blocks(held, "tile", self.classes.select("sid", F.col("bitmap").alias("bits")), _forest(self.percent))
+        forest = self.kept(blocks.distinct(), "forest")
+        self.passed(mark)
         clusters = components(forest, "jaccard-clusters").select(F.col("node").alias("sid"), F.col("root").alias("cluster"))
         members = self.kept(held.select("sid", "n", "band", "root").distinct().join(clusters, "sid"), "members")
         fine = self.sets(members.select("sid"), fine=True).withColumnRenamed("shingles", "bits")
@@ -504,7 +513,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     kind = "tile long, sid long, n int, band int, leader long"
     tiles = join.kept(prefixes.groupBy("part").applyInArrow(_tiles(percent), kind).dropDuplicates(["tile", "sid"]), "tiles")
     stars = tiles.where("sid <> leader").select(F.least("sid", "leader").alias("a"), F.greatest("sid", "leader").alias("b")).distinct()
+    mark = len(join.passing)
     first = join.kept(join.linked(stars), "links")
+    join.passed(mark)
     roots = join.kept(components(first, "jaccard-roots"), "roots")
     links = first.unionAll(join.kept(join.links_between(tiles, roots), "links"))
     roots = components(links, "jaccard-roots").withColumnRenamed("node", "sid")
