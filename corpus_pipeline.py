@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodebar.llm import decontam, jaccard, langid, packing, quality
-from lodebar.llm.common import read_table, small_batches, staged
+from lodebar.llm.common import dropped, freed, read_table, small_batches, staged
 
 #: The packed sequences' tokenizer; a parameter of the packing operator.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -74,7 +74,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over the table ``documents``."""
     docs = read_table(spark, sf_dir, "documents")
     for n, (_, stage) in enumerate(STAGES, 1):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if n < len(STAGES):
             docs = staged(docs, f"stage-{n}")
+            if n > 1:
+                dropped(before)
+            freed(spark)
     return docs
