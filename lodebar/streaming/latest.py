@@ -1,7 +1,8 @@
 """The latest state of each symbol, kept as state: last tick, last quote, and what the day has traded.
 
 Rows are taken in whatever order they come: a late one counts by its time, receipt and arrival, and replaces nothing that is
-newer. The work of a batch follows the batch's rows; nothing that came before is read again. A stream that starts anew
+newer. All three are greatest or least values, so Spark's own streaming aggregation keeps them, from what each task has made
+of its rows. The work of a batch follows the batch's rows; nothing that came before is read again. A stream that starts anew
 can take its first state from a product on disk.
 """
 
@@ -10,17 +11,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 ORDER = ("ts", "rcvtime", "seqno")
 TICK = (*ORDER, "lastprice", "totalvol", "totalamount")
 QUOTE = (*ORDER, "bidprice", "bidsize", "askprice", "asksize")
-DAY = ("date", "low_ts", "low_rcvtime", "low_seqno", "base")
 
-_KINDS = {"ts": "timestamp_ntz", "low_ts": "timestamp_ntz", "date": "date"}
+_KINDS = {"ts": "timestamp_ntz"}
 
 
 def _fields(columns: tuple[str, ...], prefix: str = "") -> str:
@@ -35,7 +33,7 @@ _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvid
 
 @contextmanager
 def keyed_state(spark: SparkSession) -> Iterator[None]:
-    """Streams that are started inside keep their state in RocksDB, as operators with several states need it."""
+    """Streams that are started inside keep their state in RocksDB, off the heap and on disk."""
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
     spark.conf.set(key, _ROCKS)
@@ -45,55 +43,15 @@ def keyed_state(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def _plain(row: tuple) -> tuple:
-    return tuple(v.to_pydatetime() if isinstance(v, pd.Timestamp) else int(v) for v in row)
+def _newest(columns: tuple[str, ...]) -> Column:
+    """What grows to the newest row by time, receipt and arrival."""
+    return F.struct(*columns)
 
 
-class LatestProcessor(StatefulProcessor):
-    """State of one symbol: its newest tick, its newest quote, and the first tick of its newest day."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.tick = handle.getValueState("tick", _fields(TICK))
-        self.quote = handle.getValueState("quote", _fields(QUOTE))
-        self.day = handle.getValueState("day", _fields(DAY))
-
-    def _newest(self, state, rows: pd.DataFrame, columns: tuple[str, ...]) -> None:  # noqa: ANN001
-        """Keeps the newer of the state and the newest of ``rows``, which are in order."""
-        own = _plain(tuple(rows[list(columns)].iloc[-1].tolist()))
-        if not state.exists() or tuple(state.get())[:3] < own[:3]:
-            state.update(own)
-
-    def _start_of_day(self, ticks: pd.DataFrame) -> None:
-        date = ticks["ts"].iloc[-1].date()
-        first = ticks[ticks["ts"].dt.date == date].iloc[0]
-        own = (date, *_plain((first["ts"], first["rcvtime"], first["seqno"], first["totalvol"])))
-        held = tuple(self.day.get()) if self.day.exists() else None
-        if held is None or held[0] < date or (held[0] == date and own[1:4] < held[1:4]):
-            self.day.update(own)
-
-    def _take(self, rows: pd.DataFrame) -> None:
-        rows = rows.sort_values(list(ORDER), kind="stable")
-        ticks, quotes = rows[rows["feed"] == "tick"], rows[rows["feed"] == "quote"]
-        if len(ticks):
-            self._newest(self.tick, ticks, TICK)
-            self._start_of_day(ticks)
-        if len(quotes):
-            self._newest(self.quote, quotes, QUOTE)
-
-    def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues: object) -> None:  # noqa: N802, N803
-        self._take(initialState)
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        for part in rows:
-            self._take(part)
-        tick = tuple(self.tick.get()) if self.tick.exists() else (None,) * len(TICK)
-        quote = tuple(self.quote.get()) if self.quote.exists() else (None,) * len(QUOTE)
-        day = tuple(self.day.get()) if self.day.exists() else (None,) * len(DAY)
-        grown = tick[4] - day[4] if tick[4] is not None and day[4] is not None else None
-        yield pd.DataFrame([(key[0], *tick, *quote, day[0], grown)], columns=[c.split()[0] for c in STATE.split(", ")])
-
-    def close(self) -> None:
-        pass
+def _day() -> Column:
+    """What shrinks to the first tick of the newest day."""
+    back = -F.unix_date(F.to_date("ts"))
+    return F.struct(back.alias("back"), *ORDER, "totalvol")
 
 
 def feed_rows(rows: DataFrame, feed: str) -> DataFrame:
@@ -112,10 +70,19 @@ def as_state(rows: DataFrame) -> DataFrame:
 def latest_state(ticks: DataFrame, quotes: DataFrame | None = None, first: DataFrame | None = None) -> DataFrame:
     """A stream of changed states (STATE), for update mode; ``first`` are rows of ``feed_rows`` that the state begins with.
 
-    Between feed rows the newest by time, receipt and arrival counts, whatever batch brings it.
+    Between feed rows the newest by time, receipt and arrival counts, whatever batch brings it. ``first`` joins what comes out,
+    so a stream that goes on from its checkpoint has to be given the same rows again.
     """
     rows = feed_rows(ticks, "tick")
     if quotes is not None:
         rows = rows.unionByName(feed_rows(quotes, "quote"))
-    begin = first.groupBy("symbol") if first is not None else None
-    return rows.groupBy("symbol").transformWithStateInPandas(LatestProcessor(), STATE, "Update", "None", begin)
+    of = lambda rows: rows.groupBy("symbol").agg(
+        F.max(F.when(F.col("feed") == "tick", _newest(TICK))).alias("tick"), F.max(F.when(F.col("feed") == "quote", _newest(QUOTE))).alias("quote"),
+        F.min(F.when(F.col("feed") == "tick", _day())).alias("low"),
+    )
+    held = of(rows)
+    if first is not None:
+        held = held.join(of(first).select("symbol", *[F.col(c).alias(f"first_{c}") for c in ("tick", "quote", "low")]), "symbol", "left")
+        held = held.select("symbol", *[pick(c, f"first_{c}").alias(c) for c, pick in (("tick", F.greatest), ("quote", F.greatest), ("low", F.least))])
+    sides = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side, columns in (("tick", TICK), ("quote", QUOTE)) for c in columns]
+    return held.select("symbol", *sides, F.date_from_unix_date(-F.col("low.back")).alias("day"), (F.col("tick.totalvol") - F.col("low.totalvol")).alias("day_volume"))

@@ -236,6 +236,16 @@ def test_upserts_keep_two_versions_and_survive_reruns(spark):
     assert Versions(spark, table.path).known() == [1, 2]
 
 
+def test_an_upsert_reads_its_batch_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    mark = F.udf(lambda k: (seen.add(1), k)[1], "string").asNondeterministic()
+    table = Upsert(scratch(spark, "u"), "k string, v long", "k")
+    for n in range(2):
+        table(spark.createDataFrame([("a", n), ("b", n)], "k string, v long").withColumn("k", mark("k")), n)
+    assert sorted(map(tuple, table.read(spark).collect())) == [("a", 1), ("b", 1)]
+    assert seen.value == 4
+
+
 def test_latest_state_takes_rows_in_any_order_and_a_first_state(spark, tmp_path):
     t, q = ticks(spark, *TICKS), quotes(spark, *QUOTES)
     table, source, checkpoint = Upsert(scratch(spark, "latest"), latest.STATE, "symbol"), f"file://{tmp_path}/in", scratch(spark, "c")
