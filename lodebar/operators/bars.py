@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 
 from lodebar.functions.prices import scaled, trade_flag
 from lodebar.functions.timebars import bar_date, bar_end
-from lodebar.operators.sinks import staged
+from lodebar.operators.sinks import PARTS, partitioned, staged
 
 #: Grids up to so many bars are broadcast (a year of minutes has 525,600); longer ones are joined by a shuffle.
 BROADCAST_BARS = 2_000_000
 
+#: Neighbouring bars that are dealt to tasks together where rows are clustered by bar: a row that holds for all of them travels once.
+BLOCK_BARS = 4
+
 
 def with_bar(rows: DataFrame, unit: str) -> DataFrame:
     return rows.withColumn("bar", bar_end(F.col("ts"), unit))
@@ -108,26 +111,50 @@ def grid(*bars: DataFrame) -> Grid:
     return Grid(rows, rows.count())
 
 
-def carried(states: DataFrame, bars: Grid, across_days: bool = True, shown: DataFrame | None = None) -> DataFrame:
+def placed(states: DataFrame, bars: Grid, across_days: bool = True) -> DataFrame:
+    """``states`` (symbol, bar, ...) with the places that each holds for instead of its bar: from ``since`` to before ``until``, where the symbol's next one is."""
+    after = F.coalesce(F.lead("at").over(Window.partitionBy("symbol").orderBy("at")), F.lit(bars.count))
+    end = after if across_days else F.least(after, "day_end")
+    return states.join(bars.small(bars.rows), "bar").withColumn("until", end).withColumnRenamed("at", "since").drop("bar", "day_end")
+
+
+def spread(stretches: DataFrame, bars: Grid, shown: DataFrame | None = None, by_bar: bool = False) -> DataFrame:
+    """``stretches`` (since, until, ...) once for each place from since to before until, with ``at`` and its ``bar``.
+
+    ``shown`` (bar, ...), each bar once, are the grid's bars that come out, all by default; its columns come along. With ``by_bar`` rows are dealt to tasks by blocks of bars and
+    sorted as a product is written, with the columns that name its partitions; stretches travel, cut at the ends of blocks, and
+    not the rows that they stand for.
+    """
+    if by_bar:
+        block = lambda at: F.floor(at / BLOCK_BARS).cast("int")
+        cut = stretches.where("since < until").withColumn("block", F.explode(F.sequence(block(F.col("since")), block(F.col("until") - 1))))
+        cut = cut.withColumn("since", F.greatest("since", F.col("block") * BLOCK_BARS)).withColumn("until", F.least("until", (F.col("block") + 1) * BLOCK_BARS))
+        stretches = cut.hint("rebalance", "block").drop("block")
+    rows = stretches.withColumn("at", F.explode(F.sequence(F.col("since"), F.col("until") - 1))).drop("since", "until")
+    out = bars.rows.select("at", "bar")
+    if shown is not None:
+        out = out.join(shown.withColumnRenamed("bar", "own"), F.col("bar").eqNullSafe(F.col("own"))).drop("own")
+    rows = rows.join(bars.small(out), "at")
+    return partitioned(rows).sortWithinPartitions(*PARTS, "symbol") if by_bar else rows
+
+
+def carried(states: DataFrame, bars: Grid, across_days: bool = True, shown: DataFrame | None = None, by_bar: bool = False) -> DataFrame:
     """``states`` (symbol, bar, ...) for every grid bar from a symbol's first on: its own row, then that one until the next.
 
     ``held`` says whether a row is carried; ``bar`` is the grid's bar. Without ``across_days`` a row is carried to the end
-    of its day. ``shown`` (bar) are the grid's bars that come out, all by default.
+    of its day. ``shown`` and ``by_bar`` are those of ``spread``.
     """
-    after = F.coalesce(F.lead("at").over(Window.partitionBy("symbol").orderBy("at")), F.lit(bars.count))
-    placed = states.join(bars.small(bars.rows), "bar").withColumn("until", after)
-    until = F.col("until") if across_days else F.least("until", "day_end")
-    spread = placed.withColumn("in", F.explode(F.sequence(F.col("at"), until - 1))).withColumn("held", F.col("in") > F.col("at")).drop("bar", "at", "day_end", "until")
-    out = bars.rows if shown is None else bars.rows.join(shown.select("bar").distinct(), "bar", "left_semi")
-    return spread.join(bars.small(out.select(F.col("at").alias("in"), "bar")), "in").drop("in")
+    stretches = placed(states, bars, across_days).withColumn("from", F.col("since"))
+    return spread(stretches, bars, shown, by_bar).withColumn("held", F.col("at") > F.col("from")).drop("at", "from")
 
 
 def kline(
-    ticks: DataFrame, names: DataFrame, unit: str = "minute", first_seen: str = "self", full: bool = True, carry_across_days: bool = False, seeds: DataFrame | None = None
+    ticks: DataFrame, names: DataFrame, unit: str = "minute", first_seen: str = "self", full: bool = True, carry_across_days: bool = False, seeds: DataFrame | None = None, by_bar: bool = False
 ) -> DataFrame:
     """Bars with gaps filled by flat bars at the last price; without ``full`` only symbols with ticks in the bar.
 
-    ``seeds`` (symbol, bar, r): last ticks in bars before all of these, to compare with and to carry.
+    ``seeds`` (symbol, bar, r): last ticks in bars before all of these, to compare with and to carry. ``by_bar``: full ones come out
+    as ``spread`` clusters them, for ``write_product``.
     """
     own, shown = ohlcv(ticks, unit, first_seen, carry_across_days, seeds), with_bar(ticks, unit)
     every = [shown]
@@ -135,14 +162,14 @@ def kline(
         held = level(seeds).select("symbol", "bar", F.col("r.seqno").alias("seqno"), F.col("r.lastprice").alias("lastprice"), F.col("r.decimal").alias("decimal"))
         own, every = own.unionByName(held, allowMissingColumns=True), [shown, held]
     own = named(own, names)
-    filled = carried(own, grid(*every), True, None if seeds is None else shown) if full else own.withColumn("held", F.lit(False))
+    filled = carried(own, grid(*every), True, None if seeds is None else shown.select("bar").distinct(), by_bar) if full else own.withColumn("held", F.lit(False))
     held, last = F.col("held"), scaled(F.col("lastprice"), F.col("decimal"))
     flat = lambda c: F.when(held, last).otherwise(F.col(c)).alias(c)
     none = lambda c: F.when(held, 0).otherwise(F.col(c)).alias(c)
     return filled.select(
         "bar", "symbol", "name", "seqno", *[flat(c) for c in ("open", "high", "low", "close")], none("volume").cast("long").alias("volume"), none("amount").cast("double").alias("amount"),
         none("count").cast("long").alias("count"), F.when(held, "N").otherwise(trade_flag(F.col("volume"), F.col("any_quantity"))).alias("trade_flag"),
-        F.when(held, "N").otherwise("Y").alias("update_flag"),
+        F.when(held, "N").otherwise("Y").alias("update_flag"), *(PARTS if by_bar else ()),
     )
 
 
@@ -151,26 +178,33 @@ def named(rows: DataFrame, names: DataFrame) -> DataFrame:
     return rows.join(names.select("symbol", "name"), "symbol", "left").withColumn("name", F.coalesce("name", F.lit("")))
 
 
-def snapshot(ticks: DataFrame, names: DataFrame, unit: str = "minute", full: bool = True, seeds: DataFrame | None = None) -> DataFrame:
+def snapshot(ticks: DataFrame, names: DataFrame, unit: str = "minute", full: bool = True, seeds: DataFrame | None = None, by_bar: bool = False) -> DataFrame:
     """Every tick of a bar (flag Y) and, with ``full``, the last one before it of each symbol that has none (flag N).
 
     ``seeds`` (symbol, bar, r): last ticks in bars before all of these, to be carried.
     """
-    return snapshot_of(with_bar(ticks, unit), names, full, None if seeds is None else level(seeds))
+    return snapshot_of(with_bar(ticks, unit), names, full, None if seeds is None else level(seeds), by_bar)
 
 
-def snapshot_of(rows: DataFrame, names: DataFrame, full: bool = True, seeds: DataFrame | None = None) -> DataFrame:
-    """The same of rows that have their bar; ``seeds`` (symbol, bar, r) stand in whatever bar they are for, before or between."""
-    own = named(rows.withColumn("update_flag", F.lit("Y")), names)
+def snapshot_of(rows: DataFrame, names: DataFrame, full: bool = True, seeds: DataFrame | None = None, by_bar: bool = False) -> DataFrame:
+    """The same of rows that have their bar; ``seeds`` (symbol, bar, r) stand in whatever bar they are for, before or between.
+
+    ``by_bar``: full ones come out as ``spread`` clusters them, for ``write_product``.
+    """
+    flagged = rows.withColumn("update_flag", F.lit("Y"))
     if not full:
-        return own
+        return named(flagged, names)
     columns = [c for c in rows.columns if c not in ("symbol", "bar")]
     last = rows.groupBy("symbol", "bar").agg(last_by(("seqno",), *columns).alias("r"))
     if seeds is not None:
         last = last.unionByName(seeds.select("symbol", "bar", F.struct(*[F.col(f"r.{c}") for c in columns]).alias("r")))
-    placed = carried(named(last, names), grid(rows, *([] if seeds is None else [seeds])), True, None if seeds is None else rows)
-    held = placed.where("held").select("symbol", "bar", "name", *[F.col(f"r.{c}") for c in columns], F.lit("N").alias("update_flag"))
-    return own.unionByName(held)
+    every, shown = grid(rows, *([] if seeds is None else [seeds])), None if seeds is None else rows.select("bar").distinct()
+    after = placed(last, every).select("symbol", *[F.col(f"r.{c}") for c in columns], F.lit("N").alias("update_flag"), (F.col("since") + 1).alias("since"), "until").where("since < until")
+    if not by_bar:
+        return named(flagged, names).unionByName(spread(named(after, names), every, shown).drop("at"))
+    at = every.small(every.rows.select("at", F.col("bar").alias("own")))
+    own = flagged.join(at, F.col("bar").eqNullSafe(F.col("own"))).withColumn("since", F.col("at")).withColumn("until", F.col("at") + 1).drop("at", "bar", "own")
+    return spread(named(own.unionByName(after), names), every, shown, True).drop("at")
 
 
 def latest(rows: DataFrame, *order: str) -> DataFrame:

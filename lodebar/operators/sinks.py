@@ -32,19 +32,25 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Columns that name a product's folders.
+PARTS = ("year", "date", "hhmm")
+
+
 def partitioned(rows: DataFrame) -> DataFrame:
-    """``rows`` with year, date and hhmm of their bar, as folders are named."""
-    key = bar_key(F.col("bar"))
+    """``rows`` with year, date and hhmm of their bar, as folders are named; never null, as Spark sorts rows again by columns that may be."""
+    key = F.coalesce(bar_key(F.col("bar")), F.lit(""))
     return rows.withColumn("year", key.substr(1, 4)).withColumn("date", key.substr(1, 8)).withColumn("hhmm", key.substr(9, 4))
 
 
 def write_product(rows: DataFrame, path: str, kind: str = "parquet") -> None:
     """Writes each bar's rows, sorted by symbol in each file, into its own partition; partitions that are written again are replaced.
 
-    A bar has one file, unless it is so large that adaptive execution deals it to several tasks.
+    A bar has one file, unless it is so large that adaptive execution deals it to several tasks. Rows that have the columns of
+    PARTS are clustered and sorted already (``bars.spread``).
     """
-    ready = partitioned(rows).drop("bar").hint("rebalance", "year", "date", "hhmm").sortWithinPartitions("year", "date", "hhmm", "symbol")
-    out = ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "date", "hhmm")
+    clustered = set(PARTS) <= set(rows.columns)
+    ready = rows if clustered else partitioned(rows).hint("rebalance", *PARTS).sortWithinPartitions(*PARTS, "symbol")
+    out = ready.drop("bar").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS)
     if kind == "csv":
         out.option("header", True).option("nullValue", "NA").csv(path)
     else:

@@ -1,7 +1,7 @@
 """The wide product: one row for each symbol and bar with its first tick, its first quote and the instrument's limits.
 
-A symbol without a tick (or quote) in a bar has the last one before; the two sides meet in a full outer join, so that a
-symbol with only one of them has its row too. Bars are those with ticks; quotes of other bars are carried to the next, but
+A symbol without a tick (or quote) in a bar has the last one before; the two sides meet by symbol before either is carried, and
+a symbol with only one of them has its row too. Bars are those with ticks; quotes of other bars are carried to the next, but
 not over midnight unless asked for. Bars are numbered from 1 on each day.
 """
 
@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from lodebar.functions.prices import intraday_return, number_text, price_or_null, scaled, short_flag
 from lodebar.functions.timebars import bar_date, local_time, update_time
-from lodebar.operators.bars import Grid, carried, first_by, grid, last_by, level, with_bar
+from lodebar.operators.bars import Grid, first_by, grid, last_by, level, spread, with_bar
 from lodebar.operators.instruments import with_limits
-from lodebar.operators.sinks import staged
+from lodebar.operators.sinks import PARTS, staged
 
 # The product's columns in order. Those of the book's levels 2 to 10 and a few others are always empty.
 COLUMNS = (
@@ -28,27 +28,49 @@ COLUMNS = (
 TYPE = "69"
 
 
-def first_or_held(rows: DataFrame, unit: str, bars: Grid, across_days: bool, shown: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
-    """(symbol, bar, r) for the bars shown: the first row in the bar by time, receipt and arrival, else the last one before it.
+def side(rows: DataFrame, unit: str, name: str, seeds: DataFrame | None = None) -> DataFrame:
+    """(symbol, bar, first_name, last_name): first and last row in each bar by time, receipt and arrival.
 
     ``seeds`` (symbol, bar, r) are last rows in bars before all of these.
     """
     columns = [c for c in rows.columns if c != "symbol"]
     order = tuple(c for c in ("ts", "rcvtime", "seqno") if c in columns)
-    both = with_bar(rows, unit).groupBy("symbol", "bar").agg(first_by(order, *columns).alias("first"), last_by(order, *columns).alias("last"))
-    if seeds is not None:
-        both = both.unionByName(seeds.select("symbol", "bar", F.struct(*[F.col(f"r.{c}") for c in columns]).alias("last")), allowMissingColumns=True)
-    return carried(both, bars, across_days, shown).select("symbol", "bar", F.when(F.col("held"), F.col("last")).otherwise(F.col("first")).alias("r"))
+    own = with_bar(rows, unit).groupBy("symbol", "bar").agg(first_by(order, *columns).alias(f"first_{name}"), last_by(order, *columns).alias(f"last_{name}"))
+    if seeds is None:
+        return own
+    return own.unionByName(seeds.select("symbol", "bar", F.struct(*[F.col(f"r.{c}") for c in columns]).alias(f"last_{name}")), allowMissingColumns=True)
+
+
+def stretches(ticks: DataFrame, quotes: DataFrame, bars: Grid, across_days: bool) -> DataFrame:
+    """(symbol, since, until, t, q): what each symbol has at the grid's places from since to before until, of both sides at once.
+
+    A bar's own first rows hold for that bar, its last ones for those after it until the symbol's next; quotes until midnight
+    only, without ``across_days``. All of it needs one exchange of the sides' rows, by symbol.
+    """
+    both = ticks.unionByName(quotes, allowMissingColumns=True).join(bars.small(bars.rows), "bar").drop("bar").repartition("symbol")
+    kept = ("first_t", "last_t", "first_q", "last_q")
+    met = both.groupBy("symbol", "at", "day_end").agg(*[F.first(c, ignorenulls=True).alias(c) for c in kept])
+    order = Window.partitionBy("symbol").orderBy("at")
+    days = order if across_days else Window.partitionBy("symbol", "day_end").orderBy("at")
+    upto = lambda c, w, end: F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, end))
+    seen = met.withColumn("until", F.coalesce(F.lead("at").over(order), F.lit(bars.count)))
+    for c, w in (("t", order), ("q", days)):
+        seen = seen.withColumn(c, upto(f"last_{c}", w, 0)).withColumn(f"own_{c}", F.coalesce(f"first_{c}", upto(f"last_{c}", w, -1)))
+    next_, midnight = F.col("at") + 1, F.col("until") if across_days else F.least("until", "day_end")
+    piece = lambda since, until, t, q: F.struct(since.alias("since"), until.alias("until"), t.alias("t"), q.alias("q"))
+    none = F.when(F.lit(False), F.col("q"))
+    pieces = [piece(F.col("at"), next_, F.col("own_t"), F.col("own_q")), piece(next_, midnight, F.col("t"), F.col("q")), piece(midnight, F.col("until"), F.col("t"), none)]
+    return seen.select("symbol", F.explode(F.array(*pieces)).alias("p")).select("symbol", "p.*").where("since < until and (t is not null or q is not null)")
 
 
 def rows(
     ticks: DataFrame, quotes: DataFrame, instruments: DataFrame, unit: str = "minute", carry_quotes_across_days: bool = False,
-    tick_seeds: DataFrame | None = None, quote_seeds: DataFrame | None = None, numbered: tuple[date, int] | None = None,
+    tick_seeds: DataFrame | None = None, quote_seeds: DataFrame | None = None, numbered: tuple[date, int] | None = None, by_bar: bool = False,
 ) -> DataFrame:
     """Typed columns under the product's names, and bar; nulls where the text product says NA.
 
     The seeds (symbol, bar, r) are last rows in bars before all of these, to be carried; ``numbered`` are a date and how many of
-    its bars have numbers already.
+    its bars have numbers already. ``by_bar``: rows come out as ``bars.spread`` clusters them, for ``write_product``.
     """
     tick_bars = with_bar(ticks, unit).select("bar").distinct()
     t_seeds = None if tick_seeds is None else level(tick_seeds)
@@ -58,9 +80,8 @@ def rows(
     if numbered is not None:
         number = number + F.when(bar_date(F.col("bar")) == F.lit(numbered[0]), numbered[1]).otherwise(0)
     seq = staged(tick_bars.select("bar", number.alias("seq")), "bars")
-    t = first_or_held(ticks, unit, every, True, seq, t_seeds).withColumnRenamed("r", "t")
-    q = first_or_held(quotes, unit, every, carry_quotes_across_days, seq, q_seeds).withColumnRenamed("r", "q")
-    both = with_limits(t.join(q, ["symbol", "bar"], "full_outer"), instruments).join(every.small(seq), "bar")
+    held = stretches(side(ticks, unit, "t", t_seeds), side(quotes, unit, "q", q_seeds), every, carry_quotes_across_days)
+    both = spread(with_limits(held, instruments), every, seq, by_bar)
     d = F.col("t.decimal")
     price = lambda c: price_or_null(F.col(f"t.{c}"), d)
     at, ticked = F.coalesce("t.ts", "q.ts"), F.col("t").isNotNull()
@@ -89,7 +110,7 @@ def rows(
         "IntraDailyReturn": intraday_return(F.col("t.lastprice"), F.col("t.preclose"), d),
         "IsShortRestricted": short_flag(F.col("t.shortsellflag")),
     }
-    return both.select("bar", *[values.get(c, F.lit(None).cast("string")).alias(c) for c in COLUMNS])
+    return both.select("bar", *[values.get(c, F.lit(None).cast("string")).alias(c) for c in COLUMNS], *([*PARTS, "symbol"] if by_bar else []))
 
 
 def as_text(wide: DataFrame) -> DataFrame:
