@@ -112,13 +112,12 @@ class ProductWriter:
         r = lambda feed, which: None if seeds[feed] is None else seeds[feed].select("symbol", "bar", F.col(which).alias("r"))
         names = self.names(spark)
         if "snapshot" in self.products:
-            self._write("snapshot", bars.snapshot(side["tick"], names, self.unit, seeds=r("tick", "by_arrival")))
+            self._write("snapshot", bars.snapshot(side["tick"], names, self.unit, seeds=r("tick", "by_arrival"), by_bar=True))
         if "kline" in self.products:
-            self._write("kline", bars.kline(side["tick"], names, self.unit, seeds=r("tick", "by_arrival")))
+            self._write("kline", bars.kline(side["tick"], names, self.unit, seeds=r("tick", "by_arrival"), by_bar=True))
         if "wide" in self.products:
             numbered = (control["numbered"], control["numbers"]) if control["numbered"] else None
-            made = wide.rows(side["tick"], side["quote"], names, self.unit, False, r("tick", "by_time"), r("quote", "by_time"), numbered)
-            self._write("wide", made.withColumn("symbol", F.col("InstrumentID")))
+            self._write("wide", wide.rows(side["tick"], side["quote"], names, self.unit, False, r("tick", "by_time"), r("quote", "by_time"), numbered, by_bar=True))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

@@ -90,6 +90,35 @@ def test_batches_make_the_product_of_everything(spark, names):
     assert Versions(spark, f"{w.path}/control").known() == [1, 2]
 
 
+def before_spread(df):
+    """The part of the plan that works on rows after they have been spread over bars."""
+    return df._jdf.queryExecution().executedPlan().toString().split("Generate explode(sequence(")[0]
+
+
+def test_carried_wide_rows_do_not_travel(spark, names):
+    t, q, _ = batches(spark)
+    assert "Exchange" not in before_spread(wide.rows(t, q, names))
+
+
+def test_rows_of_a_product_travel_before_they_are_spread(spark, names):
+    t, q, _ = batches(spark)
+    for made in (bars.snapshot(t, names, by_bar=True), bars.kline(t, names, by_bar=True), wide.rows(t, q, names, by_bar=True)):
+        above = before_spread(made)
+        assert "Exchange" not in above and above.count("Sort [") == 1
+
+
+@pytest.mark.parametrize("product", ["snapshot", "kline", "wide"])
+def test_files_are_sorted_by_symbol(spark, names, product):
+    t, q, parts = batches(spark)
+    w = writer(spark, names, t, q, product)
+    w(parts[0], 0)
+    files = spark.read.parquet(f"{w.path}/{product}").inputFiles()
+    assert len(files) == 7
+    for f in files:
+        symbols = [r.symbol for r in spark.read.parquet(f).select("symbol").collect()]
+        assert symbols == sorted(symbols)
+
+
 class Killed(Exception):
     pass
 
