@@ -68,6 +68,17 @@ STALL = "symbol string, bar timestamp, count long, close double, why string"
 _STATE = "bar timestamp, count long, close double, seqno long"
 
 
+def _by_bar(frames: Iterator[pd.DataFrame]) -> dict[pd.Timestamp, tuple[int, int, float]]:
+    """Rows, last arrival and its price in each bar. A symbol's rows are few and symbols are many, so frames are only read here, not worked on."""
+    found: dict[pd.Timestamp, tuple[int, int, float]] = {}
+    for frame in frames:
+        for bar, seqno, price in zip(*(frame[c].tolist() for c in ("bar", "seqno", "price")), strict=True):
+            if bar is not pd.NaT:
+                n, last, close = found.get(bar, (0, -1, 0.0))
+                found[bar] = (n + 1, seqno, price) if seqno > last else (n + 1, last, close)
+    return found
+
+
 def stalled_bars(ticks: DataFrame, unit: str, timeout_ms: int) -> DataFrame:
     """Bars of each symbol, emitted when its next bar begins, or when nothing has come for ``timeout_ms``.
 
@@ -84,24 +95,22 @@ def stalled_bars(ticks: DataFrame, unit: str, timeout_ms: int) -> DataFrame:
             state.remove()
         else:
             present = bar
-            rows = pd.concat(list(frames)).sort_values(["bar", "seqno"])
-            for own, group in rows.groupby("bar", sort=True):
-                last = group.iloc[-1]
+            for own, (n, last, price) in sorted(_by_bar(frames).items()):
                 if present is not None and own < present:
-                    out.append((key[0], own, len(group), float(last["price"]), "late"))
+                    out.append((key[0], own, n, price, "late"))
                     continue
                 if bar is not None and own > bar:
                     if count:
                         out.append((key[0], bar, count, close, "next"))
                     count, seqno = 0, -1
                 bar = own
-                count += len(group)
-                if int(last["seqno"]) > seqno:
-                    close, seqno = float(last["price"]), int(last["seqno"])
+                count += n
+                if last > seqno:
+                    close, seqno = price, last
             state.update((bar, count, close, seqno))
             state.setTimeoutDuration(timeout_ms)
         if out:
-            yield pd.DataFrame(out, columns=["symbol", "bar", "count", "close", "why"])
+            yield pd.DataFrame(dict(zip(("symbol", "bar", "count", "close", "why"), zip(*out, strict=True), strict=True)))
 
     price = scaled(F.col("lastprice"), F.col("decimal"))
     rows = ticks.select("symbol", bar_end(F.col("ts"), unit).cast("timestamp").alias("bar"), "seqno", price.alias("price"))

@@ -1,11 +1,12 @@
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from lodebar.operators.sinks import scratch
 from lodebar.streaming import tail_source
-from lodebar.streaming.bars import BarWriter, stalled_bars, with_instruments
+from lodebar.streaming.bars import BarWriter, _by_bar, stalled_bars, with_instruments
 from lodebar.streaming.tail_source import follow
 
 
@@ -112,6 +113,15 @@ def test_rows_behind_a_bar_do_not_change_it(spark, tmp_path):
     assert got == [(1, 1, 1.0, "next"), (1, 1, 9.0, "late"), (2, 3, 3.0, "next")]
 
 
+def test_rows_of_a_symbol_are_counted_by_bar_without_working_on_frames(monkeypatch):
+    nine, ten = pd.Timestamp("2026-01-01 09:00"), pd.Timestamp("2026-01-01 10:00")
+    frame = lambda *rows: pd.DataFrame(list(rows), columns=["bar", "seqno", "price"])
+    frames = [frame((ten, 5, 1.0), (nine, 4, 2.0), (pd.NaT, 9, 9.0)), frame((ten, 3, 3.0), (nine, 6, 4.0))]
+    for slow in ("groupby", "sort_values"):
+        monkeypatch.setattr(pd.DataFrame, slow, None)
+    assert _by_bar(iter(frames)) == {ten: (2, 5, 1.0), nine: (2, 6, 4.0)}
+
+
 def test_a_silent_symbol_is_flushed(spark, tmp_path):
     source, out = f"file://{tmp_path}/in", scratch(spark, "stall")
     ticks(spark, (1, "a", "2026-01-01 09:00:10", 100), (2, "a", "2026-01-01 09:01:30", 110), (3, "b", "2026-01-01 09:00:10", 50)).write.parquet(source)
