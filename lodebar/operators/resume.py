@@ -35,7 +35,7 @@ def seeds_before(spark: SparkSession, path: str, missing: DataFrame, columns: li
     return rows.groupBy("symbol", "bar").agg(bars.last_by(("seqno",), *[c for c in columns if c != "symbol"]).alias("r"))
 
 
-def missing_snapshot(ticks: DataFrame, names: DataFrame, path: str, unit: str = "minute") -> DataFrame:
+def missing_snapshot(ticks: DataFrame, names: DataFrame, path: str, unit: str = "minute", by_bar: bool = False) -> DataFrame:
     """Snapshot rows of those bars of ``ticks`` that the product at ``path`` lacks, as a build of everything would give them.
 
     ``ticks`` need only hold the dates of missing bars; what was before comes from the product.
@@ -44,9 +44,9 @@ def missing_snapshot(ticks: DataFrame, names: DataFrame, path: str, unit: str =
     rows = bars.with_bar(ticks, unit)
     own = rows.join(sinks.produced_bars(spark, path), "bar", "left_anti").select(*ticks.columns, "bar")
     seeds = seeds_before(spark, path, own.select("bar").distinct(), ticks.columns)
-    return bars.snapshot_of(own, names, True, seeds)
+    return bars.snapshot_of(own, names, True, seeds, by_bar)
 
 
 def resume(ticks: DataFrame, names: DataFrame, path: str, unit: str = "minute") -> None:
     """Adds the missing bars to the product; those that it has are left alone, and running it again adds nothing."""
-    sinks.write_product(missing_snapshot(ticks, names, path, unit), path)
+    sinks.write_product(missing_snapshot(ticks, names, path, unit, by_bar=True), path)

@@ -647,7 +647,7 @@ def stream_intake_metrics(spark: SparkSession, d: str) -> DataFrame:
 def resumed_snapshot(spark: SparkSession, d: str) -> DataFrame:
     """A product that lacks every fifth hour and all after a midnight, completed from what it has."""
     ticks, names, path = tables.ticks(spark, d), _ins(spark, d), sinks.scratch(spark, "resumed")
-    made = bars.snapshot(ticks.where(F.col("ts") < F.lit(streams.STOPPED).cast("timestamp_ntz")), names, "hour")
+    made = bars.snapshot(ticks.where(F.col("ts") < F.lit(streams.STOPPED).cast("timestamp_ntz")), names, "hour", by_bar=True)
     sinks.write_product(made.where(F.hour("bar") % 5 > 0), path)
     resume.resume(ticks, names, path, "hour")
     return keyed(resume.with_bars(spark.read.parquet(path))).select(*SNAPSHOT_COLUMNS)

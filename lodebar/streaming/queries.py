@@ -180,7 +180,7 @@ def latest_resumed(spark: SparkSession, d: str) -> DataFrame:
     ticks = tables.ticks(spark, d)
     first, rest = ticks.where(F.col("ts") < F.lit(STOPPED).cast("timestamp_ntz")), ticks.where(F.col("ts") >= F.lit(STOPPED).cast("timestamp_ntz"))
     product, names = scratch(spark, "product"), tables.instrument_rows(spark, d)
-    sinks.write_product(batch_bars.snapshot(first, instruments.merged(names), "hour"), product)
+    sinks.write_product(batch_bars.snapshot(first, instruments.merged(names), "hour", by_bar=True), product)
     begin = sinks.staged(latest.feed_rows(sinks.latest_from(spark, product), "tick"), "begin") if not first.isEmpty() else None
     feed, table = Feed(spark, ticks, "ticks"), Upsert(scratch(spark, "latest"), latest.STATE, "symbol")
     if begin is not None:
