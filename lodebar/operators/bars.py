@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lodebar.functions.prices import scaled, trade_flag
 from lodebar.functions.timebars import bar_date, bar_end
-from lodebar.operators.sinks import PARTS, partitioned, staged
+from lodebar.operators.sinks import PARTS, in_order, partitioned, staged
 
 #: Grids up to so many bars are broadcast (a year of minutes has 525,600); longer ones are joined by a shuffle.
 BROADCAST_BARS = 2_000_000
@@ -122,8 +122,8 @@ def spread(stretches: DataFrame, bars: Grid, shown: DataFrame | None = None, by_
     """``stretches`` (since, until, ...) once for each place from since to before until, with ``at`` and its ``bar``.
 
     ``shown`` (bar, ...), each bar once, are the grid's bars that come out, all by default; its columns come along. With ``by_bar`` rows are dealt to tasks by blocks of bars and
-    sorted as a product is written, with the columns that name its partitions; stretches travel, cut at the ends of blocks, and
-    not the rows that they stand for.
+    have the columns that name their partitions, made once for each bar; stretches travel, cut at the ends of blocks, and not the
+    rows that they stand for. Their order is left to ``in_order``, after whatever makes rows narrower.
     """
     if by_bar:
         block = lambda at: F.floor(at / BLOCK_BARS).cast("int")
@@ -132,10 +132,11 @@ def spread(stretches: DataFrame, bars: Grid, shown: DataFrame | None = None, by_
         stretches = cut.hint("rebalance", "block").drop("block")
     rows = stretches.withColumn("at", F.explode(F.sequence(F.col("since"), F.col("until") - 1))).drop("since", "until")
     out = bars.rows.select("at", "bar")
+    if by_bar:
+        out = partitioned(out)
     if shown is not None:
         out = out.join(shown.withColumnRenamed("bar", "own"), F.col("bar").eqNullSafe(F.col("own"))).drop("own")
-    rows = rows.join(bars.small(out), "at")
-    return partitioned(rows).sortWithinPartitions(*PARTS, "symbol") if by_bar else rows
+    return rows.join(bars.small(out), "at")
 
 
 def carried(states: DataFrame, bars: Grid, across_days: bool = True, shown: DataFrame | None = None, by_bar: bool = False) -> DataFrame:
@@ -154,7 +155,7 @@ def kline(
     """Bars with gaps filled by flat bars at the last price; without ``full`` only symbols with ticks in the bar.
 
     ``seeds`` (symbol, bar, r): last ticks in bars before all of these, to compare with and to carry. ``by_bar``: full ones come out
-    as ``spread`` clusters them, for ``write_product``.
+    as ``spread`` clusters them and in order, for ``write_product``.
     """
     own, shown = ohlcv(ticks, unit, first_seen, carry_across_days, seeds), with_bar(ticks, unit)
     every = [shown]
@@ -166,11 +167,12 @@ def kline(
     held, last = F.col("held"), scaled(F.col("lastprice"), F.col("decimal"))
     flat = lambda c: F.when(held, last).otherwise(F.col(c)).alias(c)
     none = lambda c: F.when(held, 0).otherwise(F.col(c)).alias(c)
-    return filled.select(
+    made = filled.select(
         "bar", "symbol", "name", "seqno", *[flat(c) for c in ("open", "high", "low", "close")], none("volume").cast("long").alias("volume"), none("amount").cast("double").alias("amount"),
         none("count").cast("long").alias("count"), F.when(held, "N").otherwise(trade_flag(F.col("volume"), F.col("any_quantity"))).alias("trade_flag"),
         F.when(held, "N").otherwise("Y").alias("update_flag"), *(PARTS if by_bar else ()),
     )
+    return in_order(made) if by_bar else made
 
 
 def named(rows: DataFrame, names: DataFrame) -> DataFrame:
@@ -189,7 +191,7 @@ def snapshot(ticks: DataFrame, names: DataFrame, unit: str = "minute", full: boo
 def snapshot_of(rows: DataFrame, names: DataFrame, full: bool = True, seeds: DataFrame | None = None, by_bar: bool = False) -> DataFrame:
     """The same of rows that have their bar; ``seeds`` (symbol, bar, r) stand in whatever bar they are for, before or between.
 
-    ``by_bar``: full ones come out as ``spread`` clusters them, for ``write_product``.
+    ``by_bar``: full ones come out as ``spread`` clusters them and in order, for ``write_product``.
     """
     flagged = rows.withColumn("update_flag", F.lit("Y"))
     if not full:
@@ -204,7 +206,7 @@ def snapshot_of(rows: DataFrame, names: DataFrame, full: bool = True, seeds: Dat
         return named(flagged, names).unionByName(spread(named(after, names), every, shown).drop("at"))
     at = every.small(every.rows.select("at", F.col("bar").alias("own")))
     own = flagged.join(at, F.col("bar").eqNullSafe(F.col("own"))).withColumn("since", F.col("at")).withColumn("until", F.col("at") + 1).drop("at", "bar", "own")
-    return spread(named(own.unionByName(after), names), every, shown, True).drop("at")
+    return in_order(spread(named(own.unionByName(after), names), every, shown, True).drop("at"))
 
 
 def latest(rows: DataFrame, *order: str) -> DataFrame:

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodebar.functions.timebars import bar_date, key_to_end
+from lodebar.functions.timebars import bar_date
 from lodebar.operators import bars, sinks
 
 
 def with_bars(product: DataFrame) -> DataFrame:
     """Rows of a written product with the bar that their partition names."""
-    key = F.concat(F.col("date").cast("string"), F.lpad(F.col("hhmm").cast("string"), 4, "0"))
-    return product.withColumn("bar", key_to_end(key)).drop("year", "date", "hhmm")
+    return product.withColumn("bar", sinks.bar_of_parts()).drop(*sinks.PARTS)
 
 
 def last_date(spark: SparkSession, path: str):  # noqa: ANN201

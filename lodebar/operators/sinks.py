@@ -5,10 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodebar.functions.timebars import bar_key, key_to_end
+from lodebar.functions.timebars import bar_key
 
 _own: dict[str, str] = {}
 
@@ -42,14 +42,26 @@ def partitioned(rows: DataFrame) -> DataFrame:
     return rows.withColumn("year", key.substr(1, 4)).withColumn("date", key.substr(1, 8)).withColumn("hhmm", key.substr(9, 4))
 
 
+def in_order(rows: DataFrame) -> DataFrame:
+    """Each task's rows of ``partitioned`` in the order in which a product is written."""
+    return rows.sortWithinPartitions(*PARTS, "symbol")
+
+
+def bar_of_parts() -> Column:
+    """The bar that a product's folders name, from the numbers in their names; null for anything that is no time."""
+    date, at = F.col("date").try_cast("int"), F.col("hhmm").try_cast("int")
+    tens = lambda c, below, n: (F.floor(c / below) % n).cast("int")
+    return F.try_make_timestamp_ntz(tens(date, 10000, 10000), tens(date, 100, 100), date % 100, tens(at, 100, 100), at % 100, F.lit(0))
+
+
 def write_product(rows: DataFrame, path: str, kind: str = "parquet") -> None:
     """Writes each bar's rows, sorted by symbol in each file, into its own partition; partitions that are written again are replaced.
 
     A bar has one file, unless it is so large that adaptive execution deals it to several tasks. Rows that have the columns of
-    PARTS are clustered and sorted already (``bars.spread``).
+    PARTS are clustered (``bars.spread``) and in order already.
     """
     clustered = set(PARTS) <= set(rows.columns)
-    ready = rows if clustered else partitioned(rows).hint("rebalance", *PARTS).sortWithinPartitions(*PARTS, "symbol")
+    ready = rows if clustered else in_order(partitioned(rows).hint("rebalance", *PARTS))
     out = ready.drop("bar").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS)
     if kind == "csv":
         out.option("header", True).option("nullValue", "NA").csv(path)
@@ -74,7 +86,7 @@ def read_product(spark: SparkSession, path: str) -> DataFrame:
 
 def produced_bars(spark: SparkSession, path: str) -> DataFrame:
     """(bar) of the bars that a product on disk has: what a restart need not make again."""
-    return spark.read.parquet(path).select("date", "hhmm").distinct().select(key_to_end(F.concat(F.col("date").cast("string"), F.lpad(F.col("hhmm").cast("string"), 4, "0"))).alias("bar"))
+    return spark.read.parquet(path).select("date", "hhmm").distinct().select(bar_of_parts().alias("bar"))
 
 
 def latest_from(spark: SparkSession, path: str, until: str | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from lodebar.functions.prices import intraday_return, number_text, price_or_null
 from lodebar.functions.timebars import bar_date, local_time, update_time
 from lodebar.operators.bars import Grid, first_by, grid, last_by, level, spread, with_bar
 from lodebar.operators.instruments import with_limits
-from lodebar.operators.sinks import PARTS, staged
+from lodebar.operators.sinks import PARTS, in_order, staged
 
 # The product's columns in order. Those of the book's levels 2 to 10 and a few others are always empty.
 COLUMNS = (
@@ -70,7 +70,7 @@ def rows(
     """Typed columns under the product's names, and bar; nulls where the text product says NA.
 
     The seeds (symbol, bar, r) are last rows in bars before all of these, to be carried; ``numbered`` are a date and how many of
-    its bars have numbers already. ``by_bar``: rows come out as ``bars.spread`` clusters them, for ``write_product``.
+    its bars have numbers already. ``by_bar``: rows come out as ``bars.spread`` clusters them and in order, for ``write_product``.
     """
     tick_bars = with_bar(ticks, unit).select("bar").distinct()
     t_seeds = None if tick_seeds is None else level(tick_seeds)
@@ -82,6 +82,7 @@ def rows(
     seq = staged(tick_bars.select("bar", number.alias("seq")), "bars")
     held = stretches(side(ticks, unit, "t", t_seeds), side(quotes, unit, "q", q_seeds), every, carry_quotes_across_days)
     both = spread(with_limits(held, instruments), every, seq, by_bar)
+    both = in_order(both) if by_bar else both  # here, as the product's rows are the wider ones
     d = F.col("t.decimal")
     price = lambda c: price_or_null(F.col(f"t.{c}"), d)
     at, ticked = F.coalesce("t.ts", "q.ts"), F.col("t").isNotNull()

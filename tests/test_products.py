@@ -107,6 +107,25 @@ def test_rows_of_a_product_travel_before_they_are_spread(spark, names):
         assert "Exchange" not in above and above.count("Sort [") == 1
 
 
+def test_folders_are_named_once_for_each_bar(spark, names):
+    t, q, _ = batches(spark)
+    for made in (bars.snapshot(t, names, by_bar=True), bars.kline(t, names, by_bar=True)):
+        assert "yyyyMMddHHmm" not in before_spread(made)
+    for made in (bars.snapshot(t, names, by_bar=True), bars.kline(t, names, by_bar=True), wide.rows(t, q, names, by_bar=True)):
+        keys = sinks.partitioned(made.drop(*sinks.PARTS)).select(*sinks.PARTS, "symbol")
+        assert rows(made.select(*sinks.PARTS, "symbol")) == rows(keys)
+
+
+def test_bars_are_read_from_numbers_of_folders(spark):
+    own = spark.createDataFrame([(1, "2026-03-02 00:00:00"), (2, "2026-03-02 09:05:00"), (3, "2024-02-29 23:59:00"), (4, None)], "n int, bar string").withColumn("bar", F.col("bar").cast("timestamp_ntz"))
+    path = scratch(spark, "product")
+    sinks.write_product(own.withColumn("symbol", F.lit("a")), path)
+    got = resume.with_bars(spark.read.parquet(path))
+    assert rows(got.drop("symbol")) == rows(own)
+    assert "gettimestamp" not in got._jdf.queryExecution().executedPlan().toString().lower()
+    assert rows(sinks.produced_bars(spark, path)) == rows(own.select("bar"))
+
+
 @pytest.mark.parametrize("product", ["snapshot", "kline", "wide"])
 def test_files_are_sorted_by_symbol(spark, names, product):
     t, q, parts = batches(spark)
