@@ -9,7 +9,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -236,18 +236,27 @@ def master(spark: SparkSession, d: str) -> DataFrame:
 
 
 def open_bars(spark: SparkSession, d: str) -> DataFrame:
-    """Gap-filled bars after each of two steps, of which the first ends within a bar: bars come out open and are replaced as they grow."""
+    """Gap-filled bars after each of two steps, of which the first ends within a bar: bars come out open and are replaced as they grow.
+
+    Only bars that are open after the first step are kept aside, as the second replaces them; closed ones stay in the product as they are.
+    """
     ticks = tables.ticks(spark, d)
     names = instruments.merged(tables.instrument_rows(spark, d))
     at = F.lit(STEPS[0]).cast("timestamp_ntz")
     feed = Feed(spark, ticks, "ticks")
     writer = ProductWriter(scratch(spark, "open"), ticks.schema, None, lambda s: names, "hour", products=("kline",), open_bars=True)
-    seen: list[DataFrame] = []
-    _stepped(
-        spark, "open", [[(feed, ticks.where(F.col("ts") < at))], [(feed, ticks.where(F.col("ts") >= at))]], lambda: feed.read().writeStream.foreachBatch(writer),
-        lambda n: seen.append(sinks.staged(writer.read(spark, "kline").withColumn("step", F.lit(n + 1)), "step")),
-    )
-    return seen[0].unionByName(seen[1])
+    closed: list[Column] = []
+    growing: list[DataFrame] = []
+
+    def after(n: int) -> None:
+        if n == 0:
+            closed.append(F.col("bar") <= F.lit(writer.control(spark)["closed"]).cast("timestamp_ntz"))
+            growing.append(sinks.staged(writer.read(spark, "kline").where(~closed[0]), "step"))
+
+    _stepped(spark, "open", [[(feed, ticks.where(F.col("ts") < at))], [(feed, ticks.where(F.col("ts") >= at))]], lambda: feed.read().writeStream.foreachBatch(writer), after)
+    last = writer.read(spark, "kline")
+    first = last.where(closed[0]).unionByName(growing[0])
+    return first.withColumn("step", F.lit(1)).unionByName(last.withColumn("step", F.lit(2)))
 
 
 #: Bars that may be open at once in the stream that evicts.

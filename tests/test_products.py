@@ -7,6 +7,7 @@ from lodebar.operators import bars, instruments, resume, sinks, wide
 from lodebar.operators.sinks import scratch
 from lodebar.sources import feeds
 from lodebar.streaming import latest, products, tail_source
+from lodebar.streaming import queries as streams
 from lodebar.streaming.intake import TextIntake, text_schemas
 from lodebar.streaming.products import ProductWriter, both_feeds
 from lodebar.streaming.tables import MasterTable, Upsert, Versions
@@ -126,6 +127,16 @@ def test_bars_are_read_from_numbers_of_folders(spark):
     assert rows(sinks.produced_bars(spark, path)) == rows(own.select("bar"))
 
 
+def test_closed_bars_are_not_copied_before_a_step(spark, monkeypatch):
+    kept = []
+    own = streams.sinks.staged
+    monkeypatch.setattr(streams.sinks, "staged", lambda df, label: (kept.append(own(df, label)), kept[-1])[1])
+    seen = streams.open_bars(spark, "/root/testdata/sf0.001")
+    copied = [k for k in kept if {"bar", "update_flag"} <= set(k.columns)]
+    newest = seen.where("step = 1").agg(F.max("bar")).first()[0]
+    assert [r.bar for k in copied for r in k.select("bar").distinct().collect()] == [newest]
+
+
 @pytest.mark.parametrize("product", ["snapshot", "kline", "wide"])
 def test_files_are_sorted_by_symbol(spark, names, product):
     t, q, parts = batches(spark)
