@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +56,22 @@ def bar_of_parts() -> Column:
     return F.try_make_timestamp_ntz(tens(date, 10000, 10000), tens(date, 100, 100), date % 100, tens(at, 100, 100), at % 100, F.lit(0))
 
 
+#: Shuffled stretches that one task spreads and sorts: they are tens of times larger in memory, and large sorts take longer by row.
+TASK_BYTES = 8 << 20
+
+
+@contextmanager
+def small_tasks(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution deals out what is shuffled for a write by TASK_BYTES."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, f"{TASK_BYTES}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_product(rows: DataFrame, path: str, kind: str = "parquet") -> None:
     """Writes each bar's rows, sorted by symbol in each file, into its own partition; partitions that are written again are replaced.
 
@@ -63,10 +81,11 @@ def write_product(rows: DataFrame, path: str, kind: str = "parquet") -> None:
     clustered = set(PARTS) <= set(rows.columns)
     ready = rows if clustered else in_order(partitioned(rows).hint("rebalance", *PARTS))
     out = ready.drop("bar").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS)
-    if kind == "csv":
-        out.option("header", True).option("nullValue", "NA").csv(path)
-    else:
-        out.parquet(path)
+    with small_tasks(rows.sparkSession) if clustered else nullcontext():
+        if kind == "csv":
+            out.option("header", True).option("nullValue", "NA").csv(path)
+        else:
+            out.parquet(path)
 
 
 def append_late(rows: DataFrame, path: str, batch: int) -> None:

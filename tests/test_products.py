@@ -127,6 +127,14 @@ def test_bars_are_read_from_numbers_of_folders(spark):
     assert rows(sinks.produced_bars(spark, path)) == rows(own.select("bar"))
 
 
+def test_tasks_that_spread_rows_stay_small(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    with sinks.small_tasks(spark):
+        assert spark.conf.get(name) == f"{8 << 20}b"
+    assert spark.conf.get(name) == before
+
+
 def test_closed_bars_are_not_copied_before_a_step(spark, monkeypatch):
     kept = []
     own = streams.sinks.staged
